@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The workloads this library covers are batch only (no streams, watermarks,
+windows or state), so this package deliberately holds no operators.  A
+streaming source can still feed a keyed table with
+``writeStream.foreachBatch(lambda df, _: table.append(df))``.
+"""
