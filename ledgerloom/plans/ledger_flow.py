@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.keyed_table import KeyedTable, persist_batch
 from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
@@ -32,6 +33,9 @@ class Roles:
     account: str
     excluded_unit: str
     excluded_dept: str
+    # Money stored as double: averaged as DECIMAL(18, scale) so the sum is exact
+    # and the result does not depend on partitioning or summation order.
+    account_scale: int | None = None
 
     @property
     def staged_columns(self) -> list[str]:
@@ -62,6 +66,7 @@ ORDERS = Roles(
     account="o_totalprice",
     excluded_unit="P",
     excluded_dept="5-LOW",
+    account_scale=2,
 )
 
 
@@ -138,24 +143,34 @@ def join_left_right(
     return l_side.join(r_side, roles.key)
 
 
-def average_by(df: DataFrame, group: str, value: str, alias: str, digits: int | None = 4) -> DataFrame:
-    """``groupBy(group).avg(value)``, optionally rounded (float sums depend on order)."""
-    avg: Column = F.avg(value)
-    if digits is not None:
-        avg = F.round(avg, digits)
-    return df.groupBy(group).agg(avg.alias(alias))
+def average_by(df: DataFrame, group: str, value: str, alias: str,
+               decimal_scale: int | None = None) -> DataFrame:
+    """``groupBy(group).avg(value)`` as a double.
+
+    Integer values are summed exactly as longs.  With ``decimal_scale`` a
+    double value is averaged as ``DECIMAL(18, scale)``: an exact sum, and an
+    average rounded half-up at ``scale + 4`` places, identical on every run
+    whatever the partitioning.  Partial averages run per task before the
+    shuffle, so a hot group costs one partial row per task.
+    """
+    col = F.col(value)
+    if decimal_scale is not None:
+        col = col.cast(T.DecimalType(18, decimal_scale))
+    return df.groupBy(group).agg(F.avg(col).cast("double").alias(alias))
 
 
 def avg_account_by_dept(left: DataFrame, right: DataFrame, roles: Roles = LEDGER,
                         replicated: bool = False, alias: str = "avg_account") -> DataFrame:
     """Join left and right, then average the account per department."""
-    return average_by(join_left_right(left, right, roles, replicated), roles.dept, roles.account, alias)
+    joined = join_left_right(left, right, roles, replicated)
+    return average_by(joined, roles.dept, roles.account, alias, roles.account_scale)
 
 
 def right_filtered_avg(right: DataFrame, roles: Roles = LEDGER, alias: str = "avg_account") -> DataFrame:
     """Average per department over the filtered right table (no join)."""
     filtered = right.select(*roles.staged_columns).where(F.col(roles.dept) != roles.excluded_dept)
-    return average_by(filtered.select(roles.dept, roles.account), roles.dept, roles.account, alias)
+    return average_by(filtered.select(roles.dept, roles.account), roles.dept, roles.account, alias,
+                      roles.account_scale)
 
 
 def sql_join(spark: SparkSession, left: DataFrame, right: DataFrame, roles: Roles = LEDGER,
@@ -185,10 +200,13 @@ def sql_join(spark: SparkSession, left: DataFrame, right: DataFrame, roles: Role
 
 def product_avg_sql(spark: SparkSession, table: DataFrame, roles: Roles = LEDGER,
                     view: str = "great_table", alias: str = "avg_account") -> DataFrame:
-    """``SELECT product, AVG(account) FROM view GROUP BY product`` (rounded to 4 places)."""
+    """``SELECT product, AVG(account) FROM view GROUP BY product`` (exact, see ``average_by``)."""
     table.createOrReplaceTempView(view)
+    value = roles.account
+    if roles.account_scale is not None:
+        value = f"CAST({value} AS DECIMAL(18, {roles.account_scale}))"
     return spark.sql(
-        f"SELECT {roles.product}, ROUND(AVG({roles.account}), 4) AS {alias} "
+        f"SELECT {roles.product}, CAST(AVG({value}) AS DOUBLE) AS {alias} "
         f"FROM {view} GROUP BY {roles.product}"
     )
 

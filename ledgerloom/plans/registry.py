@@ -42,6 +42,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 R = lf.ORDERS
+
+
+def money_avg_sql(col: str) -> str:
+    """DuckDB form of a DECIMAL(18,2) average: exact cents, rounded half-up at 6 places.
+
+    (Prices are positive, so integer division rounds as Spark's HALF_UP does.)
+    """
+    cents = f"SUM(CAST(ROUND({col} * 100) AS HUGEINT))"
+    n = f"COUNT({col})"
+    return f"CAST((2 * {cents} * 10000 + {n}) // (2 * {n}) AS DOUBLE) / 1000000.0"
+
 STAGED_SQL = "SELECT * FROM orders WHERE o_orderstatus != 'P'"
 
 
@@ -385,17 +396,17 @@ def join_on_derived(spark, sf_dir):
 # --------------------------------------------------------------------------
 @register(
     "avg_by_group",
-    """
-    SELECT o_orderpriority, ROUND(AVG(o_totalprice), 4) AS avg_totalprice
+    f"""
+    SELECT o_orderpriority, {money_avg_sql("o_totalprice")} AS avg_totalprice
     FROM orders WHERE o_orderstatus != 'P' GROUP BY o_orderpriority
     """,
 )
 def avg_by_group(spark, sf_dir):
-    return lf.average_by(staged_orders(spark, sf_dir), R.dept, R.account, "avg_totalprice")
+    return lf.average_by(staged_orders(spark, sf_dir), R.dept, R.account, "avg_totalprice", R.account_scale)
 
 
-AVG_OVER_JOIN_SQL = """
-SELECT r.o_orderpriority, ROUND(AVG(l.o_totalprice), 4) AS avg_totalprice
+AVG_OVER_JOIN_SQL = f"""
+SELECT r.o_orderpriority, {money_avg_sql("l.o_totalprice")} AS avg_totalprice
 FROM (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus != 'P') l
 JOIN (SELECT o_orderkey, o_orderpriority FROM orders
       WHERE o_orderstatus != 'P' AND o_orderpriority != '5-LOW') r
@@ -412,8 +423,8 @@ def avg_over_join(spark, sf_dir):
 
 @register(
     "avg_sql",
-    """
-    SELECT o_custkey, ROUND(AVG(o_totalprice), 4) AS avg_totalprice
+    f"""
+    SELECT o_custkey, {money_avg_sql("o_totalprice")} AS avg_totalprice
     FROM orders WHERE o_orderstatus != 'P' GROUP BY o_custkey
     """,
 )
@@ -435,7 +446,7 @@ def count_all(spark, sf_dir):
     """,
 )
 def count_groups(spark, sf_dir):
-    groups = lf.average_by(staged_orders(spark, sf_dir), R.dept, R.account, "avg_totalprice")
+    groups = lf.average_by(staged_orders(spark, sf_dir), R.dept, R.account, "avg_totalprice", R.account_scale)
     return groups.agg(F.count(F.lit(1)).alias("n_groups"))
 
 
@@ -637,7 +648,7 @@ def _ledger_tables(spark, sf_dir) -> lf.LeftRight:
 
 
 LEDGER_DEPT_AVG_SQL = f"""
-SELECT DEPTID, ROUND(AVG(ACCOUNT), 4) AS avg_account
+SELECT DEPTID, AVG(ACCOUNT) AS avg_account
 FROM ({LEDGER_STAGED_SQL}) WHERE DEPTID != 'DEPTID2' GROUP BY DEPTID
 """
 
@@ -678,7 +689,7 @@ def ledger_sql_join(spark, sf_dir):
 @register(
     "ledger_product_avg",
     f"""
-    SELECT PRODUCT, ROUND(AVG(ACCOUNT), 4) AS avg_account
+    SELECT PRODUCT, AVG(ACCOUNT) AS avg_account
     FROM ({LEDGER_STAGED_SQL}) GROUP BY PRODUCT
     """,
 )

@@ -26,6 +26,7 @@ SESSION_DEFAULTS = {
     "spark.sql.legacy.javaCharsets": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
