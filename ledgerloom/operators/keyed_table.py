@@ -27,13 +27,17 @@ Operations and what they cost at scale:
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOG = "_log"
+_LOG_SCHEMA = "segment string"
+_VERSION_DIR = re.compile(r"/version=(\d+)/")
 _SEGMENT_PREFIX = "seg-"
 _SEGMENT_PATTERN = r"/(seg-[0-9a-f]+)/"
 
@@ -61,14 +65,26 @@ class KeyedTable:
         return f"{self.root}/{_LOG}"
 
     def _load_log(self) -> None:
+        """Find the newest version from the log's file listing, then read its segment list.
+
+        The listing is file metadata only; the one small read returns one row
+        per live segment.
+        """
         try:
-            log = self.spark.read.json(self._log_path())
-        except Exception:  # no table yet: the log folder does not exist
+            files = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path()).inputFiles()
+        except AnalysisException:  # no table yet: the log folder does not exist
+            files = []
+        versions = [int(m.group(1)) for f in files if (m := _VERSION_DIR.search(f))]
+        if not versions:
             self._version, self._segments = 0, []
             return
-        latest = log.agg(F.max("version").alias("v")).first()["v"]
-        rows = log.where(F.col("version") == latest).select("segment").collect()
-        self._version = int(latest)
+        latest = max(versions)
+        rows = (
+            self.spark.read.schema(_LOG_SCHEMA)
+            .json(f"{self._log_path()}/version={latest:08d}")
+            .collect()
+        )
+        self._version = latest
         self._segments = sorted(r["segment"] for r in rows if r["segment"])
 
     def version(self) -> int:
@@ -103,8 +119,13 @@ class KeyedTable:
         out.write.mode("errorifexists").parquet(f"{self.root}/{name}")
         return name
 
+    def _path(self, segment: str) -> str:
+        # a segment is a folder under this table, or an absolute path shared
+        # with another table (see ``clone_from``)
+        return segment if "/" in segment else f"{self.root}/{segment}"
+
     def _read(self, segments: list[str]) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.root}/{s}" for s in segments])
+        return self.spark.read.parquet(*[self._path(s) for s in segments])
 
     # ----------------------------------------------------------- validation
     def _conform(self, df: DataFrame) -> DataFrame:
@@ -117,15 +138,18 @@ class KeyedTable:
             return df.select(*columns)
         return df
 
-    def _validate_keys(self, df: DataFrame) -> None:
-        """Reject null keys and keys repeated inside one batch.
+    def _validate_keys(self, segment: str) -> None:
+        """Reject null keys and repeated keys in a freshly written segment.
 
-        One aggregation on the key column only (partial counts per task, then
-        a shuffle of one row per distinct key and task); ``limit(1)`` stops at
-        the first offender.
+        Runs on the written files, reading the key column only, so the batch
+        plan is not computed a second time.  One aggregation (partial counts
+        per task, then one row per distinct key and task); ``limit(1)`` stops
+        at the first offender.  A rejected segment is never committed, so no
+        reader can see it.
         """
+        keys = self.spark.read.parquet(self._path(segment)).select(self.key)
         bad = (
-            df.groupBy(self.key)
+            keys.groupBy(self.key)
             .agg(F.count(F.lit(1)).alias("_n"))
             .where(F.col(self.key).isNull() | (F.col("_n") > 1))
             .limit(1)
@@ -137,42 +161,58 @@ class KeyedTable:
                 raise KeyedTableError(f"null value in key column {self.key!r}")
             raise KeyedTableError(f"key {value!r} appears more than once in the batch")
 
+    def _write_checked(self, df: DataFrame, validate: bool) -> str:
+        segment = self._write_segment(df)
+        if validate:
+            self._validate_keys(segment)
+        return segment
+
     # --------------------------------------------------------------- writes
     def overwrite(self, df: DataFrame, validate: bool = True) -> int:
         """Replace the table with ``df`` (a new version with one segment)."""
         if self.key not in df.columns:
             raise KeyedTableError(f"batch has no key column {self.key!r}")
-        if validate:
-            self._validate_keys(df)
-        return self._commit([self._write_segment(df)])
+        return self._commit([self._write_checked(df, validate)])
 
     def append(self, df: DataFrame, on_conflict: str = "skip", validate: bool = True) -> int:
         """Insert the batch's rows whose key is not in the table yet.
 
         ``on_conflict="skip"`` keeps the stored row for a key that already
         exists (appending the same batch twice leaves the table unchanged);
-        ``"replace"`` stores the batch's row instead.
+        ``"replace"`` stores the batch's row instead.  Null keys and keys
+        repeated among the written rows are rejected (``validate``).
         """
         if on_conflict not in ("skip", "replace"):
             raise ValueError("on_conflict must be 'skip' or 'replace'")
         df = self._conform(df)
-        if validate:
-            self._validate_keys(df)
         current = self.segments()
         if not current:
-            return self._commit([self._write_segment(df)])
+            return self._commit([self._write_checked(df, validate)])
         if on_conflict == "skip":
             # Only the key column of the stored table is read for the anti join.
             stored_keys = self._read(current).select(self.key)
             fresh = df.join(stored_keys, self.key, "left_anti")
-            return self._commit(current + [self._write_segment(fresh)])
+            return self._commit(current + [self._write_checked(fresh, validate)])
         return self._rewrite(
             touched_rows=self._tagged(current).join(df.select(self.key), self.key, "left_semi"),
             rewrite=lambda old: old.join(df.select(self.key), self.key, "left_anti").unionByName(df),
             current=current,
             always_write=df,
+            validate=validate,
         )
 
+    def clone_from(self, other: "KeyedTable") -> int:
+        """Make this (empty) table hold exactly ``other``'s current rows, copying no data.
+
+        The new version lists ``other``'s segments by absolute path.  Segments
+        are immutable, so later writes to either table never affect the other.
+        """
+        if self.exists():
+            raise KeyedTableError("clone_from needs an empty table")
+        if other.key != self.key:
+            raise KeyedTableError("tables have different keys")
+        return self._commit([other._path(s) for s in other.segments()])
+
     def update(self, assignments: dict[str, Column | object], where: Column | str) -> int:
         """``UPDATE t SET c = v, ... WHERE pred``; rows where ``pred`` is null stay as they are."""
         pred = F.expr(where) if isinstance(where, str) else where
@@ -211,7 +251,7 @@ class KeyedTable:
         return self._read(segments).withColumn("_segment", seg)
 
     def _rewrite(self, touched_rows: DataFrame, rewrite, current: list[str],
-                 always_write: DataFrame | None = None) -> int:
+                 always_write: DataFrame | None = None, validate: bool = False) -> int:
         # The set of affected segments is metadata-sized (one name per segment).
         touched = sorted(
             r["_segment"] for r in touched_rows.select("_segment").distinct().collect()
@@ -219,10 +259,14 @@ class KeyedTable:
         if not touched:
             if always_write is None:
                 return self.version()
-            return self._commit(current + [self._write_segment(always_write)])
-        kept = [s for s in current if s not in touched]
-        new_segment = self._write_segment(rewrite(self._read(touched)))
-        return self._commit(kept + [new_segment])
+            return self._commit(current + [self._write_checked(always_write, validate)])
+        kept = [s for s in current if self._segment_name(s) not in touched]
+        rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
+        return self._commit(kept + [self._write_checked(rewritten, validate)])
+
+    @staticmethod
+    def _segment_name(segment: str) -> str:
+        return segment.rstrip("/").rsplit("/", 1)[-1]
 
     # ---------------------------------------------------------------- reads
     def scan(self) -> DataFrame:

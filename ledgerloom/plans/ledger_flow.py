@@ -100,13 +100,20 @@ def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Ro
                     on_conflict: str = "skip") -> LeftRight:
     """Append the staged rows to the ``left`` and ``right`` keyed tables under ``root``.
 
-    The staged frame feeds two writes, so it is persisted once (memory, spilling
-    to disk) and released after both writes finish.
+    When both tables start empty they end up with identical rows, so the
+    staged rows are computed and written once and ``right`` shares ``left``'s
+    immutable segments.  Otherwise each table gets its own insert-if-absent
+    append; the staged frame is then persisted (memory, spilling to disk) so
+    it is computed once for both writes.
     """
+    left = KeyedTable(spark, f"{root}/ledger_left", roles.key)
+    right = KeyedTable(spark, f"{root}/ledger_right", roles.key)
+    if not left.exists() and not right.exists():
+        left.append(staged, on_conflict=on_conflict)
+        right.clone_from(left)
+        return LeftRight(left, right)
     cached = persist_batch(staged)
     try:
-        left = KeyedTable(spark, f"{root}/ledger_left", roles.key)
-        right = KeyedTable(spark, f"{root}/ledger_right", roles.key)
         left.append(cached, on_conflict=on_conflict)
         right.append(cached, on_conflict=on_conflict)
     finally:

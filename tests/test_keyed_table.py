@@ -113,3 +113,18 @@ def test_lookup_prunes_row_groups(spark, scratch, rows):
     t = KeyedTable(spark, scratch("kt"), "id")
     t.append(rows)
     assert "EqualTo(id,7)" in plan_text(t.lookup(7), "formatted")
+
+
+def test_clone_shares_segments_and_diverges_safely(spark, scratch, rows):
+    a = KeyedTable(spark, scratch("kt-a"), "id")
+    b = KeyedTable(spark, scratch("kt-b"), "id")
+    a.append(rows)
+    b.clone_from(a)
+    assert b.count() == 100
+    b.update({"unit": "b-only"}, F.col("id") <= 10)
+    assert a.scan().where("unit = 'b-only'").count() == 0
+    assert b.scan().where("unit = 'b-only'").count() == 10
+    a.append(rows.withColumn("id", F.col("id") + 1000))
+    assert a.count() == 200 and b.count() == 100
+    with pytest.raises(KeyedTableError):
+        b.clone_from(a)
