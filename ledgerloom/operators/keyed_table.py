@@ -15,9 +15,11 @@ can reach.
 
 Operations and what they cost at scale:
 
-* ``append`` (insert-if-absent): the batch is anti-joined with the *key
-  column only* of the current table and only the new rows are written as one
-  new segment; existing data is not rewritten.
+* ``append`` (insert-if-absent): the batch is written once as a staged
+  segment; its keys are matched against the *key column only* of the stored
+  table (broadcast semi join when the batch keys are measured small, shuffle
+  anti join otherwise) and only new rows are committed; stored data is never
+  rewritten.
 * ``append(on_conflict="replace")`` and ``update``: only segments that hold an
   affected key/row are rewritten (copy-on-write per segment).
 * ``overwrite``: one new segment replaces the table.
@@ -35,6 +37,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+
 _LOG = "_log"
 _LOG_SCHEMA = "segment string"
 _VERSION_DIR = re.compile(r"/version=(\d+)/")
@@ -174,32 +178,51 @@ class KeyedTable:
             raise KeyedTableError(f"batch has no key column {self.key!r}")
         return self._commit([self._write_checked(df, validate)])
 
-    def append(self, df: DataFrame, on_conflict: str = "skip", validate: bool = True) -> int:
+    def append(self, df: DataFrame, on_conflict: str = "skip", validate: bool = True,
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
         """Insert the batch's rows whose key is not in the table yet.
 
         ``on_conflict="skip"`` keeps the stored row for a key that already
         exists (appending the same batch twice leaves the table unchanged);
         ``"replace"`` stores the batch's row instead.  Null keys and keys
-        repeated among the written rows are rejected (``validate``).
+        repeated inside the batch are rejected (``validate``).
+
+        The batch is computed once, into a staged segment.  When its key
+        column is measured within ``max_broadcast_bytes``, the conflicting
+        keys are found with a broadcast semi join against the stored key
+        column (no shuffle of the stored table), and a batch without
+        conflicts is committed as staged: one write in total.  Larger batches
+        use a shuffle anti join on the key.
         """
         if on_conflict not in ("skip", "replace"):
             raise ValueError("on_conflict must be 'skip' or 'replace'")
         df = self._conform(df)
         current = self.segments()
+        staged = self._write_checked(df, validate)
         if not current:
-            return self._commit([self._write_checked(df, validate)])
-        if on_conflict == "skip":
-            # Only the key column of the stored table is read for the anti join.
-            stored_keys = self._read(current).select(self.key)
-            fresh = df.join(stored_keys, self.key, "left_anti")
-            return self._commit(current + [self._write_checked(fresh, validate)])
-        return self._rewrite(
-            touched_rows=self._tagged(current).join(df.select(self.key), self.key, "left_semi"),
-            rewrite=lambda old: old.join(df.select(self.key), self.key, "left_anti").unionByName(df),
-            current=current,
-            always_write=df,
-            validate=validate,
-        )
+            return self._commit([staged])
+        batch = self._read([staged])
+        batch_keys, small = broadcast_if_small(batch.select(self.key), max_broadcast_bytes)
+        if on_conflict == "replace":
+            return self._rewrite(
+                touched_rows=self._tagged(current).join(batch_keys, self.key, "left_semi"),
+                rewrite=lambda old: old.join(batch_keys, self.key, "left_anti").unionByName(batch),
+                current=current,
+                staged=staged,
+            )
+        stored_keys = self._read(current).select(self.key)
+        if not small:
+            fresh = batch.join(stored_keys, self.key, "left_anti")
+            return self._commit(current + [self._write_segment(fresh)])
+        # conflicts are a subset of the batch keys, so they share its size bound
+        conflicts = persist_batch(stored_keys.join(batch_keys, self.key, "left_semi"))
+        try:
+            if conflicts.isEmpty():
+                return self._commit(current + [staged])
+            fresh = batch.join(F.broadcast(conflicts), self.key, "left_anti")
+            return self._commit(current + [self._write_segment(fresh)])
+        finally:
+            conflicts.unpersist()
 
     def clone_from(self, other: "KeyedTable") -> int:
         """Make this (empty) table hold exactly ``other``'s current rows, copying no data.
@@ -251,18 +274,23 @@ class KeyedTable:
         return self._read(segments).withColumn("_segment", seg)
 
     def _rewrite(self, touched_rows: DataFrame, rewrite, current: list[str],
-                 always_write: DataFrame | None = None, validate: bool = False) -> int:
-        # The set of affected segments is metadata-sized (one name per segment).
+                 staged: str | None = None) -> int:
+        """Copy-on-write of the segments that hold a touched row.
+
+        The set of touched segments is metadata-sized (one name per segment).
+        ``staged`` is an already written segment of new rows: committed as it
+        is when nothing is touched.
+        """
         touched = sorted(
             r["_segment"] for r in touched_rows.select("_segment").distinct().collect()
         )
         if not touched:
-            if always_write is None:
+            if staged is None:
                 return self.version()
-            return self._commit(current + [self._write_checked(always_write, validate)])
+            return self._commit(current + [staged])
         kept = [s for s in current if self._segment_name(s) not in touched]
         rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
-        return self._commit(kept + [self._write_checked(rewritten, validate)])
+        return self._commit(kept + [self._write_segment(rewritten)])
 
     @staticmethod
     def _segment_name(segment: str) -> str:
