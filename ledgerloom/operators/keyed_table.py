@@ -29,6 +29,7 @@ Operations and what they cost at scale:
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
 
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 _LOG = "_log"
-_LOG_SCHEMA = "segment string"
+_LOG_SCHEMA = "segment string, buckets int"
+_SEG = "_seg"  # partition column of bucketed tables: one partition per segment
 _VERSION_DIR = re.compile(r"/version=(\d+)/")
 _SEGMENT_PREFIX = "seg-"
 _SEGMENT_PATTERN = r"/(seg-[0-9a-f]+)/"
@@ -53,7 +55,8 @@ class KeyedTableError(ValueError):
 class KeyedTable:
     """A table with a declared key column, stored as versioned Parquet segments."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str, cluster_by_key: bool = True):
+    def __init__(self, spark: SparkSession, root: str, key: str, cluster_by_key: bool = True,
+                 buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
@@ -61,6 +64,11 @@ class KeyedTable:
         # so point and bulk lookups skip row groups.  It is a per-task sort, not
         # a shuffle.
         self.cluster_by_key = cluster_by_key
+        # Bucketed layout: every segment is hash-partitioned on the key into
+        # ``buckets`` files, so joins, anti joins and semi joins on the key
+        # between tables with the same bucket count need no shuffle.  An existing
+        # table keeps the bucket count recorded in its log.
+        self.buckets = buckets or None
         self._version: int | None = None
         self._segments: list[str] | None = None
 
@@ -88,6 +96,10 @@ class KeyedTable:
             .json(f"{self._log_path()}/version={latest:08d}")
             .collect()
         )
+        stored = max((r["buckets"] or 0) for r in rows) or None
+        if self.buckets and stored != self.buckets:
+            raise KeyedTableError(f"table at {self.root} has buckets={stored}, not {self.buckets}")
+        self.buckets = stored
         self._version = latest
         self._segments = sorted(r["segment"] for r in rows if r["segment"])
 
@@ -106,9 +118,9 @@ class KeyedTable:
 
     def _commit(self, segments: list[str]) -> int:
         version = self.version() + 1
-        entries = [(s,) for s in segments] or [("",)]
+        entries = [(s, self.buckets or 0) for s in segments] or [("", self.buckets or 0)]
         (
-            self.spark.createDataFrame(entries, "segment string")
+            self.spark.createDataFrame(entries, _LOG_SCHEMA)
             .coalesce(1)
             .write.mode("errorifexists")
             .json(f"{self._log_path()}/version={version:08d}")
@@ -119,6 +131,13 @@ class KeyedTable:
     # ------------------------------------------------------------- segments
     def _write_segment(self, df: DataFrame) -> str:
         name = f"{_SEGMENT_PREFIX}{uuid.uuid4().hex}"
+        if self.buckets:
+            columns = self._register(df.schema)
+            # one shuffle on the key at write time; each task then holds exactly
+            # one bucket, so a segment has one file per bucket
+            out = df.select(*columns).repartition(self.buckets, self.key)
+            out.withColumn(_SEG, F.lit(name)).write.insertInto(self._catalog_name())
+            return name
         out = df.sortWithinPartitions(self.key) if self.cluster_by_key else df
         out.write.mode("errorifexists").parquet(f"{self.root}/{name}")
         return name
@@ -126,11 +145,75 @@ class KeyedTable:
     def _path(self, segment: str) -> str:
         # a segment is a folder under this table, or an absolute path shared
         # with another table (see ``clone_from``)
-        return segment if "/" in segment else f"{self.root}/{segment}"
+        if "/" in segment:
+            return segment
+        if self.buckets:
+            return f"{self.root}/data/{_SEG}={segment}"
+        return f"{self.root}/{segment}"
 
     def _read(self, segments: list[str]) -> DataFrame:
+        if self.buckets:
+            return self._bucketed(segments).drop(_SEG)
         return self.spark.read.parquet(*[self._path(s) for s in segments])
 
+    def _tagged(self, segments: list[str]) -> DataFrame:
+        """Rows with the name of the segment holding them, as ``_segment``."""
+        if self.buckets:
+            return self._bucketed(segments).withColumnRenamed(_SEG, "_segment")
+        seg = F.regexp_extract(F.col("_metadata.file_path"), _SEGMENT_PATTERN, 1)
+        return self._read(segments).withColumn("_segment", seg)
+
+    @staticmethod
+    def _segment_name(segment: str) -> str:
+        last = segment.rstrip("/").rsplit("/", 1)[-1]
+        return last.split("=", 1)[1] if last.startswith(f"{_SEG}=") else last
+
+    # --------------------------------------------------- bucketed catalog view
+    def _catalog_name(self) -> str:
+        digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:20]
+        return f"ledgerloom_kt_{digest}"
+
+    def _register(self, schema=None) -> list[str]:
+        """Register ``<root>/data`` in the session catalog as a bucketed table.
+
+        Catalog entries are session metadata only; the log stays the source of
+        truth, so any session can re-register a table it did not write.
+        Returns the data columns in table order.
+        """
+        name = self._catalog_name()
+        if not self.spark.catalog.tableExists(name):
+            if schema is None:
+                live = self.segments()
+                if not live:
+                    raise KeyedTableError(f"table at {self.root} has no data")
+                schema = self.spark.read.parquet(self._path(live[0])).schema
+            cols = ", ".join(
+                f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != _SEG
+            )
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {_SEG} STRING) USING parquet "
+                f"PARTITIONED BY ({_SEG}) CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) "
+                f"INTO {self.buckets} BUCKETS LOCATION '{self.root}/data'"
+            )
+        return [c for c in self.spark.table(name).columns if c != _SEG]
+
+    def _bucketed(self, segments: list[str]) -> DataFrame:
+        """The live segments as one bucketed scan (partition pruning on ``_seg``)."""
+        self._register()
+        name = self._catalog_name()
+        known = {
+            r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()
+        }
+        for seg in segments:
+            value = self._segment_name(seg)
+            if value not in known:
+                location = f" LOCATION '{seg}'" if "/" in seg else ""
+                self.spark.sql(
+                    f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_SEG}='{value}'){location}"
+                )
+        values = [self._segment_name(s) for s in segments]
+        return self.spark.table(name).where(F.col(_SEG).isin(values))
+
     # ----------------------------------------------------------- validation
     def _conform(self, df: DataFrame) -> DataFrame:
         if self.key not in df.columns:
@@ -151,7 +234,7 @@ class KeyedTable:
         at the first offender.  A rejected segment is never committed, so no
         reader can see it.
         """
-        keys = self.spark.read.parquet(self._path(segment)).select(self.key)
+        keys = self._read([segment]).select(self.key)
         bad = (
             keys.groupBy(self.key)
             .agg(F.count(F.lit(1)).alias("_n"))
@@ -202,7 +285,11 @@ class KeyedTable:
         if not current:
             return self._commit([staged])
         batch = self._read([staged])
-        batch_keys, small = broadcast_if_small(batch.select(self.key), max_broadcast_bytes)
+        if self.buckets:
+            # co-bucketed with the stored table: the semi/anti joins need no shuffle
+            batch_keys, small = batch.select(self.key), True
+        else:
+            batch_keys, small = broadcast_if_small(batch.select(self.key), max_broadcast_bytes)
         if on_conflict == "replace":
             return self._rewrite(
                 touched_rows=self._tagged(current).join(batch_keys, self.key, "left_semi"),
@@ -219,7 +306,8 @@ class KeyedTable:
         try:
             if conflicts.isEmpty():
                 return self._commit(current + [staged])
-            fresh = batch.join(F.broadcast(conflicts), self.key, "left_anti")
+            probe = conflicts if self.buckets else F.broadcast(conflicts)
+            fresh = batch.join(probe, self.key, "left_anti")
             return self._commit(current + [self._write_segment(fresh)])
         finally:
             conflicts.unpersist()
@@ -227,13 +315,18 @@ class KeyedTable:
     def clone_from(self, other: "KeyedTable") -> int:
         """Make this (empty) table hold exactly ``other``'s current rows, copying no data.
 
-        The new version lists ``other``'s segments by absolute path.  Segments
-        are immutable, so later writes to either table never affect the other.
+        The new version lists ``other``'s segments by absolute path (for a
+        bucketed table: partitions with their own location).  Segments are
+        immutable, so later writes to either table never affect the other.
         """
         if self.exists():
             raise KeyedTableError("clone_from needs an empty table")
         if other.key != self.key:
             raise KeyedTableError("tables have different keys")
+        other.segments()  # loads the other table's layout
+        if (self.buckets or None) not in (None, other.buckets):
+            raise KeyedTableError("tables have different bucket counts")
+        self.buckets = other.buckets
         return self._commit([other._path(s) for s in other.segments()])
 
     def update(self, assignments: dict[str, Column | object], where: Column | str) -> int:
@@ -269,10 +362,6 @@ class KeyedTable:
             current=current,
         )
 
-    def _tagged(self, segments: list[str]) -> DataFrame:
-        seg = F.regexp_extract(F.col("_metadata.file_path"), _SEGMENT_PATTERN, 1)
-        return self._read(segments).withColumn("_segment", seg)
-
     def _rewrite(self, touched_rows: DataFrame, rewrite, current: list[str],
                  staged: str | None = None) -> int:
         """Copy-on-write of the segments that hold a touched row.
@@ -292,10 +381,6 @@ class KeyedTable:
         rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
         return self._commit(kept + [self._write_segment(rewritten)])
 
-    @staticmethod
-    def _segment_name(segment: str) -> str:
-        return segment.rstrip("/").rsplit("/", 1)[-1]
-
     # ---------------------------------------------------------------- reads
     def scan(self) -> DataFrame:
         """The current version as a DataFrame (lazy Parquet scan)."""

@@ -12,9 +12,22 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import unsafe_row_bytes
 
-# Default bound for a replicated (broadcast) join side.  Spark's own hard limit
-# is 8 GiB per broadcast; executors hold one copy each, so stay far below it.
+# Upper bound for a replicated (broadcast) join side.  Spark's own hard limit
+# is 8 GiB per broadcast; the driver builds the relation and every executor
+# holds a copy, so the effective bound is also capped at 1/8 of driver memory.
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+_MEMORY_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def _driver_memory_bytes(spark) -> int:
+    text = spark.sparkContext.getConf().get("spark.driver.memory", "1g").strip().lower()
+    unit = _MEMORY_UNITS.get(text[-1:], 1) if text[-1:].isalpha() else 1 << 20
+    digits = text.rstrip("bkmgt") or "1024"
+    return int(float(digits) * unit)
+
+
+def broadcast_bound(spark, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
+    return min(max_bytes, _driver_memory_bytes(spark) // 8)
 
 
 def partition_by_key(df: DataFrame, num_partitions: int, *keys: str) -> DataFrame:
@@ -88,13 +101,14 @@ def measure_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) ->
 def broadcast_if_small(
     df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
 ) -> tuple[DataFrame, bool]:
-    """``broadcast(df)`` when its measured size is within ``max_bytes``.
+    """``broadcast(df)`` when its measured size is within ``max_bytes`` (and 1/8 of driver memory).
 
     Beyond the bound the frame is returned unhinted: the join shuffles both
     sides (sort-merge), and AQE may still switch to a broadcast at run time if
     the measured shuffle output turns out small.
     """
-    size = measure_bounded(df, max_bytes)
-    if size.fits(max_bytes):
+    bound = broadcast_bound(df.sparkSession, max_bytes)
+    size = measure_bounded(df, bound)
+    if size.fits(bound):
         return F.broadcast(df), True
     return df, False

@@ -97,7 +97,7 @@ class LeftRight:
 
 
 def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Roles = LEDGER,
-                    on_conflict: str = "skip") -> LeftRight:
+                    on_conflict: str = "skip", buckets: int | None = None) -> LeftRight:
     """Append the staged rows to the ``left`` and ``right`` keyed tables under ``root``.
 
     When both tables start empty they end up with identical rows, so the
@@ -105,9 +105,12 @@ def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Ro
     immutable segments.  Otherwise each table gets its own insert-if-absent
     append; the staged frame is then persisted (memory, spilling to disk) so
     it is computed once for both writes.
+
+    ``buckets`` stores both tables bucketed on the key, so the join between
+    them (and later appends) runs without shuffling either table.
     """
-    left = KeyedTable(spark, f"{root}/ledger_left", roles.key)
-    right = KeyedTable(spark, f"{root}/ledger_right", roles.key)
+    left = KeyedTable(spark, f"{root}/ledger_left", roles.key, buckets=buckets)
+    right = KeyedTable(spark, f"{root}/ledger_right", roles.key, buckets=buckets)
     if not left.exists() and not right.exists():
         left.append(staged, on_conflict=on_conflict)
         right.clone_from(left)

@@ -642,9 +642,15 @@ def tree_accuracy(spark, sf_dir):
 # --------------------------------------------------------------------------
 # The ledger workload end to end (ledger rows derived from the order keys)
 # --------------------------------------------------------------------------
+# The ledger tables are bucketed on the key: joins and appends between them
+# need no shuffle.
+LEDGER_BUCKETS = 8
+
+
 def _ledger_tables(spark, sf_dir) -> lf.LeftRight:
     staged = lf.stage(ledger_source(spark, sf_dir), lf.LEDGER)
-    return lf.load_left_right(spark, staged, scratch_path(spark, "ledger"), lf.LEDGER)
+    return lf.load_left_right(spark, staged, scratch_path(spark, "ledger"), lf.LEDGER,
+                              buckets=LEDGER_BUCKETS)
 
 
 LEDGER_DEPT_AVG_SQL = f"""

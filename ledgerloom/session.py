@@ -20,6 +20,12 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # No broadcast from plan estimates: a Parquet side can be tiny on disk
+    # (dictionary-encoded, compressed) and far larger in memory.  Broadcasts
+    # come from AQE's measured shuffle sizes or from an exact size check
+    # (``operators.layout.broadcast_if_small``).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     # Spark 4 refuses charsets outside the UTF/ASCII/Latin-1 set unless this is on;
     # the ledger files are windows-1251.
