@@ -48,6 +48,34 @@ _SEGMENT_PREFIX = "seg-"
 _SEGMENT_PATTERN = r"/(seg-[0-9a-f]+)/"
 
 
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (any scheme Spark reads).
+
+    Without JVM access (e.g. Spark Connect) assume the path may exist and let
+    the read decide.
+    """
+    try:
+        fs, hpath = _hadoop_fs(spark, path)
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001
+        return True
+
+
+def _ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder (a table location must exist before it is scanned)."""
+    try:
+        fs, hpath = _hadoop_fs(spark, path)
+        fs.mkdirs(hpath)
+    except Exception:  # noqa: BLE001  - the first write creates it anyway
+        pass
+
+
 class KeyedTableError(ValueError):
     """Invalid batch for a keyed table (null or duplicate keys, schema mismatch)."""
 
@@ -82,10 +110,12 @@ class KeyedTable:
         The listing is file metadata only; the one small read returns one row
         per live segment.
         """
-        try:
-            files = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path()).inputFiles()
-        except AnalysisException:  # no table yet: the log folder does not exist
-            files = []
+        files = []
+        if _path_exists(self.spark, self._log_path()):
+            try:
+                files = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path()).inputFiles()
+            except AnalysisException:  # no table yet: the log folder does not exist
+                files = []
         versions = [int(m.group(1)) for f in files if (m := _VERSION_DIR.search(f))]
         if not versions:
             self._version, self._segments = 0, []
@@ -190,6 +220,7 @@ class KeyedTable:
             cols = ", ".join(
                 f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != _SEG
             )
+            _ensure_dir(self.spark, f"{self.root}/data")
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} ({cols}, {_SEG} STRING) USING parquet "
                 f"PARTITIONED BY ({_SEG}) CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`) "
