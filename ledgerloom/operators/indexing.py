@@ -33,12 +33,21 @@ def dense_index(
 ) -> DataFrame:
     """Append a dense long index ``start, start+1, ...``.
 
-    With ``order_by`` the rows are range-sorted first (include a unique column
-    so ties cannot move between runs); otherwise the current partition order
-    (file order for a scan) is numbered.
+    With ``order_by`` the rows are range-sorted first.  A unique row id is
+    appended as the last sort key: ties keep their input order, and the range
+    partitioner can split a sort value held by a third of the rows over many
+    tasks.  Without ``order_by`` the current partition order (file order for a
+    scan) is numbered.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ordered = df.sort(*order_by) if order_by else df
+    if order_by:
+        ordered = (
+            df.withColumn("_tie", F.monotonically_increasing_id())
+            .sort(*order_by, "_tie")
+            .drop("_tie")
+        )
+    else:
+        ordered = df
     base = ordered.checkpoint(eager=True)
     tagged = base.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

@@ -428,8 +428,13 @@ class KeyedTable:
         return self.scan().where(F.col(self.key) == F.lit(key_value)).limit(1)
 
     def lookup_many(self, keys: DataFrame, key_column: str | None = None) -> DataFrame:
-        """Rows for every key present in ``keys`` (semi join; no driver-side key list)."""
-        probe = keys.select(F.col(key_column or self.key).alias(self.key))
+        """Rows for every key present in ``keys`` (semi join; no driver-side key list).
+
+        The probe keys are de-duplicated first (a semi join ignores repeats):
+        the partial aggregation collapses a key repeated in a third of the
+        probe rows before it is shuffled, so no task receives the hot key's rows.
+        """
+        probe = keys.select(F.col(key_column or self.key).alias(self.key)).distinct()
         return self.scan().join(probe, self.key, "left_semi")
 
 

@@ -23,3 +23,20 @@ def test_dense_index_partition_order_and_start(spark):
     df = spark.range(0, 300, 1, 3)
     out = dense_index(df, "pos", start=1).collect()
     assert sorted((r["id"], r["pos"]) for r in out) == [(i, i + 1) for i in range(300)]
+
+
+def test_dense_index_hot_sort_key_spreads(spark):
+    """A sort value held by a third of the rows must not land in one range partition."""
+    n = 30000
+    df = spark.range(0, n, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v")
+    )
+    # measure the range partitions themselves: AQE would merge this small input
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = dense_index(df, "pos", order_by=["v"])
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 3 and max(sizes) < n / 3
+    assert sorted(r["pos"] for r in out.select("pos").collect()) == list(range(n))

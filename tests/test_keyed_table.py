@@ -128,3 +128,14 @@ def test_clone_shares_segments_and_diverges_safely(spark, scratch, rows):
     assert a.count() == 200 and b.count() == 100
     with pytest.raises(KeyedTableError):
         b.clone_from(a)
+
+
+def test_lookup_many_dedups_probe(spark, scratch, rows):
+    from ledgerloom.operators.layout import plan_text
+
+    t = KeyedTable(spark, scratch("kt"), "id")
+    t.append(rows)
+    hot = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50 + 1).alias("k"))
+    found = t.lookup_many(hot, "k")
+    assert sorted(r["id"] for r in found.collect()) == list(range(1, 51))
+    assert "HashAggregate" in plan_text(found, "formatted")
