@@ -1,7 +1,7 @@
 """Operators a Spark user calls on tables: keyed tables, row indexes, layout helpers."""
 
 from ledgerloom.operators.indexing import dense_index, with_row_index
-from ledgerloom.operators.keyed_table import KeyedTable, KeyedTableError
+from ledgerloom.operators.keyed_table import KeyedTable, KeyedTableConflict, KeyedTableError
 from ledgerloom.operators.layout import (
     broadcast_if_small,
     measure_bounded,
@@ -13,6 +13,7 @@ from ledgerloom.operators.layout import (
 
 __all__ = [
     "KeyedTable",
+    "KeyedTableConflict",
     "KeyedTableError",
     "broadcast_if_small",
     "dense_index",

@@ -80,6 +80,10 @@ class KeyedTableError(ValueError):
     """Invalid batch for a keyed table (null or duplicate keys, schema mismatch)."""
 
 
+class KeyedTableConflict(RuntimeError):
+    """Another writer committed the version this writer was about to publish."""
+
+
 class KeyedTable:
     """A table with a declared key column, stored as versioned Parquet segments."""
 
@@ -147,13 +151,30 @@ class KeyedTable:
         return bool(self.segments())
 
     def _commit(self, segments: list[str]) -> int:
+        """Publish a new version listing ``segments``.
+
+        A version folder that holds no committed file is debris of a commit
+        job that died (Spark's committer leaves only its hidden temporary
+        folder): it is skipped.  A committed version we did not write means a
+        concurrent writer got there first: the operation fails instead of
+        overwriting that version with a stale segment list.
+        """
         version = self.version() + 1
         entries = [(s, self.buckets or 0) for s in segments] or [("", self.buckets or 0)]
+        while True:
+            path = f"{self._log_path()}/version={version:08d}"
+            if not _path_exists(self.spark, path):
+                break
+            if self.spark.read.schema(_LOG_SCHEMA).json(path).inputFiles():
+                raise KeyedTableConflict(
+                    f"version {version} of {self.root} was committed by another writer; retry"
+                )
+            version += 1
         (
             self.spark.createDataFrame(entries, _LOG_SCHEMA)
             .coalesce(1)
             .write.mode("errorifexists")
-            .json(f"{self._log_path()}/version={version:08d}")
+            .json(path)
         )
         self._version, self._segments = version, sorted(segments)
         return version

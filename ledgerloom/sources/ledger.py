@@ -74,8 +74,15 @@ def ledger_from_ordinals(df: DataFrame, ordinal: str = "id") -> DataFrame:
     return df.select([_ledger_column(name, i).alias(name) for name in LEDGER_COLUMNS])
 
 
+# Rows per generator task when no partition count is given: tasks stay short
+# (cheap to retry after a lost executor) and output files stay moderate.
+ROWS_PER_TASK = 5_000_000
+
+
 def generate_ledger(spark: SparkSession, n: int, num_partitions: int | None = None) -> DataFrame:
     """``n`` ledger rows, computed in parallel (no driver loop, no single writer)."""
+    if num_partitions is None:
+        num_partitions = max(spark.sparkContext.defaultParallelism, -(-n // ROWS_PER_TASK))
     return ledger_from_ordinals(spark.range(0, n, 1, num_partitions), "id")
 
 
