@@ -73,9 +73,13 @@ def read_typed(
     )
 
 
-def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP) -> DataFrame:
+def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP,
+                      key: str | None = None) -> DataFrame:
     """Read a delimited file as typed cells: ``cells array<struct<num,text>>``.
 
+    With ``key``, rows also get a dense long key 1, 2, 3, ... in scan order
+    (file order for a single file), computed without collecting rows.
+
     Every line except header lines becomes one row.  The line is split on
     ``sep`` with trailing empty cells dropped (so rows can be shorter than the
     header), and each cell is typed by :func:`locale_cell`.  Header lines are
@@ -91,6 +95,9 @@ def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP) ->
     quoted = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep
     trimmed = F.regexp_replace(F.col("value"), f"{quoted}+$", "")
     raw = F.split(trimmed, quoted, -1)
-    return body.select(
-        F.transform(raw, lambda cell: locale_cell(cell)).alias("cells"),
-    )
+    typed = body.select(F.transform(raw, lambda cell: locale_cell(cell)).alias("cells"))
+    if key is None:
+        return typed
+    from ledgerloom.operators.indexing import dense_index
+
+    return dense_index(typed, key, start=1).select(key, "cells")

@@ -94,3 +94,17 @@ def test_required_double_fails_on_bad_cell(spark):
     df = spark.createDataFrame([("x",)], "a string")
     with pytest.raises(Exception, match="not a number"):
         df.select(required_double("a")).collect()
+
+
+def test_read_locale_cells_keys_and_ragged_rows(spark, scratch):
+    from ledgerloom.sources.delimited import read_locale_cells
+
+    path = scratch("cells")
+    lines = ["a;b;c", "1;2,5;x", ";7;", "3;;4 rue"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    rows = sorted(read_locale_cells(spark, path, key="k").collect(), key=lambda r: r["k"])
+    assert [r["k"] for r in rows] == [1, 2, 3]
+    first, second, third = (r["cells"] for r in rows)
+    assert [c["num"] for c in first[:2]] == [1.0, 2.5] and first[2]["text"] == "x"
+    assert len(second) == 2 and math.isnan(second[0]["num"]) and second[1]["num"] == 7.0
+    assert third[0]["num"] == 3.0 and math.isnan(third[1]["num"]) and third[2]["num"] == 4.0
