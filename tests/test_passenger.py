@@ -33,7 +33,7 @@ def passenger_file(spark):
 
 def test_sql_count_with_text_ids(spark, passenger_file, scratch):
     df = delimited.read_untyped(spark, passenger_file).repartition(8)
-    t = KeyedTable(spark, scratch("titanic"), "id")
+    t = KeyedTable(spark, scratch("passenger-table"), "id")
     t.append(df)
     assert t.scan().select("id", "sex").count() == 300
     n = passenger.count_where_sql(spark, t.scan()).first()["n"]
