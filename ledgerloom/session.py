@@ -97,3 +97,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused path under the shared root for one written table."""
     return f"{shared_root(spark)}/ledgerloom/{label}-{uuid.uuid4().hex[:16]}"
+
+
+# Target sizes for sizing a job to its data: big enough that per-task overhead
+# is small, small enough that a task's working set fits executor memory
+# without heavy spilling.
+SCAN_SPLIT_BYTES = 256 * 1024 * 1024
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+BUCKET_FILE_BYTES = 512 * 1024 * 1024
+
+
+def recommended_conf(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.5) -> dict[str, str]:
+    """Settings for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    * scan splits of 256 MB;
+    * enough shuffle partitions for ~256 MB each of the expected shuffle volume
+      (``shuffle_fraction`` of the input, after pruning and filters), never
+      fewer than 3 waves of tasks; AQE coalesces small ones at run time;
+    * AQE's advisory size and skew threshold tied to the same target, so a
+      partition several times the target is split, not spilled.
+    """
+    shuffle_bytes = int(input_bytes * shuffle_fraction)
+    partitions = max(3 * total_cores, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(SCAN_SPLIT_BYTES),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * SHUFFLE_PARTITION_BYTES),
+    }
+
+
+def suggested_buckets(table_bytes: int) -> int:
+    """Bucket count for a keyed table: ~512 MB per bucket file, a power of two."""
+    target = max(1, -(-table_bytes // BUCKET_FILE_BYTES))
+    return 1 << (target - 1).bit_length()
