@@ -72,6 +72,12 @@ def test_clone_and_bucketed_join_has_no_exchange(spark, scratch, no_broadcast):
     lf.update_unit(tables.right)
     assert tables.left.scan().where(F.col("BUSINESS_UNIT") == lf.UPDATE_TO_UNIT).count() == 0
     assert tables.right.scan().where(F.col("BUSINESS_UNIT") == lf.UPDATE_TO_UNIT).count() == 200
+    # the rewritten segment is still correctly bucketed: the shuffle-free join finds every row
+    after = lf.join_left_right(tables.left.scan(), tables.right.scan())
+    assert "Exchange" not in plan_text(after, "formatted")
+    assert after.count() == 1543
+    both = tables.left.scan().join(tables.right.scan().select("id", "BUSINESS_UNIT"), "id")
+    assert both.count() == 1800
 
 
 def test_append_into_bucketed_needs_no_exchange_on_stored_side(spark, scratch, rows, no_broadcast):
