@@ -232,6 +232,14 @@ class KeyedTable:
         Returns the data columns in table order.
         """
         name = self._catalog_name()
+        if schema is not None and self.spark.catalog.tableExists(name):
+            registered = [(f.name.lower(), f.dataType) for f in self.spark.table(name).schema.fields
+                          if f.name != _SEG]
+            wanted = [(f.name.lower(), f.dataType) for f in schema.fields if f.name != _SEG]
+            if registered != wanted:
+                # an overwrite changed the schema: the entry is external, so
+                # dropping it removes metadata only
+                self.spark.sql(f"DROP TABLE {name}")
         if not self.spark.catalog.tableExists(name):
             if schema is None:
                 live = self.segments()
@@ -268,14 +276,15 @@ class KeyedTable:
 
     # ----------------------------------------------------------- validation
     def _conform(self, df: DataFrame) -> DataFrame:
+        """Match a batch to the stored table: same columns (any case), stored order and types."""
         if self.key not in df.columns:
             raise KeyedTableError(f"batch has no key column {self.key!r}")
-        if self.exists():
-            columns = self.scan().columns
-            if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
-                raise KeyedTableError(f"batch columns {df.columns} do not match table {columns}")
-            return df.select(*columns)
-        return df
+        if not self.exists():
+            return df
+        stored = self.scan().schema
+        if sorted(c.lower() for c in stored.names) != sorted(c.lower() for c in df.columns):
+            raise KeyedTableError(f"batch columns {df.columns} do not match table {stored.names}")
+        return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored.fields])
 
     def _validate_keys(self, segment: str) -> None:
         """Reject null keys and repeated keys in a freshly written segment.

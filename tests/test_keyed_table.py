@@ -163,3 +163,19 @@ def test_commit_skips_debris_and_detects_conflicts(spark, scratch, rows):
     with pytest.raises(KeyedTableConflict):
         b.append(rows.where("id > 30"))
     assert KeyedTable(spark, root, "id").count() == 30
+
+
+def test_append_casts_to_stored_types(spark, scratch, rows):
+    t = KeyedTable(spark, scratch("kt"), "id")
+    t.append(rows)
+    narrower = spark.createDataFrame([(500, "z", 1)], "id int, unit string, amount int")
+    t.append(narrower)
+    assert dict(t.scan().dtypes) == {"id": "bigint", "unit": "string", "amount": "double"}
+    assert t.count() == 101
+
+
+def test_bucketed_overwrite_with_new_schema(spark, scratch, rows):
+    t = KeyedTable(spark, scratch("kt"), "id", buckets=4)
+    t.append(rows)
+    t.overwrite(rows.select("id", F.col("amount").cast("string").alias("amount_text")))
+    assert t.scan().columns == ["id", "amount_text"] and t.count() == 100
