@@ -67,10 +67,32 @@ class SideSize:
         return self.bytes is not None and self.bytes <= max_bytes
 
 
+# Up to this many input files, their sizes are summed on the driver (file
+# metadata only); beyond it a distributed listing job does it.
+_DRIVER_STAT_FILES = 256
+
+
+def _driver_file_bytes(spark, files: list[str]) -> int | None:
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        total = 0
+        for f in files:
+            path = jvm.org.apache.hadoop.fs.Path(f)
+            total += path.getFileSystem(conf).getFileStatus(path).getLen()
+        return total
+    except Exception:  # noqa: BLE001  - no JVM access: use the listing job
+        return None
+
+
 def _input_bytes(df: DataFrame) -> int | None:
     files = df.inputFiles()
     if not files:
         return None
+    if len(files) <= _DRIVER_STAT_FILES:
+        total = _driver_file_bytes(df.sparkSession, files)
+        if total is not None:
+            return total
     total = (
         df.sparkSession.read.format("binaryFile")
         .load(files)
