@@ -264,13 +264,14 @@ class KeyedTable:
         known = {
             r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()
         }
-        for seg in segments:
-            value = self._segment_name(seg)
-            if value not in known:
-                location = f" LOCATION '{seg}'" if "/" in seg else ""
-                self.spark.sql(
-                    f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_SEG}='{value}'){location}"
-                )
+        # one metadata statement for all live segments this session does not know yet
+        missing = [
+            f"PARTITION ({_SEG}='{self._segment_name(seg)}')" + (f" LOCATION '{seg}'" if "/" in seg else "")
+            for seg in segments
+            if self._segment_name(seg) not in known
+        ]
+        if missing:
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(missing))
         values = [self._segment_name(s) for s in segments]
         return self.spark.table(name).where(F.col(_SEG).isin(values))
 
