@@ -15,11 +15,10 @@ can reach.
 
 Operations and what they cost at scale:
 
-* ``append`` (insert-if-absent): the batch is written once as a staged
-  segment; its keys are matched against the *key column only* of the stored
-  table (broadcast semi join when the batch keys are measured small, shuffle
-  anti join otherwise) and only new rows are committed; stored data is never
-  rewritten.
+* ``append`` (insert-if-absent): the batch's keys are matched against the
+  *key column only* of the stored table (no shuffle of the stored table when
+  it is bucketed or the batch keys are measured small) and only new rows are
+  written, once; stored data is never rewritten.
 * ``append(on_conflict="replace")`` and ``update``: only segments that hold an
   affected key/row are rewritten (copy-on-write per segment).
 * ``overwrite``: one new segment replaces the table.
@@ -38,7 +37,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from ledgerloom.operators.layout import (
+    DEFAULT_BROADCAST_BYTES,
+    broadcast_bound,
+    broadcast_if_small,
+    measure_bounded,
+)
 
 _LOG = "_log"
 _LOG_SCHEMA = "segment string, buckets int"
@@ -329,51 +333,66 @@ class KeyedTable:
 
         ``on_conflict="skip"`` keeps the stored row for a key that already
         exists (appending the same batch twice leaves the table unchanged);
-        ``"replace"`` stores the batch's row instead.  Null keys and keys
-        repeated inside the batch are rejected (``validate``).
-
-        The batch is computed once, into a staged segment.  When its key
-        column is measured within ``max_broadcast_bytes``, the conflicting
-        keys are found with a broadcast semi join against the stored key
-        column (no shuffle of the stored table), and a batch without
-        conflicts is committed as staged: one write in total.  Larger batches
-        use a shuffle anti join on the key.
+        ``"replace"`` stores the batch's row instead.  Null keys and repeated
+        keys among the rows written are rejected (``validate``).
+
+        Cost, by case (the stored table contributes its key column only):
+
+        * bucketed table: anti join in which only the batch is shuffled, into
+          the stored buckets; one write;
+        * plain table, batch keys measured within ``max_broadcast_bytes``: the
+          batch is written once as a staged segment, conflicts come from a
+          broadcast semi join (no shuffle of the stored table), and a batch
+          without conflicts is committed as staged;
+        * plain table, larger batch: one shuffle anti join; one write.
         """
         if on_conflict not in ("skip", "replace"):
             raise ValueError("on_conflict must be 'skip' or 'replace'")
         df = self._conform(df)
         current = self.segments()
-        staged = self._write_checked(df, validate)
         if not current:
-            return self._commit([staged])
-        batch = self._read([staged])
-        if self.buckets:
-            # co-bucketed with the stored table: the semi/anti joins need no shuffle
-            batch_keys, small = batch.select(self.key), True
-        else:
-            batch_keys, small = broadcast_if_small(batch.select(self.key), max_broadcast_bytes)
+            return self._commit([self._write_checked(df, validate)])
         if on_conflict == "replace":
-            return self._rewrite(
-                touched_rows=self._tagged(current).join(batch_keys, self.key, "left_semi"),
-                rewrite=lambda old: old.join(batch_keys, self.key, "left_anti").unionByName(batch),
-                current=current,
-                staged=staged,
-            )
+            return self._replace(df, current, validate)
         stored_keys = self._read(current).select(self.key)
+        if self.buckets:
+            fresh = df.join(stored_keys, self.key, "left_anti")
+            return self._commit(current + [self._write_checked(fresh, validate)])
+        small = measure_bounded(df.select(self.key), max_broadcast_bytes).fits(
+            broadcast_bound(self.spark, max_broadcast_bytes)
+        )
         if not small:
-            fresh = batch.join(stored_keys, self.key, "left_anti")
-            return self._commit(current + [self._write_segment(fresh)])
+            fresh = df.join(stored_keys, self.key, "left_anti")
+            return self._commit(current + [self._write_checked(fresh, validate)])
+        staged = self._write_checked(df, validate)
+        batch = self._read([staged])
         # conflicts are a subset of the batch keys, so they share its size bound
-        conflicts = persist_batch(stored_keys.join(batch_keys, self.key, "left_semi"))
+        conflicts = persist_batch(
+            stored_keys.join(F.broadcast(batch.select(self.key)), self.key, "left_semi")
+        )
         try:
             if conflicts.isEmpty():
                 return self._commit(current + [staged])
-            probe = conflicts if self.buckets else F.broadcast(conflicts)
-            fresh = batch.join(probe, self.key, "left_anti")
+            fresh = batch.join(F.broadcast(conflicts), self.key, "left_anti")
             return self._commit(current + [self._write_segment(fresh)])
         finally:
             conflicts.unpersist()
 
+    def _replace(self, df: DataFrame, current: list[str], validate: bool) -> int:
+        """Upsert: the batch is staged once; segments holding one of its keys are rewritten."""
+        staged = self._write_checked(df, validate)
+        batch = self._read([staged])
+        if self.buckets:
+            batch_keys = batch.select(self.key)  # co-bucketed: no shuffle
+        else:
+            batch_keys, _ = broadcast_if_small(batch.select(self.key), DEFAULT_BROADCAST_BYTES)
+        return self._rewrite(
+            touched_rows=self._tagged(current).join(batch_keys, self.key, "left_semi"),
+            rewrite=lambda old: old.join(batch_keys, self.key, "left_anti").unionByName(batch),
+            current=current,
+            staged=staged,
+        )
+
     def clone_from(self, other: "KeyedTable") -> int:
         """Make this (empty) table hold exactly ``other``'s current rows, copying no data.
 

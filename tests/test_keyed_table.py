@@ -179,3 +179,17 @@ def test_bucketed_overwrite_with_new_schema(spark, scratch, rows):
     t.append(rows)
     t.overwrite(rows.select("id", F.col("amount").cast("string").alias("amount_text")))
     assert t.scan().columns == ["id", "amount_text"] and t.count() == 100
+
+
+def test_large_batch_path_same_semantics(spark, scratch, rows):
+    """A batch over the broadcast bound takes the shuffle anti join: same result, one write."""
+    t = KeyedTable(spark, scratch("kt"), "id")
+    t.append(rows.where("id <= 50"))
+    t.append(rows.withColumn("unit", F.lit("new")), max_broadcast_bytes=1)
+    got = {r["id"]: r["unit"] for r in t.scan().collect()}
+    assert len(got) == 100
+    assert all(got[i] != "new" for i in range(1, 51)) and all(got[i] == "new" for i in range(51, 101))
+    assert len(t.segments()) == 2
+    with pytest.raises(KeyedTableError):
+        t.append(spark.createDataFrame([(700, "a", 1.0), (700, "b", 2.0)], rows.schema),
+                 max_broadcast_bytes=1)
