@@ -20,10 +20,13 @@ _MEMORY_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
 def _driver_memory_bytes(spark) -> int:
+    """``spark.driver.memory`` in bytes ("4g", "512m", "1gb", plain numbers are MiB)."""
     text = spark.sparkContext.getConf().get("spark.driver.memory", "1g").strip().lower()
-    unit = _MEMORY_UNITS.get(text[-1:], 1) if text[-1:].isalpha() else 1 << 20
-    digits = text.rstrip("bkmgt") or "1024"
-    return int(float(digits) * unit)
+    if len(text) > 1 and text.endswith("b") and text[-2] in _MEMORY_UNITS:
+        text = text[:-1]
+    if text[-1:] in _MEMORY_UNITS:
+        return int(float(text[:-1]) * _MEMORY_UNITS[text[-1]])
+    return int(float(text) * (1 << 20))
 
 
 def broadcast_bound(spark, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:

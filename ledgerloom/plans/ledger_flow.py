@@ -20,7 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.keyed_table import KeyedTable, persist_batch
-from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
+from ledgerloom.operators.layout import (
+    DEFAULT_BROADCAST_BYTES,
+    broadcast_if_small,
+    sort_with_tiebreak,
+)
 
 
 @dataclass(frozen=True)
@@ -86,7 +90,7 @@ def stage(
     df = source.repartition(repartition) if repartition else source
     df = df.filter(F.col(roles.unit) != roles.excluded_unit)
     if sort:
-        df = df.sort(roles.unit, roles.date, roles.key)
+        df = sort_with_tiebreak(df, [roles.unit, roles.date], [roles.key])
     return df.select(*roles.staged_columns)
 
 

@@ -64,3 +64,30 @@ def test_sort_has_unique_tiebreak(spark):
     text = plan_text(s, "formatted")
     assert re.search(r"o_orderstatus#\d+ ASC NULLS FIRST, o_orderdate#\d+ ASC NULLS FIRST, "
                      r"o_orderkey#\d+L ASC NULLS FIRST", text), text
+
+
+def test_driver_memory_parsing():
+    from ledgerloom.operators import layout
+
+    class Conf:
+        def __init__(self, v):
+            self.v = v
+
+        def get(self, key, default=None):
+            return self.v
+
+    class SC:
+        def __init__(self, v):
+            self.v = v
+
+        def getConf(self):
+            return Conf(self.v)
+
+    class S:
+        def __init__(self, v):
+            self.sparkContext = SC(v)
+
+    assert layout._driver_memory_bytes(S("16g")) == 16 << 30
+    assert layout._driver_memory_bytes(S("1gb")) == 1 << 30
+    assert layout._driver_memory_bytes(S("512m")) == 512 << 20
+    assert layout._driver_memory_bytes(S("2048")) == 2048 << 20
