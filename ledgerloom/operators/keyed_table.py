@@ -3,15 +3,17 @@
 A keyed table is a folder of immutable Parquet *segments* plus a commit log:
 
     <root>/seg-<id>/part-*.parquet        data, never rewritten in place
-    <root>/_log/version=<n>/part-*.json   one row per live segment of version n
+    <root>/_log/<n>.json                  version n: one line per live segment,
+                                          then an end line
 
 A version lists the segments that make up the table; the highest version is
 current.  Writers only add files, and a version becomes visible only after
 its data is fully written, so a failed job (or a lost executor, which Spark
 retries) never leaves a half-written table behind, and a plan that reads the
-table while a new version is written keeps reading its own version.  The log
-is written and read with Spark, so the table works on any filesystem Spark
-can reach.
+table while a new version is written keeps reading its own version.  Log
+files are created through Hadoop's FileSystem (any scheme Spark reads) with
+an exclusive create, so two writers cannot publish the same version; a log
+file without its end line (a writer died mid-commit) is skipped by readers.
 
 Operations and what they cost at scale:
 
@@ -29,11 +31,11 @@ Operations and what they cost at scale:
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,9 +47,9 @@ from ledgerloom.operators.layout import (
 )
 
 _LOG = "_log"
-_LOG_SCHEMA = "segment string, buckets int"
+_LOG_FILE = re.compile(r"^(\d{8})\.json$")
+_LOG_END = {"end": True}
 _SEG = "_seg"  # partition column of bucketed tables: one partition per segment
-_VERSION_DIR = re.compile(r"/version=(\d+)/")
 _SEGMENT_PREFIX = "seg-"
 _SEGMENT_PATTERN = r"/(seg-[0-9a-f]+)/"
 
@@ -58,19 +60,6 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem (any scheme Spark reads).
-
-    Without JVM access (e.g. Spark Connect) assume the path may exist and let
-    the read decide.
-    """
-    try:
-        fs, hpath = _hadoop_fs(spark, path)
-        return bool(fs.exists(hpath))
-    except Exception:  # noqa: BLE001
-        return True
-
-
 def _ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder (a table location must exist before it is scanned)."""
     try:
@@ -106,40 +95,56 @@ class KeyedTable:
         # table keeps the bucket count recorded in its log.
         self.buckets = buckets or None
         self._version: int | None = None
+        self._claimed = 0
         self._segments: list[str] | None = None
 
     # ------------------------------------------------------------------ log
     def _log_path(self) -> str:
         return f"{self.root}/{_LOG}"
 
-    def _load_log(self) -> None:
-        """Find the newest version from the log's file listing, then read its segment list.
+    def _log_file(self, version: int) -> str:
+        return f"{self._log_path()}/{version:08d}.json"
 
-        The listing is file metadata only; the one small read returns one row
-        per live segment.
-        """
-        files = []
-        if _path_exists(self.spark, self._log_path()):
-            try:
-                files = self.spark.read.schema(_LOG_SCHEMA).json(self._log_path()).inputFiles()
-            except AnalysisException:  # no table yet: the log folder does not exist
-                files = []
-        versions = [int(m.group(1)) for f in files if (m := _VERSION_DIR.search(f))]
-        if not versions:
-            self._version, self._segments = 0, []
-            return
-        latest = max(versions)
-        rows = (
-            self.spark.read.schema(_LOG_SCHEMA)
-            .json(f"{self._log_path()}/version={latest:08d}")
-            .collect()
-        )
-        stored = max((r["buckets"] or 0) for r in rows) or None
-        if self.buckets and stored != self.buckets:
+    def _load_log(self) -> None:
+        """Newest committed version from a listing of the log folder (metadata only)."""
+        fs, folder = _hadoop_fs(self.spark, self._log_path())
+        claimed = []
+        if fs.exists(folder):
+            claimed = sorted(
+                int(m.group(1))
+                for status in fs.listStatus(folder)
+                if (m := _LOG_FILE.match(status.getPath().getName()))
+            )
+        self._claimed = claimed[-1] if claimed else 0
+        for version in reversed(claimed):
+            entries = self._read_version(version)
+            if entries is not None:
+                break
+        else:
+            version, entries = 0, []
+        stored = max((e.get("buckets") or 0 for e in entries), default=0) or None
+        if version and self.buckets and stored != self.buckets:
             raise KeyedTableError(f"table at {self.root} has buckets={stored}, not {self.buckets}")
-        self.buckets = stored
-        self._version = latest
-        self._segments = sorted(r["segment"] for r in rows if r["segment"])
+        if version:
+            self.buckets = stored
+        self._version = version
+        self._segments = sorted(e["segment"] for e in entries if e.get("segment"))
+
+    def _read_version(self, version: int) -> list[dict] | None:
+        """Entries of one log file, or None if it was never completed."""
+        fs, path = _hadoop_fs(self.spark, self._log_file(version))
+        stream = fs.open(path)
+        try:
+            raw = self.spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
+        finally:
+            stream.close()
+        try:
+            lines = [json.loads(line) for line in bytes(raw).decode("utf-8").splitlines() if line]
+        except ValueError:
+            return None
+        if not lines or lines[-1] != _LOG_END:
+            return None
+        return lines[:-1]
 
     def version(self) -> int:
         if self._version is None:
@@ -157,30 +162,28 @@ class KeyedTable:
     def _commit(self, segments: list[str]) -> int:
         """Publish a new version listing ``segments``.
 
-        A version folder that holds no committed file is debris of a commit
-        job that died (Spark's committer leaves only its hidden temporary
-        folder): it is skipped.  A committed version we did not write means a
-        concurrent writer got there first: the operation fails instead of
-        overwriting that version with a stale segment list.
+        The version number is claimed with an exclusive create, numbered above
+        every file already in the log (committed or left incomplete by a
+        writer that died).  If another writer claimed it since this table
+        object read the log, the operation fails instead of publishing a
+        stale segment list.
         """
-        version = self.version() + 1
-        entries = [(s, self.buckets or 0) for s in segments] or [("", self.buckets or 0)]
-        while True:
-            path = f"{self._log_path()}/version={version:08d}"
-            if not _path_exists(self.spark, path):
-                break
-            if self.spark.read.schema(_LOG_SCHEMA).json(path).inputFiles():
-                raise KeyedTableConflict(
-                    f"version {version} of {self.root} was committed by another writer; retry"
-                )
-            version += 1
-        (
-            self.spark.createDataFrame(entries, _LOG_SCHEMA)
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .json(path)
-        )
-        self._version, self._segments = version, sorted(segments)
+        self.version()
+        version = max(self._version or 0, self._claimed) + 1
+        lines = [{"segment": s, "buckets": self.buckets or 0} for s in segments] + [_LOG_END]
+        payload = "".join(json.dumps(line) + "\n" for line in lines).encode("utf-8")
+        fs, path = _hadoop_fs(self.spark, self._log_file(version))
+        try:
+            out = fs.create(path, False)
+        except Exception as exc:  # noqa: BLE001  - the file exists: lost the race
+            raise KeyedTableConflict(
+                f"version {version} of {self.root} was claimed by another writer; retry"
+            ) from exc
+        try:
+            out.write(bytearray(payload))
+        finally:
+            out.close()
+        self._version, self._claimed, self._segments = version, version, sorted(segments)
         return version
 
     # ------------------------------------------------------------- segments

@@ -147,11 +147,13 @@ def test_commit_skips_debris_and_detects_conflicts(spark, scratch, rows):
     root = scratch("kt")
     t = KeyedTable(spark, root, "id")
     t.append(rows.where("id <= 10"))
-    # debris of a commit job that died: a version folder with only hidden files
-    import os
-
+    # debris of a writer that died mid-commit: a claimed log file without its end line
     local = root.replace("file:", "")
-    os.makedirs(f"{local}/_log/version=00000002/_temporary/0", exist_ok=True)
+    with open(f"{local}/_log/00000002.json", "w") as fh:
+        fh.write('{"segment": "seg-gone", "buckets": 0}\n')
+    # a writer that reads the log now skips the incomplete version
+    t = KeyedTable(spark, root, "id")
+    assert t.version() == 1 and t.count() == 10
     t.append(rows.where("id > 10 AND id <= 20"))
     assert t.version() == 3 and t.count() == 20
     fresh = KeyedTable(spark, root, "id")
