@@ -38,6 +38,7 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.operators.layout import (
     DEFAULT_BROADCAST_BYTES,
@@ -97,6 +98,10 @@ class KeyedTable:
         self._version: int | None = None
         self._claimed = 0
         self._segments: list[str] | None = None
+        # the table schema, recorded in every log version: segments are read
+        # with it, so no Parquet footer has to be sampled to infer it
+        self._schema: T.StructType | None = None
+        self._written_schema: T.StructType | None = None
 
     # ------------------------------------------------------------------ log
     def _log_path(self) -> str:
@@ -122,6 +127,9 @@ class KeyedTable:
                 break
         else:
             version, entries = 0, []
+        schema_lines = [e["schema"] for e in entries if "schema" in e]
+        self._schema = T.StructType.fromJson(schema_lines[0]) if schema_lines else None
+        entries = [e for e in entries if "segment" in e]
         stored = max((e.get("buckets") or 0 for e in entries), default=0) or None
         if version and self.buckets and stored != self.buckets:
             raise KeyedTableError(f"table at {self.root} has buckets={stored}, not {self.buckets}")
@@ -159,7 +167,7 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self.segments())
 
-    def _commit(self, segments: list[str]) -> int:
+    def _commit(self, segments: list[str], schema: T.StructType | None = None) -> int:
         """Publish a new version listing ``segments``.
 
         The version number is claimed with an exclusive create, numbered above
@@ -170,7 +178,9 @@ class KeyedTable:
         """
         self.version()
         version = max(self._version or 0, self._claimed) + 1
-        lines = [{"segment": s, "buckets": self.buckets or 0} for s in segments] + [_LOG_END]
+        schema = schema or self._schema or self._written_schema
+        header = [{"schema": schema.jsonValue()}] if schema is not None else []
+        lines = header + [{"segment": s, "buckets": self.buckets or 0} for s in segments] + [_LOG_END]
         payload = "".join(json.dumps(line) + "\n" for line in lines).encode("utf-8")
         fs, path = _hadoop_fs(self.spark, self._log_file(version))
         try:
@@ -184,6 +194,7 @@ class KeyedTable:
         finally:
             out.close()
         self._version, self._claimed, self._segments = version, version, sorted(segments)
+        self._schema = schema
         return version
 
     # ------------------------------------------------------------- segments
@@ -195,9 +206,11 @@ class KeyedTable:
             # one bucket, so a segment has one file per bucket
             out = df.select(*columns).repartition(self.buckets, self.key)
             out.withColumn(_SEG, F.lit(name)).write.insertInto(self._catalog_name())
+            self._written_schema = out.schema
             return name
         out = df.sortWithinPartitions(self.key) if self.cluster_by_key else df
         out.write.mode("errorifexists").parquet(f"{self.root}/{name}")
+        self._written_schema = out.schema
         return name
 
     def _path(self, segment: str) -> str:
@@ -209,10 +222,12 @@ class KeyedTable:
             return f"{self.root}/data/{_SEG}={segment}"
         return f"{self.root}/{segment}"
 
-    def _read(self, segments: list[str]) -> DataFrame:
+    def _read(self, segments: list[str], schema: T.StructType | None = None) -> DataFrame:
         if self.buckets:
             return self._bucketed(segments).drop(_SEG)
-        return self.spark.read.parquet(*[self._path(s) for s in segments])
+        schema = schema or self._schema
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[self._path(s) for s in segments])
 
     def _tagged(self, segments: list[str]) -> DataFrame:
         """Rows with the name of the segment holding them, as ``_segment``."""
@@ -252,7 +267,7 @@ class KeyedTable:
                 live = self.segments()
                 if not live:
                     raise KeyedTableError(f"table at {self.root} has no data")
-                schema = self.spark.read.parquet(self._path(live[0])).schema
+                schema = self._schema or self.spark.read.parquet(self._path(live[0])).schema
             cols = ", ".join(
                 f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != _SEG
             )
@@ -303,7 +318,7 @@ class KeyedTable:
         at the first offender.  A rejected segment is never committed, so no
         reader can see it.
         """
-        keys = self._read([segment]).select(self.key)
+        keys = self._read([segment], schema=self._written_schema).select(self.key)
         bad = (
             keys.groupBy(self.key)
             .agg(F.count(F.lit(1)).alias("_n"))
@@ -328,7 +343,8 @@ class KeyedTable:
         """Replace the table with ``df`` (a new version with one segment)."""
         if self.key not in df.columns:
             raise KeyedTableError(f"batch has no key column {self.key!r}")
-        return self._commit([self._write_checked(df, validate)])
+        segment = self._write_checked(df, validate)
+        return self._commit([segment], schema=self._written_schema)
 
     def append(self, df: DataFrame, on_conflict: str = "skip", validate: bool = True,
                max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
@@ -354,7 +370,8 @@ class KeyedTable:
         df = self._conform(df)
         current = self.segments()
         if not current:
-            return self._commit([self._write_checked(df, validate)])
+            segment = self._write_checked(df, validate)
+            return self._commit([segment], schema=self._written_schema)
         if on_conflict == "replace":
             return self._replace(df, current, validate)
         stored_keys = self._read(current).select(self.key)
@@ -411,7 +428,7 @@ class KeyedTable:
         if (self.buckets or None) not in (None, other.buckets):
             raise KeyedTableError("tables have different bucket counts")
         self.buckets = other.buckets
-        return self._commit([other._path(s) for s in other.segments()])
+        return self._commit([other._path(s) for s in other.segments()], schema=other._schema)
 
     def update(self, assignments: dict[str, Column | object], where: Column | str) -> int:
         """``UPDATE t SET c = v, ... WHERE pred``; rows where ``pred`` is null stay as they are."""
