@@ -21,8 +21,9 @@ Operations and what they cost at scale:
   *key column only* of the stored table (no shuffle of the stored table when
   it is bucketed or the batch keys are measured small) and only new rows are
   written, once; stored data is never rewritten.
-* ``append(on_conflict="replace")`` and ``update``: only segments that hold an
-  affected key/row are rewritten (copy-on-write per segment).
+* ``append(on_conflict="replace")`` and ``update``: only the files (plain
+  tables) or segments (bucketed tables) that hold an affected row are
+  rewritten (copy-on-write).
 * ``overwrite``: one new segment replaces the table.
 * ``scan``: a plain Parquet scan over the live segments; filters and column
   pruning reach the files.
@@ -33,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import urllib.parse
 import uuid
 
 from pyspark import StorageLevel
@@ -52,7 +54,6 @@ _LOG_FILE = re.compile(r"^(\d{8})\.json$")
 _LOG_END = {"end": True}
 _SEG = "_seg"  # partition column of bucketed tables: one partition per segment
 _SEGMENT_PREFIX = "seg-"
-_SEGMENT_PATTERN = r"/(seg-[0-9a-f]+)/"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -61,6 +62,16 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
+def _is_absolute(entry: str) -> bool:
+    return entry.startswith("/") or re.match(r"^[A-Za-z][A-Za-z0-9+.-]*:", entry) is not None
+
+
+def _normalise(path: str) -> str:
+    """Path part of a file URI, so listing results and ``_metadata.file_path`` compare equal."""
+    parsed = urllib.parse.urlparse(path)
+    return urllib.parse.unquote(parsed.path) if parsed.scheme else path
+
+
 def _ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder (a table location must exist before it is scanned)."""
     try:
@@ -213,14 +224,28 @@ class KeyedTable:
         self._written_schema = out.schema
         return name
 
-    def _path(self, segment: str) -> str:
-        # a segment is a folder under this table, or an absolute path shared
-        # with another table (see ``clone_from``)
-        if "/" in segment:
-            return segment
+    def _path(self, entry: str) -> str:
+        # a log entry is a segment folder under this table, one file of such a
+        # folder ("seg-<id>/part-....parquet", left after a file-level rewrite),
+        # or an absolute path shared with another table (see ``clone_from``)
+        if _is_absolute(entry):
+            return entry
         if self.buckets:
-            return f"{self.root}/data/{_SEG}={segment}"
-        return f"{self.root}/{segment}"
+            return f"{self.root}/data/{_SEG}={entry}"
+        return f"{self.root}/{entry}"
+
+    def _entry_files(self, entry: str) -> list[tuple[str, str]]:
+        """``(entry, normalised path)`` for every data file a log entry covers."""
+        path = self._path(entry)
+        if entry.endswith(".parquet"):
+            return [(entry, _normalise(path))]
+        fs, folder = _hadoop_fs(self.spark, path)
+        names = sorted(
+            st.getPath().getName()
+            for st in fs.listStatus(folder)
+            if st.isFile() and not st.getPath().getName().startswith(("_", "."))
+        )
+        return [(f"{entry}/{n}", _normalise(f"{path}/{n}")) for n in names]
 
     def _read(self, segments: list[str], schema: T.StructType | None = None) -> DataFrame:
         if self.buckets:
@@ -230,11 +255,10 @@ class KeyedTable:
         return reader.parquet(*[self._path(s) for s in segments])
 
     def _tagged(self, segments: list[str]) -> DataFrame:
-        """Rows with the name of the segment holding them, as ``_segment``."""
+        """Rows with where they are stored: ``_segment`` (bucketed) or ``_file`` (plain)."""
         if self.buckets:
             return self._bucketed(segments).withColumnRenamed(_SEG, "_segment")
-        seg = F.regexp_extract(F.col("_metadata.file_path"), _SEGMENT_PATTERN, 1)
-        return self._read(segments).withColumn("_segment", seg)
+        return self._read(segments).withColumn("_file", F.col("_metadata.file_path"))
 
     @staticmethod
     def _segment_name(segment: str) -> str:
@@ -288,7 +312,8 @@ class KeyedTable:
         }
         # one metadata statement for all live segments this session does not know yet
         missing = [
-            f"PARTITION ({_SEG}='{self._segment_name(seg)}')" + (f" LOCATION '{seg}'" if "/" in seg else "")
+            f"PARTITION ({_SEG}='{self._segment_name(seg)}')"
+            + (f" LOCATION '{seg}'" if _is_absolute(seg) else "")
             for seg in segments
             if self._segment_name(seg) not in known
         ]
@@ -465,21 +490,36 @@ class KeyedTable:
 
     def _rewrite(self, touched_rows: DataFrame, rewrite, current: list[str],
                  staged: str | None = None) -> int:
-        """Copy-on-write of the segments that hold a touched row.
-
-        The set of touched segments is metadata-sized (one name per segment).
-        ``staged`` is an already written segment of new rows: committed as it
-        is when nothing is touched.
+        """Copy-on-write of the storage units that hold a touched row.
+
+        Plain tables rewrite at file granularity: only the Parquet files that
+        hold a touched row are read and rewritten, and the untouched files of
+        a partly touched segment stay in the new version by name.  Bucketed
+        tables rewrite whole segments (a catalog partition cannot leave out
+        single files).  The touched set is metadata-sized (one name per file
+        or segment).  ``staged`` is an already written segment of new rows,
+        committed as it is when nothing is touched.
         """
-        touched = sorted(
-            r["_segment"] for r in touched_rows.select("_segment").distinct().collect()
-        )
+        unit = "_segment" if self.buckets else "_file"
+        touched = {r[unit] for r in touched_rows.select(unit).distinct().collect()}
         if not touched:
             if staged is None:
                 return self.version()
             return self._commit(current + [staged])
-        kept = [s for s in current if self._segment_name(s) not in touched]
-        rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
+        if self.buckets:
+            kept = [s for s in current if self._segment_name(s) not in touched]
+            rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
+            return self._commit(kept + [self._write_segment(rewritten)])
+        touched = {_normalise(f) for f in touched}
+        kept, rewrite_files = [], []
+        for entry in current:
+            files = self._entry_files(entry)
+            if not any(path in touched for _, path in files):
+                kept.append(entry)
+                continue
+            kept.extend(e for e, path in files if path not in touched)
+            rewrite_files.extend(e for e, path in files if path in touched)
+        rewritten = rewrite(self._read(rewrite_files))
         return self._commit(kept + [self._write_segment(rewritten)])
 
     # ---------------------------------------------------------------- reads

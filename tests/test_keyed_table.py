@@ -195,3 +195,22 @@ def test_large_batch_path_same_semantics(spark, scratch, rows):
     with pytest.raises(KeyedTableError):
         t.append(spark.createDataFrame([(700, "a", 1.0), (700, "b", 2.0)], rows.schema),
                  max_broadcast_bytes=1)
+
+
+def test_update_rewrites_only_touched_files(spark, scratch, rows):
+    t = KeyedTable(spark, scratch("kt"), "id")
+    t.append(rows.repartitionByRange(4, "id"))  # one segment, four files by key range
+    (segment,) = t.segments()
+    t.update({"unit": "changed"}, F.col("id") <= 10)
+    entries = t.segments()
+    kept = [e for e in entries if e.startswith(segment + "/")]
+    assert len(kept) == 3 and len(entries) == 4  # three untouched files + one new segment
+    got = {r["id"]: r["unit"] for r in t.scan().collect()}
+    assert len(got) == 100
+    assert sorted(i for i, u in got.items() if u == "changed") == list(range(1, 11))
+    # a second update on a kept file rewrites just that file
+    t.update({"unit": "again"}, F.col("id") == 100)
+    assert len(t.segments()) == 4
+    assert t.scan().where("unit = 'again'").count() == 1 and t.count() == 100
+    # a fresh reader resolves file entries too
+    assert KeyedTable(spark, t.root, "id").count() == 100
