@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cells import double_or_zero, required_double
 from ledgerloom.operators.indexing import dense_index, with_row_index
 from ledgerloom.operators.keyed_table import KeyedTable
-from ledgerloom.operators.layout import broadcast_if_small, persist_in_memory
+from ledgerloom.operators.layout import persist_in_memory
 from ledgerloom.plans import ledger_flow as lf
 from ledgerloom.plans import ml
 from ledgerloom.session import scratch_path
