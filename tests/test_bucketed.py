@@ -86,3 +86,22 @@ def test_append_into_bucketed_needs_no_exchange_on_stored_side(spark, scratch, r
     stored = t.scan().select("id")
     text = plan_text(stored.join(t.scan().select("id"), "id", "left_anti"), "formatted")
     assert "Exchange" not in text
+
+
+@pytest.mark.parametrize("buckets", [None, BUCKETS])
+def test_string_keys_and_timestamps(spark, scratch, buckets):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [(f"k{i:03d}", dt.datetime(2020, 1, 1) + dt.timedelta(days=i), i * 1.5) for i in range(60)],
+        "code string, at timestamp_ntz, v double",
+    )
+    t = KeyedTable(spark, scratch("str"), "code", buckets=buckets)
+    t.append(df.where("v < 45"))
+    t.append(df)
+    t.update({"v": F.lit(-1.0)}, F.col("at") >= dt.datetime(2020, 2, 20))
+    got = {r["code"]: (r["at"], r["v"]) for r in t.scan().collect()}
+    assert len(got) == 60
+    assert sum(1 for _, v in got.values() if v == -1.0) == 10
+    assert t.lookup("k007").first()["v"] == 10.5
+    assert dict(t.scan().dtypes)["at"] == "timestamp_ntz"
