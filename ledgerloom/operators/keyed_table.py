@@ -34,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import time
 import urllib.parse
 import uuid
 
@@ -52,6 +53,7 @@ from ledgerloom.operators.layout import (
 _LOG = "_log"
 _LOG_FILE = re.compile(r"^(\d{8})\.json$")
 _LOG_END = {"end": True}
+_PINS = "_pins"
 _SEG = "_seg"  # partition column of bucketed tables: one partition per segment
 _SEGMENT_PREFIX = "seg-"
 
@@ -453,7 +455,93 @@ class KeyedTable:
         if (self.buckets or None) not in (None, other.buckets):
             raise KeyedTableError("tables have different bucket counts")
         self.buckets = other.buckets
-        return self._commit([other._path(s) for s in other.segments()], schema=other._schema)
+        shared = [other._path(s) for s in other.segments()]
+        other._pin(shared)
+        return self._commit(shared, schema=other._schema)
+
+    # ---------------------------------------------------------- maintenance
+    def _pin(self, paths: list[str]) -> None:
+        """Record that another table references these storage paths (see ``vacuum``)."""
+        payload = "".join(json.dumps({"path": p}) + "\n" for p in paths).encode("utf-8")
+        fs, path = _hadoop_fs(self.spark, f"{self.root}/{_PINS}/{uuid.uuid4().hex}.json")
+        out = fs.create(path, False)
+        try:
+            out.write(bytearray(payload))
+        finally:
+            out.close()
+
+    def _pinned(self) -> set[str]:
+        fs, folder = _hadoop_fs(self.spark, f"{self.root}/{_PINS}")
+        if not fs.exists(folder):
+            return set()
+        pinned = set()
+        for status in fs.listStatus(folder):
+            stream = fs.open(status.getPath())
+            try:
+                raw = self.spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
+            finally:
+                stream.close()
+            for line in bytes(raw).decode("utf-8").splitlines():
+                if line:
+                    pinned.add(_normalise(json.loads(line)["path"]))
+        return pinned
+
+    def vacuum(self, retain_versions: int = 1, older_than_seconds: int = 7 * 24 * 3600,
+               dry_run: bool = True) -> list[str]:
+        """Delete segment folders no retained version (or clone) references.
+
+        Kept: every folder referenced by the newest ``retain_versions``
+        committed versions (directly or through one of its files), every
+        folder pinned by a clone, and every folder modified within
+        ``older_than_seconds`` (it may belong to a write in progress).
+        Returns the folders removed, or that would be with ``dry_run``.
+        """
+        self._load_log()
+        fs, folder = _hadoop_fs(self.spark, self._log_path())
+        committed = sorted(
+            (int(m.group(1)) for st in fs.listStatus(folder)
+             if (m := _LOG_FILE.match(st.getPath().getName()))),
+            reverse=True,
+        ) if fs.exists(folder) else []
+        referenced: set[str] = set()
+        kept_versions = 0
+        for version in committed:
+            entries = self._read_version(version)
+            if entries is None:
+                continue
+            for e in entries:
+                if e.get("segment"):
+                    referenced.add(_normalise(self._path(e["segment"])))
+            kept_versions += 1
+            if kept_versions >= retain_versions:
+                break
+        protected = referenced | self._pinned()
+        data_root = f"{self.root}/data" if self.buckets else self.root
+        fs, base = _hadoop_fs(self.spark, data_root)
+        if not fs.exists(base):
+            return []
+        cutoff_ms = (time.time() - older_than_seconds) * 1000
+        removable = []
+        for st in fs.listStatus(base):
+            name = st.getPath().getName()
+            if not st.isDirectory() or not (name.startswith(_SEGMENT_PREFIX) or name.startswith(f"{_SEG}=")):
+                continue
+            path = _normalise(st.getPath().toString())
+            if any(p == path or p.startswith(path + "/") for p in protected):
+                continue
+            if st.getModificationTime() > cutoff_ms:
+                continue
+            removable.append(st.getPath().toString())
+        if not dry_run:
+            for p in removable:
+                fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p), True)
+            if self.buckets and removable and self.spark.catalog.tableExists(self._catalog_name()):
+                gone = [self._segment_name(p) for p in removable]
+                self.spark.sql(
+                    f"ALTER TABLE {self._catalog_name()} DROP IF EXISTS "
+                    + ", ".join(f"PARTITION ({_SEG}='{g}')" for g in gone)
+                )
+        return removable
 
     def update(self, assignments: dict[str, Column | object], where: Column | str) -> int:
         """``UPDATE t SET c = v, ... WHERE pred``; rows where ``pred`` is null stay as they are."""

@@ -214,3 +214,23 @@ def test_update_rewrites_only_touched_files(spark, scratch, rows):
     assert t.scan().where("unit = 'again'").count() == 1 and t.count() == 100
     # a fresh reader resolves file entries too
     assert KeyedTable(spark, t.root, "id").count() == 100
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_vacuum_removes_only_unreferenced(spark, scratch, rows, buckets):
+    t = KeyedTable(spark, scratch("vac"), "id", buckets=buckets)
+    t.append(rows.where("id <= 50"))
+    first = t.segments()
+    t.overwrite(rows)                               # first segment is now unreferenced
+    clone = KeyedTable(spark, scratch("vac-clone"), "id")
+    clone.clone_from(t)                             # pins t's current segment
+    t.overwrite(rows.where("id > 10"))              # t's second segment: unreferenced by t, pinned
+    assert t.vacuum(older_than_seconds=0) != []     # dry run lists, deletes nothing
+    assert KeyedTable(spark, t.root, "id").count() == 90
+    removed = t.vacuum(older_than_seconds=0, dry_run=False)
+    assert len(removed) == 1 and first[0] in removed[0]
+    assert t.count() == 90 and clone.count() == 100
+    assert t.vacuum(older_than_seconds=0) == []
+    # recent folders are kept whatever references them
+    t.overwrite(rows.where("id > 20"))
+    assert t.vacuum(dry_run=True) == []
