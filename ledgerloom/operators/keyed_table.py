@@ -494,7 +494,9 @@ class KeyedTable:
         committed versions (directly or through one of its files), every
         folder pinned by a clone, and every folder modified within
         ``older_than_seconds`` (it may belong to a write in progress).
-        Returns the folders removed, or that would be with ``dry_run``.
+        Log files older than the retained versions (and than the same age
+        limit) are removed too.  Returns the segment folders removed, or that
+        would be with ``dry_run``.
         """
         self._load_log()
         fs, folder = _hadoop_fs(self.spark, self._log_path())
@@ -504,7 +506,7 @@ class KeyedTable:
             reverse=True,
         ) if fs.exists(folder) else []
         referenced: set[str] = set()
-        kept_versions = 0
+        kept_versions, oldest_kept = 0, None
         for version in committed:
             entries = self._read_version(version)
             if entries is None:
@@ -512,16 +514,26 @@ class KeyedTable:
             for e in entries:
                 if e.get("segment"):
                     referenced.add(_normalise(self._path(e["segment"])))
-            kept_versions += 1
+            kept_versions, oldest_kept = kept_versions + 1, version
             if kept_versions >= retain_versions:
                 break
+        cutoff_ms = (time.time() - older_than_seconds) * 1000
+        # every version file lists the whole table, so older ones are never
+        # needed to read the retained versions: they are the log's compaction
+        old_logs = [
+            st.getPath().toString()
+            for st in (fs.listStatus(folder) if fs.exists(folder) else [])
+            if (m := _LOG_FILE.match(st.getPath().getName()))
+            and oldest_kept is not None
+            and int(m.group(1)) < oldest_kept
+            and st.getModificationTime() <= cutoff_ms
+        ]
         protected = referenced | self._pinned()
         data_root = f"{self.root}/data" if self.buckets else self.root
         fs, base = _hadoop_fs(self.spark, data_root)
-        if not fs.exists(base):
-            return []
-        cutoff_ms = (time.time() - older_than_seconds) * 1000
         removable = []
+        if not fs.exists(base):
+            return removable
         for st in fs.listStatus(base):
             name = st.getPath().getName()
             if not st.isDirectory() or not (name.startswith(_SEGMENT_PREFIX) or name.startswith(f"{_SEG}=")):
@@ -533,7 +545,7 @@ class KeyedTable:
                 continue
             removable.append(st.getPath().toString())
         if not dry_run:
-            for p in removable:
+            for p in removable + old_logs:
                 fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p), True)
             if self.buckets and removable and self.spark.catalog.tableExists(self._catalog_name()):
                 gone = [self._segment_name(p) for p in removable]

@@ -218,6 +218,8 @@ def test_update_rewrites_only_touched_files(spark, scratch, rows):
 
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_vacuum_removes_only_unreferenced(spark, scratch, rows, buckets):
+    import os
+
     t = KeyedTable(spark, scratch("vac"), "id", buckets=buckets)
     t.append(rows.where("id <= 50"))
     first = t.segments()
@@ -231,6 +233,11 @@ def test_vacuum_removes_only_unreferenced(spark, scratch, rows, buckets):
     assert len(removed) == 1 and first[0] in removed[0]
     assert t.count() == 90 and clone.count() == 100
     assert t.vacuum(older_than_seconds=0) == []
+    import glob
+
+    logs = glob.glob(t.root.replace("file:", "") + "/_log/*.json")
+    assert [os.path.basename(p) for p in logs] == ["00000003.json"]
+    assert KeyedTable(spark, t.root, "id").version() == 3
     # recent folders are kept whatever references them
     t.overwrite(rows.where("id > 20"))
     assert t.vacuum(dry_run=True) == []
