@@ -194,6 +194,27 @@ def keyed_append(spark, sf_dir):
     return t.scan()
 
 
+@register(
+    "keyed_replace",
+    """
+    SELECT o_orderkey, o_custkey,
+           CASE WHEN o_orderstatus = 'F' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+           o_totalprice, o_orderdate, o_orderpriority
+    FROM orders
+    """,
+)
+def keyed_replace(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    t = keyed(spark, "orders-replace", "o_orderkey")
+    t.append(orders)
+    # upsert: the batch's rows win for keys already stored
+    t.append(
+        orders.where(F.col("o_orderstatus") == "F").withColumn("o_orderstatus", F.lit("X")),
+        on_conflict="replace",
+    )
+    return t.scan()
+
+
 @register("keyed_append_twice", STAGED_SQL)
 def keyed_append_twice(spark, sf_dir):
     staged = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P")
@@ -717,6 +738,17 @@ def ledger_update(spark, sf_dir):
     return tables.right.scan().filter(F.col("BUSINESS_UNIT") == lf.UPDATE_TO_UNIT)
 
 
+@register("ledger_bucketed_append", LEDGER_STAGED_SQL)
+def ledger_bucketed_append(spark, sf_dir):
+    # two overlapping batches into a bucketed table: the second append's anti
+    # join shuffles only the batch, into the stored buckets
+    source = ledger_source(spark, sf_dir)
+    t = KeyedTable(spark, scratch_path(spark, "ledger-bucketed"), "id", buckets=LEDGER_BUCKETS)
+    t.append(lf.stage(source.where(F.col("DEPTID") == "DEPTID3")))
+    t.append(lf.stage(source))
+    return t.scan()
+
+
 @register(
     "ledger_large_table",
     f"""
