@@ -95,7 +95,7 @@ class KeyedTable:
     """A table with a declared key column, stored as versioned Parquet segments."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, cluster_by_key: bool = True,
-                 buckets: int | None = None):
+                 buckets: int | None = None, catalog_database: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
@@ -108,6 +108,8 @@ class KeyedTable:
         # between tables with the same bucket count need no shuffle.  An existing
         # table keeps the bucket count recorded in its log.
         self.buckets = buckets or None
+        # where bucketed tables register their (external, metadata-only) entry
+        self.catalog_database = catalog_database
         self._version: int | None = None
         self._claimed = 0
         self._segments: list[str] | None = None
@@ -270,7 +272,8 @@ class KeyedTable:
     # --------------------------------------------------- bucketed catalog view
     def _catalog_name(self) -> str:
         digest = hashlib.sha1(self.root.encode("utf-8")).hexdigest()[:20]
-        return f"ledgerloom_kt_{digest}"
+        name = f"ledgerloom_kt_{digest}"
+        return f"`{self.catalog_database}`.{name}" if self.catalog_database else name
 
     def _register(self, schema=None) -> list[str]:
         """Register ``<root>/data`` in the session catalog as a bucketed table.

@@ -105,3 +105,11 @@ def test_string_keys_and_timestamps(spark, scratch, buckets):
     assert sum(1 for _, v in got.values() if v == -1.0) == 10
     assert t.lookup("k007").first()["v"] == 10.5
     assert dict(t.scan().dtypes)["at"] == "timestamp_ntz"
+
+
+def test_catalog_database_option(spark, scratch, rows):
+    spark.sql("CREATE DATABASE IF NOT EXISTS ledgerloom_test_db")
+    t = KeyedTable(spark, scratch("bk-db"), "id", buckets=BUCKETS, catalog_database="ledgerloom_test_db")
+    t.append(rows)
+    assert t.count() == 100
+    assert any(tb.name.startswith("ledgerloom_kt_") for tb in spark.catalog.listTables("ledgerloom_test_db"))
