@@ -85,7 +85,12 @@ def unsafe_row_bytes(schema: T.StructType) -> Column:
     for field in schema.fields:
         dt = field.dataType
         c = F.col(f"`{field.name}`")
-        if any(isinstance(dt, t) for t in _FIXED_WIDTH) or isinstance(dt, T.DecimalType):
+        if any(isinstance(dt, t) for t in _FIXED_WIDTH):
+            continue
+        if isinstance(dt, T.DecimalType):
+            # up to 18 digits fit the 8-byte slot; wider decimals take 16 more bytes
+            if dt.precision > 18:
+                total = total + F.lit(16)
             continue
         if isinstance(dt, (T.StringType, T.BinaryType)):
             var = F.octet_length(c)

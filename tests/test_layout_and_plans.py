@@ -91,3 +91,11 @@ def test_driver_memory_parsing():
     assert layout._driver_memory_bytes(S("1gb")) == 1 << 30
     assert layout._driver_memory_bytes(S("512m")) == 512 << 20
     assert layout._driver_memory_bytes(S("2048")) == 2048 << 20
+
+
+def test_measure_counts_wide_decimals(spark):
+    df = spark.createDataFrame([(1,)], "a int").selectExpr(
+        "CAST(1 AS DECIMAL(10,2)) AS narrow", "CAST(1 AS DECIMAL(30,2)) AS wide"
+    )
+    # 2 slots (16) + null bitmap (8) + 16 bytes for the wide decimal
+    assert measure_bounded(df).bytes == 40
