@@ -55,6 +55,8 @@ _LOG_FILE = re.compile(r"^(\d{8})\.json$")
 _LOG_END = {"end": True}
 _PINS = "_pins"
 _SEG = "_seg"  # partition column of bucketed tables: one partition per segment
+# Spark names bucketed files "part-..._<bucket>.c000....parquet"
+_BUCKET_FILE = re.compile(r"^[^_.].*_(\d+)(?:\..*)?$")
 _SEGMENT_PREFIX = "seg-"
 
 
@@ -637,8 +639,36 @@ class KeyedTable:
         return self.scan().count()
 
     def lookup(self, key_value) -> DataFrame:
-        """Read-through point lookup: the row for ``key_value`` or an empty frame."""
-        return self.scan().where(F.col(self.key) == F.lit(key_value)).limit(1)
+        """Read-through point lookup: the row for ``key_value`` or an empty frame.
+
+        Plain tables prune Parquet row groups with the key's min/max
+        statistics (files are sorted by key).  Bucketed tables read only the
+        one bucket file per segment that can hold the key: the bucket is
+        Spark's own ``pmod(hash(key), buckets)``, evaluated on the driver.
+        """
+        match = F.col(self.key) == F.lit(key_value)
+        if not self.buckets:
+            return self.scan().where(match).limit(1)
+        files = self._bucket_files(self._bucket_of(key_value))
+        if not files:
+            return self.spark.createDataFrame([], self.scan().schema)
+        schema = self._schema or self.scan().schema
+        return self.spark.read.schema(schema).parquet(*files).where(match).limit(1)
+
+    def _bucket_of(self, key_value) -> int:
+        key_type = self.scan().schema[self.key].dataType
+        bucket = F.pmod(F.hash(F.lit(key_value).cast(key_type)), F.lit(self.buckets))
+        return int(self.spark.range(1).select(bucket.alias("b")).first()["b"])
+
+    def _bucket_files(self, bucket: int) -> list[str]:
+        files = []
+        for entry in self.segments():
+            fs, folder = _hadoop_fs(self.spark, self._path(entry))
+            for st in fs.listStatus(folder):
+                m = _BUCKET_FILE.match(st.getPath().getName())
+                if m and int(m.group(1)) == bucket:
+                    files.append(st.getPath().toString())
+        return files
 
     def lookup_many(self, keys: DataFrame, key_column: str | None = None) -> DataFrame:
         """Rows for every key present in ``keys`` (semi join; no driver-side key list).

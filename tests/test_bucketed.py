@@ -113,3 +113,15 @@ def test_catalog_database_option(spark, scratch, rows):
     t.append(rows)
     assert t.count() == 100
     assert any(tb.name.startswith("ledgerloom_kt_") for tb in spark.catalog.listTables("ledgerloom_test_db"))
+
+
+def test_bucketed_lookup_reads_one_bucket_file_per_segment(spark, scratch):
+    t = KeyedTable(spark, scratch("bk-lookup"), "id", buckets=8)
+    data = spark.range(0, 5000).selectExpr("id", "id * 2 AS v")
+    t.append(data.where("id < 2500"))
+    t.append(data)
+    for k in (0, 7, 2499, 2500, 4999):
+        got = t.lookup(k)
+        assert [r["v"] for r in got.collect()] == [2 * k]
+        assert len(got.inputFiles()) <= 2  # one bucket file in each of the two segments
+    assert t.lookup(123456).collect() == []
