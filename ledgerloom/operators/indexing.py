@@ -53,6 +53,9 @@ def dense_index(
         "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     )
     per_partition = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    # A running sum over the per-partition counts.  The window has no
+    # partitioning, but its input is one row per *input partition* (not per
+    # data row): even a million partitions is a few MB in one task.
     preceding = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_partition.select(
         "_pid", F.coalesce(F.sum("_n").over(preceding), F.lit(0)).alias("_offset")
