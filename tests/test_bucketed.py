@@ -108,7 +108,7 @@ def test_string_keys_and_timestamps(spark, scratch, buckets):
 
 
 def test_catalog_database_option(spark, scratch, rows):
-    spark.sql("CREATE DATABASE IF NOT EXISTS ledgerloom_test_db")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS ledgerloom_test_db LOCATION '{scratch('test-db')}'")
     t = KeyedTable(spark, scratch("bk-db"), "id", buckets=BUCKETS, catalog_database="ledgerloom_test_db")
     t.append(rows)
     assert t.count() == 100
