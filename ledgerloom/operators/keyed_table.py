@@ -3,8 +3,10 @@
 A keyed table is a folder of immutable Parquet *segments* plus a commit log:
 
     <root>/seg-<id>/part-*.parquet        data, never rewritten in place
-    <root>/_log/<n>.json                  version n: one line per live segment,
-                                          then an end line
+                                          (bucketed: <root>/data/_seg=<id>/)
+    <root>/_log/<n>.json                  version n: the schema, one line per live
+                                          segment (or single file), an end line
+    <root>/_pins/*.json                   segments shared with clones
 
 A version lists the segments that make up the table; the highest version is
 current.  Writers only add files, and a version becomes visible only after
@@ -410,9 +412,8 @@ class KeyedTable:
         if self.buckets:
             fresh = df.join(stored_keys, self.key, "left_anti")
             return self._commit(current + [self._write_checked(fresh, validate)])
-        small = measure_bounded(df.select(self.key), max_broadcast_bytes).fits(
-            broadcast_bound(self.spark, max_broadcast_bytes)
-        )
+        bound = broadcast_bound(self.spark, max_broadcast_bytes)
+        small = measure_bounded(df.select(self.key), bound).fits(bound)
         if not small:
             fresh = df.join(stored_keys, self.key, "left_anti")
             return self._commit(current + [self._write_checked(fresh, validate)])
@@ -431,7 +432,7 @@ class KeyedTable:
             conflicts.unpersist()
 
     def _replace(self, df: DataFrame, current: list[str], validate: bool) -> int:
-        """Upsert: the batch is staged once; segments holding one of its keys are rewritten."""
+        """Upsert: the batch is staged once; files (or segments) holding one of its keys are rewritten."""
         staged = self._write_checked(df, validate)
         batch = self._read([staged])
         if self.buckets:
