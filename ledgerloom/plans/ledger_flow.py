@@ -3,10 +3,12 @@
 Column *roles* make the same pipeline run on the generated ledger (``LEDGER``)
 and on any table with matching roles, e.g. orders (``ORDERS``).
 
-Plan shape at scale (see ``tests/test_plans.py``): the staging filter and the
-right-side filter reach the Parquet scans; both keyed-table scans read only
-the columns the join needs; the join on a unique key is a shuffle join (or a
-broadcast one when a side is measured small); the average runs as a partial
+Plan shape at scale (tested in ``tests/test_layout_and_plans.py`` and
+``tests/test_bucketed.py``; shown in PLANS.md): the staging filter and the
+right-side filter reach the scans; both keyed-table scans read only the
+columns the join needs; the join on the unique key is a sort-merge join with
+no Exchange when both tables are bucketed alike (a shuffle join otherwise, or
+a broadcast one when a side is measured small); the average runs as a partial
 aggregate per task followed by a shuffle of one row per group and task, so a
 group holding a third of the rows costs no more than any other.
 """
