@@ -8,6 +8,8 @@ from ledgerloom.operators.layout import plan_text
 from ledgerloom.plans import ledger_flow as lf
 from ledgerloom.sources import ledger
 
+from .conftest import conf_override
+
 BUCKETS = 4
 
 
@@ -20,9 +22,8 @@ def rows(spark):
 
 @pytest.fixture()
 def no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with conf_override(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        yield
 
 
 def test_append_semantics(spark, scratch, rows):

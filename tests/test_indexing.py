@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.indexing import dense_index, with_row_index
 
+from .conftest import conf_override
+
 
 def test_row_index_unique_not_dense(spark):
     df = with_row_index(spark.range(0, 1000, 1, 5), "index")
@@ -32,11 +34,8 @@ def test_dense_index_hot_sort_key_spreads(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("v")
     )
     # measure the range partitions themselves: AQE would merge this small input
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
+    with conf_override(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
         out = dense_index(df, "pos", order_by=["v"])
         sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(sizes) > 3 and max(sizes) < n / 3
     assert sorted(r["pos"] for r in out.select("pos").collect()) == list(range(n))
