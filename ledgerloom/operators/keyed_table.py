@@ -99,7 +99,8 @@ class KeyedTable:
     """A table with a declared key column, stored as versioned Parquet segments."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, cluster_by_key: bool = True,
-                 buckets: int | None = None, catalog_database: str | None = None):
+                 buckets: int | None = None, catalog_database: str | None = None,
+                 replicated: bool = False, replicated_bytes: int = DEFAULT_BROADCAST_BYTES):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = key
@@ -114,6 +115,12 @@ class KeyedTable:
         self.buckets = buckets or None
         # where bucketed tables register their (external, metadata-only) entry
         self.catalog_database = catalog_database
+        # "replicated" layout: scans carry a broadcast hint while the table is
+        # measured within ``replicated_bytes`` (checked once per version), so
+        # joins against it need no shuffle; past the bound it joins normally
+        self._replicated = replicated
+        self.replicated_bytes = replicated_bytes
+        self._replicated_fit: tuple[int, bool] | None = None
         self._version: int | None = None
         self._claimed = 0
         self._segments: list[str] | None = None
@@ -122,6 +129,13 @@ class KeyedTable:
         self._schema: T.StructType | None = None
         self._written_schema: T.StructType | None = None
 
+    @property
+    def replicated(self) -> bool:
+        """Whether the table has the replicated layout (recorded in its log)."""
+        if self._version is None:
+            self._load_log()
+        return self._replicated
+
     # ------------------------------------------------------------------ log
     def _log_path(self) -> str:
         return f"{self.root}/{_LOG}"
@@ -154,6 +168,7 @@ class KeyedTable:
             raise KeyedTableError(f"table at {self.root} has buckets={stored}, not {self.buckets}")
         if version:
             self.buckets = stored
+            self._replicated = self._replicated or any(e.get("replicated") for e in entries)
         self._version = version
         self._segments = sorted(e["segment"] for e in entries if e.get("segment"))
 
@@ -199,7 +214,9 @@ class KeyedTable:
         version = max(self._version or 0, self._claimed) + 1
         schema = schema or self._schema or self._written_schema
         header = [{"schema": schema.jsonValue()}] if schema is not None else []
-        lines = header + [{"segment": s, "buckets": self.buckets or 0} for s in segments] + [_LOG_END]
+        lines = header + [
+            {"segment": s, "buckets": self.buckets or 0, "replicated": self._replicated} for s in segments
+        ] + [_LOG_END]
         payload = "".join(json.dumps(line) + "\n" for line in lines).encode("utf-8")
         fs, path = _hadoop_fs(self.spark, self._log_file(version))
         try:
@@ -338,7 +355,7 @@ class KeyedTable:
             raise KeyedTableError(f"batch has no key column {self.key!r}")
         if not self.exists():
             return df
-        stored = self.scan().schema
+        stored = self._current().schema
         if sorted(c.lower() for c in stored.names) != sorted(c.lower() for c in df.columns):
             raise KeyedTableError(f"batch columns {df.columns} do not match table {stored.names}")
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored.fields])
@@ -629,15 +646,29 @@ class KeyedTable:
         return self._commit(kept + [self._write_segment(rewritten)])
 
     # ---------------------------------------------------------------- reads
-    def scan(self) -> DataFrame:
-        """The current version as a DataFrame (lazy Parquet scan)."""
+    def _current(self) -> DataFrame:
         segments = self.segments()
         if not segments:
             raise KeyedTableError(f"table at {self.root} has no data")
         return self._read(segments)
 
+    def scan(self) -> DataFrame:
+        """The current version as a DataFrame (lazy Parquet scan).
+
+        A replicated table comes back with a broadcast hint while its measured
+        size is within ``replicated_bytes``.
+        """
+        df = self._current()
+        if not self.replicated:
+            return df
+        version = self.version()
+        if self._replicated_fit is None or self._replicated_fit[0] != version:
+            _, fits = broadcast_if_small(df, self.replicated_bytes)
+            self._replicated_fit = (version, fits)
+        return F.broadcast(df) if self._replicated_fit[1] else df
+
     def count(self) -> int:
-        return self.scan().count()
+        return self._current().count()
 
     def lookup(self, key_value) -> DataFrame:
         """Read-through point lookup: the row for ``key_value`` or an empty frame.
@@ -649,15 +680,15 @@ class KeyedTable:
         """
         match = F.col(self.key) == F.lit(key_value)
         if not self.buckets:
-            return self.scan().where(match).limit(1)
+            return self._current().where(match).limit(1)
         files = self._bucket_files(self._bucket_of(key_value))
         if not files:
-            return self.spark.createDataFrame([], self.scan().schema)
-        schema = self._schema or self.scan().schema
+            return self.spark.createDataFrame([], self._current().schema)
+        schema = self._schema or self._current().schema
         return self.spark.read.schema(schema).parquet(*files).where(match).limit(1)
 
     def _bucket_of(self, key_value) -> int:
-        key_type = self.scan().schema[self.key].dataType
+        key_type = self._current().schema[self.key].dataType
         bucket = F.pmod(F.hash(F.lit(key_value).cast(key_type)), F.lit(self.buckets))
         return int(self.spark.range(1).select(bucket.alias("b")).first()["b"])
 
@@ -679,7 +710,7 @@ class KeyedTable:
         probe rows before it is shuffled, so no task receives the hot key's rows.
         """
         probe = keys.select(F.col(key_column or self.key).alias(self.key)).distinct()
-        return self.scan().join(probe, self.key, "left_semi")
+        return self._current().join(probe, self.key, "left_semi")
 
 
 def persist_batch(df: DataFrame) -> DataFrame:

@@ -103,7 +103,8 @@ class LeftRight:
 
 
 def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Roles = LEDGER,
-                    on_conflict: str = "skip", buckets: int | None = None) -> LeftRight:
+                    on_conflict: str = "skip", buckets: int | None = None,
+                    replicated: bool = False) -> LeftRight:
     """Append the staged rows to the ``left`` and ``right`` keyed tables under ``root``.
 
     When both tables start empty they end up with identical rows, so the
@@ -114,9 +115,11 @@ def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Ro
 
     ``buckets`` stores both tables bucketed on the key, so the join between
     them (and later appends) runs without shuffling either table.
+    ``replicated`` marks both tables for broadcast joins while they are
+    measured small (the replicated table layout).
     """
-    left = KeyedTable(spark, f"{root}/ledger_left", roles.key, buckets=buckets)
-    right = KeyedTable(spark, f"{root}/ledger_right", roles.key, buckets=buckets)
+    left = KeyedTable(spark, f"{root}/ledger_left", roles.key, buckets=buckets, replicated=replicated)
+    right = KeyedTable(spark, f"{root}/ledger_right", roles.key, buckets=buckets, replicated=replicated)
     if not left.exists() and not right.exists():
         left.append(staged, on_conflict=on_conflict)
         right.clone_from(left)

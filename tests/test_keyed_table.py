@@ -241,3 +241,26 @@ def test_vacuum_removes_only_unreferenced(spark, scratch, rows, buckets):
     # recent folders are kept whatever references them
     t.overwrite(rows.where("id > 20"))
     assert t.vacuum(dry_run=True) == []
+
+
+def test_replicated_table_scans_broadcast_while_small(spark, scratch, rows):
+    from ledgerloom.operators.layout import plan_text
+
+    from .conftest import conf_override
+
+    t = KeyedTable(spark, scratch("rep"), "id", replicated=True)
+    t.append(rows)
+    other = rows.select("id", F.col("amount").alias("x"))
+    with conf_override(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        assert "BroadcastHashJoin" in plan_text(other.join(t.scan(), "id"), "formatted")
+        # the layout is recorded: a fresh reader keeps it
+        again = KeyedTable(spark, t.root, "id")
+        assert again.replicated
+        # past the bound the table joins like any other
+        tight = KeyedTable(spark, t.root, "id", replicated_bytes=8)
+        assert "BroadcastHashJoin" not in plan_text(other.join(tight.scan(), "id"), "formatted")
+    # a new version is measured again
+    v = t.version()
+    t.append(rows.withColumn("id", F.col("id") + 1000))
+    t.scan()
+    assert t._replicated_fit[0] == v + 1
