@@ -41,12 +41,21 @@ def build_session(
     app_name: str = "ledgerloom",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    input_bytes: int | None = None,
+    total_cores: int | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the library defaults applied."""
+    """Create (or reuse) a session with the library defaults applied.
+
+    With ``input_bytes`` and ``total_cores`` (the expected input size and the
+    cluster's cores), split and shuffle sizes come from ``recommended_conf``;
+    ``shuffle_partitions`` and ``extra_conf`` override them.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(SESSION_DEFAULTS)
+    if input_bytes and total_cores:
+        conf.update(recommended_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})

@@ -33,3 +33,21 @@ def test_recommended_conf_scales_with_input():
     small = recommended_conf(1 << 30, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert suggested_buckets(100 * tb) == 262144 and suggested_buckets(1) == 1
+
+
+def test_build_session_applies_sizing(spark):
+    from ledgerloom.session import build_session, recommended_conf
+
+    keys = list(recommended_conf(1, 1)) + ["spark.sql.shuffle.partitions"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        # getOrCreate returns the running session; the sized settings are applied to it
+        same = build_session(input_bytes=1 << 40, total_cores=16, shuffle_partitions=8)
+        assert same.conf.get("spark.sql.files.maxPartitionBytes") in ("268435456", "256m", "256MB")
+        assert same.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
