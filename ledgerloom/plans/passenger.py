@@ -50,8 +50,8 @@ def count_where_sql(spark: SparkSession, table: DataFrame, view: str = "passenge
     """``SELECT COUNT(*) FROM view WHERE id >= min_id AND sex = '<sex>'`` on text ids."""
     table.createOrReplaceTempView(view)
     return spark.sql(
-        f"SELECT COUNT(*) AS n FROM {view} "
-        f"WHERE try_cast(id AS BIGINT) >= {int(min_id)} AND sex = '{sex}'"
+        f"SELECT COUNT(*) AS n FROM {view} WHERE try_cast(id AS BIGINT) >= :min_id AND sex = :sex",
+        args={"min_id": int(min_id), "sex": sex},
     )
 
 
