@@ -58,6 +58,9 @@ def build_session(
         conf.update(recommended_conf(input_bytes, total_cores))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        # local runs: keep Spark's default catalog folder out of the working directory
+        conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="ledgerloom-warehouse-")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
