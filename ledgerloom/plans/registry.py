@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cells import double_or_zero, required_double
 from ledgerloom.operators.indexing import dense_index, with_row_index
 from ledgerloom.operators.keyed_table import KeyedTable
+from ledgerloom.operators.layout import partition_by_key as key_partitioned
 from ledgerloom.operators.layout import persist_in_memory
 from ledgerloom.plans import ledger_flow as lf
 from ledgerloom.plans import ml
@@ -246,9 +247,7 @@ def keyed_scan(spark, sf_dir):
 
 @register("partition_by_key", "SELECT * FROM customer")
 def partition_by_key(spark, sf_dir):
-    from ledgerloom.operators.layout import partition_by_key as by_key
-
-    return by_key(table(spark, sf_dir, "customer"), 10, "c_custkey")
+    return key_partitioned(table(spark, sf_dir, "customer"), 10, "c_custkey")
 
 
 @register(
