@@ -22,16 +22,29 @@ CELL_TYPE = T.StructType(
 # digits with grouping spaces and an optional comma part, or a bare ",digits".
 _FRENCH_PREFIX = "^(-?(?:[0-9][0-9\u00a0\u202f]*(?:,[0-9]*)?|,[0-9]+))"
 _FRENCH_GROUPING = "[\u00a0\u202f]"
+# The French format's infinity symbol, read as a prefix like the digits.
+_FRENCH_INFINITY = "^(-?)\u221e"
+# Spellings of infinity / NaN that Spark's cast accepts but a plain Java
+# double parse rejects (which only takes "Infinity" and "NaN", optionally
+# signed, case-sensitive): such cells are not plain numbers.
+_LENIENT_SPECIALS = "(?i)^\\s*[+-]?(inf|infinity|nan)\\s*$"
+_JAVA_SPECIALS = "^\\s*[+-]?(Infinity|NaN)\\s*$"
 
 
 def locale_cell(cell: Column | str) -> Column:
     """Type one text cell: empty/null -> NaN, number -> double, else text."""
     c = F.col(cell) if isinstance(cell, str) else cell
-    plain = c.try_cast("double")
+    plain = F.when(
+        c.rlike(_LENIENT_SPECIALS) & ~c.rlike(_JAVA_SPECIALS), F.lit(None).cast("double")
+    ).otherwise(c.try_cast("double"))
     prefix = F.regexp_extract(c, _FRENCH_PREFIX, 1)
     french = F.regexp_replace(F.regexp_replace(prefix, _FRENCH_GROUPING, ""), ",", ".")
     # "-" or "," alone is not a number: require a digit in the prefix
-    french_num = F.when(prefix.rlike("[0-9]"), french.try_cast("double"))
+    french_num = (
+        F.when(prefix.rlike("[0-9]"), french.try_cast("double"))
+        .when(c.rlike(_FRENCH_INFINITY), F.when(c.startswith("-"), F.lit(float("-inf")))
+              .otherwise(F.lit(float("inf"))))
+    )
     num = (
         F.when(c.isNull() | (c == ""), F.lit(float("nan")))
         .when(plain.isNotNull(), plain)

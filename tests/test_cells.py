@@ -28,6 +28,16 @@ TABLE = [
     (",5", 0.5, None),
     ("-", None, "-"),
     (",", None, ","),
+    # special values: a plain Java double parse takes only these spellings
+    ("Infinity", math.inf, None),
+    ("-Infinity", -math.inf, None),
+    ("NaN", math.nan, None),
+    ("inf", None, "inf"),
+    ("nan", None, "nan"),
+    ("1.5d", 1.5, None),
+    # the French infinity symbol, read as a prefix
+    ("\u221e", math.inf, None),
+    ("-\u221e x", -math.inf, None),
 ]
 
 
