@@ -31,12 +31,18 @@ _LENIENT_SPECIALS = "(?i)^\\s*[+-]?(inf|infinity|nan)\\s*$"
 _JAVA_SPECIALS = "^\\s*[+-]?(Infinity|NaN)\\s*$"
 
 
+def java_double(c: Column) -> Column:
+    """A double parse with Java's grammar: ``try_cast`` minus Spark's extra
+    spellings of infinity and NaN.  Null when the text is not a number."""
+    return F.when(
+        c.rlike(_LENIENT_SPECIALS) & ~c.rlike(_JAVA_SPECIALS), F.lit(None).cast("double")
+    ).otherwise(c.try_cast("double"))
+
+
 def locale_cell(cell: Column | str) -> Column:
     """Type one text cell: empty/null -> NaN, number -> double, else text."""
     c = F.col(cell) if isinstance(cell, str) else cell
-    plain = F.when(
-        c.rlike(_LENIENT_SPECIALS) & ~c.rlike(_JAVA_SPECIALS), F.lit(None).cast("double")
-    ).otherwise(c.try_cast("double"))
+    plain = java_double(c)
     prefix = F.regexp_extract(c, _FRENCH_PREFIX, 1)
     french = F.regexp_replace(F.regexp_replace(prefix, _FRENCH_GROUPING, ""), ",", ".")
     # "-" or "," alone is not a number: require a digit in the prefix
@@ -58,7 +64,7 @@ def required_double(cell: Column | str, name: str | None = None) -> Column:
     """Parse a required numeric cell; a null or malformed value fails the job."""
     c = F.col(cell) if isinstance(cell, str) else cell
     label = name or (cell if isinstance(cell, str) else "cell")
-    parsed = c.try_cast("double")
+    parsed = java_double(c.cast("string"))
     message = F.concat(
         F.lit(f"{label}: not a number: "), F.coalesce(c.cast("string"), F.lit("null"))
     )

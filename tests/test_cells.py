@@ -118,3 +118,14 @@ def test_read_locale_cells_keys_and_ragged_rows(spark, scratch):
     assert [c["num"] for c in first[:2]] == [1.0, 2.5] and first[2]["text"] == "x"
     assert len(second) == 2 and math.isnan(second[0]["num"]) and second[1]["num"] == 7.0
     assert third[0]["num"] == 3.0 and math.isnan(third[1]["num"]) and third[2]["num"] == 4.0
+
+
+def test_required_double_rejects_lenient_specials(spark):
+    import pytest
+
+    ok = spark.createDataFrame([("Infinity",), ("-NaN",), ("2.5",)], "a string")
+    got = [r[0] for r in ok.select(required_double("a")).collect()]
+    assert got[0] == math.inf and math.isnan(got[1]) and got[2] == 2.5
+    bad = spark.createDataFrame([("inf",)], "a string")
+    with pytest.raises(Exception, match="not a number"):
+        bad.select(required_double("a")).collect()
