@@ -8,7 +8,7 @@ Spark executes it.  Sub-packages:
 * ``operators`` - keyed tables on versioned Parquet, row indexes, layout
                   helpers (repartition, persist, size-checked broadcast, explain).
 * ``functions`` - column expressions (cell typing, defaults, safe casts).
-* ``plans``     - the end-to-end pipelines (ledger join/average, SQL text,
+* ``plans``     - the end-to-end flows (ledger join/average, SQL text,
                   update, passenger count, decision tree) and the query registry.
 * ``streaming`` - intentionally empty: the workloads are batch only.
 """

@@ -1,6 +1,6 @@
-"""The ledger pipelines: stage -> two keyed tables -> join / average / SQL / update.
+"""The ledger flows: stage -> two keyed tables -> join / average / SQL / update.
 
-Column *roles* make the same pipeline run on the generated ledger (``LEDGER``)
+Column *roles* make the same flow run on the generated ledger (``LEDGER``)
 and on any table with matching roles, e.g. orders (``ORDERS``).
 
 Plan shape at scale (tested in ``tests/test_layout_and_plans.py`` and
@@ -87,7 +87,7 @@ def stage(
     ``repartition`` adds a round-robin shuffle first (only worth it to spread
     a badly split input).  ``sort`` orders by unit and date (date is not in
     the output) with the key as tie-break; keyed tables are unordered, so
-    pipelines that only write the staged rows leave it off.
+    flows that only write the staged rows leave it off.
     """
     df = source.repartition(repartition) if repartition else source
     df = df.filter(F.col(roles.unit) != roles.excluded_unit)

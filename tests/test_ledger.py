@@ -1,4 +1,4 @@
-"""Ledger generator and the ledger pipelines against closed-form golden values (N = 1000)."""
+"""Ledger generator and the ledger flows against closed-form golden values (N = 1000)."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,7 +63,7 @@ def test_typed_read_infers_ints(spark, ledger_file):
     assert df.count() == N
 
 
-def test_pipeline_golden(spark, ledger_file, scratch):
+def test_ledger_flow_golden(spark, ledger_file, scratch):
     source = delimited.read_typed(spark, ledger_file, schema=ledger.ledger_schema())
     staged = lf.stage(source, repartition=8, sort=True)
     assert staged.count() == 900
