@@ -5,7 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import queries as all_queries
+from ledgerloom.plans.registry import ORACLE_SQL, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -35,6 +37,18 @@ def test_entry_runs(spark):
     assert df.count() == 4
 
 
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE_SQL
+
+
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(all_queries())
+
+
 def test_every_query_has_an_oracle_or_is_model_based():
     missing = set(queries()) - set(oracle_sql())
     assert missing == {"tree_fit_predict", "tree_accuracy"}
