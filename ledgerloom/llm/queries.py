@@ -13,8 +13,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, decontamination, token_files
 from ledgerloom.llm.common import read_table
+from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -30,6 +31,66 @@ def register(name: str, oracle: str | None = None):
     return wrap
 
 
+@register("op2_token_files")
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from binary id files in ascending doc_id order."""
+    files = token_files.write(
+        read_table(spark, sf_dir, "documents"),
+        scratch_path(spark, "token-files"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        end_id=2,
+        special=True,
+    )
+    return token_files.read(spark, files).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+OP7_SQL = r"""
+WITH ascii AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS up, 'abcdefghijklmnopqrstuvwxyz' AS low),
+doc AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents, ascii),
+item AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), up, low), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark, ascii),
+windows AS (
+    SELECT DISTINCT item_id, least(len(w), 13) AS size, array_to_string(w[p:p + least(len(w), 13) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS p FROM item WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+grams AS (
+    SELECT doc_id, size, p, array_to_string(w[p:p + size - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS p FROM doc, sizes WHERE len(w) >= size)),
+found AS (SELECT doc_id, item_id, g.size, p FROM grams g JOIN windows USING (size, gram)),
+hit AS (
+    SELECT doc_id, count(DISTINCT q) AS n_hit
+    FROM (SELECT doc_id, unnest(range(p, p + size)) AS q FROM found) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@register("op7_decontamination", OP7_SQL)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each document occurs in benchmark items, and in which."""
+    found = decontamination.scan(
+        read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        decontamination.is_contaminated().alias("contaminated"),
+    )
+
+
 @register("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the multilingual rank file, and the bytes they decode to."""
