@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, token_files
+from ledgerloom.llm import bpe, decontamination, token_files, url_filter, warc
 from ledgerloom.llm.common import read_table
 from ledgerloom.session import scratch_path
 
@@ -91,6 +91,42 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP9_SQL = """
+WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+first_copy AS (SELECT body, min(page_id) AS first_id FROM page WHERE strlen(body) >= 100 GROUP BY body)
+SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to
+FROM page LEFT JOIN first_copy USING (body)
+"""
+
+
+@register("op9_warc", OP9_SQL)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as read back from web archives: payloads hashed again, repeats as revisits."""
+    root = scratch_path(spark, "warc")
+    warc.write(read_table(spark, sf_dir, "pages"), root)
+    found = warc.read(spark, root).where(F.col("record_type").isin("response", "revisit"))
+    stored = F.col("record_type") == "response"
+    return found.select(
+        F.col("headers")["x-page-id"].cast("long").alias("page_id"),
+        F.when(stored, F.octet_length("payload")).otherwise(F.col("headers")["x-payload-length"]).cast("long").alias(
+            "payload_bytes"
+        ),
+        F.when(stored, F.sha2("payload", 256))
+        .otherwise(F.regexp_extract("payload_digest", "^sha256:(.*)$", 1))
+        .alias("payload_digest"),
+        "record_type",
+        F.col("headers")["x-refers-to-page"].cast("long").alias("refers_to"),
+    )
+
+
+@register("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url: the longest fitting rule's, else the boosted trees'."""
+    return url_filter.judge(read_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
 @register("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the multilingual rank file, and the bytes they decode to."""
