@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, token_files, url_filter, warc
-from ledgerloom.llm.common import read_table
+from ledgerloom.llm import bpe, decontamination, language_id, token_files, toxicity, url_filter, warc
+from ledgerloom.llm.common import crc_remainder, read_table
 from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,28 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents whose fold is not 2."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels whose fold is not 0."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_remainder(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
 OP9_SQL = """
 WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 first_copy AS (SELECT body, min(page_id) AS first_id FROM page WHERE strlen(body) >= 100 GROUP BY body)
