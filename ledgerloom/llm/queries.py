@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, language_id, token_files, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, decontamination, language_id, minhash, token_files, toxicity, url_filter, warc
 from ledgerloom.llm.common import crc_remainder, read_table
 from ledgerloom.session import scratch_path
 
@@ -31,6 +31,35 @@ def register(name: str, oracle: str | None = None):
     return wrap
 
 
+OP1_SQL = r"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM word WHERE len(w) > 0)),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+    FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+link AS (
+    SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b
+    WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.other)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN size USING (doc_id)
+"""
+
+
+@register("op1_minhash", OP1_SQL)
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: three-word shingles, similarity 0.85."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 @register("op2_token_files")
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as read back from binary id files in ascending doc_id order."""
