@@ -13,8 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, decontamination, language_id, minhash, token_files, toxicity, url_filter, warc
-from ledgerloom.llm.common import crc_remainder, read_table
+from ledgerloom.llm import bpe, chat_format, decontamination, language_id, minhash, token_files, toxicity, url_filter, warc
+from ledgerloom.llm.common import crc_remainder, prepare, read_table, staged
 from ledgerloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,6 +142,47 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP6_SQL = r"""
+WITH turn AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+part AS (
+    SELECT *, length(role || text) + length(regexp_replace(role || text, '[^\\\[\]<]', '', 'g'))
+              + 8 + CASE WHEN role = 'assistant' THEN 5 ELSE 8 END AS chars
+    FROM turn)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM part GROUP BY conv_id
+"""
+
+
+@register("op6_chat_format", OP6_SQL)
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations through mixed JSON layouts, canonical turns and the chat template, read back."""
+    prepare(spark)
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    records = chat_format.as_records(rows, "conv_id", "turn")
+    turns = chat_format.canonical_turns(records).select("conv_id", "turns")
+    formatted = staged(chat_format.format_turns(turns, "conv_id"), "chat-format")
+    back = formatted.withColumn("turns", chat_format.parse_turns(F.col("formatted"))).withColumn(
+        "loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))
+    )
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 OP9_SQL = """
 WITH page AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 first_copy AS (SELECT body, min(page_id) AS first_id FROM page WHERE strlen(body) >= 100 GROUP BY body)
