@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, decontamination, language_id, minhash, token_files, toxicity, url_filter, warc
+from ledgerloom.llm import bpe, chat_format, decontamination, language_id, minhash, spotsigs, token_files, toxicity, url_filter, warc
 from ledgerloom.llm.common import crc_remainder, prepare, read_table, staged
 from ledgerloom.session import scratch_path
 
@@ -142,6 +142,21 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op5_spotsigs")
+def op5_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts."""
+    found = spotsigs.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 OP6_SQL = r"""
 WITH turn AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
