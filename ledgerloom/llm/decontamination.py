@@ -31,13 +31,13 @@ _TABLE = bytes(
 )
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
-MATCH_FIELDS = [
-    T.StructField("n_words", T.LongType()),
-    T.StructField("n_hit", T.LongType()),
-    T.StructField("hit_spans", T.ArrayType(T.ArrayType(T.LongType()))),
-    T.StructField("hit_items", T.ArrayType(T.StringType())),
-    T.StructField("clean_text", T.StringType()),
-]
+MATCH_FIELDS = {
+    "n_words": T.LongType(),
+    "n_hit": T.LongType(),
+    "hit_spans": T.ArrayType(T.ArrayType(T.LongType())),
+    "hit_items": T.ArrayType(T.StringType()),
+    "clean_text": T.StringType(),
+}
 
 
 def words_of(text: str) -> list[bytes]:
@@ -196,76 +196,85 @@ def scan(
     item_text: str = "text",
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
+    prefix: str = "",
 ) -> DataFrame:
-    """Append what of each document occurs in the items.
+    """Append what of each document occurs in the items; the new columns' names follow ``prefix``.
 
     ``n_words``; ``n_hit``, words inside an occurrence of a window; ``hit_spans``,
     their half-open word ranges; ``hit_items``, ids (as text, sorted) of the items
     with an occurring window; ``clean_text``, the text without the spans.  A null or
     empty text has no words, a null or empty item no window; an item without an
     id hits words but is not listed; repeated rows count each for itself; columns
-    of the same names are replaced.  No items or no documents: nothing is hit.
+    of the new names are replaced.  No items or no documents: nothing is hit.
     """
     spark = prepare(docs.sparkSession)
-    out = docs.drop(*(f.name for f in MATCH_FIELDS))
-    if text in docs.columns and text not in out.columns:
+    fields = [T.StructField(prefix + name, kind) for name, kind in MATCH_FIELDS.items()]
+    if text in (f.name for f in fields):
         raise ValueError(f"column {text} has the name of a result column")
+    kept = docs.drop(*(f.name for f in fields))
+    schema = T.StructType([*kept.schema.fields, *fields])
+    out = kept
     for k, block in enumerate(blocks(items, item_id, item_text, block_words)):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        out = out.mapInArrow(_pass(shared, text, first=k == 0), T.StructType([
-            *(f for f in out.schema.fields if f not in MATCH_FIELDS), *MATCH_FIELDS
-        ]))
+        out = out.mapInArrow(_pass(shared, text, [f.name for f in fields], first=k == 0), schema)
     return out
 
 
-def _pass(shared, text: str, first: bool):
+def _pass(shared, text: str, fields: list[str], first: bool):
     """One block's pass over the documents; later passes add to what earlier ones found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = shared.value
         for batch in batches:
-            names = batch.schema.names
-            texts = strings(batch.column(names.index(text)))
+            kept = [x for x in batch.schema.names if x not in fields]
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
             n_words, n_hit, all_spans, all_items, clean = [], [], [], [], []
-            for i, value in enumerate(texts):
+            for i, value in enumerate(strings(columns[text])):
                 words = words_of(value)
                 spans, found = automaton.matches(words)
                 if not first:
-                    spans = merged(spans + batch.column(names.index("hit_spans"))[i].as_py())
-                    found.update(batch.column(names.index("hit_items"))[i].as_py())
+                    spans = merged(spans + columns[fields[2]][i].as_py())
+                    found.update(columns[fields[3]][i].as_py())
                 n_words.append(len(words))
                 n_hit.append(sum(b - a for a, b in spans))
                 all_spans.append(spans)
                 all_items.append(sorted(found))
                 clean.append(without(value, spans))
-            kept = [x for x in names if first or x not in {f.name for f in MATCH_FIELDS}]
             yield pa.RecordBatch.from_arrays(
                 [
-                    *(batch.column(names.index(x)) for x in kept),
+                    *(columns[x] for x in kept),
                     pa.array(n_words, pa.int64()),
                     pa.array(n_hit, pa.int64()),
                     pa.array(all_spans, pa.list_(pa.list_(pa.int64()))),
                     pa.array(all_items, pa.list_(pa.string())),
                     pa.array(clean, pa.string()),
                 ],
-                [*kept, *(f.name for f in MATCH_FIELDS)],
+                [*kept, *fields],
             )
 
     return run
 
 
-def is_contaminated(coverage: int = 20) -> Column:
+def is_contaminated(coverage: int = 20, prefix: str = "") -> Column:
     """At least one word in ``coverage`` is hit."""
-    return (F.col("n_hit") > 0) & (F.col("n_hit") * coverage >= F.col("n_words"))
+    hit = F.col(f"{prefix}n_hit")
+    return (hit > 0) & (hit * coverage >= F.col(f"{prefix}n_words"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", coverage: int = 20, **how) -> DataFrame:
-    """Documents without those over the coverage limit; spans of at least a window go from the rest.
+def decontaminate(
+    docs: DataFrame, items: DataFrame, text: str = "text", coverage: int = 20, cut: bool = False, **how
+) -> DataFrame:
+    """Documents whose hit words stay under the coverage limit, unchanged.
 
-    Results keep the columns of ``docs``.  A document under the coverage limit
-    keeps its row, with ``text`` as it is unless spans were hit in it.
+    A document over the limit goes, or with ``cut`` stays without its hit spans.
+    Columns are those of ``docs``, whatever their names; clean documents keep
+    their text as it is.
     """
-    found = scan(docs, items, text=text, **how).where(~is_contaminated(coverage))
-    return found.withColumn(text, F.when(F.col("n_hit") > 0, F.col("clean_text")).otherwise(F.col(text))).select(
-        docs.columns
-    )
+    prefix = "decontaminate_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    found = scan(docs, items, text=text, prefix=prefix, **how)
+    over = is_contaminated(coverage, prefix)
+    if not cut:
+        return found.where(~over).select(docs.columns)
+    return found.withColumn(text, F.when(over, F.col(f"{prefix}clean_text")).otherwise(F.col(text))).select(docs.columns)

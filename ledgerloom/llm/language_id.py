@@ -157,8 +157,8 @@ def decode(model: Model, margins: np.ndarray) -> np.ndarray:
     return score / score.sum(axis=1, keepdims=True)
 
 
-def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Append ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` to every row.
+def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
+    """Append ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``, each after ``prefix``, to every row.
 
     A null text, or one without a letter, is ``und`` with score 0 and ambiguous;
     so is every text where no language was learned.  Ties go to the language that
@@ -166,7 +166,11 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """
     spark = prepare(df.sparkSession)
     shared = spark.sparkContext.broadcast(model)
-    out = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
+    out = [
+        T.StructField(f"{prefix}lang_pred", T.StringType()),
+        T.StructField(f"{prefix}score", T.DoubleType()),
+        T.StructField(f"{prefix}ambiguous", T.BooleanType()),
+    ]
     kept = df.drop(*(f.name for f in out))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,6 +208,6 @@ def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool]]:
     ]
 
 
-def is_rejected(least: float = 0.0) -> Column:
+def is_rejected(least: float = 0.3, prefix: str = "") -> Column:
     """No language, or one with a score under ``least``."""
-    return (F.col("lang_pred") == UNDETERMINED) | (F.col("score") < least)
+    return (F.col(f"{prefix}lang_pred") == UNDETERMINED) | (F.col(f"{prefix}score") < least)

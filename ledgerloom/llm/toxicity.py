@@ -179,15 +179,15 @@ def fit(
     return Model(np.array(list(weights), np.int64), np.array(list(weights.values()), np.float32), bias)
 
 
-def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """Append ``score``, the probability of the label, from the whole text of every row.
+def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
+    """Append ``out``, the probability of the label, from the whole text of every row.
 
-    A null or empty text has the score of the bias alone; a column ``score`` is
-    replaced.
+    A null or empty text has the score of the bias alone; a column of the name
+    ``out`` is replaced, every other one passes through.
     """
     spark = prepare(df.sparkSession)
     shared = spark.sparkContext.broadcast(model)
-    kept = df.drop("score")
+    kept = df.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, hasher = shared.value, Hasher()
@@ -198,10 +198,10 @@ def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             for a, b in slices(texts):
                 sums.append(raw_scores(hasher, table, texts[a:b]) + model.bias)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(sigmoid(np.concatenate(sums)), pa.float64())], [*batch.schema.names, "score"]
+                [*batch.columns, pa.array(sigmoid(np.concatenate(sums)), pa.float64())], [*batch.schema.names, out]
             )
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def raw_scores(hasher: Hasher, table: np.ndarray, texts: list[str]) -> np.ndarray:
