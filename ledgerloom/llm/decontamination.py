@@ -26,9 +26,7 @@ WINDOW = 13
 BLOCK_WORDS = 200_000
 
 # bytes of words stay (A-Z in lower case), all others become blanks
-_TABLE = bytes(
-    ord(chr(b).lower()) if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256)
-)
+_TABLE = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 MATCH_FIELDS = {

@@ -1,0 +1,108 @@
+"""Near-duplicate groups against brute force over all pairs."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.llm import minhash as m
+
+
+def brute(docs, words, percent):
+    """{doc_id: (n_shingles, component)} by comparing all pairs of (doc_id, text)."""
+    sets = [(k, m.shingles_of(t or "", words)) for k, t in docs]
+    group = {k: k for k, _ in docs if k is not None}
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if None not in (a, b) and x and y and 100 * len(x & y) >= percent * len(x | y):
+                low, high = sorted((find(a), find(b)))
+                group[high] = low
+    return sorted((k if k is not None else -1, len(s), find(k) if k is not None else -1) for k, s in sets)
+
+
+def result(df):
+    return sorted(
+        (r.doc_id if r.doc_id is not None else -1, r.n_shingles, r.component_id if r.component_id is not None else -1)
+        for r in df.collect()
+    )
+
+
+def corpus(seed, n=60):
+    """Chains of edited copies, so that components are longer than one link."""
+    draw = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(400)]
+    docs = []
+    for i in range(n):
+        if docs and draw.random() < 0.7:
+            words = (draw.choice(docs)[1] or "x").split()
+            for _ in range(draw.randint(0, 2)):
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+        else:
+            words = [draw.choice(vocabulary) for _ in range(draw.choice([1, 2, 3, 4, 20, 60]))]
+        docs.append((i * 7 % n, " ".join(words)))
+    return docs
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
+def test_groups_match_brute_force(rows, words, percent):
+    docs = corpus(words)
+    docs += [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "same  words HERE now"), (1004, "Same words\nhere NOW"), (1004, "Same words\nhere NOW")]
+    docs += [(1005, "É é"), (1006, "é é"), (1007, "long " * 5000), (1008, "long " * 4000), (None, "same words here now")]
+    df = rows("doc_id long, text string, component_id int, node string", [(*d, 5, "x") for d in docs])
+    got = m.near_duplicates(df, words=words, percent=percent)
+    assert result(got) == brute(docs, words, percent)
+    kept = {r.doc_id for r in got.where("kept").collect()}
+    assert kept == {c for _, _, c in brute(docs, words, percent) if c >= 0} | {None}
+
+
+def test_rows_of_one_key_join_their_groups(rows):
+    text = lambda tag: " ".join(f"{tag}{i}" for i in range(30))
+    docs = [(1, text("a")), (2, text("a")), (2, text("b")), (3, text("b")), (3, text("c")), (4, text("c")), (5, text("d"))]
+    got = m.near_duplicates(rows("doc_id long, text string", docs), words=3, percent=85)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 5}
+
+
+def test_large_group_of_near_copies_makes_few_pairs(rows):
+    """A hub of 300 different near copies: the pivot links them with about one pair each."""
+    base = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(base[:i] + [f"x{i}"] + base[i + 1 :])) for i in range(150)] + [(900, " ".join(base))]
+    df = rows("doc_id long, text string", docs)
+    got = m.near_duplicates(df, words=3, percent=85)
+    assert {r.component_id for r in got.collect()} == {0}
+    plan = m.Plan(3, 85)
+    reps = m.signatures(df, plan, "doc_id", "text").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "signature")
+    members = m.bucket_members(reps, plan)
+    assert m.pivot_pairs(members, plan).count() < 10 * len(docs)
+
+
+def test_empty_table(rows):
+    df = rows("doc_id long, text string", [])
+    assert m.near_duplicates(df).count() == 0
+    assert m.near_duplicates(rows("doc_id long, text string", [(1, None)])).collect()[0].component_id == 1
+
+
+def test_posterior_bound_keeps_pairs_at_the_threshold():
+    plan = m.Plan(3, 85)
+    rng = np.random.default_rng(0)
+    right = rng.integers(0, 2**16, (20_000, plan.hashes), dtype=np.uint16)
+    for similarity, least, most in ((0.85, 0.9995, 1.0), (0.5, 0.0, 0.05)):
+        left = np.where(rng.random(right.shape) < similarity, right, right + 1).astype(np.uint16)
+        share = len(m.posterior_survivors(left, right, plan)) / len(right)
+        assert least <= share <= most
+    needed = [least / n for n, least in plan.least_matches()]
+    assert needed == sorted(needed) and plan.least_matches()[-1][0] == plan.hashes
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 140)] + [(7, i) for i in range(8, 60)] + [(3, 7), (200, 200)]
+    got = m.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    want = {i: 100 for i in range(100, 141)} | {i: 3 for i in [3, *range(7, 60)]}
+    assert {r.node: r.component for r in got.collect()} == want
+    assert m.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
