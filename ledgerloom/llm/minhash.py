@@ -373,7 +373,7 @@ def near_duplicates(
     components = staged(connected_components(joined), "components")
     return (
         placed.join(components, "node", "left")
-        .withColumn("component_id", F.coalesce("component", "node", "doc_id"))
+        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "node", "doc_id")))
         .select(
             "doc_id",
             "n_shingles",
