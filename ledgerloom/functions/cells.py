@@ -91,6 +91,11 @@ _FIXED_WIDTH = {
 }
 
 
+def fixed_row_bytes(fields: int) -> int:
+    """Least size of a row in Spark's binary layout: a slot per field and the null bitmap."""
+    return 8 * fields + 8 * ((fields + 63) // 64)
+
+
 def unsafe_row_bytes(schema: T.StructType) -> Column:
     """Exact in-memory size of a row in Spark's binary row layout.
 
@@ -98,9 +103,7 @@ def unsafe_row_bytes(schema: T.StructType) -> Column:
     variable-length payload (strings, binaries, nested values) rounded up to
     8 bytes.  Used to prove a broadcast side fits before broadcasting it.
     """
-    n = len(schema.fields)
-    fixed = 8 * n + 8 * ((n + 63) // 64)
-    total: Column = F.lit(fixed).cast("long")
+    total: Column = F.lit(fixed_row_bytes(len(schema.fields))).cast("long")
     for field in schema.fields:
         dt = field.dataType
         c = F.col(f"`{field.name}`")

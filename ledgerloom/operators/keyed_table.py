@@ -5,34 +5,35 @@ A keyed table is a folder of immutable Parquet *segments* plus a commit log:
     <root>/seg-<id>/part-*.parquet        data, never rewritten in place
                                           (bucketed: <root>/data/_seg=<id>/)
     <root>/_log/<n>.json                  version n: the schema, one line per live
-                                          segment (or single file), an end line
+                                          segment, an end line
     <root>/_pins/*.json                   segments shared with clones
 
 A version lists the segments that make up the table; the highest version is
 current.  Writers only add files, and a version becomes visible only after
 its data is fully written, so a failed job (or a lost executor, which Spark
 retries) never leaves a half-written table behind, and a plan that reads the
-table while a new version is written keeps reading its own version.  Log
-files are created through Hadoop's FileSystem (any scheme Spark reads) with
-an exclusive create, so two writers cannot publish the same version; a log
-file without its end line (a writer died mid-commit) is skipped by readers.
+table while a new version is written keeps reading its own version.  A log
+file is written under a private name and renamed without overwriting, so it is
+complete or absent, and of two writers of one version the second gets a conflict.
 
 Operations and what they cost at scale:
 
-* ``append`` (insert-if-absent): the batch's keys are matched against the
-  *key column only* of the stored table (no shuffle of the stored table when
-  it is bucketed or the batch keys are measured small) and only new rows are
-  written, once; stored data is never rewritten.
-* ``append(on_conflict="replace")`` and ``update``: only the files (plain
-  tables) or segments (bucketed tables) that hold an affected row are
-  rewritten (copy-on-write).
-* ``overwrite``: one new segment replaces the table.
+* ``append`` (insert-if-absent): the batch is staged once and its keys are
+  validated whole; they are matched against the *key column only* of the stored
+  table (no shuffle of the stored table when it is bucketed or the staged keys
+  are measured small).  A batch without conflicts is committed as staged, one
+  without new rows commits nothing.  The result does not depend on the sizes.
+* ``append(on_conflict="replace")`` and ``update`` write only the new or changed
+  rows, as a segment of a later *generation*; reading drops older rows of its
+  keys with an anti join (no shuffle when bucketed).  Stored data stays.
+* ``overwrite``: one new segment replaces the table (and folds generations).
 * ``scan``: a plain Parquet scan over the live segments; filters and column
   pruning reach the files.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -40,6 +41,7 @@ import time
 import urllib.parse
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +51,6 @@ from ledgerloom.operators.layout import (
     DEFAULT_BROADCAST_BYTES,
     broadcast_bound,
     broadcast_if_small,
-    measure_bounded,
 )
 
 _LOG = "_log"
@@ -57,8 +58,7 @@ _LOG_FILE = re.compile(r"^(\d{8})\.json$")
 _LOG_END = {"end": True}
 _PINS = "_pins"
 _SEG = "_seg"  # partition column of bucketed tables: one partition per segment
-# Spark names bucketed files "part-..._<bucket>.c000....parquet"
-_BUCKET_FILE = re.compile(r"^[^_.].*_(\d+)(?:\..*)?$")
+_GENERATION = "_generation"
 _SEGMENT_PREFIX = "seg-"
 
 
@@ -80,11 +80,39 @@ def _normalise(path: str) -> str:
 
 def _ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder (a table location must exist before it is scanned)."""
+    fs, hpath = _hadoop_fs(spark, path)
+    fs.mkdirs(hpath)
+
+
+def _write_once(spark: SparkSession, path: str, payload: bytes) -> bool:
+    """Write a whole file that must not exist yet; False if it does.
+
+    The bytes go to a private name first and are renamed without overwriting, so
+    ``path`` is complete or absent.  Errors other than "it exists" are raised.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, target = _hadoop_fs(spark, path)
+    _, private = _hadoop_fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    fs.mkdirs(target.getParent())
+    out = fs.create(private, False)
+    try:
+        out.write(bytearray(payload))
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()
+    )
     try:
-        fs, hpath = _hadoop_fs(spark, path)
-        fs.mkdirs(hpath)
-    except Exception:  # noqa: BLE001  - the first write creates it anyway
-        pass
+        context.rename(fs.makeQualified(private), fs.makeQualified(target), options)
+    except Py4JJavaError as exc:
+        fs.delete(private, False)
+        if exc.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
 
 
 class KeyedTableError(ValueError):
@@ -122,8 +150,11 @@ class KeyedTable:
         self.replicated_bytes = replicated_bytes
         self._replicated_fit: tuple[int, bool] | None = None
         self._version: int | None = None
-        self._claimed = 0
         self._segments: list[str] | None = None
+        # generation of each live segment: 0, or higher for rows that replace older ones
+        self._generations: dict[str, int] = {}
+        self._later_keys: tuple[int, DataFrame] | None = None
+        self._partitions: set[str] = set()
         # the table schema, recorded in every log version: segments are read
         # with it, so no Parquet footer has to be sampled to infer it
         self._schema: T.StructType | None = None
@@ -144,22 +175,14 @@ class KeyedTable:
         return f"{self._log_path()}/{version:08d}.json"
 
     def _load_log(self) -> None:
-        """Newest committed version from a listing of the log folder (metadata only)."""
-        fs, folder = _hadoop_fs(self.spark, self._log_path())
-        claimed = []
-        if fs.exists(folder):
-            claimed = sorted(
-                int(m.group(1))
-                for status in fs.listStatus(folder)
-                if (m := _LOG_FILE.match(status.getPath().getName()))
-            )
-        self._claimed = claimed[-1] if claimed else 0
-        for version in reversed(claimed):
-            entries = self._read_version(version)
-            if entries is not None:
+        """Newest version from a listing of the log folder (metadata only)."""
+        versions = self._log_versions()
+        version, entries = 0, []
+        for newest in reversed(versions):
+            found = self._read_version(newest)
+            if found is not None:
+                version, entries = newest, found
                 break
-        else:
-            version, entries = 0, []
         schema_lines = [e["schema"] for e in entries if "schema" in e]
         self._schema = T.StructType.fromJson(schema_lines[0]) if schema_lines else None
         entries = [e for e in entries if "segment" in e]
@@ -171,9 +194,24 @@ class KeyedTable:
             self._replicated = self._replicated or any(e.get("replicated") for e in entries)
         self._version = version
         self._segments = sorted(e["segment"] for e in entries if e.get("segment"))
+        self._generations = {e["segment"]: e.get("generation", 0) for e in entries if e.get("segment")}
+
+    def _log_versions(self) -> list[int]:
+        fs, folder = _hadoop_fs(self.spark, self._log_path())
+        if not fs.exists(folder):
+            return []
+        return sorted(
+            int(m.group(1)) for status in fs.listStatus(folder) if (m := _LOG_FILE.match(status.getPath().getName()))
+        )
+
+    def refresh(self) -> "KeyedTable":
+        """Forget the version read so far; the next use reads the newest one."""
+        self._version = self._segments = self._schema = self._later_keys = None
+        self._generations = {}
+        return self
 
     def _read_version(self, version: int) -> list[dict] | None:
-        """Entries of one log file, or None if it was never completed."""
+        """Entries of one log file, or None if it is not complete (none that this class writes)."""
         fs, path = _hadoop_fs(self.spark, self._log_file(version))
         stream = fs.open(path)
         try:
@@ -201,36 +239,28 @@ class KeyedTable:
     def exists(self) -> bool:
         return bool(self.segments())
 
-    def _commit(self, segments: list[str], schema: T.StructType | None = None) -> int:
-        """Publish a new version listing ``segments``.
+    def _commit(self, segments: list[str], schema: T.StructType | None = None,
+                generations: dict[str, int] | None = None) -> int:
+        """Publish the version after the one this object read, listing ``segments``.
 
-        The version number is claimed with an exclusive create, numbered above
-        every file already in the log (committed or left incomplete by a
-        writer that died).  If another writer claimed it since this table
-        object read the log, the operation fails instead of publishing a
-        stale segment list.
+        If another writer published (or holds) that version, nothing is published:
+        the object forgets what it read, so that a retry builds on the newest one.
         """
-        self.version()
-        version = max(self._version or 0, self._claimed) + 1
+        version = self.version() + 1
+        generations = {s: g for s, g in (self._generations | (generations or {})).items() if s in segments}
         schema = schema or self._schema or self._written_schema
         header = [{"schema": schema.jsonValue()}] if schema is not None else []
         lines = header + [
-            {"segment": s, "buckets": self.buckets or 0, "replicated": self._replicated} for s in segments
+            {"segment": s, "buckets": self.buckets or 0, "replicated": self._replicated,
+             "generation": generations.get(s, 0)}
+            for s in segments
         ] + [_LOG_END]
         payload = "".join(json.dumps(line) + "\n" for line in lines).encode("utf-8")
-        fs, path = _hadoop_fs(self.spark, self._log_file(version))
-        try:
-            out = fs.create(path, False)
-        except Exception as exc:  # noqa: BLE001  - the file exists: lost the race
-            raise KeyedTableConflict(
-                f"version {version} of {self.root} was claimed by another writer; retry"
-            ) from exc
-        try:
-            out.write(bytearray(payload))
-        finally:
-            out.close()
-        self._version, self._claimed, self._segments = version, version, sorted(segments)
-        self._schema = schema
+        if not _write_once(self.spark, self._log_file(version), payload):
+            self.refresh()
+            raise KeyedTableConflict(f"version {version} of {self.root} was claimed by another writer; retry")
+        self._version, self._segments, self._schema = version, sorted(segments), schema
+        self._generations = generations
         return version
 
     # ------------------------------------------------------------- segments
@@ -250,40 +280,50 @@ class KeyedTable:
         return name
 
     def _path(self, entry: str) -> str:
-        # a log entry is a segment folder under this table, one file of such a
-        # folder ("seg-<id>/part-....parquet", left after a file-level rewrite),
-        # or an absolute path shared with another table (see ``clone_from``)
+        # a log entry is a segment folder under this table, or an absolute path
+        # shared with another table (see ``clone_from``)
         if _is_absolute(entry):
             return entry
         if self.buckets:
             return f"{self.root}/data/{_SEG}={entry}"
         return f"{self.root}/{entry}"
 
-    def _entry_files(self, entry: str) -> list[tuple[str, str]]:
-        """``(entry, normalised path)`` for every data file a log entry covers."""
-        path = self._path(entry)
-        if entry.endswith(".parquet"):
-            return [(entry, _normalise(path))]
-        fs, folder = _hadoop_fs(self.spark, path)
-        names = sorted(
-            st.getPath().getName()
-            for st in fs.listStatus(folder)
-            if st.isFile() and not st.getPath().getName().startswith(("_", "."))
-        )
-        return [(f"{entry}/{n}", _normalise(f"{path}/{n}")) for n in names]
-
-    def _read(self, segments: list[str], schema: T.StructType | None = None) -> DataFrame:
+    def _stored(self, segments: list[str], schema: T.StructType | None = None) -> DataFrame:
+        """All rows of the segments, replaced ones included."""
         if self.buckets:
             return self._bucketed(segments).drop(_SEG)
         schema = schema or self._schema
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(*[self._path(s) for s in segments])
 
-    def _tagged(self, segments: list[str]) -> DataFrame:
-        """Rows with where they are stored: ``_segment`` (bucketed) or ``_file`` (plain)."""
+    def _read(self, segments: list[str]) -> DataFrame:
+        """The live rows: of a key's rows, those of the latest generation."""
+        later = [s for s in segments if self._generations.get(s, 0)]
+        if not later:
+            return self._stored(segments)
+        if self._later_keys is None or self._later_keys[0] != self.version():
+            keys = self._with_generation(later).select(
+                F.col(self.key).alias("_later_key"), F.col(_GENERATION).alias("_later")
+            )
+            # co-bucketed keys join without a shuffle; others are broadcast while measured small
+            self._later_keys = (self.version(), keys if self.buckets else broadcast_if_small(keys)[0])
+        rows, keys = self._with_generation(segments), self._later_keys[1]
+        replaced = (rows[self.key] == keys["_later_key"]) & (rows[_GENERATION] < keys["_later"])
+        return rows.join(keys, replaced, "left_anti").drop(_GENERATION)
+
+    def _with_generation(self, segments: list[str]) -> DataFrame:
+        """Stored rows and the generation of their segment."""
+        numbers = {s: self._generations.get(s, 0) for s in segments}
         if self.buckets:
-            return self._bucketed(segments).withColumnRenamed(_SEG, "_segment")
-        return self._read(segments).withColumn("_file", F.col("_metadata.file_path"))
+            later = {self._segment_name(s): g for s, g in numbers.items() if g}
+            lookup = F.create_map(*(F.lit(x) for pair in later.items() for x in pair))
+            generation = F.coalesce(F.element_at(lookup, F.col(_SEG)), F.lit(0))
+            return self._bucketed(segments).withColumn(_GENERATION, generation).drop(_SEG)
+        parts = [
+            self._stored([s for s in segments if numbers[s] == g]).withColumn(_GENERATION, F.lit(g))
+            for g in sorted(set(numbers.values()))
+        ]
+        return functools.reduce(DataFrame.unionByName, parts)
 
     @staticmethod
     def _segment_name(segment: str) -> str:
@@ -312,6 +352,7 @@ class KeyedTable:
                 # an overwrite changed the schema: the entry is external, so
                 # dropping it removes metadata only
                 self.spark.sql(f"DROP TABLE {name}")
+                self._partitions.clear()
         if not self.spark.catalog.tableExists(name):
             if schema is None:
                 live = self.segments()
@@ -333,26 +374,29 @@ class KeyedTable:
         """The live segments as one bucketed scan (partition pruning on ``_seg``)."""
         self._register()
         name = self._catalog_name()
-        known = {
-            r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect()
-        }
-        # one metadata statement for all live segments this session does not know yet
-        missing = [
-            f"PARTITION ({_SEG}='{self._segment_name(seg)}')"
-            + (f" LOCATION '{seg}'" if _is_absolute(seg) else "")
-            for seg in segments
-            if self._segment_name(seg) not in known
-        ]
+        # one metadata statement for the live segments this object has not registered yet
+        missing = [seg for seg in segments if self._segment_name(seg) not in self._partitions]
         if missing:
-            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(missing))
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(
+                f"PARTITION ({_SEG}='{self._segment_name(seg)}')"
+                + (f" LOCATION '{seg}'" if _is_absolute(seg) else "")
+                for seg in missing
+            ))
+            self._partitions.update(self._segment_name(seg) for seg in missing)
         values = [self._segment_name(s) for s in segments]
         return self.spark.table(name).where(F.col(_SEG).isin(values))
 
     # ----------------------------------------------------------- validation
+    def _with_key(self, df: DataFrame) -> DataFrame:
+        """The batch with its key column spelled as the table's key (names match in any case)."""
+        found = [c for c in df.columns if c.lower() == self.key.lower()]
+        if len(found) != 1:
+            raise KeyedTableError(f"batch has no key column {self.key!r}" if not found else f"key columns {found}")
+        return df if found[0] == self.key else df.withColumnRenamed(found[0], self.key)
+
     def _conform(self, df: DataFrame) -> DataFrame:
         """Match a batch to the stored table: same columns (any case), stored order and types."""
-        if self.key not in df.columns:
-            raise KeyedTableError(f"batch has no key column {self.key!r}")
+        df = self._with_key(df)
         if not self.exists():
             return df
         stored = self._current().schema
@@ -369,7 +413,7 @@ class KeyedTable:
         at the first offender.  A rejected segment is never committed, so no
         reader can see it.
         """
-        keys = self._read([segment], schema=self._written_schema).select(self.key)
+        keys = self._stored([segment], schema=self._written_schema).select(self.key)
         bad = (
             keys.groupBy(self.key)
             .agg(F.count(F.lit(1)).alias("_n"))
@@ -392,9 +436,7 @@ class KeyedTable:
     # --------------------------------------------------------------- writes
     def overwrite(self, df: DataFrame, validate: bool = True) -> int:
         """Replace the table with ``df`` (a new version with one segment)."""
-        if self.key not in df.columns:
-            raise KeyedTableError(f"batch has no key column {self.key!r}")
-        segment = self._write_checked(df, validate)
+        segment = self._write_checked(self._with_key(df), validate)
         return self._commit([segment], schema=self._written_schema)
 
     def append(self, df: DataFrame, on_conflict: str = "skip", validate: bool = True,
@@ -402,66 +444,46 @@ class KeyedTable:
         """Insert the batch's rows whose key is not in the table yet.
 
         ``on_conflict="skip"`` keeps the stored row for a key that already
-        exists (appending the same batch twice leaves the table unchanged);
-        ``"replace"`` stores the batch's row instead.  Null keys and repeated
-        keys among the rows written are rejected (``validate``).
-
-        Cost, by case (the stored table contributes its key column only):
-
-        * bucketed table: anti join in which only the batch is shuffled, into
-          the stored buckets; one write;
-        * plain table, batch keys measured within ``max_broadcast_bytes``: the
-          batch is written once as a staged segment, conflicts come from a
-          broadcast semi join (no shuffle of the stored table), and a batch
-          without conflicts is committed as staged;
-        * plain table, larger batch: one shuffle anti join; one write.
+        exists (appending the same batch twice leaves the table, and its version,
+        unchanged); ``"replace"`` stores the batch's row instead.  A batch with a
+        null key or a repeated key is rejected whole (``validate``), whether or
+        not the table holds that key.
+
+        The batch is computed and staged once, and everything else is decided on
+        the staged rows.  Their keys meet the stored table's key column: without a
+        shuffle of the table if it is bucketed, by broadcast while the staged keys
+        are measured within ``max_broadcast_bytes``, else by a shuffle join.  The
+        result is the same in all cases.
         """
         if on_conflict not in ("skip", "replace"):
             raise ValueError("on_conflict must be 'skip' or 'replace'")
-        df = self._conform(df)
+        staged = self._write_checked(self._conform(df), validate)
         current = self.segments()
         if not current:
-            segment = self._write_checked(df, validate)
-            return self._commit([segment], schema=self._written_schema)
-        if on_conflict == "replace":
-            return self._replace(df, current, validate)
-        stored_keys = self._read(current).select(self.key)
-        if self.buckets:
-            fresh = df.join(stored_keys, self.key, "left_anti")
-            return self._commit(current + [self._write_checked(fresh, validate)])
-        bound = broadcast_bound(self.spark, max_broadcast_bytes)
-        small = measure_bounded(df.select(self.key), bound).fits(bound)
-        if not small:
-            fresh = df.join(stored_keys, self.key, "left_anti")
-            return self._commit(current + [self._write_checked(fresh, validate)])
-        staged = self._write_checked(df, validate)
-        batch = self._read([staged])
-        # conflicts are a subset of the batch keys, so they share its size bound
-        conflicts = persist_batch(
-            stored_keys.join(F.broadcast(batch.select(self.key)), self.key, "left_semi")
-        )
+            return self._commit([staged], schema=self._written_schema)
+        batch = self._stored([staged])
+        keys = batch.select(self.key)
+        if not self.buckets:
+            keys, _ = broadcast_if_small(keys, max_broadcast_bytes)
+        conflicts = persist_batch(self._stored(current).select(self.key).join(keys, self.key, "left_semi").distinct())
         try:
             if conflicts.isEmpty():
-                return self._commit(current + [staged])
-            fresh = batch.join(F.broadcast(conflicts), self.key, "left_anti")
+                return self.version() if batch.isEmpty() else self._commit(current + [staged])
+            if on_conflict == "replace":
+                return self._commit_later(staged)
+            known, _ = (conflicts, False) if self.buckets else broadcast_if_small(conflicts, max_broadcast_bytes)
+            fresh = batch.join(known, self.key, "left_anti")
+            if fresh.isEmpty():
+                return self.version()
             return self._commit(current + [self._write_segment(fresh)])
         finally:
             conflicts.unpersist()
 
-    def _replace(self, df: DataFrame, current: list[str], validate: bool) -> int:
-        """Upsert: the batch is staged once; files (or segments) holding one of its keys are rewritten."""
-        staged = self._write_checked(df, validate)
-        batch = self._read([staged])
-        if self.buckets:
-            batch_keys = batch.select(self.key)  # co-bucketed: no shuffle
-        else:
-            batch_keys, _ = broadcast_if_small(batch.select(self.key), DEFAULT_BROADCAST_BYTES)
-        return self._rewrite(
-            touched_rows=self._tagged(current).join(batch_keys, self.key, "left_semi"),
-            rewrite=lambda old: old.join(batch_keys, self.key, "left_anti").unionByName(batch),
-            current=current,
-            staged=staged,
-        )
+    def _commit_later(self, segment: str) -> int:
+        """Publish a segment whose rows replace all stored rows of their keys."""
+        current = self.segments()
+        generation = 1 + max(self._generations.values(), default=0)
+        return self._commit(current + [segment], generations={segment: generation})
 
     def clone_from(self, other: "KeyedTable") -> int:
         """Make this (empty) table hold exactly ``other``'s current rows, copying no data.
@@ -480,7 +502,8 @@ class KeyedTable:
         self.buckets = other.buckets
         shared = [other._path(s) for s in other.segments()]
         other._pin(shared)
-        return self._commit(shared, schema=other._schema)
+        generations = {other._path(s): g for s, g in other._generations.items()}
+        return self._commit(shared, schema=other._schema, generations=generations)
 
     # ---------------------------------------------------------- maintenance
     def _pin(self, paths: list[str]) -> None:
@@ -523,14 +546,9 @@ class KeyedTable:
         """
         self._load_log()
         fs, folder = _hadoop_fs(self.spark, self._log_path())
-        committed = sorted(
-            (int(m.group(1)) for st in fs.listStatus(folder)
-             if (m := _LOG_FILE.match(st.getPath().getName()))),
-            reverse=True,
-        ) if fs.exists(folder) else []
         referenced: set[str] = set()
         kept_versions, oldest_kept = 0, None
-        for version in committed:
+        for version in reversed(self._log_versions()):
             entries = self._read_version(version)
             if entries is None:
                 continue
@@ -572,6 +590,7 @@ class KeyedTable:
                 fs.delete(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p), True)
             if self.buckets and removable and self.spark.catalog.tableExists(self._catalog_name()):
                 gone = [self._segment_name(p) for p in removable]
+                self._partitions.difference_update(gone)
                 self.spark.sql(
                     f"ALTER TABLE {self._catalog_name()} DROP IF EXISTS "
                     + ", ".join(f"PARTITION ({_SEG}='{g}')" for g in gone)
@@ -579,7 +598,10 @@ class KeyedTable:
         return removable
 
     def update(self, assignments: dict[str, Column | object], where: Column | str) -> int:
-        """``UPDATE t SET c = v, ... WHERE pred``; rows where ``pred`` is null stay as they are."""
+        """``UPDATE t SET c = v, ... WHERE pred``; rows where ``pred`` is null stay as they are.
+
+        Writes the changed rows only, as a segment of a later generation.
+        """
         pred = F.expr(where) if isinstance(where, str) else where
         current = self.segments()
         if not current:
@@ -594,56 +616,14 @@ class KeyedTable:
                 raise KeyedTableError("the key column cannot be updated")
             targets[lowered[name.lower()]] = value if isinstance(value, Column) else F.lit(value)
 
-        def apply(old: DataFrame) -> DataFrame:
-            hit = F.coalesce(pred, F.lit(False))
-            return old.select(
-                *[
-                    F.when(hit, targets[c]).otherwise(F.col(c)).cast(old.schema[c].dataType).alias(c)
-                    if c in targets
-                    else F.col(c)
-                    for c in columns
-                ]
-            )
-
-        return self._rewrite(
-            touched_rows=self._tagged(current).where(pred),
-            rewrite=apply,
-            current=current,
+        hit = self._current().where(pred)
+        changed = hit.select(
+            *[targets[c].cast(hit.schema[c].dataType).alias(c) if c in targets else F.col(c) for c in columns]
         )
-
-    def _rewrite(self, touched_rows: DataFrame, rewrite, current: list[str],
-                 staged: str | None = None) -> int:
-        """Copy-on-write of the storage units that hold a touched row.
-
-        Plain tables rewrite at file granularity: only the Parquet files that
-        hold a touched row are read and rewritten, and the untouched files of
-        a partly touched segment stay in the new version by name.  Bucketed
-        tables rewrite whole segments (a catalog partition cannot leave out
-        single files).  The touched set is metadata-sized (one name per file
-        or segment).  ``staged`` is an already written segment of new rows,
-        committed as it is when nothing is touched.
-        """
-        unit = "_segment" if self.buckets else "_file"
-        touched = {r[unit] for r in touched_rows.select(unit).distinct().collect()}
-        if not touched:
-            if staged is None:
-                return self.version()
-            return self._commit(current + [staged])
-        if self.buckets:
-            kept = [s for s in current if self._segment_name(s) not in touched]
-            rewritten = rewrite(self._read([s for s in current if self._segment_name(s) in touched]))
-            return self._commit(kept + [self._write_segment(rewritten)])
-        touched = {_normalise(f) for f in touched}
-        kept, rewrite_files = [], []
-        for entry in current:
-            files = self._entry_files(entry)
-            if not any(path in touched for _, path in files):
-                kept.append(entry)
-                continue
-            kept.extend(e for e, path in files if path not in touched)
-            rewrite_files.extend(e for e, path in files if path in touched)
-        rewritten = rewrite(self._read(rewrite_files))
-        return self._commit(kept + [self._write_segment(rewritten)])
+        segment = self._write_segment(changed)
+        if self._stored([segment]).isEmpty():
+            return self.version()
+        return self._commit_later(segment)
 
     # ---------------------------------------------------------------- reads
     def _current(self) -> DataFrame:
@@ -674,34 +654,24 @@ class KeyedTable:
         """Read-through point lookup: the row for ``key_value`` or an empty frame.
 
         Plain tables prune Parquet row groups with the key's min/max
-        statistics (files are sorted by key).  Bucketed tables read only the
-        one bucket file per segment that can hold the key: the bucket is
-        Spark's own ``pmod(hash(key), buckets)``, evaluated on the driver.
+        statistics (files are sorted by key).  Bucketed tables list and read only
+        the one bucket file per segment that can hold the key (Spark's own
+        ``pmod(hash(key), buckets)``), until rows have been replaced: then the
+        lookup is a filter on the current rows.
         """
         match = F.col(self.key) == F.lit(key_value)
-        if not self.buckets:
+        if not self.buckets or any(self._generations.values()):
             return self._current().where(match).limit(1)
-        files = self._bucket_files(self._bucket_of(key_value))
-        if not files:
-            return self.spark.createDataFrame([], self._current().schema)
+        # Spark names a bucket's files "part-..._<bucket>.c000....parquet"
         schema = self._schema or self._current().schema
-        return self.spark.read.schema(schema).parquet(*files).where(match).limit(1)
+        one = self.spark.read.schema(schema).option("pathGlobFilter", f"*_{self._bucket_of(key_value):05d}.c*")
+        return one.parquet(*[self._path(s) for s in self.segments()]).where(match).limit(1)
 
     def _bucket_of(self, key_value) -> int:
         key_type = self._current().schema[self.key].dataType
         bucket = F.pmod(F.hash(F.lit(key_value).cast(key_type)), F.lit(self.buckets))
         return int(self.spark.range(1).select(bucket.alias("b")).first()["b"])
 
-    def _bucket_files(self, bucket: int) -> list[str]:
-        files = []
-        for entry in self.segments():
-            fs, folder = _hadoop_fs(self.spark, self._path(entry))
-            for st in fs.listStatus(folder):
-                m = _BUCKET_FILE.match(st.getPath().getName())
-                if m and int(m.group(1)) == bucket:
-                    files.append(st.getPath().toString())
-        return files
-
     def lookup_many(self, keys: DataFrame, key_column: str | None = None) -> DataFrame:
         """Rows for every key present in ``keys`` (semi join; no driver-side key list).
 

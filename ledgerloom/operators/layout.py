@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cells import unsafe_row_bytes
+from ledgerloom.functions.cells import fixed_row_bytes, unsafe_row_bytes
 
 # Upper bound for a replicated (broadcast) join side.  Spark's own hard limit
 # is 8 GiB per broadcast; the driver builds the relation and every executor
@@ -62,65 +62,31 @@ def plan_text(df: DataFrame, mode: str = "extended") -> str:
 
 @dataclass
 class SideSize:
-    rows: int | None
-    bytes: int | None
-    input_bytes: int | None
+    rows: int
+    bytes: int | None  # None: not computed, the rows alone are over the bound
 
     def fits(self, max_bytes: int) -> bool:
         return self.bytes is not None and self.bytes <= max_bytes
 
 
-# Up to this many input files, their sizes are summed on the driver (file
-# metadata only); beyond it a distributed listing job does it.
-_DRIVER_STAT_FILES = 256
-
-
-def _driver_file_bytes(spark, files: list[str]) -> int | None:
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        total = 0
-        for f in files:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            total += path.getFileSystem(conf).getFileStatus(path).getLen()
-        return total
-    except Exception:  # noqa: BLE001  - no JVM access: use the listing job
-        return None
-
-
-def _input_bytes(df: DataFrame) -> int | None:
-    files = df.inputFiles()
-    if not files:
-        return None
-    if len(files) <= _DRIVER_STAT_FILES:
-        total = _driver_file_bytes(df.sparkSession, files)
-        if total is not None:
-            return total
-    total = (
-        df.sparkSession.read.format("binaryFile")
-        .load(files)
-        .agg(F.sum("length").alias("n"))
-        .first()["n"]
-    )
-    return int(total or 0)
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``'s plan: for a scan, the bytes of its files."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def measure_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> SideSize:
-    """Size of ``df`` as rows and exact in-memory bytes, without reading big inputs.
+    """Size of ``df`` as rows and exact in-memory bytes; no bytes if its rows rule out the bound.
 
-    1. File-backed inputs: sum the sizes of the files the plan reads (a
-       listing, no data read).  Compressed bytes on disk already above the
-       bound means the in-memory rows are too: stop there.
-    2. Otherwise one aggregation computes the exact row count and the exact
-       binary-row size of the side (partial sums per task, one row back).
+    1. A count (file footers only for a bare scan, else the columns its filters
+       need) times the fixed part of a row is a lower bound: over it, stop there.
+    2. Otherwise one aggregation computes the exact binary-row size of the side
+       (partial sums per task, one row back).
     """
-    on_disk = _input_bytes(df)
-    if on_disk is not None and on_disk > max_bytes:
-        return SideSize(rows=None, bytes=None, input_bytes=on_disk)
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(unsafe_row_bytes(df.schema)).alias("bytes")
-    ).first()
-    return SideSize(rows=int(row["rows"]), bytes=int(row["bytes"] or 0), input_bytes=on_disk)
+    rows = df.count()
+    if rows * fixed_row_bytes(len(df.schema.fields)) > max_bytes:
+        return SideSize(rows=rows, bytes=None)
+    total = df.agg(F.sum(unsafe_row_bytes(df.schema))).first()[0]
+    return SideSize(rows=rows, bytes=int(total or 0))
 
 
 def broadcast_if_small(

@@ -1,13 +1,17 @@
 """Model-based test: random operation sequences on a keyed table vs a Python dict."""
 
+import contextlib
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.keyed_table import KeyedTable
+from ledgerloom.operators.keyed_table import KeyedTable, KeyedTableError
 
-KEYS = st.lists(st.integers(min_value=0, max_value=40), min_size=1, max_size=25, unique=True)
+UNIQUE = st.lists(st.integers(min_value=0, max_value=40), min_size=1, max_size=25, unique=True)
+REPEATED = st.lists(st.integers(min_value=0, max_value=12), min_size=2, max_size=8)
+KEYS = st.one_of(UNIQUE, UNIQUE, REPEATED)
 OPS = st.one_of(
     st.tuples(st.just("append"), KEYS),
     st.tuples(st.just("replace"), KEYS),
@@ -18,6 +22,8 @@ OPS = st.one_of(
 
 def apply_model(model: dict, op, step: int) -> dict:
     kind, arg = op
+    if len(set(arg)) < len(arg) and kind in ("append", "replace", "overwrite"):
+        return model  # the whole batch is rejected
     if kind == "append":
         return {**{k: f"s{step}" for k in arg}, **model}
     if kind == "replace":
@@ -28,10 +34,10 @@ def apply_model(model: dict, op, step: int) -> dict:
     return {k: (f"u{step}" if lo <= k <= hi else v) for k, v in model.items()}
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
+@pytest.mark.parametrize(("buckets", "bound"), [(None, 1 << 28), (None, 1), (4, 1 << 28)])
 @settings(max_examples=3, deadline=None)
 @given(ops=st.lists(OPS, min_size=3, max_size=6))
-def test_operation_sequences_match_model(spark, buckets, ops):
+def test_operation_sequences_match_model(spark, buckets, bound, ops):
     from ledgerloom.session import scratch_path
 
     t = KeyedTable(spark, scratch_path(spark, "model"), "k", buckets=buckets)
@@ -45,10 +51,14 @@ def test_operation_sequences_match_model(spark, buckets, ops):
             t.update({"v": F.lit(f"u{step}")}, F.col("k").between(lo, hi))
         else:
             batch = spark.createDataFrame([(k, f"s{step}") for k in arg], "k long, v string").repartition(3)
-            if kind == "overwrite":
-                t.overwrite(batch)
-            else:
-                t.append(batch, on_conflict="replace" if kind == "replace" else "skip")
+            rejected = pytest.raises(KeyedTableError) if len(set(arg)) < len(arg) else contextlib.nullcontext()
+            with rejected:
+                if kind == "overwrite":
+                    t.overwrite(batch)
+                else:
+                    t.append(batch, on_conflict="replace" if kind == "replace" else "skip", max_broadcast_bytes=bound)
         model = apply_model(model, op, step)
+        if not model:
+            continue
         got = {r["k"]: r["v"] for r in t.scan().collect()}
         assert got == model, (step, op)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.keyed_table import KeyedTable, KeyedTableError
+from ledgerloom.operators.keyed_table import KeyedTable, KeyedTableConflict, KeyedTableError
 
 
 @pytest.fixture()
@@ -20,7 +20,7 @@ def test_append_twice_is_idempotent(spark, scratch, rows):
     df = t.scan()
     assert df.count() == 100
     assert df.select("id").distinct().count() == 100
-    assert t.version() == 2
+    assert t.version() == 1 and len(t.segments()) == 1  # nothing new: nothing committed
 
 
 def test_first_writer_wins_and_new_keys_added(spark, scratch, rows):
@@ -42,8 +42,8 @@ def test_replace_on_conflict(spark, scratch, rows):
     got = {r["id"]: r["unit"] for r in t.scan().collect()}
     assert len(got) == 100
     assert sorted(i for i, u in got.items() if u == "new") == list(range(91, 101))
-    # only the segment holding keys 51..100 was rewritten
-    assert len(before & set(t.segments())) == 1
+    # stored segments stay; the batch is a segment of a later generation
+    assert before < set(t.segments()) and len(t.segments()) == 3
 
 
 def test_rejects_null_and_duplicate_keys(spark, scratch):
@@ -74,20 +74,37 @@ def test_overwrite_reading_itself(spark, scratch, rows):
     assert again.version() == 2 and again.count() == 50
 
 
-def test_update_rewrites_only_touched_segments(spark, scratch, rows):
-    t = KeyedTable(spark, scratch("kt"), "id")
+def stored_rows(spark, t, segment):
+    return spark.read.parquet(t._path(segment)).count()
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_update_writes_only_changed_rows(spark, scratch, rows, buckets):
+    t = KeyedTable(spark, scratch("kt"), "id", buckets=buckets)
     t.append(rows.where("id <= 50"))
     t.append(rows.where("id > 50"))
     before = set(t.segments())
     t.update({"unit": "changed"}, F.col("id") > 75)
+    (new,) = set(t.segments()) - before
+    assert before <= set(t.segments()) and stored_rows(spark, t, new) == 25
     after = t.scan()
     assert after.count() == 100
     assert after.where("unit = 'changed'").count() == 25
-    assert len(before & set(t.segments())) == 1
+    # a second update of some of these rows, one row only
+    t.update({"unit": "again"}, F.col("id") == 100)
+    (newest,) = set(t.segments()) - before - {new}
+    assert stored_rows(spark, t, newest) == 1
+    assert t.scan().where("unit = 'again'").count() == 1 and t.scan().where("unit = 'changed'").count() == 24
+    assert [r["unit"] for r in t.lookup(100).collect()] == ["again"]
+    # a fresh reader resolves the generations from the log
+    assert KeyedTable(spark, t.root, "id").count() == 100
     # no match: no new version
     v = t.version()
     t.update({"unit": "x"}, "id > 1000")
     assert t.version() == v
+    # overwrite folds them
+    t.overwrite(t.scan())
+    assert len(t.segments()) == 1 and t.scan().where("unit = 'changed'").count() == 24
 
 
 def test_update_null_predicate_leaves_row(spark, scratch):
@@ -141,30 +158,75 @@ def test_lookup_many_dedups_probe(spark, scratch, rows):
     assert "HashAggregate" in plan_text(found, "formatted")
 
 
-def test_commit_skips_debris_and_detects_conflicts(spark, scratch, rows):
-    from ledgerloom.operators.keyed_table import KeyedTableConflict
-
+def test_conflicts_lose_nothing_and_can_be_retried(spark, scratch, rows):
     root = scratch("kt")
-    t = KeyedTable(spark, root, "id")
-    t.append(rows.where("id <= 10"))
-    # debris of a writer that died mid-commit: a claimed log file without its end line
-    local = root.replace("file:", "")
-    with open(f"{local}/_log/00000002.json", "w") as fh:
-        fh.write('{"segment": "seg-gone", "buckets": 0}\n')
-    # a writer that reads the log now skips the incomplete version
-    t = KeyedTable(spark, root, "id")
-    assert t.version() == 1 and t.count() == 10
-    t.append(rows.where("id > 10 AND id <= 20"))
-    assert t.version() == 3 and t.count() == 20
-    fresh = KeyedTable(spark, root, "id")
-    assert fresh.version() == 3 and fresh.count() == 20
-    # two writers on the same version: the slower one fails instead of losing rows
     a, b = KeyedTable(spark, root, "id"), KeyedTable(spark, root, "id")
-    a.segments(), b.segments()
-    a.append(rows.where("id > 20 AND id <= 30"))
+    a.append(rows.where("id <= 10"))
+    assert b.version() == 1
+    a.append(rows.where("id > 10 AND id <= 20"))
+    # two writers on the same version: the slower one fails instead of losing rows
     with pytest.raises(KeyedTableConflict):
         b.append(rows.where("id > 30"))
-    assert KeyedTable(spark, root, "id").count() == 30
+    assert KeyedTable(spark, root, "id").count() == 20
+    # ... and its retry builds on the newest version
+    b.append(rows.where("id > 30"))
+    assert b.version() == 3 and KeyedTable(spark, root, "id").count() == 90
+
+
+def test_writer_in_the_middle_of_a_commit(spark, scratch, rows):
+    """B loads while A's log file is there but incomplete (another tool's, or a torn copy): no row is lost."""
+    import os
+
+    root = scratch("kt")
+    a, b = KeyedTable(spark, root, "id"), KeyedTable(spark, root, "id")
+    a.append(rows.where("id <= 10"))
+    a.append(rows.where("id > 10 AND id <= 20"))
+    log = f"{root.replace('file:', '')}/_log/00000002.json"
+    whole = open(log).read()
+    os.remove(f"{os.path.dirname(log)}/.{os.path.basename(log)}.crc")  # Hadoop's local checksum
+    with open(log, "w") as fh:
+        fh.write(whole[:20])
+    assert b.version() == 1
+    with pytest.raises(KeyedTableConflict):
+        b.append(rows.where("id > 20"))
+    with open(log, "w") as fh:
+        fh.write(whole)
+    b.append(rows.where("id > 20"))
+    assert {r["id"] for r in KeyedTable(spark, root, "id").scan().collect()} == set(range(1, 101))
+
+
+def test_log_files_are_whole_and_errors_keep_their_name(spark, scratch, rows):
+    import os
+
+    from ledgerloom.operators.keyed_table import _write_once
+
+    root = scratch("once")
+    assert _write_once(spark, f"{root}/x.json", b"one")
+    assert not _write_once(spark, f"{root}/x.json", b"two")
+    local = root.replace("file:", "")
+    assert open(f"{local}/x.json").read() == "one"
+    assert [n for n in os.listdir(local) if n.endswith(".tmp")] == []
+    with pytest.raises(Exception, match="(?i)not a directory|parent path"):
+        _write_once(spark, f"{root}/x.json/y.json", b"under a file")
+
+
+@pytest.mark.parametrize("how", ["broadcast", "shuffle", "bucketed"])
+def test_append_means_the_same_on_every_path(spark, scratch, rows, how):
+    t = KeyedTable(spark, scratch("kt"), "id", buckets=4 if how == "bucketed" else None)
+    bound = {"max_broadcast_bytes": 1} if how == "shuffle" else {}
+    t.append(rows, **bound)
+    # a repeated key is rejected although the table holds it
+    for batch in ([(1, "a", 1.0), (1, "b", 1.0), (500, "n", 1.0)], [(None, "a", 1.0)], [(600, "a", 1.0), (600, "a", 1.0)]):
+        with pytest.raises(KeyedTableError):
+            t.append(spark.createDataFrame(batch, rows.schema), **bound)
+    version = t.version()
+    for _ in range(3):
+        t.append(rows.withColumn("unit", F.lit("new")), **bound)
+    t.append(rows.where("id > 1000"), **bound)
+    assert t.version() == version and len(t.segments()) == 1
+    # the key's name matches in any case
+    t.append(rows.select(F.col("id").alias("ID"), "unit", "amount").withColumn("ID", F.col("ID") + 50), **bound)
+    assert t.count() == 150 and len(t.segments()) == 2 and t.scan().columns == rows.columns
 
 
 def test_append_casts_to_stored_types(spark, scratch, rows):
@@ -197,25 +259,6 @@ def test_large_batch_path_same_semantics(spark, scratch, rows):
                  max_broadcast_bytes=1)
 
 
-def test_update_rewrites_only_touched_files(spark, scratch, rows):
-    t = KeyedTable(spark, scratch("kt"), "id")
-    t.append(rows.repartitionByRange(4, "id"))  # one segment, four files by key range
-    (segment,) = t.segments()
-    t.update({"unit": "changed"}, F.col("id") <= 10)
-    entries = t.segments()
-    kept = [e for e in entries if e.startswith(segment + "/")]
-    assert len(kept) == 3 and len(entries) == 4  # three untouched files + one new segment
-    got = {r["id"]: r["unit"] for r in t.scan().collect()}
-    assert len(got) == 100
-    assert sorted(i for i, u in got.items() if u == "changed") == list(range(1, 11))
-    # a second update on a kept file rewrites just that file
-    t.update({"unit": "again"}, F.col("id") == 100)
-    assert len(t.segments()) == 4
-    assert t.scan().where("unit = 'again'").count() == 1 and t.count() == 100
-    # a fresh reader resolves file entries too
-    assert KeyedTable(spark, t.root, "id").count() == 100
-
-
 @pytest.mark.parametrize("buckets", [None, 4])
 def test_vacuum_removes_only_unreferenced(spark, scratch, rows, buckets):
     import os
