@@ -41,6 +41,8 @@ MAGIC = b"LLIDS001"
 # ids coded in one block of a file, so that reader and writer work in bounded memory
 BLOCK_IDS = 1 << 22
 
+# pieces and chunks kept between batches (memory only)
+KEPT_PIECES, KEPT_CHUNKS = 600_000, 250_000
 # pieces encoded in one call
 GROUP = 500
 # ASCII marks without the apostrophe (which opens pieces of its own)
@@ -87,12 +89,13 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not special
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        self.lowers = any(x["type"] == "Lowercase" for x in _flat(json.loads(self.tokenizer.to_str())["normalizer"]))
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self.closes = np.zeros(self.size, bool)
         if suffix:
             self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.table = chunks.ChunkTable(self._encode, chunks.split_dropping_space)
+        self.table = chunks.ChunkTable(self._encode, chunks.split_dropping_space, keep=KEPT_CHUNKS)
         self.pieces: dict[str, bytes] = {"": b""}
 
     def _alone(self, texts: list[str]) -> list[bytes]:
@@ -111,12 +114,15 @@ class Tokens:
                 self.pieces.update(zip(group, self._alone(group), strict=True))
 
     def _encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.pieces) > chunks.KEPT_CHUNKS:
+        if len(self.pieces) > KEPT_PIECES:
             self.pieces = {"": b""}
         cut = []
         for key in keys:
             core = key.rstrip(MARKS)
-            cut.append((core, key[len(core) :]) if core.isalpha() or not core else None)
+            tail = key[len(core) :]
+            if self.lowers and core.isascii():  # the tokenizer lower-cases: one piece for both cases
+                core = core.lower()
+            cut.append((core, tail) if core.isalpha() or not core else None)
         wanted = dict.fromkeys(x for pair in cut if pair for x in pair)
         self._fill([x for x in wanted if x not in self.pieces])
         other = [key for key, pair in zip(keys, cut, strict=True) if pair is None]
@@ -127,6 +133,11 @@ class Tokens:
         return np.frombuffer(b"".join(ids), "<u4"), lengths
 
 
+def _flat(normalizer: dict | None) -> list[dict]:
+    """The normalizer's steps."""
+    return (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])
+
+
 _LOADED: dict[tuple[str, bool], Tokens] = {}
 
 
