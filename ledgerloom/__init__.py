@@ -10,7 +10,6 @@ Spark executes it.  Sub-packages:
 * ``functions`` - column expressions (cell typing, defaults, safe casts).
 * ``plans``     - the end-to-end flows (ledger join/average, SQL text,
                   update, passenger count, decision tree) and the query registry.
-* ``streaming`` - intentionally empty: the workloads are batch only.
 """
 
 from ledgerloom.session import build_session, scratch_path, ensure_checkpoint_dir

@@ -19,8 +19,9 @@ CELL_TYPE = T.StructType(
 
 # The French number format (decimal comma; grouping by U+00A0, or
 # U+202F in newer locale data).  A prefix matches an optional minus sign, then
-# digits with grouping spaces and an optional comma part, or a bare ",digits".
-_FRENCH_PREFIX = "^(-?(?:[0-9][0-9\u00a0\u202f]*(?:,[0-9]*)?|,[0-9]+))"
+# digits with grouping spaces and an optional comma part, or a bare ",digits";
+# then an optional exponent ("E", an optional minus sign, digits).
+_FRENCH_PREFIX = "^(-?(?:[0-9][0-9\u00a0\u202f]*(?:,[0-9]*)?|,[0-9]+)(?:E-?[0-9]+)?)"
 _FRENCH_GROUPING = "[\u00a0\u202f]"
 # The French format's infinity symbol, read as a prefix like the digits.
 _FRENCH_INFINITY = "^(-?)\u221e"

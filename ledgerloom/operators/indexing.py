@@ -6,8 +6,9 @@ in the high bits, position in the partition in the low 33 bits).
 aggregation counts rows per partition, a running sum over those counts gives
 each partition's offset (one row per partition, so it is broadcast with a
 size bound equal to the partition count), and each row adds its in-partition
-position.  The input is checkpointed first so both passes see identical
-partitions, and a lost executor cannot reshuffle rows between the passes.
+position.  The rows are first written once with their partition and position,
+so the count reads one column, both passes see the same rows, and a lost
+executor cannot renumber them between the passes.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import scratch_path
 
 _POSITION_BITS = 33
 
@@ -39,7 +40,6 @@ def dense_index(
     tasks.  Without ``order_by`` the current partition order (file order for a
     scan) is numbered.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     if order_by:
         ordered = (
             df.withColumn("_tie", F.monotonically_increasing_id())
@@ -48,10 +48,12 @@ def dense_index(
         )
     else:
         ordered = df
-    base = ordered.checkpoint(eager=True)
-    tagged = base.withColumn("_pid", F.spark_partition_id()).withColumn(
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "dense-index")
+    numbered = ordered.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     )
+    numbered.write.parquet(path)
+    tagged = spark.read.schema(numbered.schema).parquet(path)
     per_partition = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # A running sum over the per-partition counts.  The window has no
     # partitioning, but its input is one row per *input partition* (not per
@@ -61,7 +63,7 @@ def dense_index(
         "_pid", F.coalesce(F.sum("_n").over(preceding), F.lit(0)).alias("_offset")
     )
     return (
-        tagged.join(F.broadcast(offsets), "_pid")
+        tagged.join(F.broadcast(offsets), "_pid")  # one row per partition
         .withColumn(name, (F.col("_offset") + F.col("_pos") + F.lit(start)).cast("long"))
         .drop("_pid", "_pos", "_offset")
     )

@@ -104,14 +104,12 @@ class LeftRight:
 
 def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Roles = LEDGER,
                     on_conflict: str = "skip", buckets: int | None = None,
-                    replicated: bool = False) -> LeftRight:
+                    replicated: bool = False, share: bool = False) -> LeftRight:
     """Append the staged rows to the ``left`` and ``right`` keyed tables under ``root``.
 
-    When both tables start empty they end up with identical rows, so the
-    staged rows are computed and written once and ``right`` shares ``left``'s
-    immutable segments.  Otherwise each table gets its own insert-if-absent
-    append; the staged frame is then persisted (memory, spilling to disk) so
-    it is computed once for both writes.
+    The staged frame is persisted (memory, spilling to disk), so it is computed
+    once, and each table gets its own insert-if-absent append.  With ``share``,
+    two tables that start empty hold the same segments: the rows are written once.
 
     ``buckets`` stores both tables bucketed on the key, so the join between
     them (and later appends) runs without shuffling either table.
@@ -120,7 +118,7 @@ def load_left_right(spark: SparkSession, staged: DataFrame, root: str, roles: Ro
     """
     left = KeyedTable(spark, f"{root}/ledger_left", roles.key, buckets=buckets, replicated=replicated)
     right = KeyedTable(spark, f"{root}/ledger_right", roles.key, buckets=buckets, replicated=replicated)
-    if not left.exists() and not right.exists():
+    if share and not left.exists() and not right.exists():
         left.append(staged, on_conflict=on_conflict)
         right.clone_from(left)
         return LeftRight(left, right)

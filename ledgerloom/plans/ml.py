@@ -9,12 +9,17 @@ from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import double_or_zero, required_double
 
 
+# candidate splits per feature; every executor holds the statistics of all of them
+MOST_BINS = 1024
+
+
 def feature_table(
     df: DataFrame,
     required: list[str],
@@ -38,19 +43,34 @@ def feature_table(
         names.append(f"f_{name}")
     cols.append(required_double(F.col(label), label).alias("label"))
     out = df.select(*cols)
-    if assemble:
-        out = VectorAssembler(inputCols=names, outputCol="features").transform(out)
-    return out
+    return assemble_features(out) if assemble else out
+
+
+def assemble_features(df: DataFrame) -> DataFrame:
+    """Append ``features``, the vector of the ``f_<name>`` columns in their order."""
+    names = [c for c in df.columns if c.startswith("f_")]
+    return VectorAssembler(inputCols=names, outputCol="features").transform(df)
 
 
 def fit_tree(
     train: DataFrame,
     max_depth: int = 5,
     min_info_gain: float = 0.0,
-    max_bins: int = 32,
+    max_bins: int | None = None,
     seed: int = 42,
 ) -> DecisionTreeClassificationModel:
-    """Gini decision tree, depth-limited; split search on binned features."""
+    """Gini decision tree, depth-limited.
+
+    Splits are searched between the distinct values of a feature, so ``max_bins``
+    is by default the largest distinct count of any feature (measured), between 32
+    and ``MOST_BINS``; a feature with more values is split at ``max_bins`` quantiles.
+    """
+    if max_bins is None:
+        values = vector_to_array("features")
+        size = train.select(F.size(values)).first()
+        counts = train.agg(*(F.approx_count_distinct(values[i], 0.02) for i in range(size[0]))).first() if size else []
+        # the count is approximate: leave room above it
+        max_bins = min(MOST_BINS, max(32, *(int(1.1 * n) + 2 for n in counts or [0])))
     return DecisionTreeClassifier(
         featuresCol="features",
         labelCol="label",

@@ -31,16 +31,16 @@ def cell_name(position: int) -> str:
 
 
 def keyed_collection(df: DataFrame, n_cells: int = PASSENGER_CELLS, key: str = "key",
-                     dense: bool = True) -> DataFrame:
+                     dense: bool = True, order_by: list | None = None) -> DataFrame:
     """``key`` + the first ``n_cells`` columns renamed by position.
 
-    ``dense=True``: keys 0, 1, 2, ... in scan order (no collisions, no driver
-    round trip).  ``dense=False``: Spark's unique sparse id, kept as a long so
+    ``dense=True``: keys 0, 1, 2, ... in scan order, or that of ``order_by`` (no
+    collisions, no driver round trip).  ``dense=False``: Spark's unique sparse id, kept as a long so
     ids of different partitions never collide.
     """
     if len(df.columns) < n_cells:
         raise ValueError(f"table has {len(df.columns)} columns, {n_cells} cells expected")
-    indexed = dense_index(df, key) if dense else with_row_index(df, key)
+    indexed = dense_index(df, key, order_by=order_by) if dense else with_row_index(df, key)
     cells = [F.col(f"`{c}`").alias(cell_name(i)) for i, c in enumerate(df.columns[:n_cells])]
     return indexed.select(F.col(key).cast("long").alias(key), *cells)
 

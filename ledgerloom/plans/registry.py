@@ -10,17 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import double_or_zero, required_double
 from ledgerloom.operators.indexing import dense_index, with_row_index
 from ledgerloom.operators.keyed_table import KeyedTable
+from ledgerloom.operators.layout import estimated_bytes, persist_in_memory
 from ledgerloom.operators.layout import partition_by_key as key_partitioned
-from ledgerloom.operators.layout import persist_in_memory
 from ledgerloom.plans import ledger_flow as lf
-from ledgerloom.plans import ml
-from ledgerloom.session import scratch_path
+from ledgerloom.plans import ml, passenger
+from ledgerloom.session import buckets_for, partitions_for, scratch_path
 from ledgerloom.sources import delimited, ledger, parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,58 +97,99 @@ LEDGER_STAGED_SQL = (
     "delimited_untyped",
     """
     SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
-           CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment
+           CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+           CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
     FROM customer
     """,
 )
 def delimited_untyped(spark, sf_dir):
-    path = delimited.write_delimited(table(spark, sf_dir, "customer"), scratch_path(spark, "customer-text"))
-    df = delimited.read_untyped(spark, path)
-    # the double column is left out: its text form is Spark's, not the oracle's
-    return df.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    customer = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    path = delimited.write_delimited(customer, scratch_path(spark, "customer-text"))
+    return delimited.read_untyped(spark, path)
 
 
-@register("delimited_typed", "SELECT * FROM nation")
+# fixed values: 26 Cyrillic letters for A-Z, so that a text needs windows-1251
+LATIN, CYRILLIC = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБЦДЕФГХИЖКЛМНОПЯРСТУВШЩЫЗ"
+
+
+@register(
+    "delimited_typed",
+    f"""
+    SELECT c_custkey, c_name, translate(c_mktsegment, '{LATIN}', '{CYRILLIC}') AS c_segment,
+           CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS DOUBLE) AS c_acctbal
+    FROM customer
+    """,
+)
 def delimited_typed(spark, sf_dir):
-    nation = table(spark, sf_dir, "nation")
-    path = delimited.write_delimited(nation, scratch_path(spark, "nation-cp1251"), encoding="windows-1251")
-    return delimited.read_typed(spark, path, schema=nation.schema, encoding="windows-1251")
+    """Types are inferred, and the segment is text that only windows-1251 reads right."""
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        "c_name",
+        F.translate("c_mktsegment", LATIN, CYRILLIC).alias("c_segment"),
+        F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
+    )
+    path = delimited.write_delimited(customer, scratch_path(spark, "customer-cp1251"), encoding="windows-1251")
+    return delimited.read_typed(spark, path, encoding="windows-1251").withColumn("c_custkey", F.col("c_custkey").cast("long"))
 
 
 @register(
     "locale_cells",
     """
-    SELECT CAST(c_custkey AS DOUBLE) AS c_custkey_num,
-           c_name AS c_name_text,
-           CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_segment_text,
-           c_mktsegment = 'BUILDING' AS c_segment_nan,
-           ROUND(c_acctbal, 2) AS c_acctbal_num,
-           CAST(c_nationkey AS DOUBLE) AS c_street_num
-    FROM customer
+    WITH line AS (
+        SELECT *, CAST(row_number() OVER (ORDER BY c_custkey, kind) AS BIGINT) AS key
+        FROM (SELECT *, unnest(CASE c_nationkey WHEN 5 THEN [0, 1] WHEN 7 THEN [0, 2] ELSE [0] END) AS kind FROM customer))
+    SELECT key,
+           CASE kind WHEN 0 THEN 5 WHEN 1 THEN 5 ELSE 0 END AS n_cells,
+           CASE WHEN kind = 0 THEN CAST(c_custkey AS DOUBLE) END AS c_custkey_num,
+           CASE WHEN kind = 1 THEN 'key' END AS c_custkey_text,
+           CASE kind WHEN 0 THEN c_name WHEN 1 THEN 'name' END AS c_name_text,
+           CASE WHEN kind = 1 THEN 'segment' WHEN kind = 0 AND c_mktsegment <> 'BUILDING' THEN c_mktsegment END
+             AS c_segment_text,
+           CASE WHEN kind < 2 THEN kind = 0 AND c_mktsegment = 'BUILDING' END AS c_segment_nan,
+           CASE WHEN kind = 0 THEN ROUND(c_acctbal, 2) END AS c_acctbal_num,
+           CASE WHEN kind = 0 AND c_nationkey % 2 = 0 THEN c_nationkey * 1000.0
+                WHEN kind = 0 THEN CAST(c_nationkey AS DOUBLE) END AS c_street_num
+    FROM line
     """,
 )
 def locale_cells(spark, sf_dir):
+    """A French-formatted file derived from customer, read as typed cells with their 1-based key.
+
+    Decimal-comma balances, address-like cells with a numeric prefix (some with an
+    exponent), empty cells, and among the data lines some that repeat the header
+    and some of separators alone.
+    """
     customer = table(spark, sf_dir, "customer")
-    # A French-formatted text file derived from customer: decimal-comma balances,
-    # an address-like cell with a numeric prefix, and empty cells.
-    text = customer.select(
-        F.col("c_custkey").cast("string").alias("key"),
-        F.col("c_name").alias("name"),
-        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.col("c_mktsegment")).alias("segment"),
-        F.regexp_replace(F.format_string("%.2f", F.col("c_acctbal")), "\\.", ",").alias("balance"),
-        F.concat(F.col("c_nationkey").cast("string"), F.lit(" rue")).alias("street"),
+    kinds = (
+        F.when(F.col("c_nationkey") == 5, F.array(F.lit(0), F.lit(1)))
+        .when(F.col("c_nationkey") == 7, F.array(F.lit(0), F.lit(2)))
+        .otherwise(F.array(F.lit(0)))
+    )
+    lines = customer.withColumn("kind", F.explode(kinds)).sort("c_custkey", "kind")
+    values = {
+        "key": F.col("c_custkey").cast("string"),
+        "name": F.col("c_name"),
+        "segment": F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_mktsegment")),
+        "balance": F.regexp_replace(F.format_string("%.2f", F.col("c_acctbal")), "\\.", ","),
+        "street": F.concat(F.col("c_nationkey").cast("string"), F.when(F.col("c_nationkey") % 2 == 0, "E3rue").otherwise(" rue")),
+    }
+    text = lines.select(
+        *(F.when(F.col("kind") == 0, v).when(F.col("kind") == 1, name).otherwise("").alias(name) for name, v in values.items())
     )
     path = scratch_path(spark, "customer-fr")
     text.write.option("sep", ";").option("header", "true").option("emptyValue", "").csv(path)
-    cells = delimited.read_locale_cells(spark, path)
-    c = F.col("cells")
+    cells = delimited.read_locale_cells(spark, path, key="key")
+    cell = lambda i, part: F.get("cells", F.lit(i))[part]
     return cells.select(
-        c[0]["num"].alias("c_custkey_num"),
-        c[1]["text"].alias("c_name_text"),
-        c[2]["text"].alias("c_segment_text"),
-        F.isnan(c[2]["num"]).alias("c_segment_nan"),
-        c[3]["num"].alias("c_acctbal_num"),
-        c[4]["num"].alias("c_street_num"),
+        "key",
+        F.size("cells").alias("n_cells"),
+        cell(0, "num").alias("c_custkey_num"),
+        cell(0, "text").alias("c_custkey_text"),
+        cell(1, "text").alias("c_name_text"),
+        cell(2, "text").alias("c_segment_text"),
+        F.when(F.size("cells") > 0, F.coalesce(F.isnan(cell(2, "num")), F.lit(False))).alias("c_segment_nan"),
+        cell(3, "num").alias("c_acctbal_num"),
+        cell(4, "num").alias("c_street_num"),
     )
 
 
@@ -247,7 +289,8 @@ def keyed_scan(spark, sf_dir):
 
 @register("partition_by_key", "SELECT * FROM customer")
 def partition_by_key(spark, sf_dir):
-    return key_partitioned(table(spark, sf_dir, "customer"), 10, "c_custkey")
+    customer = table(spark, sf_dir, "customer")
+    return key_partitioned(customer, partitions_for(spark, estimated_bytes(customer)), "c_custkey")
 
 
 @register(
@@ -260,21 +303,117 @@ def partition_by_key(spark, sf_dir):
 def dense_key_load(spark, sf_dir):
     indexed = dense_index(table(spark, sf_dir, "customer"), "row_key", order_by=["c_custkey"])
     t = keyed(spark, "customer-dense", "row_key")
-    t.overwrite(indexed.select("row_key", *[c for c in indexed.columns if c != "row_key"]))
+    # positions are unique by construction
+    t.overwrite(indexed.select("row_key", *[c for c in indexed.columns if c != "row_key"]), validate=False)
     return t.scan()
 
 
-@register(
-    "index_key_load",
-    "SELECT COUNT(*) AS n_rows, COUNT(*) AS n_distinct_keys FROM customer",
-)
+@register("index_key_load", "SELECT *, 1 AS rows_of_key FROM customer")
 def index_key_load(spark, sf_dir):
     indexed = with_row_index(table(spark, sf_dir, "customer"), "row_index")
     t = keyed(spark, "customer-index", "row_index")
-    t.overwrite(indexed.select("row_index", "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    return t.scan().agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_index").alias("n_distinct_keys")
+    t.overwrite(indexed.select("row_index", *[c for c in indexed.columns if c != "row_index"]))
+    return rows_of_key(t.scan(), "row_index")
+
+
+def rows_of_key(df: DataFrame, key: str) -> DataFrame:
+    """The rows with ``rows_of_key``, how many have their key, instead of the key (whose values are Spark's own)."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows_of_key"))
+    return df.join(counts, key).drop(key)
+
+
+# the passenger flow on the join of orders, customer and nation, which has exactly 14 columns
+PASSENGER_SQL = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(12, 2)) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority, c_custkey, c_name, c_nationkey,
+       CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(12, 2)) END AS c_acctbal, c_mktsegment,
+       n_nationkey, n_name, n_regionkey
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+"""
+PASSENGER_CELLS_SQL = ", ".join(
+    f"CAST({c} AS VARCHAR) AS {passenger.cell_name(i)}"
+    for i, c in enumerate(
+        "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority c_custkey c_name c_nationkey "
+        "c_acctbal c_mktsegment n_nationkey n_name n_regionkey".split()
+    )
+)
+
+
+def passenger_rows(spark, sf_dir) -> DataFrame:
+    """The 14 columns as untyped text read from a delimited file."""
+    money = lambda c: F.col(c).cast("decimal(12,2)")
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {"o_totalprice": money("o_totalprice"), "o_orderdate": F.col("o_orderdate").cast("date")}
+    )
+    customer = table(spark, sf_dir, "customer").withColumn(
+        "c_acctbal", F.when(F.col("c_acctbal") >= 0, money("c_acctbal"))
     )
+    nation = table(spark, sf_dir, "nation")
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    columns = [*orders.columns[:6], "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
+               "n_nationkey", "n_name", "n_regionkey"]
+    path = delimited.write_delimited(joined.select(columns), scratch_path(spark, "passengers"))
+    return delimited.read_untyped(spark, path)
+
+
+@register(
+    "passenger_dense",
+    f"""
+    SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS key, {PASSENGER_CELLS_SQL}
+    FROM ({PASSENGER_SQL})
+    """,
+)
+def passenger_dense(spark, sf_dir):
+    rows = passenger_rows(spark, sf_dir)
+    t = keyed(spark, "passengers-dense", "key")
+    t.overwrite(passenger.keyed_collection(rows, order_by=[F.col("o_orderkey").cast("long")]), validate=False)
+    return t.scan()
+
+
+@register("passenger_sparse", f"SELECT {PASSENGER_CELLS_SQL}, 1 AS rows_of_key FROM ({PASSENGER_SQL})")
+def passenger_sparse(spark, sf_dir):
+    t = keyed(spark, "passengers-sparse", "key")
+    t.overwrite(passenger.keyed_collection(passenger_rows(spark, sf_dir), dense=False))
+    return rows_of_key(t.scan(), "key")
+
+
+@register(
+    "passenger_features",
+    f"""
+    SELECT CAST(row_number() OVER (ORDER BY o_orderkey) - 1 AS BIGINT) AS key,
+           CAST(o_orderkey AS DOUBLE) AS v0, CAST(o_totalprice AS DOUBLE) AS v1,
+           CAST(coalesce(c_acctbal, 0) AS DOUBLE) AS v2, CAST(n_regionkey AS DOUBLE) AS label
+    FROM ({PASSENGER_SQL})
+    """,
+)
+def passenger_features(spark, sf_dir):
+    """Features and label by position; the assembled vector's elements are returned."""
+    cells = passenger.keyed_collection(passenger_rows(spark, sf_dir), order_by=[F.col("o_orderkey").cast("long")])
+    made = passenger.positional_features(cells, required=(0, 3), default_zero=(9,), label=13)
+    vector = vector_to_array("features")
+    return made.select("key", *(vector[i].alias(f"v{i}") for i in range(3)), "label")
+
+
+@register(
+    "passenger_count",
+    f"""
+    SELECT COUNT(*) AS n
+    FROM (SELECT CASE WHEN o_orderstatus = 'P' THEN 'no ' ELSE '' END || CAST(o_orderkey AS VARCHAR) AS id, n_regionkey
+          FROM ({PASSENGER_SQL}))
+    WHERE TRY_CAST(id AS BIGINT) >= 2 AND n_regionkey % 2 = 0
+    """,
+)
+def passenger_count(spark, sf_dir):
+    """The count by SQL on a keyed table whose id is text, malformed for some rows."""
+    rows = passenger_rows(spark, sf_dir).select(
+        F.concat(F.when(F.col("o_orderstatus") == "P", "no ").otherwise(""), F.col("o_orderkey")).alias("id"),
+        F.when(F.col("n_regionkey").cast("int") % 2 == 0, "male").otherwise("female").alias("sex"),
+    )
+    t = keyed(spark, "passengers-text-id", "id")
+    t.append(rows)
+    return passenger.count_where_sql(spark, t.scan())
 
 
 @register("point_lookup", "SELECT * FROM customer WHERE c_custkey = 7")
@@ -284,6 +423,25 @@ def point_lookup(spark, sf_dir):
     return t.lookup(7)
 
 
+def bucketed_customers(spark, sf_dir) -> KeyedTable:
+    customer = table(spark, sf_dir, "customer")
+    t = KeyedTable(spark, scratch_path(spark, "customer-bucketed"), "c_custkey",
+                   buckets=buckets_for(spark, estimated_bytes(customer)))
+    t.append(customer.where("c_nationkey % 2 = 0"))
+    t.append(customer)
+    return t
+
+
+@register("bucketed_lookup_hit", "SELECT * FROM customer WHERE c_custkey = 7")
+def bucketed_lookup_hit(spark, sf_dir):
+    return bucketed_customers(spark, sf_dir).lookup(7)
+
+
+@register("bucketed_lookup_miss", "SELECT * FROM customer WHERE c_custkey = -7")
+def bucketed_lookup_miss(spark, sf_dir):
+    return bucketed_customers(spark, sf_dir).lookup(-7)
+
+
 @register(
     "lookup_many",
     """
@@ -561,9 +719,6 @@ def update_where(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Layout operators
 # --------------------------------------------------------------------------
-REPARTITION_N = 200
-
-
 @register(
     "repartition_pre",
     """
@@ -572,7 +727,8 @@ REPARTITION_N = 200
     """,
 )
 def repartition_pre(spark, sf_dir):
-    return lf.stage(table(spark, sf_dir, "orders"), R, repartition=REPARTITION_N)
+    orders = table(spark, sf_dir, "orders")
+    return lf.stage(orders, R, repartition=partitions_for(spark, estimated_bytes(orders)))
 
 
 @register(
@@ -580,13 +736,9 @@ def repartition_pre(spark, sf_dir):
     "SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders WHERE o_orderkey != 2",
 )
 def repartition_post_sort(spark, sf_dir):
-    return (
-        table(spark, sf_dir, "orders")
-        .filter("o_orderkey != 2")
-        .select("o_orderkey", "o_orderstatus", "o_orderdate")
-        .sort("o_orderstatus", "o_orderdate", "o_orderkey")
-        .repartition(REPARTITION_N)
-    )
+    # a round-robin repartition discards the order before it, so the sort is left out
+    kept = table(spark, sf_dir, "orders").filter("o_orderkey != 2").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    return kept.repartition(partitions_for(spark, estimated_bytes(kept)))
 
 
 @register(
@@ -638,39 +790,68 @@ def error_rule(spark, sf_dir):
     return ml.accuracy_frame(_rule_scored(spark, sf_dir)).select("test_error")
 
 
-def _tree_training(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+TREE_SQL = """
+WITH t AS (
+    SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(least(n_chars // 500, 20) AS DOUBLE) AS f0,
+           CAST(coalesce(toxic, 0) AS DOUBLE) AS f1
+    FROM labels JOIN documents USING (doc_id)),
+v AS (SELECT 0 AS f, f0 AS x, label FROM t UNION ALL SELECT 1, f1, label FROM t),
+c AS (SELECT f, x, count(*) AS n, sum(label) AS p FROM v GROUP BY f, x),
+s AS (
+    SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS next_x,
+           sum(n) OVER (PARTITION BY f ORDER BY x) AS ln, sum(p) OVER (PARTITION BY f ORDER BY x) AS lp,
+           sum(n) OVER (PARTITION BY f) AS tn, sum(p) OVER (PARTITION BY f) AS tp
+    FROM c),
+g AS (
+    SELECT f, (x + next_x) / 2 AS threshold, lp / ln > 0.5 AS low, (tp - lp) / (tn - ln) > 0.5 AS high,
+           2 * tp / tn * (1 - tp / tn) - ln / tn * 2 * lp / ln * (1 - lp / ln)
+           - (tn - ln) / tn * 2 * (tp - lp) / (tn - ln) * (1 - (tp - lp) / (tn - ln)) AS gain
+    FROM s WHERE next_x IS NOT NULL),
+best AS (SELECT * FROM g WHERE gain > 1e-12 ORDER BY round(gain, 12) DESC, f, threshold LIMIT 1),
+scored AS (
+    SELECT doc_id, label, CAST(CASE WHEN threshold IS NULL THEN (SELECT avg(label) > 0.5 FROM t)
+           WHEN (CASE f WHEN 0 THEN f0 ELSE f1 END) <= threshold THEN low ELSE high END AS DOUBLE) AS prediction
+    FROM t LEFT JOIN best ON true)
+"""
+
+
+def _tree_scored(spark, sf_dir) -> DataFrame:
+    """Rows scored by a tree of one split: a banded length and the toxicity mark, few distinct values each."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.least(F.expr("n_chars DIV 500"), F.lit(20)).alias("band"))
     labelled = table(spark, sf_dir, "labels").join(docs, "doc_id")
-    return ml.feature_table(labelled, required=["n_chars"], default_zero=["toxic"], label="quality",
-                            keep=["doc_id"])
+    features = ml.feature_table(labelled, required=["band"], default_zero=["toxic"], label="quality",
+                                keep=["doc_id"], assemble=False)
+    # the fit reads its input several times: the join is computed once
+    train = ml.assemble_features(parquet.read_parquet(spark, parquet.write_parquet(features, scratch_path(spark, "tree-rows"))))
+    return ml.fit_tree(train, max_depth=1, min_info_gain=0.0).transform(train)
 
 
-@register("tree_fit_predict", None)
+@register("tree_fit_predict", TREE_SQL + "SELECT * FROM scored")
 def tree_fit_predict(spark, sf_dir):
-    train = _tree_training(spark, sf_dir)
-    model = ml.fit_tree(train, max_depth=5, min_info_gain=0.0)
-    return model.transform(train).select("doc_id", "label", "prediction")
+    return _tree_scored(spark, sf_dir).select("doc_id", "label", "prediction")
 
 
-@register("tree_accuracy", None)
+@register(
+    "tree_accuracy",
+    TREE_SQL + """
+    SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy, 1.0 - avg(CAST(label = prediction AS DOUBLE)) AS test_error
+    FROM scored
+    """,
+)
 def tree_accuracy(spark, sf_dir):
-    train = _tree_training(spark, sf_dir)
-    model = ml.fit_tree(train, max_depth=5, min_info_gain=0.0)
-    return ml.accuracy_frame(model.transform(train))
+    return ml.accuracy_frame(_tree_scored(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
 # The ledger workload end to end (ledger rows derived from the order keys)
 # --------------------------------------------------------------------------
-# The ledger tables are bucketed on the key: joins and appends between them
+# The ledger tables are bucketed on the key, in as many buckets as their input
+# needs (at least one per core): joins and appends between them
 # need no shuffle.
-LEDGER_BUCKETS = 8
-
-
 def _ledger_tables(spark, sf_dir, replicated: bool = False) -> lf.LeftRight:
-    staged = lf.stage(ledger_source(spark, sf_dir), lf.LEDGER)
-    return lf.load_left_right(spark, staged, scratch_path(spark, "ledger"), lf.LEDGER,
-                              buckets=LEDGER_BUCKETS, replicated=replicated)
+    source = ledger_source(spark, sf_dir)
+    return lf.load_left_right(spark, lf.stage(source, lf.LEDGER), scratch_path(spark, "ledger"), lf.LEDGER,
+                              buckets=buckets_for(spark, estimated_bytes(source)), replicated=replicated)
 
 
 LEDGER_DEPT_AVG_SQL = f"""
@@ -744,7 +925,7 @@ def ledger_bucketed_append(spark, sf_dir):
     # two overlapping batches into a bucketed table: the second append's anti
     # join shuffles only the batch, into the stored buckets
     source = ledger_source(spark, sf_dir)
-    t = KeyedTable(spark, scratch_path(spark, "ledger-bucketed"), "id", buckets=LEDGER_BUCKETS)
+    t = KeyedTable(spark, scratch_path(spark, "ledger-bucketed"), "id", buckets=buckets_for(spark, estimated_bytes(source)))
     t.append(lf.stage(source.where(F.col("DEPTID") == "DEPTID3")))
     t.append(lf.stage(source))
     return t.scan()

@@ -139,7 +139,22 @@ def recommended_conf(input_bytes: int, total_cores: int, shuffle_fraction: float
     }
 
 
+# Spark refuses tables of more than 100,000 buckets; the largest power of two below
+# that.  Beyond 32 TB the bucket files grow instead.
+MOST_BUCKETS = 1 << 16
+
+
 def suggested_buckets(table_bytes: int) -> int:
-    """Bucket count for a keyed table: ~512 MB per bucket file, a power of two."""
+    """Bucket count for a keyed table: ~512 MB per bucket file, a power of two Spark accepts."""
     target = max(1, -(-table_bytes // BUCKET_FILE_BYTES))
-    return 1 << (target - 1).bit_length()
+    return min(MOST_BUCKETS, 1 << (target - 1).bit_length())
+
+
+def buckets_for(spark: SparkSession, table_bytes: int) -> int:
+    """Buckets for a table of that size on this cluster: sized files, but at least one per core."""
+    return max(suggested_buckets(table_bytes), min(MOST_BUCKETS, spark.sparkContext.defaultParallelism))
+
+
+def partitions_for(spark: SparkSession, input_bytes: int) -> int:
+    """Partitions for a repartition of that input: ~256 MB each, but at least one per core."""
+    return max(-(-input_bytes // SHUFFLE_PARTITION_BYTES), spark.sparkContext.defaultParallelism)

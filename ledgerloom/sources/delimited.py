@@ -77,27 +77,35 @@ def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP,
                       key: str | None = None) -> DataFrame:
     """Read a delimited file as typed cells: ``cells array<struct<num,text>>``.
 
-    With ``key``, rows also get a dense long key 1, 2, 3, ... in scan order
-    (file order for a single file), computed without collecting rows.
-
-    Every line except header lines becomes one row.  The line is split on
-    ``sep`` with trailing empty cells dropped (so rows can be shorter than the
-    header), and each cell is typed by :func:`locale_cell`.  Header lines are
-    recognised by equality with the first file's first line, which also removes
-    the per-file headers Spark writes into every part file.
+    With ``key``, rows also get a dense long key 1, 2, 3, ... in the order of the
+    lines (files by name), computed without collecting rows.
+
+    The first line of every file is its header; every other line becomes one row,
+    also one that repeats the header.  The line is split on ``sep`` with trailing
+    empty cells dropped, as Java's split does it: rows can be shorter than the
+    header, a line of separators alone has no cell, an empty line has one empty
+    cell.  Each cell is typed by :func:`locale_cell`.
     """
     if len(sep) != 1:
         raise ValueError("single-character separator expected")
-    lines = spark.read.text(path)
-    header_line = lines.limit(1)
-    body = lines.join(F.broadcast(header_line.withColumnRenamed("value", "_hdr")),
-                      F.col("value") == F.col("_hdr"), "left_anti")
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    # the first line of a file is the lowest of its first block; one row per file
+    headers = lines.where("_block = 0").groupBy("_file").agg(F.min("_line").alias("_line")).select("_line")
+    body = lines.join(F.broadcast(headers), "_line", "left_anti")
     quoted = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep
     trimmed = F.regexp_replace(F.col("value"), f"{quoted}+$", "")
-    raw = F.split(trimmed, quoted, -1)
-    typed = body.select(F.transform(raw, lambda cell: locale_cell(cell)).alias("cells"))
+    raw = F.when((trimmed == "") & (F.col("value") != ""), F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, quoted, -1)
+    )
+    typed = F.transform(raw, lambda cell: locale_cell(cell)).alias("cells")
     if key is None:
-        return typed
+        return body.select(typed)
     from ledgerloom.operators.indexing import dense_index
 
-    return dense_index(typed, key, start=1).select(key, "cells")
+    placed = body.select("_file", "_block", "_line", typed)
+    return dense_index(placed, key, order_by=["_file", "_block", "_line"], start=1).select(key, "cells")

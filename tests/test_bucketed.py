@@ -58,7 +58,7 @@ def test_update_replace_and_reopen(spark, scratch, rows):
 
 def test_clone_and_bucketed_join_has_no_exchange(spark, scratch, no_broadcast):
     src = ledger.generate_ledger(spark, 2000, 4)
-    tables = lf.load_left_right(spark, lf.stage(src), scratch("bk-ledger"), buckets=BUCKETS)
+    tables = lf.load_left_right(spark, lf.stage(src), scratch("bk-ledger"), buckets=BUCKETS, share=True)
     assert all(s.startswith("/") or "://" in s for s in tables.right.segments())
     left, right = tables.left.scan(), tables.right.scan()
     joined = lf.join_left_right(left, right)

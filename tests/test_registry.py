@@ -49,9 +49,9 @@ def test_entry_registers_every_query():
     assert set(QUERIES) <= set(all_queries())
 
 
-def test_every_query_has_an_oracle_or_is_model_based():
+def test_every_query_has_an_oracle():
     missing = set(queries()) - set(oracle_sql())
-    assert missing == {"tree_fit_predict", "tree_accuracy"}
+    assert missing == set()
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
@@ -64,8 +64,3 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
 
-
-@pytest.mark.parametrize("name", ["tree_fit_predict", "tree_accuracy"])
-def test_model_queries_run(spark, name):
-    df = queries()[name](spark, SF_SMALL)
-    assert df.count() >= 1
