@@ -4,9 +4,10 @@
    at once (pre-aggregated per task), and only class representatives go on.
 2. Bands of signature rows put representatives into buckets.  First each bucket
    is compared with one pivot, its most connected member; what the pivot links
-   needs no further comparison inside.  Then members that are still in another
-   component than their bucket's largest one are compared with the bucket.  So no
-   bucket emits all its pairs, and no link between different texts is lost.
+   needs no further comparison inside.  Members that are still in another
+   component than their bucket's largest one are compared with the bucket if it is
+   small, else with the texts that share one of their rarest shingles (an exact
+   prefix filter).  So no bucket emits all its pairs, and none loses a link.
 3. Candidate pairs are compared batch by batch of their signatures; a pair goes
    as soon as the posterior probability of a similarity at the threshold falls
    under the chosen miss probability.
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import prepare, slices, staged, strings
@@ -34,6 +35,8 @@ from ledgerloom.operators.layout import broadcast_if_small
 ROWS = 6  # signature rows of a band
 MISS = 1e-6  # chance that a pair at the threshold shares no band
 PRUNE_MISS = 1e-7  # posterior probability under which a pair is pruned
+# buckets up to this size compare their members pair by pair
+SMALL_BUCKET = 32
 KEPT_WORDS = 400_000
 SLICE = 1_000_000
 
@@ -213,8 +216,8 @@ def pivot_pairs(members: DataFrame, plan: Plan) -> DataFrame:
     )
 
 
-def remaining_pairs(members: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs of one bucket in different components; two members of its largest component never pair."""
+def mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, n, size, component, major) of buckets with several components; major is the largest one."""
     placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("rows"))
     mixed = (
@@ -223,7 +226,16 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, plan: Plan) -> DataFr
         .where("components > 1")
         .select("bucket", F.col("top.component").alias("major"))
     )
-    rows = placed.join(mixed, "bucket").select("bucket", "node", "n", "component", "major")
+    return placed.join(mixed, "bucket").select("bucket", "node", "n", "size", "component", "major")
+
+
+def small_bucket_pairs(mixed: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs in different components of a bucket of at most ``SMALL_BUCKET`` members.
+
+    Two members of the bucket's largest component never pair.  A member meets at
+    most ``SMALL_BUCKET`` others in a bucket, so the pairs grow with the members.
+    """
+    rows = mixed.where(F.col("size") <= SMALL_BUCKET)
     left = rows.where("component <> major").select(
         "bucket", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("component").alias("x_component")
     )
@@ -237,6 +249,87 @@ def remaining_pairs(members: DataFrame, labels: DataFrame, plan: Plan) -> DataFr
     )
 
 
+def large_bucket_pairs(mixed: DataFrame, docs: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
+    """Candidate pairs in different components among the members of larger mixed buckets.
+
+    Their buckets say little (thousands of texts that are nearly alike, but not
+    enough), so the pairs come from the texts' rarest shingles instead: two sets
+    that share ``need = ceil(percent * (n + m) / (100 + percent))`` shingles share
+    one among the first ``n - need + 1`` and ``m - need + 1`` in any common order
+    (here rarest first).  A shingle at place j of a set thus only meets sets up to a
+    certain size; size classes make that part of the join key.  This is exact, and
+    the shingles of a group's common text, late in that order, meet nobody of equal
+    size.
+    """
+    p, whole = plan.percent, 100 + plan.percent
+    nodes = staged(
+        mixed.where(F.col("size") > SMALL_BUCKET)
+        .groupBy("node")
+        .agg(F.min("component").alias("component"), F.max(F.col("component") != F.col("major")).alias("minor")),
+        "large-bucket-nodes",
+    )
+    side, _ = broadcast_if_small(nodes)
+    texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text")).join(side, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(plan.words)
+        for batch in batches:
+            texts = strings(batch.column(1))
+            for a, b in slices(texts, SLICE):
+                sets = shingler.sets(texts[a:b])
+                sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+                at = np.repeat(np.arange(a, b), sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(i).take(pa.array(at)) for i in (0, 2, 3)),
+                        pa.array(np.repeat(sizes, sizes)),
+                        pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)),
+                    ],
+                    ["node", "component", "minor", "n", "shingle"],
+                )
+
+    each = staged(
+        texts.select("node", "text", "component", "minor").mapInArrow(
+            run, "node long, component long, minor boolean, n long, shingle long"
+        ),
+        "large-bucket-shingles",
+    )
+    rarity = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    # a shingle that one text alone has meets nobody, but takes its place in the order
+    order = Window.partitionBy("node").orderBy(F.coalesce("rows", F.lit(1)), "shingle")
+    placed = (
+        each.join(rarity, "shingle", "left")
+        .withColumn("place", F.row_number().over(order) - 1)
+        .where((F.col("place") * 100 <= F.col("n") * (100 - p)) & F.col("rows").isNotNull())
+        .withColumn("class", size_class(F.col("n")))
+    )
+    rare = staged(placed.select("node", "component", "minor", "n", "shingle", "place", "class"), "rare-shingles")
+    reach = F.floor((F.col("x_n") - F.col("x_place")) * whole / p) - F.col("x_n")
+    probes = (
+        rare.where("minor")
+        .select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "component", "n", "place")))
+        .withColumn("from", size_class(F.ceil(F.col("x_n") * p / 100)))
+        .withColumn("to", size_class(reach))
+        .where((reach >= 1) & (F.col("from") <= F.col("to")))
+        .withColumn("class", F.explode(F.sequence("from", "to")))
+        .drop("from", "to")
+    )
+    need = F.ceil((F.col("n") + F.col("x_n")) * p / whole)
+    return as_pairs(
+        rare.join(probes, ["shingle", "class"])
+        .where("component <> x_component")
+        .where((F.col("place") + need <= F.col("n")) & (F.col("x_place") + need <= F.col("x_n")))
+        .where(near_size(plan, "n", "x_n")),
+        "node",
+        "x_node",
+    )
+
+
+def size_class(n: Column) -> Column:
+    """Classes of set sizes that grow by a twenty-fifth."""
+    return F.floor(F.log(F.greatest(n, F.lit(1)).cast("double")) / math.log(1.04)).cast("int")
+
+
 # --------------------------------------------------------------------------
 # Verification
 # --------------------------------------------------------------------------
@@ -358,7 +451,9 @@ def near_duplicates(
     first = staged(pivot_pairs(members, plan), "pivot-pairs")
     links = staged(exact_links(staged(bayes_filter(first, sharing, plan), "pivot-survivors"), docs, plan, key, text), "links")
     labels = staged(connected_components(links), "pivot-components")
-    rest = remaining_pairs(members, labels, plan).join(first, ["a", "b"], "left_anti")
+    mixed = staged(mixed_buckets(members, labels), "mixed-buckets")
+    rest = small_bucket_pairs(mixed, plan).union(large_bucket_pairs(mixed, docs, plan, key, text)).distinct()
+    rest = rest.join(first, ["a", "b"], "left_anti")
     more = exact_links(staged(bayes_filter(rest, sharing, plan), "other-survivors"), docs, plan, key, text)
 
     classes = linkable.groupBy("set_key").agg(F.min("doc_id").alias("node"))

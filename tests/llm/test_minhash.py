@@ -50,9 +50,11 @@ def corpus(seed, n=60):
     return docs
 
 
-@pytest.mark.parametrize(("words", "percent"), [(3, 85), (5, 80)])
-def test_groups_match_brute_force(rows, words, percent):
-    docs = corpus(words)
+@pytest.mark.parametrize(("words", "percent", "small"), [(3, 85, 32), (5, 80, 1), (3, 70, 1)])
+def test_groups_match_brute_force(rows, monkeypatch, words, percent, small):
+    """Also with every bucket going the way of the large ones."""
+    monkeypatch.setattr(m, "SMALL_BUCKET", small)
+    docs = corpus(words + percent)
     docs += [(1000, None), (1001, ""), (1002, " \t\n"), (1003, "same  words HERE now"), (1004, "Same words\nhere NOW"), (1004, "Same words\nhere NOW")]
     docs += [(1005, "É é"), (1006, "é é"), (1007, "long " * 5000), (1008, "long " * 4000), (None, "same words here now")]
     df = rows("doc_id long, text string, component_id int, node string", [(*d, 5, "x") for d in docs])
@@ -106,3 +108,23 @@ def test_components_of_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 141)} | {i: 3 for i in [3, *range(7, 60)]}
     assert {r.node: r.component for r in got.collect()} == want
     assert m.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_rarest_shingles_lose_no_pair(rows):
+    """All pairs of one bucket over the threshold come out of the prefix filter."""
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    docs = []
+    for i in range(80):
+        own = list(base)
+        for _ in range(draw.randint(0, 6)):
+            own[draw.randrange(len(own))] = f"e{draw.randrange(30)}"
+        docs.append((i, " ".join(own[: draw.randint(45, 60)])))
+    df, plan = rows("doc_id long, text string", docs), m.Plan(3, 80)
+    sets = {k: m.shingles_of(t, 3) for k, t in docs}
+    mixed = rows(
+        "bucket long, node long, n long, size long, component long, major long", [(1, k, len(x), 80, k, -1) for k, x in sets.items()]
+    )
+    got = {(r.a, r.b) for r in m.large_bucket_pairs(mixed, df, plan, "doc_id", "text").collect()}
+    near = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert near <= got and len(near) > 20
