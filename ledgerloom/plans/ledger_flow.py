@@ -194,6 +194,8 @@ def sql_join(spark: SparkSession, left: DataFrame, right: DataFrame, roles: Role
              left_view: str = "ledger_left", right_view: str = "ledger_right") -> DataFrame:
     """The join as SQL text over two views: sub-selects with ORDER BY, joined on key.
 
+    This is a fixed query of the workload (fixed value), written through the
+    column roles.
     Duplicate output names (product and account of both sides) are aliased so
     the result can be written.  The ORDER BY clauses inside the sub-selects do
     not affect a join result, and Catalyst removes them.
