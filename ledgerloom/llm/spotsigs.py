@@ -11,6 +11,8 @@ partitions that share a rare spot.
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,45 +27,57 @@ ANCHORS = (
     "el los las y que del se por con una para lo no su"  # Spanish
 ).split()
 CHAIN = 2
-# hexadecimal digits of one spot in a fingerprint
-HEX = 8
 
 
 def normalised(text: Column) -> Column:
     """Lower-case words (letters and digits), each between single blanks."""
     return F.concat(
-        F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), F.lit(" ")
+        F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]++", " ")), F.lit(" ")
     )
 
 
-def spots(text: Column, anchors: tuple[str, ...] = tuple(ANCHORS), chain: int = CHAIN) -> Column:
-    """Sorted distinct spot hashes (32 bits) of a text.
+def one_of(words: Iterable[str]) -> str:
+    """A pattern of the words that shares their common beginnings, so a word is tried letter by letter."""
+    heads: dict[str, list[str]] = {}
+    for word in words:
+        heads.setdefault(word[:1], []).append(word[1:])
+    parts = [re.escape(head) + one_of(rest) for head, rest in sorted(heads.items()) if head]
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)}){'?' if '' in heads else ''}"
+
+
+def with_spots(
+    df: DataFrame, text: str, out: str, anchors: Iterable[str] = ANCHORS, chain: int = CHAIN
+) -> DataFrame:
+    """Append ``out``, the sorted distinct spot hashes (32 bits) of column ``text``.
 
     A text without a spot has the hashes of its words instead, a text without words
-    one hash of the text, and a null or empty text none.
+    one hash of the text, and a null or empty text none.  The steps are columns of
+    their own, so that no step is computed twice.
     """
-    words = "|".join(sorted(set(anchors)))
-    skip = f"(?:(?:{words}) )*+"
-    found = F.regexp_extract_all(
-        normalised(text), F.lit(rf"(?<= )(?=((?:{words}) (?:{skip}[^ ]+ ){{{chain}}}))"), F.lit(1)
-    )
+    word = one_of(set(anchors))
+    skip = f"(?:{word} )*+"
+    spot = F.regexp_extract_all("_words", F.lit(rf" (?=({word} (?:{skip}[^ ]++ ){{{chain}}}))"), F.lit(1))
     # a line a spot, then the anchors inside the chains go
-    lines = F.regexp_replace(F.array_join(found, "\n"), rf"(?<= )(?:{words}) ", "")
-    plain = F.trim(normalised(text))
+    lines = F.regexp_replace(F.array_join(spot, "\n"), rf"(?<= ){word} ", "")
     signatures = (
-        F.when(F.length(lines) > 0, F.split(lines, "\n"))
-        .when(F.length(plain) > 0, F.split(plain, " "))
+        F.when(F.length("_lines") > 0, F.split("_lines", "\n"))
+        .when(F.length("_words") > 2, F.split(F.trim("_words"), " "))
         .when(F.length(text) > 0, F.array(text))
         .otherwise(F.array().cast("array<string>"))
     )
-    return F.array_sort(F.array_distinct(F.transform(signatures, lambda s: F.hash(s))))
+    return (
+        df.withColumn("_words", normalised(F.col(text)))
+        .withColumn("_lines", lines)
+        .withColumn(out, F.sort_array(F.array_distinct(F.transform(signatures, lambda s: F.hash(s)))))
+        .drop("_words", "_lines")
+    )
 
 
 def fingerprint(spot_hashes: Column) -> Column:
-    """Spot hashes as one string, eight hexadecimal digits each."""
-    return F.array_join(
-        F.transform(spot_hashes, lambda h: F.lower(F.lpad(F.hex(h.bitwiseAND(0xFFFFFFFF)), HEX, "0"))), ""
-    )
+    """Spot hashes as one string, decimal numbers between commas."""
+    return F.array_join(spot_hashes.cast("array<string>"), ",")
 
 
 def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
@@ -79,9 +93,11 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 # --------------------------------------------------------------------------
 # A document and the next one
 # --------------------------------------------------------------------------
-def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str], derive=lambda df: df) -> DataFrame:
     """Append ``next_<column>`` of the next row in ascending ``key`` (after the last: the first).
 
+    ``derive`` adds columns to the rows before they are paired, once for each row.
+
     Rows are dealt into ranges of the key by its quantiles, each sorted on its own;
     the first row of the next range is added to each range, so no range waits for
     another and nothing is ordered in one task.  Rows of equal key are ordered by
@@ -100,7 +116,7 @@ def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str]) -
     # the range before each (non-empty) range, in a circle
     before = {first: firsts[i - 1][0] for i, (_, first) in enumerate(firsts)}
     if not firsts:
-        return docs.withColumns({f"next_{c}": F.col(c) for c in columns})
+        return derive(docs).withColumns({f"next_{c}": F.col(c) for c in columns})
     target = spark.createDataFrame(list(before.items()), "place long, before int")
     heads = (
         ranged.join(F.broadcast(target), "place")  # one row per range
@@ -110,7 +126,7 @@ def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str]) -
         .withColumns({"range": F.col("before"), "added": F.lit(True)})
         .select(*ranged.columns, "added")
     )
-    rows = ranged.withColumn("added", F.lit(False)).union(heads)
+    rows = derive(ranged.withColumn("added", F.lit(False)).union(heads))
     after = Window.partitionBy("range").orderBy("added", "place", *order)
     return (
         rows.withColumns({f"next_{c}": F.lead(c).over(after) for c in columns})
@@ -141,10 +157,10 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
     empty; repeated rows follow one another; a single document is its own next.
     """
     prepare(docs.sparkSession)
-    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("own")).withColumn("spots", spots(F.col("own")))
+    rows = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("own"))
     n, quarter = F.length("own"), F.floor(F.length("own") / 4).cast("int")
     paired = (
-        with_next(rows, key, ["own", "spots"], ["own"])
+        with_next(rows, key, ["own", "spots"], ["own"], lambda df: with_spots(df, "own", "spots"))
         .withColumn("n_chars", n)
         .withColumn(
             "edited",
@@ -152,7 +168,7 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         )
         .drop("own", "next_own")
     )
-    return paired.withColumn("edited_spots", spots(F.col("edited"))).select(
+    return with_spots(paired, "edited", "edited_spots").select(
         key,
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited",
@@ -179,7 +195,7 @@ def near_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text", percent
     """
     prepare(docs.sparkSession)
     t = percent / 100
-    rows = staged(docs.select(F.col(key), spots(F.col(text)).alias("spots")).where(F.size("spots") > 0), "spot-sets")
+    rows = staged(with_spots(docs.select(F.col(key), F.col(text).alias("own")), "own", "spots").where(F.size("spots") > 0).drop("own"), "spot-sets")
     sets = staged(
         rows.groupBy("spots").agg(F.min(key).alias("class")).withColumn("n", F.size("spots")), "spot-classes"
     )

@@ -31,7 +31,7 @@ TEXTS = [
 def test_spots(spark, rows):
     df = rows("doc_id long, text string, spots int", list(zip(range(len(TEXTS)), TEXTS, [1] * len(TEXTS), strict=True)))
     hashed = lambda x: spark.createDataFrame([(v,) for v in x] or [("",)], "s string").select(F.hash("s")).collect()
-    for r in df.select("doc_id", s.spots(F.col("text")).alias("found")).collect():
+    for r in s.with_spots(df.drop("spots"), "text", "found").collect():
         want = model(TEXTS[r.doc_id])
         assert r.found == sorted(set(r.found))
         if want:
@@ -40,6 +40,12 @@ def test_spots(spark, rows):
             assert bool(r.found) == bool(TEXTS[r.doc_id])
 
 
+def test_pattern_of_words():
+    words = ["a", "an", "and", "b", "be", "xyz"]
+    for text in [*words, "", "x", "ande", "bea"]:
+        assert bool(re.fullmatch(s.one_of(words), text)) == (text in words)
+
+
 def check_edited(rows, data, parts=3):
     df = rows("doc_id long, text string, next_own int, place int", [(*x, 1, 1) for x in data], parts)
     got = s.edited_fingerprints(df).collect()
@@ -65,7 +71,7 @@ def test_edited_texts_and_likeness(rows):
         for text, print_ in ((r.edited, r.edited_fingerprint),):
             assert by_text.setdefault(text, print_) == print_
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        parts = lambda f: {f[i : i + 8] for i in range(0, len(f), 8)}
+        parts = lambda f: set(f.split(",")) - {""}
         a, b = parts(r.fingerprint), parts(r.edited_fingerprint)
         assert r.near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
 
@@ -94,7 +100,7 @@ def test_near_pairs_match_brute_force(spark, rows):
     docs += [(100, None), (101, "")]
     df = rows("doc_id long, text string, class int", [(*d, 0) for d in docs])
     classes, pairs = s.near_pairs(df, percent=70)
-    sets = {r.doc_id: frozenset(r.x) for r in df.select("doc_id", s.spots(F.col("text")).alias("x")).collect()}
+    sets = {r.doc_id: frozenset(r.x) for r in s.with_spots(df, "text", "x").collect()}
     rep = {}
     for k in sorted(sets):
         rep.setdefault(sets[k], k)
