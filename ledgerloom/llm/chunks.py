@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-# Chunks kept between batches; the table starts afresh beyond it (memory only,
+# Chunks kept between batches; beyond it only the frequent ones stay (memory only,
 # the ids are the same either way).
 KEPT_CHUNKS = 400_000
 
@@ -68,11 +68,26 @@ class ChunkTable:
         self.ids = np.zeros(0, self.dtype)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
+        self.seen = np.zeros(0, np.int64)
+
+    def trim(self, most: int) -> None:
+        """Keep the chunks seen most often, at most ``most``."""
+        if len(self.index) <= most:
+            return
+        often = np.argsort(-self.seen, kind="stable")[:most]
+        often = np.sort(often[self.seen[often] > 1])
+        keys, ids = list(self.index), expand(self.ids, self.starts[often], self.lengths[often])
+        lengths, seen = self.lengths[often], self.seen[often]
+        self._clear()
+        for i in often.tolist():
+            self.index[keys[i]]  # numbered in this order
+        self.ids, self.lengths, self.seen = ids, lengths, seen
+        self.starts = np.cumsum(lengths) - lengths
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         if len(self.index) > self.keep:
-            self._clear()
+            self.trim(self.keep // 2)
         known = len(self.starts)
         chunks = [self.split(t) for t in texts]
         counts = np.fromiter(map(len, chunks), np.int64, len(chunks))
@@ -85,6 +100,9 @@ class ChunkTable:
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.ids = np.concatenate([self.ids, ids.astype(self.dtype)])
+        seen = np.bincount(found, minlength=len(self.starts))
+        seen[: len(self.seen)] += self.seen
+        self.seen = seen
         lengths = self.lengths[found]
         out = expand(self.ids, self.starts[found], lengths)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
