@@ -462,16 +462,18 @@ class KeyedTable:
         if not current:
             return self._commit([staged], schema=self._written_schema)
         batch = self._stored([staged])
-        keys = batch.select(self.key)
+        keys, small = batch.select(self.key), False
         if not self.buckets:
-            keys, _ = broadcast_if_small(keys, max_broadcast_bytes)
-        conflicts = persist_batch(self._stored(current).select(self.key).join(keys, self.key, "left_semi").distinct())
+            keys, small = broadcast_if_small(keys, max_broadcast_bytes)
+        conflicts = persist_batch(self._stored(current).select(self.key).join(keys, self.key, "left_semi"))
         try:
             if conflicts.isEmpty():
                 return self.version() if batch.isEmpty() else self._commit(current + [staged])
             if on_conflict == "replace":
                 return self._commit_later(staged)
-            known, _ = (conflicts, False) if self.buckets else broadcast_if_small(conflicts, max_broadcast_bytes)
+            # one row per stored row of a staged key: within the bound if those keys are (and
+            # no key has generations)
+            known = F.broadcast(conflicts) if small and not any(self._generations.values()) else conflicts
             fresh = batch.join(known, self.key, "left_anti")
             if fresh.isEmpty():
                 return self.version()
