@@ -59,7 +59,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (little-endian unsigned 32-bit), and whether they decode to its text."""
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     named = docs.select("doc_id", "lang", "source", "text")
-    both = bpe.decode(bpe.encode(named, path, pattern), path, pattern)
+    both = bpe.encode(named, path, pattern, decoded="decoded")
     return both.select(
         "doc_id",
         "lang",

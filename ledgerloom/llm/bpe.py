@@ -20,8 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerloom.llm import chunks
-from ledgerloom.llm.common import prepare, slices, strings
+from ledgerloom.llm.common import prepare, slices, strings, tidy
 
+# characters of one vectorised step
+SLICE = 2_000_000
 NONE = np.int64(1) << 40  # rank of a pair that never merges
 
 
@@ -199,29 +201,35 @@ def loaded(path: str, pattern: str) -> ByteBpe:
     return _LOADED[path, pattern]
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Append ``ids``: the token ids of ``text`` as little-endian unsigned 32-bit integers.
 
-    ``path`` must name the rank file on every executor.  A null or empty text
-    has no ids (an empty value); other columns pass through, one named ``ids``
-    is replaced.  Repeated rows are encoded each for itself; an empty table
+    With ``decoded``, a column of that name has the bytes that the ids decode to (as
+    ``decode`` makes it, but in the same workers).  ``path`` must name the rank file on every executor.  A null or empty text
+    has no ids (an empty value); other columns pass through, those of the new names
+    are replaced.  Repeated rows are encoded each for itself; an empty table
     gives an empty table.
     """
     prepare(df.sparkSession)
-    df = df.drop(ids)
+    made = [ids] if decoded is None else [ids, decoded]
+    df = df.drop(*made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
         for batch in batches:
             texts = strings(batch.column(batch.schema.get_field_index(text)))
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 found = [x.astype("<u4").tobytes() for x in bpe.table.texts(texts[a:b])]
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(found, pa.binary())], [*part.schema.names, ids]
-                )
+                columns = [*part.columns, pa.array(found, pa.binary())]
+                if decoded is not None:
+                    columns.append(pa.array([bpe.decode(np.frombuffer(x, "<u4")) for x in found], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *made])
+        bpe.table.trim(0)
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(ids, T.BinaryType())]))
+    return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, *(T.StructField(c, T.BinaryType()) for c in made)]))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -240,4 +248,4 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", decoded: st
                 [*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, decoded]
             )
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))
+    return df.mapInArrow(tidy(run), T.StructType([*df.schema.fields, T.StructField(decoded, T.BinaryType())]))

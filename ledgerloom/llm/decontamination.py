@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import prepare, strings
+from ledgerloom.llm.common import prepare, strings, tidy
 
 WINDOW = 13
 # Words of one automaton: about two states a word, some 100 MB in a worker.
@@ -214,7 +214,7 @@ def scan(
     out = kept
     for k, block in enumerate(blocks(items, item_id, item_text, block_words)):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        out = out.mapInArrow(_pass(shared, text, [f.name for f in fields], first=k == 0), schema)
+        out = out.mapInArrow(tidy(_pass(shared, text, [f.name for f in fields], first=k == 0)), schema)
     return out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import prepare, slices, strings
+from ledgerloom.llm.common import prepare, slices, strings, tidy
 
 SYMBOLS = 256
 BIGRAMS = SYMBOLS * SYMBOLS
@@ -28,7 +28,8 @@ SMOOTHING = 0.5
 # a text is ambiguous if its best two languages' scores are nearer than this
 AMBIGUOUS = 0.1
 UNDETERMINED = "und"
-SLICE = 1_000_000
+# characters of one vectorised step (some 100 bytes of work space each)
+SLICE = 300_000
 
 
 def _symbol_table() -> np.ndarray:
@@ -122,7 +123,7 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text") -> Model:
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text")
     )
-    summed = labelled.mapInArrow(count, "label string, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
+    summed = labelled.mapInArrow(tidy(count), "label string, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     rows = summed.toPandas()
     return train(rows["label"].to_numpy(), rows["gram"].to_numpy(), rows["n"].to_numpy())
 
@@ -186,7 +187,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -
                 [*batch.schema.names, *(f.name for f in out)],
             )
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *out]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, *out]))
 
 
 def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool]]:

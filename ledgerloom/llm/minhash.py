@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import prepare, slices, staged, strings
+from ledgerloom.llm.common import prepare, slices, staged, strings, tidy
 from ledgerloom.operators.layout import broadcast_if_small
 
 ROWS = 6  # signature rows of a band
@@ -37,7 +37,7 @@ MISS = 1e-6  # chance that a pair at the threshold shares no band
 PRUNE_MISS = 1e-7  # posterior probability under which a pair is pruned
 # buckets up to this size compare their members pair by pair
 SMALL_BUCKET = 32
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 SLICE = 1_000_000
 
 
@@ -177,7 +177,7 @@ def signatures(docs: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
                 )
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, signature binary")
+    return rows.mapInArrow(tidy(run), "doc_id long, n_shingles long, set_key binary, signature binary")
 
 
 # --------------------------------------------------------------------------
@@ -359,7 +359,7 @@ def bayes_filter(pairs: DataFrame, reps: DataFrame, plan: Plan) -> DataFrame:
                 )
                 yield batch.select(["a", "b"]).take(pa.array(posterior_survivors(left, right, plan)))
 
-    return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "left", "right").mapInArrow(tidy(run), "a long, b long")
 
 
 def exact_links(pairs: DataFrame, docs: DataFrame, plan: Plan, key: str, text: str) -> DataFrame:
@@ -388,7 +388,7 @@ def exact_links(pairs: DataFrame, docs: DataFrame, plan: Plan, key: str, text: s
                     linked.append(i)
             yield batch.select(["a", "b"]).take(pa.array(linked, pa.int64()))
 
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long").distinct()
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 # --------------------------------------------------------------------------

@@ -239,8 +239,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by the multilingual rank file, and the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN).select("doc_id", "ids")
-    both = bpe.decode(ids, path, public_tokenizers.PATTERN)
+    both = bpe.encode(docs, path, public_tokenizers.PATTERN, decoded="decoded")
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

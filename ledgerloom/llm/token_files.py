@@ -34,6 +34,7 @@ from ledgerloom.llm.common import (
     slices,
     staged,
     strings,
+    tidy,
     write_atomically,
 )
 
@@ -212,7 +213,7 @@ def write(
             ["part", "id", "n"],
         )
 
-    counted = staged(ordered.mapInArrow(tokenise, "part int, id long, n long"), "id-counts")
+    counted = staged(ordered.mapInArrow(tidy(tokenise), "part int, id long, n long"), "id-counts")
     by_id = counted.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()  # vocabulary size
     by_rank = np.array([r["id"] for r in by_id], "<u4").tobytes()
     parts = sorted((r["part"], r["n"]) for r in counted.groupBy("part").agg(F.sum("n").alias("n")).collect())
@@ -245,7 +246,7 @@ def write(
                 )
 
     todo = spark.createDataFrame([(p,) for p, _ in parts], "part int").repartition(len(parts))
-    written = {r["part"]: r["documents"] for r in todo.mapInArrow(rank, "part int, documents long").collect()}
+    written = {r["part"]: r["documents"] for r in todo.mapInArrow(tidy(rank), "part int, documents long").collect()}
     files, before = [], 0
     for part, n in parts:
         files.append((part, file_name(root, part), before, written[part]))
@@ -288,7 +289,7 @@ def read(spark: SparkSession, written: IdFiles) -> DataFrame:
                     )
 
     todo = spark.createDataFrame([(uri, before) for _, uri, before, _ in written.files], "uri string, before long")
-    return todo.repartition(len(written.files)).mapInArrow(decode, schema)
+    return todo.repartition(len(written.files)).mapInArrow(tidy(decode), schema)
 
 
 def read_file(uri: str) -> tuple[list, np.ndarray, np.ndarray]:

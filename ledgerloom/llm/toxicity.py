@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import prepare, slices, staged, strings
+from ledgerloom.llm.common import prepare, slices, staged, strings, tidy
 from ledgerloom.llm.decontamination import words_of
 from ledgerloom.operators.layout import broadcast_if_small
 
@@ -28,7 +28,9 @@ BITS = 20
 FIT_ROWS = 12_000
 EPOCHS = 3
 MASK = (1 << BITS) - 1
-KEPT_WORDS = 500_000
+# words whose hashes a worker keeps (memory only), and characters of one vectorised step
+KEPT_WORDS = 100_000
+SLICE = 1_000_000
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -112,7 +114,7 @@ def learn(rows: list[tuple[str, float]], epochs: int = EPOCHS, seed: int = 5, **
     """Model of (text, label) rows, in an order drawn anew each epoch."""
     hasher, ftrl = Hasher(), Ftrl(**how)
     texts, examples = [text for text, _ in rows], []
-    for a, b in slices(texts):
+    for a, b in slices(texts, SLICE):
         pairs = distinct_pairs(*hasher.features(texts[a:b]))
         cuts = np.searchsorted(pairs >> BITS, np.arange(1, b - a))
         examples += np.split((pairs & MASK).astype(np.int32), cuts)
@@ -173,7 +175,7 @@ def fit(
             ["feature", "weight"],
         )
 
-    learned = sample.mapInArrow(run, "feature long, weight double").collect()
+    learned = sample.mapInArrow(tidy(run), "feature long, weight double").collect()
     weights = {r["feature"]: r["weight"] for r in learned}
     bias = weights.pop(-1, -30.0)
     return Model(np.array(list(weights), np.int64), np.array(list(weights.values()), np.float32), bias)
@@ -195,13 +197,13 @@ def score(df: DataFrame, model: Model, text: str = "text", out: str = "score") -
         for batch in batches:
             texts = strings(batch.column(batch.schema.names.index(text)))
             sums = [np.zeros(0)]
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 sums.append(raw_scores(hasher, table, texts[a:b]) + model.bias)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(sigmoid(np.concatenate(sums)), pa.float64())], [*batch.schema.names, out]
             )
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def raw_scores(hasher: Hasher, table: np.ndarray, texts: list[str]) -> np.ndarray:

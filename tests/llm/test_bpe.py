@@ -71,6 +71,8 @@ def test_frame_with_nulls_clashing_names_and_no_rows(rows):
     out = bpe.decode(bpe.encode(df, PATH, PATTERN), PATH, PATTERN)
     assert out.columns == ["doc_id", "text", "ids", "decoded"]
     got = {(r.doc_id, r.text): (bytes(r.ids), bytes(r.decoded)) for r in out.collect()}
+    at_once = bpe.encode(df, PATH, PATTERN, decoded="decoded")
+    assert got == {(r.doc_id, r.text): (bytes(r.ids), bytes(r.decoded)) for r in at_once.collect()}
     assert got[1, None] == got[2, ""] == (b"", b"")
     assert got[2, "a b"] == got[None, "a b"] and got[2, "a b"][1] == b"a b"
     assert bpe.encode(df.limit(0), PATH, PATTERN).count() == 0
