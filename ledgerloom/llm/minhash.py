@@ -402,8 +402,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     very many edges is never gathered; every round is written to the shared folder.
     """
     edges = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
-    while True:
+    while not are_stars(edges):
         # large star: neighbours above a node move to its smallest neighbour
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -415,14 +414,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
             low.select("u", F.col("m").alias("v"))
         )
         edges = staged(small.distinct(), "small-star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     nodes = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Every node has one smaller neighbour and no larger one, or only larger ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    inner = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return inner.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
