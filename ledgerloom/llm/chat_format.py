@@ -26,6 +26,14 @@ LOSS_ROLE = "assistant"
 # every one of these gets a backslash after it, so no control string can stand in a text
 _SPECIAL = r"([\\\[\]<])"
 
+# bytes of a record beyond which its paths are read from its skeleton
+LONG_RECORD = 1 << 20
+# a field name with its colon (group 1), or a string value between its quotes (groups 2 and 3);
+# possessive, so that strings of any length are matched without recursion
+_STRINGS = r'(?s)("(?:[^"\\]++|\\.)*+"\s*+:)|(")(?:[^"\\]++|\\.)*+(")'
+# texts of any length, and an error for a record that is not as its layout says
+_JSON_OPTIONS = {"maxStringLen": str(2**31 - 1), "mode": "FAILFAST"}
+
 
 @dataclass(frozen=True)
 class Mapping:
@@ -71,9 +79,20 @@ MAPPINGS = (
 )
 
 
+def skeleton(payload: Column) -> Column:
+    """A JSON text with empty string values, and one of each run of equal neighbours in its arrays: the same field paths."""
+    empty = F.regexp_replace(payload, _STRINGS, "$1$2$3")
+    return F.regexp_replace(empty, r"(\{[^{}]*+\})(?:\s*+,\s*+\1)++", "$1")
+
+
 def schema_paths(payload: Column) -> Column:
-    """Nested field paths of a JSON text, names in order, without the scalar types; null if it is no JSON."""
-    schema = F.schema_of_variant(F.try_parse_json(payload))
+    """Nested field paths of a JSON text, names in order, without the scalar types; null if it is no JSON.
+
+    A Variant holds 128 MiB and its parser reads texts of 20,000,000 characters, so
+    of a long record only the skeleton is parsed.
+    """
+    short = F.when(F.octet_length(payload) > LONG_RECORD, skeleton(payload)).otherwise(payload)
+    schema = F.schema_of_variant(F.try_parse_json(short))
     return F.regexp_replace(schema, r"(?<=[ <])(?!OBJECT<|ARRAY<)[A-Z]+(?:\([^)]*\))?(?=[,>]|$)", "")
 
 
@@ -82,8 +101,9 @@ def fingerprint(payload: Column) -> Column:
     return F.sha2(schema_paths(payload), 256)
 
 
-def _array_turns(value: Column, m: Mapping) -> Column:
-    items = F.variant_get(value, f"$.{m.array}", f"array<struct<`{m.role}`:string,`{m.text}`:string>>")
+def _array_turns(payload: Column, m: Mapping) -> Column:
+    schema = f"`{m.array}` array<struct<`{m.role}`:string,`{m.text}`:string>>"
+    items = F.from_json(payload, schema, _JSON_OPTIONS)[m.array]
     renames = F.create_map(*(F.lit(x) for pair in m.roles for x in pair)) if m.roles else None
 
     def turn(item: Column) -> Column:
@@ -95,16 +115,20 @@ def _array_turns(value: Column, m: Mapping) -> Column:
     return F.transform(items, turn)
 
 
-def _flat_turns(value: Column, m: Mapping) -> Column:
-    text = lambda field: F.coalesce(F.variant_get(value, f"$.{field}", "string"), F.lit(""))
+def _flat_turns(payload: Column, m: Mapping) -> Column:
+    record = F.from_json(payload, ", ".join(f"`{field}` string" for _, field in m.fields), _JSON_OPTIONS)
+    text = lambda field: F.coalesce(record[field], F.lit(""))
     return F.array(*(F.struct(F.lit(role).alias("role"), text(field).alias("text")) for role, field in m.fields))
 
 
-def canonical_turns(records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+def canonical_turns(
+    records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS, strict: bool = False
+) -> DataFrame:
     """Append ``fingerprint``, ``layout`` and ``turns`` (array of role, text) to JSON records.
 
     A record of no known layout (or no JSON, or null) has a null layout and null
-    turns.  Null roles and texts become empty.  Columns of the same names are
+    turns; with ``strict`` the job fails on one that is not null.  Null roles and
+    texts become empty; a text may have any length.  Columns of the same names are
     replaced.
     """
     spark = records.sparkSession
@@ -115,12 +139,13 @@ def canonical_turns(records: DataFrame, payload: str = "payload", mappings: tupl
         .collect()  # one row per mapping
     )
     names = F.create_map(*(F.lit(x) for r in dict((r["fingerprint"], r["layout"]) for r in known).items() for x in r))
-    value = F.try_parse_json(payload)
     turns = None
     for m in mappings:
-        own = _array_turns(value, m) if m.array else _flat_turns(value, m)
+        own = _array_turns(F.col(payload), m) if m.array else _flat_turns(F.col(payload), m)
         chosen = F.col("layout") == m.name
         turns = F.when(chosen, own) if turns is None else turns.when(chosen, own)
+    if strict:
+        turns = F.coalesce(turns, F.when(F.col(payload).isNotNull(), F.raise_error(F.lit("a record has no turns"))))
     kept = records.drop(*({"fingerprint", "layout", "turns"} - {payload}))
     return (
         kept.withColumn("fingerprint", fingerprint(F.col(payload)))

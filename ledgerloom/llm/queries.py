@@ -182,7 +182,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     records = chat_format.as_records(rows, "conv_id", "turn")
-    turns = chat_format.canonical_turns(records).select("conv_id", "turns")
+    turns = chat_format.canonical_turns(records, strict=True).select("conv_id", "turns")
     formatted = staged(chat_format.format_turns(turns, "conv_id"), "chat-format")
     back = formatted.withColumn("turns", chat_format.parse_turns(F.col("formatted"))).withColumn(
         "loss", chat_format.loss_text(F.col("formatted"), F.col("loss_spans"))

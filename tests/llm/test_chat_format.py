@@ -1,7 +1,11 @@
 """Layouts, reversible escapes, loss masks, and the query against its SQL."""
 
 import json
+import os
+import subprocess
+import sys
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -68,3 +72,58 @@ def test_records_of_rows_nulls_ties_and_empty(rows):
     assert c.as_records(df.limit(0), "conv", "turn").count() == 0
     empty = c.format_turns(c.canonical_turns(rows("id long, payload string", [(1, None), (2, '{"messages": []}')])), "id")
     assert {(r.id, r.formatted, tuple(r.loss_spans)) for r in empty.collect()} == {(1, "<s>", ()), (2, "<s>", ())}
+
+
+def test_skeleton_keeps_the_paths(rows):
+    texts = ['a "b" \\', "\n\t,:{}[]", "\\\\", '","x":"', "é🎉" * 300, ""]
+    payloads = [json.dumps(p) for _, p, _ in LAYOUTS]
+    payloads += [json.dumps({"messages": [{"role": t, "content": t} for t in texts * 3]}), json.dumps({t: t for t in texts})]
+    payloads += [json.dumps([{"a": [{"b": t}, {"b": 1}, {"c": t}]} for t in texts], indent=2), "{no json", '{"prompt": "x', "7"]
+    df = rows("id long, payload string", list(enumerate(payloads)))
+    short = F.col("payload")
+    for r in df.select("payload", c.schema_paths(short).alias("whole"), c.schema_paths(c.skeleton(short)).alias("bare")).collect():
+        assert r.whole == r.bare, r.payload
+
+
+LONG = """
+import hashlib, sys
+from pyspark.sql import functions as F
+from ledgerloom.llm.queries import op6_chat_format
+from ledgerloom.session import build_session, scratch_path
+
+spark = build_session("local[2]", app_name="long-chat", shuffle_partitions=4)
+rows = [(1, 0, "user", 1), (1, 1, "assistant", 2_400_000), (2, 0, "user", 3)]
+rows += [(3, i, "user" if i % 2 else "assistant", 1_150_000) for i in range(14)]
+said = lambda n: '<"' + "abc, [d] " * n
+path = scratch_path(spark, "long-chat")
+table = spark.createDataFrame(rows, "conv_id long, turn long, role string, n int").repartition(4)
+text = F.concat(F.lit(said(0)), F.repeat(F.lit("abc, [d] "), F.col("n")))
+table.withColumn("text", text).drop("n").write.parquet(f"{path}/conversations.parquet")
+got = {r.conv_id: r for r in op6_chat_format(spark, path).collect()}
+assert sorted(got) == [-7, 1, 2, 3], got
+digest = lambda text: hashlib.sha256(text.encode()).hexdigest()
+for conv in (1, 2, 3):
+    turns = [(role, said(n)) for i, _, role, n in rows if i == conv]
+    loss = "".join(text for role, text in turns if role == "assistant")
+    spoken = "".join(f"{role}\\n{text}\\n" for role, text in turns)
+    assert (got[conv].n_turns, got[conv].loss_chars) == (len(turns), len(loss)), got[conv]
+    assert (got[conv].loss_sha256, got[conv].turns_sha256) == (digest(loss), digest(spoken)), conv
+"""
+
+
+def test_long_texts_and_long_conversations_keep_all_turns():
+    """A text of more than 20 million characters, and a conversation of more than 128 MiB (in a heap of its own)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = os.environ | {
+        "PYSPARK_SUBMIT_ARGS": "--driver-memory 6g --conf spark.ui.enabled=false pyspark-shell",
+        "PYTHONPATH": os.pathsep.join(x for x in (root, os.environ.get("PYTHONPATH", "")) if x),
+    }
+    run = subprocess.run([sys.executable, "-c", LONG], env=env, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-3000:]
+
+
+def test_strict_fails_on_a_record_without_turns(rows):
+    df = rows("id long, payload string", [(1, '{"prompt": "p", "response": "r"}'), (2, None), (3, '{"some": "thing"}')])
+    assert c.canonical_turns(df.where("id < 3"), strict=True).where("turns IS NULL").count() == 1
+    with pytest.raises(Exception, match="a record has no turns"):
+        c.canonical_turns(df, strict=True).select("turns").collect()
