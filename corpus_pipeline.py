@@ -19,6 +19,8 @@ from ledgerloom.operators.layout import broadcast_if_small
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 # least language score of a kept document
 LEAST_LANGUAGE_SCORE = 0.3
+# least share of its n-grams that are usual in its language; the score only compares the learned languages
+LEAST_KNOWN_GRAMS = 0.5
 
 
 def _prefix(docs: DataFrame) -> str:
@@ -36,10 +38,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text is in one of the languages learned from the table."""
+    """Documents whose text is in one of the languages learned from the table, or a mixture of them."""
     prefix = _prefix(docs)
     found = language_id.predict(docs, language_id.fit(docs), prefix=prefix)
-    return found.where(~language_id.is_rejected(LEAST_LANGUAGE_SCORE, prefix)).select(docs.columns)
+    return found.where(~language_id.is_rejected(LEAST_LANGUAGE_SCORE, prefix, LEAST_KNOWN_GRAMS)).select(docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,6 +28,8 @@ SMOOTHING = 0.5
 # a text is ambiguous if its best two languages' scores are nearer than this
 AMBIGUOUS = 0.1
 UNDETERMINED = "und"
+# known n-grams that every text is granted, so that few rare ones do not condemn a short text
+GRANTED_GRAMS = 4
 # characters of one vectorised step (some 100 bytes of work space each)
 SLICE = 300_000
 
@@ -94,6 +96,7 @@ class Model:
     code: np.ndarray  # languages x bits
     weights: np.ndarray  # grams x bits, log-odds
     expected: np.ndarray  # languages x bits: the margin of a typical text of the language
+    usual: np.ndarray  # languages x grams: more frequent in the language than if all grams were equally frequent
 
 
 def fit(df: DataFrame, label: str = "lang", text: str = "text") -> Model:
@@ -140,7 +143,7 @@ def train(labels: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> Model:
     for j in range(code.shape[1]):
         if (code[:, j] > 0).any() and (code[:, j] < 0).any():
             weights[:, j] = np.log(share[code[:, j] > 0].mean(axis=0)) - np.log(share[code[:, j] < 0].mean(axis=0))
-    return Model(languages, code, weights.astype(np.float32), share @ weights)
+    return Model(languages, code, weights.astype(np.float32), share @ weights, share > 1 / GRAMS)
 
 
 def decode(model: Model, margins: np.ndarray) -> np.ndarray:
@@ -159,10 +162,12 @@ def decode(model: Model, margins: np.ndarray) -> np.ndarray:
 
 
 def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
-    """Append ``lang_pred``, ``score`` (0 to 1) and ``ambiguous``, each after ``prefix``, to every row.
+    """Append ``lang_pred``, ``score`` (0 to 1), ``ambiguous`` and ``known``, each after ``prefix``, to every row.
 
-    A null text, or one without a letter, is ``und`` with score 0 and ambiguous;
-    so is every text where no language was learned.  Ties go to the language that
+    The scores of the learned languages sum to 1, so the best says nothing about
+    other languages; ``known``, the share of the text's n-grams that are usual in the
+    predicted language, does.  A null text, or one without a letter, is ``und`` with
+    score and share 0 and ambiguous; so is every text where no language was learned.  Ties go to the language that
     sorts first.  Columns of the same names are replaced.
     """
     spark = prepare(df.sparkSession)
@@ -171,6 +176,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -
         T.StructField(f"{prefix}lang_pred", T.StringType()),
         T.StructField(f"{prefix}score", T.DoubleType()),
         T.StructField(f"{prefix}ambiguous", T.BooleanType()),
+        T.StructField(f"{prefix}known", T.DoubleType()),
     ]
     kept = df.drop(*(f.name for f in out))
 
@@ -178,21 +184,22 @@ def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -
         model = shared.value
         for batch in batches:
             texts = strings(batch.column(batch.schema.names.index(text)))
-            found: list[tuple[str, float, bool]] = []
+            found: list[tuple[str, float, bool, float]] = []
             for a, b in slices(texts, SLICE):
                 found += classify(model, texts[a:b])
-            lang, score, unsure = zip(*found, strict=True) if found else ((), (), ())
+            made = zip(*found, strict=True) if found else ((), (), (), ())
+            kinds = (pa.string(), pa.float64(), pa.bool_(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure, pa.bool_())],
+                [*batch.columns, *(pa.array(values, kind) for values, kind in zip(made, kinds, strict=True))],
                 [*batch.schema.names, *(f.name for f in out)],
             )
 
     return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, *out]))
 
 
-def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool]]:
+def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool, float]]:
     if not model.languages:
-        return [(UNDETERMINED, 0.0, True)] * len(texts)
+        return [(UNDETERMINED, 0.0, True, 0.0)] * len(texts)
     grams, first, letters = grams_of(texts)
     ends = np.append(first[1:], len(grams))
     sums = np.zeros((len(texts), model.code.shape[1]))
@@ -203,12 +210,21 @@ def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool]]:
     best = scores.argmax(axis=1)
     ordered = np.sort(scores, axis=1)
     gap = ordered[:, -1] - ordered[:, -2] if scores.shape[1] > 1 else np.ones(len(texts))
+    n = ends - first
+    seen = np.append(0, np.cumsum(model.usual[np.repeat(best, n), grams]))
+    known = (seen[ends] - seen[first] + GRANTED_GRAMS) / (n + GRANTED_GRAMS)
     return [
-        (model.languages[k], float(scores[i, k]), bool(gap[i] < AMBIGUOUS)) if letters[i] else (UNDETERMINED, 0.0, True)
+        (model.languages[k], float(scores[i, k]), bool(gap[i] < AMBIGUOUS), float(known[i]))
+        if letters[i]
+        else (UNDETERMINED, 0.0, True, 0.0)
         for i, k in enumerate(best.tolist())
     ]
 
 
-def is_rejected(least: float = 0.3, prefix: str = "") -> Column:
-    """No language, or one with a score under ``least``."""
-    return (F.col(f"{prefix}lang_pred") == UNDETERMINED) | (F.col(f"{prefix}score") < least)
+def is_rejected(least: float = 0.3, prefix: str = "", least_known: float = 0.5) -> Column:
+    """No language, one with a score under ``least``, or one in which too few of the text's n-grams are usual."""
+    return (
+        (F.col(f"{prefix}lang_pred") == UNDETERMINED)
+        | (F.col(f"{prefix}score") < least)
+        | (F.col(f"{prefix}known") < least_known)
+    )

@@ -4,7 +4,9 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerloom.llm import language_id, toxicity
 from ledgerloom.llm.queries import op4_language_id, op8_toxicity
 
@@ -96,3 +98,28 @@ def test_ftrl_is_sparse_and_finds_the_words():
     scores = toxicity.raw_scores(toxicity.Hasher(), model.table(), ["w1 w2 awful w3", "w1 w2 w3", ""]) + model.bias
     assert scores[0] > 0 > scores[1] and abs(scores[2] - model.bias) < 1e-9
     assert len(model.features) < 2000
+
+
+UNLEARNED = [
+    "Все люди рождаются свободными и равными в своем достоинстве и правах",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "人人生而自由在尊严和权利上一律平等",
+    "qzxj vkwq xxzt qqpl wvbn zkrq mxzp",
+]
+LEARNED = ["The cat sat.", "Guten Morgen", "Buenos días señor", "All human beings are born free and equal in dignity and rights"]
+
+
+def test_stage_drops_unlearned_languages_and_keeps_short_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    new = [(-1 - i, text) for i, text in enumerate(UNLEARNED)] + [(-101 - i, text) for i, text in enumerate(LEARNED)]
+    first = docs.where("text IS NOT NULL AND text <> ''").select(
+        (-1001 - F.col("doc_id")).alias("doc_id"), F.array_join(F.slice(F.split("text", r"\s+"), 1, 3), " ").alias("text")
+    )
+    added = spark.createDataFrame(new, "doc_id long, text string").union(first)
+    whole = docs.select("doc_id", "lang", "text").unionByName(added, allowMissingColumns=True)
+    kept = {r.doc_id for r in corpus_pipeline.keep_languages(spark, whole, SF).select("doc_id").collect()}
+    assert not kept & {-1 - i for i in range(len(UNLEARNED))}
+    assert kept >= {-101 - i for i in range(len(LEARNED))}
+    lettered = whole.where(F.col("text").rlike(r"\p{L}") & (F.col("doc_id") < -1000) | F.col("text").rlike(r"\p{L}{2}") & (F.col("doc_id") >= 0))
+    missing = lettered.where(~F.col("doc_id").isin(list(kept))).collect()
+    assert not missing, missing[:3]
