@@ -1,11 +1,12 @@
-"""Operator 10: byte-level BPE encoding and decoding by corpus-level merge replay.
-
-Each partition of documents is one corpus for the replay: its distinct
-pre-tokens are laid out as one long symbol array, an inverted index maps every
-token pair (by the rank of its merge) to the positions where it stands, and the
-merges are applied in rank order, touching only the neighbours of a merged
-pair.  Documents then take their ids from the table of distinct pieces, so no
-pre-token is shuffled.  Ids equal those of the tiktoken library.
+"""Operator 10: byte-level BPE encoding and decoding by merge replay over slices.
+
+Documents are handled in slices of at most ``SLICE`` characters (a longer text
+alone), which bounds the work space.  The distinct pre-tokens that a slice adds to
+its task's table are laid out as one long symbol array, an inverted index maps
+every token pair (by the rank of its merge) to the positions where it stands, and
+the merges are applied in rank order, touching only the neighbours of a merged
+pair.  Documents then take their ids from the table, so no pre-token is shuffled;
+a pre-token of several tasks is replayed in each.  Ids equal those of the tiktoken library.
 """
 
 from __future__ import annotations
