@@ -137,7 +137,8 @@ def fit(
 ) -> Model:
     """FTRL model of about ``rows`` labelled documents, chosen by a hash of the key.
 
-    FTRL is sequential, so this bounded sample is learned in one task.  Rows of
+    FTRL is sequential, so this bounded sample is learned in one task; a document
+    that is repeated with the same text is learned once.  Rows of
     ``labels`` without key or label are left out; of several labels of a key the
     highest counts.  Without labelled documents the model scores 0 everywhere
     (its bias is negative), with labels of one kind it scores that kind.
@@ -155,6 +156,7 @@ def fit(
     sample = (
         docs.select(F.col(key).cast("long").alias("fit_key"), F.coalesce(F.col(text), F.lit("")).alias("fit_text"))
         .join(side, "fit_key")
+        .distinct()
         .repartition(1)
         .sortWithinPartitions(F.xxhash64("fit_key"), "fit_key", "fit_text")
         .select("fit_text", "fit_label")

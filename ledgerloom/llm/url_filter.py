@@ -40,7 +40,7 @@ RULES = (
 )
 ALLOW, BLOCK = "allow", "block"
 
-# Labelled urls used for fitting (about; chosen by a hash of the url).
+# Distinct labelled urls used for fitting (about; chosen by a hash of the url).
 FIT_ROWS = 20_000
 # Tasks of the fit: the sample is bounded, so is its parallelism.
 FIT_PARTITIONS = 4
@@ -123,9 +123,10 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, f
     """Append ``host``, ``path``, ``rule``, ``verdict`` and ``block_score`` (0 to 1) to every row.
 
     A row that a rule fits has the rule's verdict, any other the trees' (block
-    from a score of 0.5).  The trees learn from about ``fit_rows`` urls that rules
-    label, chosen by hash; the suffix statistics count all of them.  With no
-    labelled url, or labels of one kind, that kind (else allow) is the verdict.
+    from a score of 0.5).  The trees learn from about ``fit_rows`` distinct urls that
+    rules label, chosen by hash and weighted by their rows; the suffix statistics
+    count all rows.  With no labelled url, or labels of one kind, that kind (else
+    allow) is the verdict; with a sample of one kind, or none, the more frequent label.
     A null url has an empty host and path; columns of the same names are
     replaced; repeated rows and empty tables need no care.
     """
@@ -140,17 +141,21 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, f
 
     suffixes = staged(
         rows.where("label IS NOT NULL")
+        .groupBy("suffix", "label", url)
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy("suffix")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("label").alias("blocked")),
+        .agg(
+            F.sum("n").cast("double").alias("n"),
+            F.sum(F.col("label") * F.col("n")).alias("blocked"),
+            F.count(F.lit(1)).alias("urls"),
+        ),
         "url-suffixes",
     )
-    totals = suffixes.agg(F.sum("n"), F.sum("blocked")).first()
-    n, blocked = totals[0] or 0.0, totals[1] or 0.0
+    totals = suffixes.agg(F.sum("n"), F.sum("blocked"), F.sum("urls")).first()
+    n, blocked, urls = totals[0] or 0.0, totals[1] or 0.0, totals[2] or 0
     answer = ruled.columns
-    if not 0 < blocked < n:
-        score = 1.0 if n and blocked == n else 0.0
-        judged = ruled.withColumn("block_score", F.lit(score))
-    else:
+    fits = 0 < blocked < n
+    if fits:
         side, _ = broadcast_if_small(
             suffixes.select(
                 "suffix", F.log1p("n").alias("f_suffix_rows"), ((F.col("blocked") + 1) / (F.col("n") + 2)).alias("f_suffix_blocked")
@@ -158,22 +163,28 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[Rule, ...] = RULES, f
         )
         rows = rows.join(side, "suffix", "left").fillna({"f_suffix_rows": 0.0, "f_suffix_blocked": blocked / n})
         assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="f_vector", handleInvalid="keep")
-        share = min(1.0, fit_rows / n)
+        share = min(1.0, fit_rows / urls)
         sample = staged(
             rows.where("label IS NOT NULL")
             .where(F.pmod(F.xxhash64(url), F.lit(1_000_003)) < share * 1_000_003)
-            .select("label", *FEATURES)
+            .groupBy(url, "label", *FEATURES)  # the features depend on the url alone
+            .agg(F.count(F.lit(1)).cast("double").alias("f_rows"))
+            .select("label", "f_rows", *FEATURES)
             .repartition(FIT_PARTITIONS),
             "url-sample",
         )
+        fits = sample.agg(F.count_distinct("label")).first()[0] == 2
+    if fits:
         trees = GBTClassifier(
-            featuresCol="f_vector", labelCol="label", predictionCol="f_prediction",
+            featuresCol="f_vector", labelCol="label", predictionCol="f_prediction", weightCol="f_rows",
             maxIter=10, maxDepth=4, stepSize=0.3, seed=7,
         )
         model = trees.fit(assembler.transform(sample)).setProbabilityCol("f_probability").setRawPredictionCol("f_raw")
         judged = model.transform(assembler.transform(rows)).withColumn(
             "block_score", vector_to_array("f_probability")[1]
         )
+    else:
+        judged = ruled.withColumn("block_score", F.lit(1.0 if 2 * blocked > n else 0.0))
     return judged.select(
         *answer,
         F.coalesce(by_rule, F.when(F.col("block_score") >= 0.5, BLOCK).otherwise(ALLOW)).alias("verdict"),

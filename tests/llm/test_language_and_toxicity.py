@@ -87,6 +87,14 @@ def test_toxicity_edge_cases(rows):
     assert all(r.score < 0.5 for r in toxicity.score(docs, unlabelled).collect())
 
 
+def test_repeated_documents_are_learned_once(rows):
+    docs = [(i, f"you fool w{i}" if i % 3 == 0 else f"fine day w{i}") for i in range(60)]
+    labels = rows("doc_id long, toxic int", [(i, int(i % 3 == 0)) for i in range(60)])
+    once = toxicity.fit(rows("doc_id long, text string", docs), labels)
+    again = toxicity.fit(rows("doc_id long, text string", docs + [docs[1]] * 2000), labels)
+    assert once.bias == again.bias and dict(zip(once.features, once.weights)) == dict(zip(again.features, again.weights))
+
+
 def test_ftrl_is_sparse_and_finds_the_words():
     draw = np.random.default_rng(0)
     words = [f"w{i}" for i in range(300)]

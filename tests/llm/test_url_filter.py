@@ -54,6 +54,17 @@ def test_trees_learn_lexical_marks(rows):
     assert got[5000].verdict == "block" and got[5001].verdict == "allow"
 
 
+def test_few_urls_with_many_rows(rows):
+    """The sample counts distinct urls; where it is empty the more frequent label decides."""
+    urls = ["http://a.net/es/1?a=1", "http://b.com/story", "http://c.com/page"]
+    data = [(i, urls[0] if i % 3 else urls[1 + i % 2]) for i in range(600)] + [(1000, "http://d.org/x")]
+    df = rows("page_id long, url string", data)
+    got = {r.page_id: r for r in u.judge(df, fit_rows=3).collect()}
+    assert len(got) == 601 and 0 < got[1000].block_score < 1
+    empty = {r.page_id: r for r in u.judge(df, fit_rows=0).collect()}
+    assert empty[1000].verdict == "block" and empty[0].verdict == "allow"
+
+
 def test_query(spark):
     urls = {r.page_id: r.url for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
     got = op3_url_filter(spark, "/root/testdata/sf0.001").collect()
