@@ -1 +1 @@
-"""Training-data operators: ten corpus jobs, each a Spark job with its own module."""
+"""Training-data operators: thirteen corpus jobs, each a Spark job with its own module."""

@@ -13,7 +13,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, chat_format, decontamination, language_id, minhash, spotsigs, token_files, toxicity, url_filter, warc
+from ledgerloom.llm import (
+    bpe,
+    chat_format,
+    decontamination,
+    filter_audit,
+    hard_negatives,
+    language_id,
+    minhash,
+    spotsigs,
+    token_files,
+    topk,
+    toxicity,
+    url_filter,
+    warc,
+)
 from ledgerloom.llm.common import crc_remainder, prepare, read_table, staged
 from ledgerloom.session import scratch_path
 
@@ -246,3 +260,102 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+OP11_SQL = """
+WITH vector AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+score AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+           CAST(list_dot_product(a.x, c.x) AS BIGINT) AS s
+    FROM vector a JOIN vector c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positive AS (
+    SELECT anchor_id, id AS positive_id, s AS positive_score FROM score WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.id AS negative_id, positive_score,
+       n.s AS negative_score
+FROM positive p JOIN score n
+  ON n.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * n.s AND n.s <= positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY n.s DESC, n.id)
+QUALIFY row_number() OVER w <= 5
+"""
+
+
+@register("op11_hard_negatives", OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with a seventh of the labels moved on by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE perm(filter_order) AS (
+    SELECT '' UNION ALL
+    SELECT filter_order || f FROM perm, unnest(['A', 'B', 'C', 'D', 'E']) t(f)
+    WHERE NOT contains(filter_order, f)),
+doc AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+first_of AS (SELECT text, min(doc_id) AS first_id FROM doc GROUP BY text),
+mark AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+         FROM labels GROUP BY doc_id),
+flag AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+           || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+           || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+           || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+    FROM doc JOIN first_of USING (text) LEFT JOIN mark USING (doc_id)),
+grp AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM flag GROUP BY part, fails),
+step AS (
+    SELECT filter_order, s AS step, filter_order[s] AS f, filter_order[1:s - 1] AS earlier
+    FROM (SELECT filter_order, unnest(range(1, 6)) AS s FROM perm WHERE length(filter_order) = 5)),
+met AS (
+    SELECT part, filter_order, step, f, n, good, toxic, contains(fails, f) AS hit,
+           length(translate(fails, earlier, '')) < length(fails) AS gone, fails = f AS only_one
+    FROM grp, step),
+total AS (
+    SELECT part, filter_order, step, f,
+           CAST(sum(CASE WHEN NOT hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS kept,
+           CAST(sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS BIGINT) AS removed,
+           CAST(sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS BIGINT) AS redundant,
+           CAST(sum(CASE WHEN only_one THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+           CAST(sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+           CAST(sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+    FROM met GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM total
+"""
+
+
+@register("op12_filter_audit", OP12_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from the documents of each language in all 120 orders."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(filter_audit.bit_counts(docs, read_table(spark, sf_dir, "labels")))
+
+
+OP13_SQL = """
+WITH vector AS (
+    SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(64 * CAST(v AS DOUBLE)) AS DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, c.vec_id,
+       CAST(list_dot_product(q.x, c.x) AS BIGINT) AS score
+FROM vector q JOIN vector c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.x, c.x) DESC, c.vec_id)
+QUALIFY row_number() OVER w <= 20
+"""
+
+
+@register("op13_top_k", OP13_SQL)
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 rows of highest inner product for every twentieth vector."""
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)

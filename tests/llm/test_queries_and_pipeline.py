@@ -15,14 +15,14 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered_once_each():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLE_SQL) <= set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "conversations", "labels"):
+    for t in ("documents", "pages", "benchmark", "conversations", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     cursor = con.execute(ORACLE_SQL[name])
