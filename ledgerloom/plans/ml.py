@@ -1,23 +1,19 @@
 """Decision-tree classification on a table: features, fit, predictions, accuracy.
 
 Feature extraction is built-in column expressions (required cells must parse,
-optional cells default to 0); the tree is MLlib's distributed trainer; the
-accuracy is one aggregation over the scored table.
+optional cells default to 0); the tree is exact (``plans.tree``), or MLlib's binned
+one on request; the accuracy is one aggregation over the scored table.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cells import double_or_zero, required_double
-
-
-# candidate splits per feature; every executor holds the statistics of all of them
-MOST_BINS = 1024
+from ledgerloom.plans import tree
 
 
 def feature_table(
@@ -58,19 +54,15 @@ def fit_tree(
     min_info_gain: float = 0.0,
     max_bins: int | None = None,
     seed: int = 42,
-) -> DecisionTreeClassificationModel:
+) -> tree.TreeModel | DecisionTreeClassificationModel:
     """Gini decision tree, depth-limited.
 
-    Splits are searched between the distinct values of a feature, so ``max_bins``
-    is by default the largest distinct count of any feature (measured), between 32
-    and ``MOST_BINS``; a feature with more values is split at ``max_bins`` quantiles.
+    By default exact at every table size: all distinct values of a feature are split
+    candidates (see ``plans.tree``).  With ``max_bins``, MLlib's tree instead, which cuts
+    a feature at that many quantiles of a sample (``seed``).
     """
     if max_bins is None:
-        values = vector_to_array("features")
-        size = train.select(F.size(values)).first()
-        counts = train.agg(*(F.approx_count_distinct(values[i], 0.02) for i in range(size[0]))).first() if size else []
-        # the count is approximate: leave room above it
-        max_bins = min(MOST_BINS, max(32, *(int(1.1 * n) + 2 for n in counts or [0])))
+        return tree.fit(train, max_depth, min_info_gain)
     return DecisionTreeClassifier(
         featuresCol="features",
         labelCol="label",
@@ -82,10 +74,16 @@ def fit_tree(
     ).fit(train)
 
 
-def model_text(model: DecisionTreeClassificationModel) -> str:
+def model_text(model: tree.TreeModel | DecisionTreeClassificationModel) -> str:
+    """The tree as nested conditions on feature numbers."""
     return model.toDebugString
 
 
+def model_rows(model: tree.TreeModel, spark: SparkSession) -> DataFrame:
+    """The tree as a table, one row per node (``tree.NODE_SCHEMA``)."""
+    return model.node_table(spark)
+
+
 def accuracy_frame(scored: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: ``accuracy`` (share of rows predicted right) and ``test_error``."""
     hit = (F.col(prediction) == F.col(label)).cast("double")
