@@ -10,6 +10,7 @@ from ledgerloom.operators.layout import (
     plan_text,
     sort_with_tiebreak,
 )
+from ledgerloom.operators.read_through import load_from_source, lookup_through
 
 __all__ = [
     "KeyedTable",
@@ -17,6 +18,8 @@ __all__ = [
     "KeyedTableError",
     "broadcast_if_small",
     "dense_index",
+    "load_from_source",
+    "lookup_through",
     "measure_bounded",
     "partition_by_key",
     "persist_in_memory",

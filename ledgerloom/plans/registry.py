@@ -19,10 +19,12 @@ from ledgerloom.operators.indexing import dense_index, with_row_index
 from ledgerloom.operators.keyed_table import KeyedTable
 from ledgerloom.operators.layout import estimated_bytes, persist_in_memory
 from ledgerloom.operators.layout import partition_by_key as key_partitioned
+from ledgerloom.operators.read_through import load_from_source, lookup_through
 from ledgerloom.plans import ledger_flow as lf
 from ledgerloom.plans import ml, passenger
 from ledgerloom.session import buckets_for, partitions_for, scratch_path
 from ledgerloom.sources import delimited, ledger, parquet
+from ledgerloom.sources.line_index import IndexedSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -456,6 +458,47 @@ def lookup_many(spark, sf_dir):
     return t.lookup_many(keys, key_column="o_custkey")
 
 
+# customers as text in key order, their rows keyed by line from 0
+SOURCE_SQL = """
+SELECT CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS row_key, CAST(c_custkey AS VARCHAR) AS c_custkey,
+       c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer
+"""
+
+
+def customer_source(spark, sf_dir) -> IndexedSource:
+    customer = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
+    path = delimited.write_delimited(customer.sort("c_custkey"), scratch_path(spark, "customer-lines"))
+    return IndexedSource(spark, path)
+
+
+@register("line_key_load", SOURCE_SQL)
+def line_key_load(spark, sf_dir):
+    """A keyed table loaded from delimited files, keyed by line number."""
+    t = keyed(spark, "customer-line-keys", "row_key")
+    load_from_source(t, customer_source(spark, sf_dir))
+    return t.scan()
+
+
+@register("read_through_miss", f"SELECT * FROM ({SOURCE_SQL}) WHERE row_key = 7")
+def read_through_miss(spark, sf_dir):
+    """The table has the even keys only: the row comes from one block of the source."""
+    source, t = customer_source(spark, sf_dir), keyed(spark, "customer-through", "row_key")
+    load_from_source(t, source, "row_key % 2 = 0")
+    return lookup_through(t, source, 7, store=False)
+
+
+@register("read_through_table", f"SELECT * FROM ({SOURCE_SQL}) WHERE row_key % 2 = 0 OR row_key = 7")
+def read_through_table(spark, sf_dir):
+    """The table after a hit, a miss and a key that the source lacks: the missed row is stored."""
+    source, t = customer_source(spark, sf_dir), keyed(spark, "customer-through", "row_key")
+    load_from_source(t, source, "row_key % 2 = 0")
+    for key in (6, 7, -1):
+        lookup_through(t, source, key)
+    return t.scan()
+
+
 # --------------------------------------------------------------------------
 # Projections and filters
 # --------------------------------------------------------------------------
@@ -790,28 +833,64 @@ def error_rule(spark, sf_dir):
     return ml.accuracy_frame(_rule_scored(spark, sf_dir)).select("test_error")
 
 
-TREE_SQL = """
-WITH t AS (
-    SELECT doc_id, CAST(quality AS DOUBLE) AS label, CAST(least(n_chars // 500, 20) AS DOUBLE) AS f0,
-           CAST(coalesce(toxic, 0) AS DOUBLE) AS f1
-    FROM labels JOIN documents USING (doc_id)),
-v AS (SELECT 0 AS f, f0 AS x, label FROM t UNION ALL SELECT 1, f1, label FROM t),
-c AS (SELECT f, x, count(*) AS n, sum(label) AS p FROM v GROUP BY f, x),
-s AS (
-    SELECT f, x, lead(x) OVER (PARTITION BY f ORDER BY x) AS next_x,
-           sum(n) OVER (PARTITION BY f ORDER BY x) AS ln, sum(p) OVER (PARTITION BY f ORDER BY x) AS lp,
-           sum(n) OVER (PARTITION BY f) AS tn, sum(p) OVER (PARTITION BY f) AS tp
-    FROM c),
-g AS (
-    SELECT f, (x + next_x) / 2 AS threshold, lp / ln > 0.5 AS low, (tp - lp) / (tn - ln) > 0.5 AS high,
-           2 * tp / tn * (1 - tp / tn) - ln / tn * 2 * lp / ln * (1 - lp / ln)
-           - (tn - ln) / tn * 2 * (tp - lp) / (tn - ln) * (1 - (tp - lp) / (tn - ln)) AS gain
-    FROM s WHERE next_x IS NOT NULL),
-best AS (SELECT * FROM g WHERE gain > 1e-12 ORDER BY round(gain, 12) DESC, f, threshold LIMIT 1),
-scored AS (
-    SELECT doc_id, label, CAST(CASE WHEN threshold IS NULL THEN (SELECT avg(label) > 0.5 FROM t)
-           WHEN (CASE f WHEN 0 THEN f0 ELSE f1 END) <= threshold THEN low ELSE high END AS DOUBLE) AS prediction
-    FROM t LEFT JOIN best ON true)
+def tree_sql(rows: str, features: int, classes: int, depth: int) -> str:
+    """SQL of the exact Gini tree on ``rows`` (``key``, ``label``, ``f0``, ...): level by level, all splits of all nodes.
+
+    CTEs: ``t<depth>`` has the rows with their final ``node``, ``node_table`` the nodes.
+    """
+    ks = range(classes)
+    counts = ", ".join(f"CAST(sum(CASE WHEN label = {k} THEN 1 ELSE 0 END) AS BIGINT) AS c{k}" for k in ks)
+    gini = lambda name, n: "1.0 - (" + " + ".join(f"({name}{k} / {n}) * ({name}{k} / {n})" for k in ks) + ")"
+    out = [f"t0 AS (SELECT key, label, {', '.join(f'f{i}' for i in range(features))}, CAST(1 AS BIGINT) AS node FROM ({rows}))"]
+    for d in range(depth):
+        out.append(
+            f"v{d} AS (" + " UNION ALL ".join(f"SELECT node, {i} AS f, f{i} AS x, label FROM t{d}" for i in range(features)) + ")"
+        )
+        out.append(f"g{d} AS (SELECT node, f, x, {counts} FROM v{d} GROUP BY node, f, x)")
+        out.append(
+            f"w{d} AS (SELECT node, f, x, lead(x) OVER o AS next_x, "
+            + ", ".join(f"CAST(sum(c{k}) OVER o AS DOUBLE) AS l{k}, CAST(sum(c{k}) OVER p AS DOUBLE) AS a{k}" for k in ks)
+            + f" FROM g{d} WINDOW o AS (PARTITION BY node, f ORDER BY x), p AS (PARTITION BY node, f))"
+        )
+        out.append(
+            f"s{d} AS (SELECT *, {' + '.join(f'l{k}' for k in ks)} AS ln, {' + '.join(f'a{k}' for k in ks)} AS an FROM w{d} "
+            "WHERE next_x IS NOT NULL)"
+        )
+        out.append(f"r{d} AS (SELECT *, an - ln AS rn, " + ", ".join(f"a{k} - l{k} AS r{k}" for k in ks) + f" FROM s{d})")
+        out.append(
+            f"b{d} AS (SELECT node, f, x, (x + next_x) / 2 AS threshold, "
+            f"round({gini('a', 'an')} - ln / an * ({gini('l', 'ln')}) - rn / an * ({gini('r', 'rn')}), 12) AS gain FROM r{d} "
+            "QUALIFY gain > 1e-12 AND row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, threshold) = 1)"
+        )
+        value = "CASE f " + " ".join(f"WHEN {i} THEN f{i}" for i in range(features)) + " END"
+        out.append(
+            f"t{d + 1} AS (SELECT t.* REPLACE (CASE WHEN b.node IS NULL THEN t.node WHEN {value} <= threshold THEN 2 * t.node "
+            f"ELSE 2 * t.node + 1 END AS node) FROM t{d} t LEFT JOIN b{d} b USING (node))"
+        )
+    # a node that stays a leaf keeps its rows, so it appears at every later level
+    out.append("place AS (" + " UNION ".join(f"SELECT node, key, label FROM t{d}" for d in range(depth + 1)) + ")")
+    out.append("split AS (" + " UNION ".join(f"SELECT node, f, threshold, gain FROM b{d}" for d in range(depth)) + ")")
+    array = "[" + ", ".join(f"CAST(sum(CASE WHEN label = {k} THEN 1 ELSE 0 END) AS BIGINT)" for k in ks) + "]"
+    out.append(f"held AS (SELECT node, count(*) AS n_rows, {array} AS counts FROM place GROUP BY node)")
+    out.append(
+        "node_table AS (SELECT node, CAST(floor(log2(node) + 1e-9) AS INTEGER) AS depth, CAST(f AS INTEGER) AS feature, threshold, gain, "
+        "CASE WHEN f IS NOT NULL THEN 2 * node END AS left_node, CASE WHEN f IS NOT NULL THEN 2 * node + 1 END AS right_node, "
+        "n_rows AS rows, counts, CAST(list_position(counts, list_max(counts)) - 1 AS DOUBLE) AS prediction "
+        "FROM held LEFT JOIN split USING (node))"
+    )
+    out.append(f"scored AS (SELECT key, label, prediction FROM t{depth} JOIN node_table USING (node))")
+    return "WITH " + ",\n".join(out) + "\n"
+
+
+LABELLED_SQL = """
+SELECT doc_id AS key, CAST(quality AS DOUBLE) AS label, CAST(least(n_chars // 500, 20) AS DOUBLE) AS f0,
+       CAST(coalesce(toxic, 0) AS DOUBLE) AS f1
+FROM labels JOIN documents USING (doc_id)
+"""
+TREE_SQL = tree_sql(LABELLED_SQL, features=2, classes=2, depth=1)
+ACCURACY_SQL = """
+SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy, 1.0 - avg(CAST(label = prediction AS DOUBLE)) AS test_error
+FROM scored
 """
 
 
@@ -826,22 +905,51 @@ def _tree_scored(spark, sf_dir) -> DataFrame:
     return ml.fit_tree(train, max_depth=1, min_info_gain=0.0).transform(train)
 
 
-@register("tree_fit_predict", TREE_SQL + "SELECT * FROM scored")
+@register("tree_fit_predict", TREE_SQL + "SELECT key AS doc_id, label, prediction FROM scored")
 def tree_fit_predict(spark, sf_dir):
     return _tree_scored(spark, sf_dir).select("doc_id", "label", "prediction")
 
 
-@register(
-    "tree_accuracy",
-    TREE_SQL + """
-    SELECT avg(CAST(label = prediction AS DOUBLE)) AS accuracy, 1.0 - avg(CAST(label = prediction AS DOUBLE)) AS test_error
-    FROM scored
-    """,
-)
+@register("tree_accuracy", TREE_SQL + ACCURACY_SQL)
 def tree_accuracy(spark, sf_dir):
     return ml.accuracy_frame(_tree_scored(spark, sf_dir))
 
 
+# the passenger tree: depth 5 on features by position, each with about as many values as rows, five classes
+PASSENGER_TREE_SQL = tree_sql(
+    f"""SELECT o_orderkey AS key, CAST(n_regionkey AS DOUBLE) AS label, CAST(o_orderkey AS DOUBLE) AS f0,
+               CAST(o_totalprice AS DOUBLE) AS f1, CAST(coalesce(c_acctbal, 0) AS DOUBLE) AS f2
+        FROM ({PASSENGER_SQL})""",
+    features=3, classes=5, depth=5,
+)
+
+
+def _passenger_tree(spark, sf_dir):
+    """(training rows, tree) of the passenger collection, keyed by position."""
+    cells = passenger.keyed_collection(passenger_rows(spark, sf_dir), order_by=[F.col("o_orderkey").cast("long")])
+    train = passenger.positional_features(cells, required=(0, 3), default_zero=(9,), label=13)
+    return train, ml.fit_tree(train, max_depth=5)
+
+
+@register("passenger_tree", PASSENGER_TREE_SQL + "SELECT CAST(key AS DOUBLE) AS order_key, label, prediction FROM scored")
+def passenger_tree(spark, sf_dir):
+    train, model = _passenger_tree(spark, sf_dir)
+    return model.transform(train).select(vector_to_array("features")[0].alias("order_key"), "label", "prediction")
+
+
+@register("passenger_tree_accuracy", PASSENGER_TREE_SQL + ACCURACY_SQL)
+def passenger_tree_accuracy(spark, sf_dir):
+    train, model = _passenger_tree(spark, sf_dir)
+    return ml.accuracy_frame(model.transform(train))
+
+
+@register("passenger_tree_nodes", PASSENGER_TREE_SQL + "SELECT * REPLACE (array_to_string(counts, ',') AS counts) FROM node_table")
+def passenger_tree_nodes(spark, sf_dir):
+    """The fitted tree as rows: conditions, class counts and predictions of all nodes."""
+    _, model = _passenger_tree(spark, sf_dir)
+    return ml.model_rows(model, spark).withColumn("counts", F.array_join("counts", ","))
+
+
 # --------------------------------------------------------------------------
 # The ledger workload end to end (ledger rows derived from the order keys)
 # --------------------------------------------------------------------------

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.cells import locale_cell
+from ledgerloom.operators.layout import broadcast_if_small
 from ledgerloom.session import enable_legacy_charsets
+from ledgerloom.sources.line_index import number_rows
 
 DEFAULT_SEP = ";"
 
@@ -78,7 +80,7 @@ def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP,
     """Read a delimited file as typed cells: ``cells array<struct<num,text>>``.
 
     With ``key``, rows also get a dense long key 1, 2, 3, ... in the order of the
-    lines (files by name), computed without collecting rows.
+    lines (files by name), from the line counts of the blocks: no sort, no shuffle of rows.
 
     The first line of every file is its header; every other line becomes one row,
     also one that repeats the header.  The line is split on ``sep`` with trailing
@@ -88,24 +90,21 @@ def read_locale_cells(spark: SparkSession, path: str, sep: str = DEFAULT_SEP,
     """
     if len(sep) != 1:
         raise ValueError("single-character separator expected")
+    quoted = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep
+    trimmed = F.regexp_replace(F.col("value"), f"{quoted}+$", "")
+    raw = F.when((trimmed == "") & (F.col("value") != ""), F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, quoted, -1)
+    )
+    typed = F.transform(raw, lambda cell: locale_cell(cell))
+    if key is not None:
+        return number_rows(spark, path, key, cells=typed)
     lines = spark.read.text(path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    # the first line of a file is the lowest of its first block; one row per file
+    # the first line of a file is the lowest of its first block; one row per file, broadcast while measured small
     headers = lines.where("_block = 0").groupBy("_file").agg(F.min("_line").alias("_line")).select("_line")
-    body = lines.join(F.broadcast(headers), "_line", "left_anti")
-    quoted = "\\" + sep if sep in "\\^$.|?*+()[]{}" else sep
-    trimmed = F.regexp_replace(F.col("value"), f"{quoted}+$", "")
-    raw = F.when((trimmed == "") & (F.col("value") != ""), F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, quoted, -1)
-    )
-    typed = F.transform(raw, lambda cell: locale_cell(cell)).alias("cells")
-    if key is None:
-        return body.select(typed)
-    from ledgerloom.operators.indexing import dense_index
-
-    placed = body.select("_file", "_block", "_line", typed)
-    return dense_index(placed, key, order_by=["_file", "_block", "_line"], start=1).select(key, "cells")
+    body = lines.join(broadcast_if_small(headers)[0], "_line", "left_anti")
+    return body.select(typed.alias("cells"))
