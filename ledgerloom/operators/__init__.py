@@ -7,6 +7,7 @@ from ledgerloom.operators.layout import (
     measure_bounded,
     partition_by_key,
     persist_in_memory,
+    plan_rows,
     plan_text,
     sort_with_tiebreak,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "measure_bounded",
     "partition_by_key",
     "persist_in_memory",
+    "plan_rows",
     "plan_text",
     "sort_with_tiebreak",
     "with_row_index",

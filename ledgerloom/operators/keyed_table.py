@@ -52,6 +52,7 @@ from ledgerloom.operators.layout import (
     broadcast_bound,
     broadcast_if_small,
 )
+from ledgerloom.session import scratch_path
 
 _LOG = "_log"
 _LOG_FILE = re.compile(r"^(\d{8})\.json$")
@@ -275,7 +276,9 @@ class KeyedTable:
             self._written_schema = out.schema
             return name
         out = df.sortWithinPartitions(self.key) if self.cluster_by_key else df
-        out.write.mode("errorifexists").parquet(f"{self.root}/{name}")
+        # every file can span all keys: Bloom filters tell a lookup which row groups lack its key
+        blooms = {f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        out.write.mode("errorifexists").options(**blooms).parquet(f"{self.root}/{name}")
         self._written_schema = out.schema
         return name
 
@@ -404,16 +407,14 @@ class KeyedTable:
             raise KeyedTableError(f"batch columns {df.columns} do not match table {stored.names}")
         return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in stored.fields])
 
-    def _validate_keys(self, segment: str) -> None:
-        """Reject null keys and repeated keys in a freshly written segment.
+    def _validate_keys(self, keys: DataFrame) -> None:
+        """Reject null keys and repeated keys of a batch that is written already.
 
-        Runs on the written files, reading the key column only, so the batch
-        plan is not computed a second time.  One aggregation (partial counts
-        per task, then one row per distinct key and task); ``limit(1)`` stops
-        at the first offender.  A rejected segment is never committed, so no
-        reader can see it.
+        Reads the key column only, so the batch plan is not computed a second time.  One
+        aggregation (partial counts per task, then one row per distinct key and task: a
+        key or null in a third of the rows is one row of each task); ``limit(1)`` stops at
+        the first offender.  A rejected batch is never committed, so no reader can see it.
         """
-        keys = self._stored([segment], schema=self._written_schema).select(self.key)
         bad = (
             keys.groupBy(self.key)
             .agg(F.count(F.lit(1)).alias("_n"))
@@ -428,9 +429,20 @@ class KeyedTable:
             raise KeyedTableError(f"key {value!r} appears more than once in the batch")
 
     def _write_checked(self, df: DataFrame, validate: bool) -> str:
+        """A batch as a segment, its keys validated.
+
+        A bucketed table's batch is written as it comes first, and shuffled into the buckets
+        only when its keys are good: a bad batch never sends a hot key to one task.
+        """
+        if validate and self.buckets:
+            path = scratch_path(self.spark, "batch")
+            df.write.parquet(path)
+            df = self.spark.read.schema(df.schema).parquet(path)
+            self._validate_keys(df.select(self.key))
+            return self._write_segment(df)
         segment = self._write_segment(df)
         if validate:
-            self._validate_keys(segment)
+            self._validate_keys(self._stored([segment], schema=self._written_schema).select(self.key))
         return segment
 
     # --------------------------------------------------------------- writes

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -60,6 +61,50 @@ def plan_text(df: DataFrame, mode: str = "extended") -> str:
     return buf.getvalue()
 
 
+PLAN_SCHEMA = "position int, depth int, operator string, pushed_filters string, read_columns string, output_rows long"
+# wrappers of code generation and of stages, not operators of their own
+_WRAPPERS = ("WholeStageCodegen", "InputAdapter", "ColumnarToRow", "AdaptiveSparkPlan", "ShuffleQueryStage", "BroadcastQueryStage",
+             "ResultQueryStage", "AQEShuffleRead")
+
+
+def _scala_items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.size())]
+
+
+def _plan_nodes(node, depth: int = 0) -> list[tuple]:
+    """(depth, node) of a physical plan from the top down, without wrappers."""
+    name = node.nodeName()
+    below = [node.executedPlan()] if name.startswith("AdaptiveSparkPlan") else (
+        [node.plan()] if "QueryStage" in name else _scala_items(node.children()))
+    wrapper = name.startswith(_WRAPPERS)
+    here = [] if wrapper else [(depth, node)]
+    return here + [n for child in below for n in _plan_nodes(child, depth + (not wrapper))]
+
+
+def plan_rows(df: DataFrame, execute: bool = False) -> DataFrame:
+    """The physical plan as a table, a row per operator from the top down.
+
+    ``pushed_filters`` and ``read_columns`` are those of a file scan.  With ``execute``
+    the plan is run once, its result dropped, and the table has the plan as it ran (with
+    the changes made at run time) and the ``output_rows`` of the operators that count them.
+    """
+    run = df._jdf.queryExecution()
+    if execute:
+        run.toRdd().count()
+    rows = []
+    for position, (depth, node) in enumerate(_plan_nodes(run.executedPlan())):
+        text = node.simpleString(10_000)
+        filters = re.search(r"PushedFilters: \[(.*?)\], ReadSchema: struct<", text)
+        columns = re.search(r"ReadSchema: struct<(.*)>", text)
+        names = re.findall(r"(?:^|,)([^:,<>]+):", columns.group(1)) if columns else []
+        counted = node.metrics().get("numOutputRows")
+        rows.append((
+            position, depth, node.nodeName().split(" (")[0].strip(), filters and filters.group(1),
+            ",".join(names) if columns else None, counted.get().value() if execute and counted.isDefined() else None,
+        ))
+    return df.sparkSession.createDataFrame(rows, PLAN_SCHEMA)
+
+
 @dataclass
 class SideSize:
     rows: int

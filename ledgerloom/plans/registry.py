@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cells import double_or_zero, required_double
 from ledgerloom.operators.indexing import dense_index, with_row_index
 from ledgerloom.operators.keyed_table import KeyedTable
-from ledgerloom.operators.layout import estimated_bytes, persist_in_memory
+from ledgerloom.operators.layout import estimated_bytes, persist_in_memory, plan_rows
 from ledgerloom.operators.layout import partition_by_key as key_partitioned
 from ledgerloom.operators.read_through import load_from_source, lookup_through
 from ledgerloom.plans import ledger_flow as lf
@@ -804,6 +804,27 @@ def persist_reuse(spark, sf_dir):
     return spark.read.parquet(first).unionByName(spark.read.parquet(second))
 
 
+@register(
+    "plan_measured",
+    """
+    SELECT CAST(depth AS INTEGER) AS depth, operator, pushed_filters, read_columns, output_rows
+    FROM (SELECT count(*) AS all_rows, count_if(o_orderstatus != 'P') AS kept,
+                 count(DISTINCT CASE WHEN o_orderstatus != 'P' THEN o_orderpriority END) AS groups FROM orders) t,
+         LATERAL (VALUES (0, 'HashAggregate', NULL, NULL, groups), (1, 'Exchange', NULL, NULL, NULL),
+                         (2, 'HashAggregate', NULL, NULL, NULL), (3, 'Project', NULL, NULL, NULL), (4, 'Filter', NULL, NULL, kept),
+                         (5, 'Scan parquet', 'IsNotNull(o_orderstatus), Not(EqualTo(o_orderstatus,P))',
+                          'o_orderstatus,o_orderpriority', all_rows)) v(depth, operator, pushed_filters, read_columns, output_rows)
+    """,
+)
+def plan_measured(spark, sf_dir):
+    """The plan of a filtered count per group as rows, with the rows that its operators put out."""
+    counted = table(spark, sf_dir, "orders").where("o_orderstatus != 'P'").groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
+    found = plan_rows(counted, execute=True)
+    # the partial aggregate has a row per group and task: its count depends on the cores
+    fixed = F.when(F.col("depth") != 2, F.col("output_rows"))
+    return found.select("depth", "operator", "pushed_filters", "read_columns", fixed.alias("output_rows"))
+
+
 # --------------------------------------------------------------------------
 # Classification
 # --------------------------------------------------------------------------
@@ -840,7 +861,7 @@ def tree_sql(rows: str, features: int, classes: int, depth: int) -> str:
     """
     ks = range(classes)
     counts = ", ".join(f"CAST(sum(CASE WHEN label = {k} THEN 1 ELSE 0 END) AS BIGINT) AS c{k}" for k in ks)
-    gini = lambda name, n: "1.0 - (" + " + ".join(f"({name}{k} / {n}) * ({name}{k} / {n})" for k in ks) + ")"
+    gini = lambda name, n: "1.0 - (" + " + ".join(f"{name}{k} * {name}{k}" for k in ks) + f") / ({n} * {n})"
     out = [f"t0 AS (SELECT key, label, {', '.join(f'f{i}' for i in range(features))}, CAST(1 AS BIGINT) AS node FROM ({rows}))"]
     for d in range(depth):
         out.append(

@@ -31,7 +31,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.layout import broadcast_if_small
 from ledgerloom.session import scratch_path
 
 # counts of all classes travel with every value
@@ -123,11 +122,13 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _impurity(counts: list[Column], total: Column) -> Column:
-    """Gini impurity of class counts, null if there are none."""
-    some = F.nullif(total, F.lit(0))
-    squares = [(c / some) * (c / some) for c in counts]
-    return F.lit(1.0) - sum(squares[1:], squares[0])
+def _total(columns: list[Column]) -> Column:
+    return sum(columns[1:], columns[0])
+
+
+def _impurity(squares: str, n: str) -> Column:
+    """Gini impurity from the sum of the squared class counts and the count of all."""
+    return F.lit(1.0) - F.col(squares) / (F.col(n) * F.col(n))
 
 
 def _slices(cells: DataFrame, n_features: int) -> DataFrame:
@@ -153,41 +154,42 @@ def _best_splits(slices: DataFrame, node: Column, classes: int) -> list:
     # one row per node, feature and slice: a group has no more rows than there are slices
     group = Window.partitionBy("node", "feature")
     before = group.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = _written(
-        per_slice.select(
-            "node", "feature", "slice",
-            *(F.coalesce(F.sum(f"{c}_slice").over(before), F.lit(0)).alias(f"{c}_before") for c in names),
-            *(F.sum(f"{c}_slice").over(group).alias(f"{c}_all") for c in names),
-            F.lead("slice_x").over(group.orderBy("slice")).alias("following_x"),
-        ),
-        "tree-offsets",
+    offsets = per_slice.select(
+        "node", "feature", "slice",
+        *(F.coalesce(F.sum(f"{c}_slice").over(before), F.lit(0)).alias(f"{c}_before") for c in names),
+        *(F.sum(f"{c}_slice").over(group).alias(f"{c}_all") for c in names),
+        F.lead("slice_x").over(group.orderBy("slice")).alias("following_x"),
     )
     inside = Window.partitionBy("node", "feature", "slice").orderBy("x")
     running = values.select(
         "node", "feature", "slice", "x",
         *(F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_here") for c in names),
         F.lead("x").over(inside).alias("next_here"),
-    ).join(broadcast_if_small(offsets)[0], ["node", "feature", "slice"])
+    ).join(offsets, ["node", "feature", "slice"])
     left = [F.col(f"{c}_before") + F.col(f"{c}_here") for c in names]
     # the same value may go on in the next slice: only its last row is a candidate
     counted = running.select(
         "node", "feature", "x", F.coalesce("next_here", "following_x").alias("next_x"),
         *(v.alias(f"l{k}") for k, v in enumerate(left)), *(F.col(f"{c}_all").alias(f"a{k}") for k, c in enumerate(names)),
     ).where("next_x > x")
-    lefts, alls = [F.col(f"l{k}") for k in range(classes)], [F.col(f"a{k}") for k in range(classes)]
-    rights = [a - b for a, b in zip(alls, lefts, strict=True)]
-    n_left, n_all = sum(lefts[1:], lefts[0]), sum(alls[1:], alls[0])
-    n_right, some = n_all - n_left, F.nullif(n_all, F.lit(0))
-    gain = (
-        _impurity(alls, n_all) - n_left / some * _impurity(lefts, n_left) - n_right / some * _impurity(rights, n_right)
-    )
+    lefts, alls = ([F.col(f"{side}{k}").cast("double") for k in range(classes)] for side in "la")
+    rights = [x - y for x, y in zip(alls, lefts, strict=True)]
+    sides = {"left": lefts, "right": rights, "all": alls}
     middle = (F.col("x") + F.col("next_x")) / 2
     threshold = F.when((middle >= F.col("x")) & (middle < F.col("next_x")), middle).otherwise(F.col("x"))
-    ranked = counted.select(
-        "node", "feature", threshold.alias("threshold"), F.round(gain, 12).alias("gain"), F.array(*lefts).alias("left")
-    )
+    # no division happens on rows that the filter drops
+    summed = counted.select(
+        "node", "feature", threshold.alias("threshold"), F.array(*(f"l{k}" for k in range(classes))).alias("left"),
+        *(F.nullif(_total(c), F.lit(0.0)).alias(f"n_{side}") for side, c in sides.items()),
+        *(_total([v * v for v in c]).alias(f"squares_{side}") for side, c in sides.items()),
+    )
+    part = lambda side: F.col(f"n_{side}") / F.col("n_all") * _impurity(f"squares_{side}", f"n_{side}")
+    gain = F.round(_impurity("squares_all", "n_all") - part("left") - part("right"), 12)
+    ranked = summed.select("node", "feature", "threshold", "left", gain.alias("gain"))
+    # a filter on the gain would be computed at every step below: the few best ones are looked at instead
     first = F.min_by(F.struct("feature", "threshold", "gain", "left"), F.struct(-F.col("gain"), "feature", "threshold"))
-    return ranked.where(F.col("gain") > LEAST_GAIN).groupBy("node").agg(first.alias("s")).collect()
+    best = ranked.groupBy("node").agg(first.alias("s")).collect()
+    return [r for r in best if r["s"]["gain"] > LEAST_GAIN]
 
 
 def fit(train: DataFrame, max_depth: int = 5, min_info_gain: float = 0.0,

@@ -126,3 +126,23 @@ def test_bucketed_lookup_reads_one_bucket_file_per_segment(spark, scratch):
         assert [r["v"] for r in got.collect()] == [2 * k]
         assert len(got.inputFiles()) <= 2  # one bucket file in each of the two segments
     assert t.lookup(123456).collect() == []
+
+
+def test_a_bad_batch_never_reaches_the_buckets(spark, scratch, monkeypatch):
+    """A third of the keys null, or one key in a third of the rows: rejected before the shuffle by key."""
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import KeyedTableError, plan_rows
+
+    t = KeyedTable(spark, scratch("bk-bad"), "id", buckets=BUCKETS)
+    t.append(spark.range(100).withColumn("v", F.lit("old")))
+    monkeypatch.setattr(t, "_write_segment", lambda df: pytest.fail("a bad batch was shuffled into the buckets"))
+    for hot in ("NULL", "7"):
+        batch = spark.range(100, 9_100, 1, 6).selectExpr(f"CASE WHEN id % 3 = 0 THEN {hot} ELSE id END AS id", "'new' AS v")
+        with pytest.raises(KeyedTableError):
+            t.append(batch)
+        # what validation shuffles: one row per task for the hot key
+        shuffled = plan_rows(batch.groupBy("id").agg(F.count(F.lit(1))), execute=True).where("operator = 'HashAggregate'").collect()
+        assert shuffled[-1]["output_rows"] <= 6_000 + 6
+    monkeypatch.undo()
+    assert t.count() == 100 and t.append(spark.range(50, 200).withColumn("v", F.lit("new"))) and t.count() == 200

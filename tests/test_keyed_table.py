@@ -307,3 +307,16 @@ def test_replicated_table_scans_broadcast_while_small(spark, scratch, rows):
     t.append(rows.withColumn("id", F.col("id") + 1000))
     t.scan()
     assert t._replicated_fit[0] == v + 1
+
+
+def test_a_lookup_skips_row_groups_that_lack_the_key(spark, scratch):
+    """Every file spans all keys, so statistics prune nothing: the Bloom filters do."""
+    from ledgerloom.operators import plan_rows
+
+    for key_type, absent in (("long", 501), ("string", "501")):
+        t = KeyedTable(spark, scratch("bloom"), "id")
+        t.append(spark.range(0, 40_000, 2).selectExpr(f"CAST(id AS {key_type}) AS id", "'x' AS v").repartition(3))
+        rows = {k: plan_rows(t.lookup(k), execute=True).where("operator LIKE 'Scan%'").first()["output_rows"]
+                for k in (absent, type(absent)(500))}
+        assert rows[absent] == 0 < rows[type(absent)(500)]
+        assert t.lookup(type(absent)(500)).count() == 1 and t.lookup(absent).count() == 0

@@ -110,3 +110,23 @@ def test_measure_counts_wide_decimals(spark):
     )
     # 2 slots (16) + null bitmap (8) + 16 bytes for the wide decimal
     assert measure_bounded(df).bytes == 40
+
+
+def test_plan_as_rows(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import plan_rows
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    joined = orders.where("o_totalprice > 1000").join(customer, orders.o_custkey == customer.c_custkey).select("o_orderkey", "c_name")
+    rows = plan_rows(joined).sort("position").collect()
+    assert [r["position"] for r in rows] == list(range(len(rows)))
+    scans = {r["read_columns"]: r for r in rows if r["operator"].startswith("Scan")}
+    assert set(scans) == {"o_orderkey,o_custkey,o_totalprice", "c_custkey,c_name"}
+    assert "GreaterThan(o_totalprice,1000.0)" in scans["o_orderkey,o_custkey,o_totalprice"]["pushed_filters"]
+    assert all(r["output_rows"] is None for r in rows) and max(r["depth"] for r in rows) >= 3
+    ran = plan_rows(joined, execute=True)
+    join = ran.where(F.col("operator").contains("Join")).first()
+    assert join["output_rows"] == joined.count()
+    assert plan_rows(spark.range(3).where("id < 0"), execute=True).count() >= 1
