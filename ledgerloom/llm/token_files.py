@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -122,7 +123,7 @@ class Tokens:
             tail = key[len(core) :]
             if self.lowers and core.isascii():  # the tokenizer lower-cases: one piece for both cases
                 core = core.lower()
-            cut.append((core, tail) if core.isalpha() or not core else None)
+            cut.append((core, tail) if _only_letters(core) or not core else None)
         wanted = dict.fromkeys(x for pair in cut if pair for x in pair)
         self._fill([x for x in wanted if x not in self.pieces])
         other = [key for key, pair in zip(keys, cut, strict=True) if pair is None]
@@ -133,6 +134,15 @@ class Tokens:
         return np.frombuffer(b"".join(ids), "<u4"), lengths
 
 
+def _only_letters(core: str) -> bool:
+    """Whether a word is letters alone, also once it is normalised.
+
+    A letter's normal form can end in a combining mark, which the tokenizer would join
+    with the marks after the word.
+    """
+    return core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower().isalpha())
+
+
 def _flat(normalizer: dict | None) -> list[dict]:
     """The normalizer's steps."""
     return (normalizer or {}).get("normalizers", [normalizer] if normalizer else [])

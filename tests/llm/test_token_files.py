@@ -1,5 +1,6 @@
 """Id files against the tokenizers library; the coding on its own."""
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -30,6 +31,24 @@ def test_chunks_as_the_library(spark):
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_letters_whose_normal_form_ends_in_a_mark(spark):
+    """Every such letter, alone and after a word, before each ASCII mark."""
+    library, ours = Tokenizer.from_file(PATH), token_files.loaded(PATH, True)
+    forms = ((chr(i), unicodedata.normalize("NFC", chr(i)).lower()) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    letters = [c for c, form in forms if c.isalpha() and not form.isalpha()]
+    assert len(letters) > 50 and "\u0130" in letters
+    texts = ["Zİ|", "AYDINİ.", "क़!", "שׁ,", *(f"{c}{mark} x{c}{mark}" for c in letters for mark in token_files.MARKS)]
+    for text, ids in zip(texts, ours.table.texts(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_any_letter_before_a_mark(spark):
+    library, ours = Tokenizer.from_file(PATH), token_files.loaded(PATH, True)
+    texts = [chr(i) + "!" for i in range(0x110000) if not 0xD800 <= i < 0xE000 and chr(i).isalpha()]
+    want = library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [ids.tolist() for ids in ours.table.texts(texts)] == [w.ids for w in want]
+
+
 def test_files_in_key_order_with_nulls_ties_and_clashes(spark, rows, scratch):
     data = [(5, "b c", 1), (5, "a", 1), (None, "n", 2), (1, None, 3), (-3, "", 4), (9, "x " * 3000, 5), (5, "a", 1)]
     df = rows("doc_id long, text string, ids int", data)
