@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import prepare, slices, staged, strings, tidy
-from ledgerloom.operators.layout import broadcast_if_small
+from ledgerloom.operators.layout import DEFAULT_BROADCAST_BYTES, broadcast_if_small
 
 ROWS = 6  # signature rows of a band
 MISS = 1e-6  # chance that a pair at the threshold shares no band
@@ -38,6 +38,8 @@ PRUNE_MISS = 1e-7  # posterior probability under which a pair is pruned
 # buckets up to this size compare their members pair by pair
 SMALL_BUCKET = 32
 KEPT_WORDS = 100_000
+# tasks that share the rows of one shingle set where the classes are too many to broadcast
+CLASS_SALTS = 32
 SLICE = 1_000_000
 
 
@@ -427,6 +429,29 @@ def are_stars(edges: DataFrame) -> bool:
     return inner.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
+def with_class(rows: DataFrame, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Append ``node``, the smallest ``doc_id`` of the rows of the same ``set_key`` (null without a set).
+
+    A set of one document is its own class; the classes of the others meet the rows by
+    broadcast while they are measured small.  Beyond that only rows with a set are
+    shuffled, a set's rows over ``CLASS_SALTS`` tasks: neither null nor empty texts nor the
+    copies of one text come together in a task.
+    """
+    linkable = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
+    found = linkable.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    classes = staged(found.where("n > 1").drop("n"), "repeated-sets")
+    side, small = broadcast_if_small(classes, max_broadcast_bytes)
+    if small:
+        joined = rows.join(side, "set_key", "left")
+    else:
+        salted = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CLASS_SALTS - 1))))
+        keyed = rows.where("set_key IS NOT NULL").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(CLASS_SALTS)).cast("int"))
+        joined = keyed.join(salted, ["set_key", "salt"], "left").drop("salt")
+        joined = joined.unionByName(rows.where("set_key IS NULL").withColumn("first", F.lit(None).cast("long")))
+    own = F.when(F.col("set_key").isNotNull(), F.coalesce("first", "doc_id"))
+    return joined.withColumn("node", own).drop("first")
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
@@ -460,11 +485,7 @@ def near_duplicates(
     rest = rest.join(first, ["a", "b"], "left_anti")
     more = exact_links(staged(bayes_filter(rest, sharing, plan), "other-survivors"), docs, plan, key, text)
 
-    classes = linkable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    placed = staged(
-        signed.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left").select("doc_id", "n_shingles", "node"),
-        "classes",
-    )
+    placed = staged(with_class(signed.select("doc_id", "n_shingles", "set_key")).select("doc_id", "n_shingles", "node"), "classes")
     # a key with several texts joins their classes
     several = placed.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
     repeated = placed.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a <> b")

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import minhash
 from ledgerloom.llm import minhash as m
+from tests.conftest import conf_override
 
 
 def brute(docs, words, percent):
@@ -128,3 +130,26 @@ def test_rarest_shingles_lose_no_pair(rows):
     got = {(r.a, r.b) for r in m.large_bucket_pairs(mixed, df, plan, "doc_id", "text").collect()}
     near = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert near <= got and len(near) > 20
+
+
+@pytest.mark.parametrize("bound", [0, 1 << 28])
+def test_classes_without_a_hot_task(spark, bound):
+    """Mostly null texts and one set in a third of the others: classes are right, no task gets them together."""
+    kind = F.when(F.col("id") % 10 > 0, F.lit(None)).when(F.col("id") % 30 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.expr("id DIV 40")))
+    signed = spark.range(0, 20_000, 1, 8).select((20_000 - F.col("id")).alias("doc_id"), F.lit(1).alias("n_shingles"), kind.alias("set_key"))
+    signed = signed.union(spark.createDataFrame([(None, 1, "hot"), (None, 1, None), (None, 1, "alone")], "doc_id long, n_shingles int, set_key string"))
+    with conf_override(spark, "spark.sql.adaptive.enabled", "false"), conf_override(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        placed = minhash.with_class(signed, max_broadcast_bytes=bound)
+        got = placed.withColumn("task", F.spark_partition_id()).toPandas()
+    data = signed.toPandas()
+    first = data.dropna(subset=["doc_id", "set_key"]).groupby("set_key")["doc_id"].min().to_dict()
+    assert len(got) == len(data)
+    for r in got.itertuples():
+        if r.set_key is None:
+            assert r.node != r.node
+        elif r.doc_id == r.doc_id:
+            assert r.node == first[r.set_key]
+    tasks = got[got["set_key"].notna() & got["doc_id"].notna()].groupby("task").size().sort_values()
+    assert tasks.max() <= 2 * tasks.median()
+    every = got.groupby("task").size()
+    assert every.max() <= 2 * 20_000 / 8
