@@ -30,8 +30,10 @@ AMBIGUOUS = 0.1
 UNDETERMINED = "und"
 # known n-grams that every text is granted, so that few rare ones do not condemn a short text
 GRANTED_GRAMS = 4
-# characters of one vectorised step (some 100 bytes of work space each)
+# characters of one vectorised step (some 180 bytes of work space each); a longer text is counted in pieces
 SLICE = 300_000
+# languages of a model: the driver holds this many rows of GRAMS numbers
+MOST_LANGUAGES = 200
 
 
 def _symbol_table() -> np.ndarray:
@@ -71,6 +73,21 @@ def grams_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams, np.cumsum(count) - count, letters_of
 
 
+def histogram_of(text: str, piece: int = SLICE) -> tuple[np.ndarray, int]:
+    """(how often each gram occurs, number of letters) of one text, counted piece by piece."""
+    total, letters = np.zeros(GRAMS, np.int64), 0
+    for start in range(0, len(text), piece):
+        before = max(0, start - 2)
+        grams, _, found = grams_of([text[before : start + piece]])
+        total += np.bincount(grams, minlength=GRAMS)
+        letters += int(found[0])
+        if start:  # the two characters before the piece were counted with the piece before it
+            grams, _, found = grams_of([text[before:start]])
+            total -= np.bincount(grams, minlength=GRAMS)
+            letters -= int(found[0])
+    return total, letters
+
+
 def codewords(k: int, seed: int = 11) -> np.ndarray:
     """``k`` codewords of -1 and 1: all distinct splits for few languages, else the best of random codes."""
     if k <= 1:
@@ -103,7 +120,8 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text") -> Model:
     """Bit classifiers from every row of ``df`` with a label (the caller leaves out held-out rows).
 
     Rows without label or text teach nothing.  The counts that come to the driver
-    have at most languages x 131,072 rows, whatever the corpus.
+    have at most languages x 131,072 rows, whatever the corpus; a label column of more than
+    ``MOST_LANGUAGES`` values is refused with a ValueError before anything is counted.
     """
     prepare(df.sparkSession)
 
@@ -115,7 +133,8 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text") -> Model:
                 own = [t for t, x in zip(texts, labels, strict=True) if x == name]
                 total = totals.setdefault(name, np.zeros(GRAMS, np.int64))
                 for a, b in slices(own, SLICE):
-                    total += np.bincount(grams_of(own[a:b])[0], minlength=GRAMS)
+                    long = b - a == 1 and len(own[a]) > SLICE
+                    total += histogram_of(own[a])[0] if long else np.bincount(grams_of(own[a:b])[0], minlength=GRAMS)
         for name, total in totals.items():
             seen = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays(
@@ -126,6 +145,9 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text") -> Model:
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(label).cast("string").alias("label"), F.col(text).alias("text")
     )
+    languages = labelled.select("label").distinct().limit(MOST_LANGUAGES + 1).count()
+    if languages > MOST_LANGUAGES:
+        raise ValueError(f"column {label} has more than {MOST_LANGUAGES} languages")
     summed = labelled.mapInArrow(tidy(count), "label string, gram int, n long").groupBy("label", "gram").agg(F.sum("n").alias("n"))
     rows = summed.toPandas()
     return train(rows["label"].to_numpy(), rows["gram"].to_numpy(), rows["n"].to_numpy())
@@ -200,6 +222,8 @@ def predict(df: DataFrame, model: Model, text: str = "text", prefix: str = "") -
 def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool, float]]:
     if not model.languages:
         return [(UNDETERMINED, 0.0, True, 0.0)] * len(texts)
+    if len(texts) == 1 and len(texts[0]) > SLICE:
+        return [_classify_long(model, texts[0])]
     grams, first, letters = grams_of(texts)
     ends = np.append(first[1:], len(grams))
     sums = np.zeros((len(texts), model.code.shape[1]))
@@ -221,6 +245,20 @@ def classify(model: Model, texts: list[str]) -> list[tuple[str, float, bool, flo
     ]
 
 
+def _classify_long(model: Model, text: str) -> tuple[str, float, bool, float]:
+    """``classify`` of one text from its histogram, so that memory does not grow with its length."""
+    counts, letters = histogram_of(text)
+    if not letters:
+        return (UNDETERMINED, 0.0, True, 0.0)
+    n, seen = int(counts.sum()), np.flatnonzero(counts)
+    scores = decode(model, (counts[seen] @ model.weights[seen].astype(np.float64) / n)[None])[0]
+    best = int(scores.argmax())
+    ordered = np.sort(scores)
+    gap = ordered[-1] - ordered[-2] if len(scores) > 1 else 1.0
+    known = (int(counts[model.usual[best]].sum()) + GRANTED_GRAMS) / (n + GRANTED_GRAMS)
+    return (model.languages[best], float(scores[best]), bool(gap < AMBIGUOUS), float(known))
+
+
 def is_rejected(least: float = 0.3, prefix: str = "", least_known: float = 0.5) -> Column:
     """No language, one with a score under ``least``, or one in which too few of the text's n-grams are usual."""
     return (

@@ -131,3 +131,43 @@ def test_stage_drops_unlearned_languages_and_keeps_short_texts(spark):
     lettered = whole.where(F.col("text").rlike(r"\p{L}") & (F.col("doc_id") < -1000) | F.col("text").rlike(r"\p{L}{2}") & (F.col("doc_id") >= 0))
     missing = lettered.where(~F.col("doc_id").isin(list(kept))).collect()
     assert not missing, missing[:3]
+
+
+def test_long_texts_are_counted_in_pieces(monkeypatch):
+    import random
+    import tracemalloc
+
+    rng = random.Random(4)
+    for size in (0, 1, 2, 3, 20, 301):
+        text = "".join(rng.choices("abcé 1.\U00010400", k=size))
+        grams, _, letters = language_id.grams_of([text])
+        for piece in (1, 2, 3, 7, 1000):
+            counts, found = language_id.histogram_of(text, piece)
+            assert counts.tolist() == np.bincount(grams, minlength=language_id.GRAMS).tolist() and found == letters[0]
+    labels, counted = [], []
+    for label, letters in (("x", "abcd "), ("y", "bcdé ")):
+        counts, _ = language_id.histogram_of("".join(rng.choices(letters, k=5000)))
+        seen = np.flatnonzero(counts)
+        labels += [label] * len(seen)
+        counted.append((seen, counts[seen]))
+    model = language_id.train(np.array(labels), *(np.concatenate(c) for c in zip(*counted, strict=True)))
+    texts = ["".join(rng.choices("abcdé ", k=n)) for n in (50, 400, 900)]
+    want = [language_id.classify(model, [t])[0] for t in texts]
+    monkeypatch.setattr(language_id, "SLICE", 40)
+    for text, (lang, score, ambiguous, known) in zip(texts, want, strict=True):
+        got = language_id.classify(model, [text])[0]
+        assert (got[0], got[2]) == (lang, ambiguous) and got[1] == pytest.approx(score) and got[3] == pytest.approx(known)
+    assert language_id.classify(model, [" 1." * 100]) == [("und", 0.0, True, 0.0)]
+    monkeypatch.undo()
+    text = "abc dé " * 3_000_000
+    tracemalloc.start()
+    language_id.classify(model, [text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500_000_000
+
+
+def test_a_label_column_of_too_many_values_is_refused(rows):
+    many = rows("text string, lang string", [("abc", str(i)) for i in range(language_id.MOST_LANGUAGES + 1)])
+    with pytest.raises(ValueError, match="languages"):
+        language_id.fit(many)
