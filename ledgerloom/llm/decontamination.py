@@ -10,7 +10,10 @@ hit, name the items, and can be cut from the text.
 
 from __future__ import annotations
 
+import math
+import pickle
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.llm.common import prepare, strings, tidy
+from ledgerloom.llm.common import prepare, staged, strings, tidy
 
 WINDOW = 13
 # Words of one automaton: about two states a word, some 100 MB in a worker.
 BLOCK_WORDS = 200_000
+# bytes of item text that count as one word when the number of blocks is chosen
+BYTES_PER_WORD = 6
 
 # bytes of words stay (A-Z in lower case), all others become blanks
 _TABLE = bytes(b if b >= 128 else ord(chr(b).lower()) if chr(b).isalnum() else 32 for b in range(256))
@@ -173,17 +178,23 @@ def without(text: str, spans: list[list[int]]) -> str:
     return b"".join([*kept, raw[done:]]).decode("utf-8")
 
 
-def blocks(items: DataFrame, item_id: str, text: str, most: int) -> Iterator[list]:
-    """Items as (name, words), in blocks of at most ``most`` words (a longer item alone)."""
-    block, size = [], 0
-    for row in items.select(F.col(item_id).cast("string"), F.col(text)).distinct().toLocalIterator():
-        words = words_of(row[1] or "")
-        if block and size + len(words) > most:
-            yield block
-            block, size = [], 0
-        block.append((row[0], words))
-        size += len(words)
-    yield block
+def automata(items: DataFrame, item_id: str, text: str, most: int, window: int) -> DataFrame:
+    """A written table of pickled automata, each over the items of one block of about ``most`` words.
+
+    Blocks are dealt by the hash of the item; their number comes from the bytes of all
+    items.  Each automaton is built in the task of its block.
+    """
+    named = items.select(F.col(item_id).cast("string").alias("name"), F.coalesce(F.col(text), F.lit("")).alias("item")).distinct()
+    size = named.agg(F.sum(F.octet_length("item"))).first()[0] or 0
+    n = max(1, math.ceil(size / (BYTES_PER_WORD * most)))
+    dealt = named.select(F.pmod(F.xxhash64("name", "item"), F.lit(n)).cast("int").alias("block"), "name", "item")
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        names, texts = table["name"].to_pylist(), table["item"].to_pylist()
+        made = SuffixAutomaton([(x, words_of(t)) for x, t in zip(names, texts, strict=True)], window)
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "automaton": pa.array([pickle.dumps(made)], pa.binary())})
+
+    return staged(dealt.groupBy("block").applyInArrow(build, "block int, automaton binary"), "automata")
 
 
 def scan(
@@ -204,6 +215,9 @@ def scan(
     empty text has no words, a null or empty item no window; an item without an
     id hits words but is not listed; repeated rows count each for itself; columns
     of the new names are replaced.  No items or no documents: nothing is hit.
+
+    Items of more than ``block_words`` words are cut into blocks with one pass each; the
+    result is written between passes, so a task holds one automaton at a time.
     """
     spark = prepare(docs.sparkSession)
     fields = [T.StructField(prefix + name, kind) for name, kind in MATCH_FIELDS.items()]
@@ -211,18 +225,40 @@ def scan(
         raise ValueError(f"column {text} has the name of a result column")
     kept = docs.drop(*(f.name for f in fields))
     schema = T.StructType([*kept.schema.fields, *fields])
+    built = automata(items, item_id, item_text, block_words, window)
+    numbers = [r["block"] for r in built.select("block").sort("block").collect()]
+    if not numbers:
+        return kept.mapInArrow(tidy(_pass(None, None, text, [f.name for f in fields], True, window)), schema)
     out = kept
-    for k, block in enumerate(blocks(items, item_id, item_text, block_words)):
-        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
-        out = out.mapInArrow(tidy(_pass(shared, text, [f.name for f in fields], first=k == 0)), schema)
+    for k, number in enumerate(numbers):
+        if k:
+            out = staged(out, "decontamination-pass")
+            shared.unpersist()
+        # one block's automaton: its size is bounded by ``block_words``
+        shared = spark.sparkContext.broadcast(built.where(F.col("block") == number).first()["automaton"])
+        name = uuid.uuid4().hex
+        out = out.mapInArrow(tidy(_pass(shared, name, text, [f.name for f in fields], k == 0, window)), schema)
     return out
 
 
-def _pass(shared, text: str, fields: list[str], first: bool):
+# the automaton that this worker has unpickled, under the name of its pass
+_HELD: dict[str, SuffixAutomaton] = {}
+
+
+def _automaton(shared, name: str | None, window: int) -> SuffixAutomaton:
+    if shared is None:
+        return SuffixAutomaton([], window)
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = pickle.loads(shared.value)
+    return _HELD[name]
+
+
+def _pass(shared, name: str | None, text: str, fields: list[str], first: bool, window: int):
     """One block's pass over the documents; later passes add to what earlier ones found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
+        automaton = _automaton(shared, name, window)
         for batch in batches:
             kept = [x for x in batch.schema.names if x not in fields]
             columns = dict(zip(batch.schema.names, batch.columns, strict=True))

@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from ledgerloom.llm import decontamination
 from ledgerloom.llm import decontamination as d
 
 
@@ -73,3 +74,21 @@ def test_decontaminate_cuts_or_drops_and_leaves_clean_texts(rows):
     assert {r.doc_id: r.text for r in dropped.collect()} == {2: clean, 3: long_clean, 4: None}
     cut = {r.doc_id: r.text for r in d.decontaminate(docs, bench, cut=True).collect()}
     assert cut == {1: "Before ! after", 2: clean, 3: long_clean, 4: None}
+
+
+def test_many_blocks_hold_one_automaton_at_a_time(spark, rows):
+    """The result of one automaton, from one pass per block over what the pass before it wrote."""
+    from ledgerloom.operators.layout import plan_text
+
+    sentence = [f"w{i}" for i in range(400)]
+    items = [(str(i), " ".join(sentence[7 * i : 7 * i + 20])) for i in range(50)] + [("n", None), (None, "w1 w2 w3"), ("e", "")]
+    docs = [(i, " ".join(sentence[i : i + 60]), "x") for i in range(0, 340, 11)] + [(1000, None, "y"), (1001, "w1 w2 w3", "z")]
+    items, docs = rows("item_id string, text string", items), rows("doc_id long, text string, block string", docs)
+    one = decontamination.scan(docs, items)
+    many = decontamination.scan(docs, items, block_words=200)
+    assert decontamination.automata(items, "item_id", "text", 200, 13).count() == 4
+    assert plan_text(many, "formatted").count("MapInArrow (") <= 2  # one operator, named twice
+    key = lambda r: r["doc_id"]
+    assert sorted(one.collect(), key=key) == sorted(many.collect(), key=key)
+    none = decontamination.scan(docs, items.limit(0))
+    assert none.where("n_hit > 0").count() == 0 and none.count() == docs.count()
