@@ -15,6 +15,7 @@ All files are under the shared folder, written whole or not at all.
 from __future__ import annotations
 
 import json
+import operator
 import struct
 import unicodedata
 from collections.abc import Iterator
@@ -43,7 +44,9 @@ MAGIC = b"LLIDS001"
 BLOCK_IDS = 1 << 22
 
 # pieces and chunks kept between batches (memory only)
-KEPT_PIECES, KEPT_CHUNKS = 600_000, 250_000
+KEPT_PIECES, KEPT_CHUNKS = 400_000, 250_000
+# characters of one step: its chunks are the work space beside the tables
+SLICE = 1_500_000
 # pieces encoded in one call
 GROUP = 500
 # ASCII marks without the apostrophe (which opens pieces of its own)
@@ -117,19 +120,28 @@ class Tokens:
     def _encode(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.pieces) > KEPT_PIECES:
             self.pieces = {"": b""}
-        cut = []
+        cores, tails, other = [], [], []
         for key in keys:
             core = key.rstrip(MARKS)
             tail = key[len(core) :]
-            if self.lowers and core.isascii():  # the tokenizer lower-cases: one piece for both cases
-                core = core.lower()
-            cut.append((core, tail) if _only_letters(core) or not core else None)
-        wanted = dict.fromkeys(x for pair in cut if pair for x in pair)
-        self._fill([x for x in wanted if x not in self.pieces])
-        other = [key for key, pair in zip(keys, cut, strict=True) if pair is None]
-        alone = iter(self._alone(other))
+            if core.isascii():
+                if self.lowers:  # the tokenizer lower-cases: one piece for both cases
+                    core = core.lower()
+                whole = core.isalpha() or not core
+            else:
+                whole = _only_letters(core)
+            if not whole:  # neither letters nor marks alone, so no piece has this key
+                core, tail = key, ""
+                other.append(key)
+            cores.append(core)
+            tails.append(tail)
+        wanted = set(cores).union(tails).difference(self.pieces, other)
+        self._fill(list(wanted))
+        self.pieces.update(zip(other, self._alone(other), strict=True))
         get = self.pieces.__getitem__
-        ids = [get(pair[0]) + get(pair[1]) if pair else next(alone) for pair in cut]
+        ids = list(map(operator.add, map(get, cores), map(get, tails)))
+        for key in other:
+            del self.pieces[key]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         return np.frombuffer(b"".join(ids), "<u4"), lengths
 
@@ -140,7 +152,7 @@ def _only_letters(core: str) -> bool:
     A letter's normal form can end in a combining mark, which the tokenizer would join
     with the marks after the word.
     """
-    return core.isalpha() and (core.isascii() or unicodedata.normalize("NFC", core).lower().isalpha())
+    return core.isalpha() and unicodedata.normalize("NFC", core).lower().isalpha()
 
 
 def _flat(normalizer: dict | None) -> list[dict]:
@@ -201,7 +213,7 @@ def write(
                 for batch in batches:
                     texts = strings(batch.column(1))
                     keys.extend(batch.column(0).to_pylist())
-                    for a, b in slices(texts):
+                    for a, b in slices(texts, SLICE):
                         end = np.array([end_id], np.uint32)
                         found = tokens.table.texts(texts[a:b])
                         ids = np.concatenate([x for one in found for x in (one, end)])
