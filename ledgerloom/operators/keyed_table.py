@@ -49,8 +49,11 @@ from pyspark.sql import types as T
 
 from ledgerloom.operators.layout import (
     DEFAULT_BROADCAST_BYTES,
+    SideSize,
     broadcast_bound,
     broadcast_if_small,
+    observed,
+    observed_size,
 )
 from ledgerloom.session import scratch_path
 
@@ -156,6 +159,8 @@ class KeyedTable:
         self._generations: dict[str, int] = {}
         self._later_keys: tuple[int, DataFrame] | None = None
         self._partitions: set[str] = set()
+        # sizes of the keys of segments that this object wrote, measured by the write
+        self._key_sizes: dict[str, SideSize] = {}
         # the table schema, recorded in every log version: segments are read
         # with it, so no Parquet footer has to be sampled to infer it
         self._schema: T.StructType | None = None
@@ -278,7 +283,9 @@ class KeyedTable:
         out = df.sortWithinPartitions(self.key) if self.cluster_by_key else df
         # every file can span all keys: Bloom filters tell a lookup which row groups lack its key
         blooms = {f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
-        out.write.mode("errorifexists").options(**blooms).parquet(f"{self.root}/{name}")
+        sized, seen = observed(out, [self.key])
+        sized.write.mode("errorifexists").options(**blooms).parquet(f"{self.root}/{name}")
+        self._key_sizes[name] = observed_size(seen)
         self._written_schema = out.schema
         return name
 
@@ -476,7 +483,7 @@ class KeyedTable:
         batch = self._stored([staged])
         keys, small = batch.select(self.key), False
         if not self.buckets:
-            keys, small = broadcast_if_small(keys, max_broadcast_bytes)
+            keys, small = broadcast_if_small(keys, max_broadcast_bytes, self._key_sizes.get(staged))
         conflicts = persist_batch(self._stored(current).select(self.key).join(keys, self.key, "left_semi"))
         try:
             if conflicts.isEmpty():

@@ -8,8 +8,9 @@ import re
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.cells import fixed_row_bytes, unsafe_row_bytes
 
@@ -134,17 +135,38 @@ def measure_bounded(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) ->
     return SideSize(rows=rows, bytes=int(total or 0))
 
 
+def observed(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation of its size as a join side of ``columns`` (default: all), taken while it is computed."""
+    seen = Observation()
+    side = df.schema if columns is None else T.StructType([df.schema[c] for c in columns])
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(unsafe_row_bytes(side)).alias("bytes")), seen
+
+
+def observed_size(seen: Observation) -> SideSize:
+    """The size that an observation saw; a task that ran twice can make it larger, never smaller."""
+    return SideSize(rows=seen.get["rows"], bytes=int(seen.get["bytes"] or 0))
+
+
+def written_side(df: DataFrame, path: str) -> tuple[DataFrame, SideSize]:
+    """``df`` written to ``path`` and read back, with its size measured by the write itself."""
+    sized, seen = observed(df)
+    sized.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), observed_size(seen)
+
+
 def broadcast_if_small(
-    df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES
+    df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES, size: SideSize | None = None
 ) -> tuple[DataFrame, bool]:
     """``broadcast(df)`` when its measured size is within ``max_bytes`` (and 1/8 of driver memory).
 
+    ``size`` is the size if it is known already (``written_side``): no job runs then.
+
     Beyond the bound the frame is returned unhinted: the join shuffles both
     sides (sort-merge), and AQE may still switch to a broadcast at run time if
     the measured shuffle output turns out small.
     """
     bound = broadcast_bound(df.sparkSession, max_bytes)
-    size = measure_bounded(df, bound)
+    size = size or measure_bounded(df, bound)
     if size.fits(bound):
         return F.broadcast(df), True
     return df, False

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.layout import broadcast_if_small
+from ledgerloom.operators.layout import broadcast_if_small, written_side
 from ledgerloom.session import scratch_path
 
 INDEX_SCHEMA = "file string, start long, length long, first_line long, n_lines long"
@@ -52,11 +52,12 @@ def _first_lines(blocks: DataFrame, header: bool) -> DataFrame:
     # one row per file
     files = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     earlier = per_file.select("file", F.coalesce(F.sum("_rows").over(files), F.lit(0)).alias("_earlier"))
+    earlier, size = written_side(earlier, scratch_path(blocks.sparkSession, "file-offsets"))
     # one row per block of a file
     inside = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     placed = blocks.withColumn("_inside", F.coalesce(F.sum("n_lines").over(inside), F.lit(0)))
     number = (F.col("_earlier") + F.col("_inside") + F.lit(1 - skipped)).cast("long")
-    return placed.join(broadcast_if_small(earlier)[0], "file").withColumn("first_line", number).drop("_earlier", "_inside")
+    return placed.join(broadcast_if_small(earlier, size=size)[0], "file").withColumn("first_line", number).drop("_earlier", "_inside")
 
 
 def index_lines(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -88,8 +89,11 @@ def number_rows(spark: SparkSession, path: str, key: str, header: bool = True, *
         F.count(F.lit(1)).alias("n_lines"), F.min("_line").alias("_first")
     )
     placed = _first_lines(_written(counts, "line-counts"), header)
-    blocks = _written(placed.select(F.col("file").alias("_file"), F.col("start").alias("_start"), "first_line", "_first"), "line-index")
-    numbered = rows.join(broadcast_if_small(blocks)[0], ["_file", "_start"])
+    blocks, size = written_side(
+        placed.select(F.col("file").alias("_file"), F.col("start").alias("_start"), "first_line", "_first"),
+        scratch_path(spark, "line-index"),
+    )
+    numbered = rows.join(broadcast_if_small(blocks, size=size)[0], ["_file", "_start"])
     if header:
         numbered = numbered.where("_start > 0 OR _line > _first")
     place = (F.col("first_line") + F.col("_line") - F.col("_first")).cast("long")

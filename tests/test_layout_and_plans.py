@@ -130,3 +130,33 @@ def test_plan_as_rows(spark):
     join = ran.where(F.col("operator").contains("Join")).first()
     assert join["output_rows"] == joined.count()
     assert plan_rows(spark.range(3).where("id < 0"), execute=True).count() >= 1
+
+
+def test_a_side_is_measured_by_its_write(spark, scratch):
+    """The size that the write saw equals the measured one, and the choice runs no job."""
+    from ledgerloom.operators.layout import written_side
+
+    df = spark.range(0, 5000, 1, 4).selectExpr("id", "repeat('é', int(id % 7)) AS text", "IF(id % 3 = 0, NULL, id) AS other")
+    for rows in (df, df.where("id < 0"), df.limit(1)):
+        side, size = written_side(rows, scratch("side"))
+        measured = measure_bounded(side)
+        assert (size.rows, size.bytes) == (measured.rows, measured.bytes)
+        for bound in (0, 10_000, 1 << 28):
+            spark.sparkContext.setJobGroup("choice", "choice")
+            _, small = broadcast_if_small(side, bound, size)
+            assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("choice")) == []
+            spark.sparkContext.setJobGroup("other", "other")
+            assert small == broadcast_if_small(side, bound)[1]
+
+
+def test_an_append_takes_the_size_of_its_keys_from_the_write(spark, scratch, monkeypatch):
+    from ledgerloom.operators import KeyedTable, keyed_table
+
+    t = KeyedTable(spark, scratch("sized"), "id")
+    t.append(spark.range(100).selectExpr("id", "'a' AS v"))
+    sizes = []
+    choose = keyed_table.broadcast_if_small
+    monkeypatch.setattr(keyed_table, "broadcast_if_small", lambda df, most, size: sizes.append(size) or choose(df, most, size))
+    t.append(spark.range(50, 150).selectExpr("id", "'b' AS v"))
+    assert len(sizes) == 1 and sizes[0].rows == 100 and sizes[0].bytes == measure_bounded(spark.range(100)).bytes
+    assert t.count() == 150 and t.scan().where("v = 'b'").count() == 50
