@@ -213,7 +213,8 @@ def as_records(rows: DataFrame, key: str, order: str, role: str = "role", text:
     """(key, payload): rows of turns as JSON records, each in the layout its roles suit.
 
     Rows of equal ``order`` follow by role and text; a null role or text counts as
-    empty.  A conversation is one record, gathered from its own rows.
+    empty.  A conversation is one record, gathered from its own rows; rows with a null
+    key are one conversation, whose key is null.
     """
     turn = F.struct(
         F.col(order).alias("at"),

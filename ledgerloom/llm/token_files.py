@@ -193,7 +193,8 @@ def write(
     first and keep it; rows of equal key are ordered by their text; columns beside
     ``key`` and ``text`` are ignored.  No document: no file.  ``special``: whether
     the strings of special tokens inside a text become those tokens (the library's
-    default) or are ordinary text.
+    default) or are ordinary text.  A very long text is tokenised whole, in one step of
+    one task, and its ids stay together: memory grows with the longest text.
     """
     spark = prepare(docs.sparkSession)
     ordered = (

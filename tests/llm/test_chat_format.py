@@ -70,6 +70,13 @@ def test_records_of_rows_nulls_ties_and_empty(rows):
     assert got[2] == {"messages": [{"role": "", "content": "a"}, {"role": "user", "content": "a"}, {"role": "z", "content": "late"}]}
     assert len(got[3]["messages"][0]["content"]) == 50_000
     assert c.as_records(df.limit(0), "conv", "turn").count() == 0
+
+
+def test_rows_without_a_key_are_one_conversation(rows):
+    df = rows("conv long, turn long, role string, text string", [(None, 1, "assistant", "b"), (None, 0, "user", "a"), (1, 0, "user", None)])
+    turns = c.canonical_turns(c.as_records(df, "conv", "turn"), strict=True)
+    got = {r["conv"]: [tuple(t) for t in r["turns"]] for r in turns.collect()}
+    assert got == {None: [("user", "a"), ("assistant", "b")], 1: [("user", "")]}
     empty = c.format_turns(c.canonical_turns(rows("id long, payload string", [(1, None), (2, '{"messages": []}')])), "id")
     assert {(r.id, r.formatted, tuple(r.loss_spans)) for r in empty.collect()} == {(1, "<s>", ()), (2, "<s>", ())}
 

@@ -80,3 +80,30 @@ def test_run_with_clashing_columns_nulls_and_empty(spark, tmp_path):
         got = corpus_pipeline.run(spark, path)
         assert got.where("NOT round_trip").count() == 0
         assert (got.count() > 0) == (name == "all")
+
+
+def test_stages_with_repeated_rows_and_nulls(spark):
+    """Rows of one id stay or go together; null texts, keys and languages have the result that the stages state."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = read_table(spark, SF, "documents").limit(80)
+    words = " ".join(f"word{i}" for i in range(80))
+    odd = [(9001, words, None, "s", 0), (9001, words, None, "s", 0), (9002, words + " more", "en", "s", 0), (9003, None, "en", "s", 0),
+           (9004, "", None, "s", 0), (9005, " 1 . ", "en", "s", 0), (None, words + " x", "en", "s", 0)]
+    twice = docs.unionByName(docs).unionByName(spark.createDataFrame(odd, docs.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")))
+    twice = staged(twice, "twice")
+    for name in ("toxicity", "language_id", "near_dedup", "decontamination"):
+        kept = [r.doc_id for r in stages[name](spark, twice, SF).collect()]
+        given = [r.doc_id for r in docs.collect()]
+        assert all(kept.count(k) in (0, 2) for k in given)
+        assert kept.count(9001) in (0, 2)
+        if name == "language_id":
+            assert not {9003, 9004, 9005} & set(kept)
+        else:
+            assert {9003, 9004, 9005} <= set(kept)
+        if name == "near_dedup":
+            assert kept.count(9001) == 2 and 9002 not in kept and None in kept
+        if name == "decontamination":
+            assert {9001, 9002, None} <= set(kept)
+    tokens = stages["byte_bpe"](spark, twice, SF).collect()
+    assert len(tokens) == twice.count() and all(r.round_trip for r in tokens)
+    assert {r.n_tokens for r in tokens if r.doc_id in (9003, 9004)} == {0}
