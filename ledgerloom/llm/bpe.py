@@ -1,12 +1,19 @@
-"""Operator 10: byte-level BPE encoding and decoding by merge replay over slices.
-
-Documents are handled in slices of at most ``SLICE`` characters (a longer text
-alone), which bounds the work space.  The distinct pre-tokens that a slice adds to
-its task's table are laid out as one long symbol array, an inverted index maps
-every token pair (by the rank of its merge) to the positions where it stands, and
-the merges are applied in rank order, touching only the neighbours of a merged
-pair.  Documents then take their ids from the table, so no pre-token is shuffled;
-a pre-token of several tasks is replayed in each.  Ids equal those of the tiktoken library.
+"""Operator 10: byte-level BPE encoding and decoding by merge replay over the corpus.
+
+1. Every task reports the distinct chunks (pre-tokens with the white space before
+   them) of each group of ``GROUP`` characters of its texts.
+2. The chunks are dealt by hash and sorted, so a chunk of many texts comes to one
+   task once.  There the distinct pieces are laid out as one long symbol array, an
+   inverted index maps every token pair (by the rank of its merge) to the positions
+   where it stands, and the merges are applied in rank order, touching only the
+   neighbours of a merged pair.
+3. The ids go back to the groups that asked for them, as a written table sorted by
+   group, and the documents take their ids from the table of their own group: no
+   document is shuffled, and a group's table is bounded by ``GROUP`` characters.
+
+A chunk over ``LONG_CHUNK`` characters is replayed where it stands, as is any chunk
+that the table lacks (rows dealt otherwise when they are read again).  Ids equal
+those of the tiktoken library.
 """
 
 from __future__ import annotations
@@ -17,14 +24,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerloom.llm import chunks
-from ledgerloom.llm.common import prepare, slices, strings, tidy
+from ledgerloom.llm.common import filesystem, prepare, slices, strings, tidy
+from ledgerloom.session import scratch_path
 
 # characters of one vectorised step
 SLICE = 2_000_000
+# characters of the rows that share one table of chunks
+GROUP = 16_000_000
+# longer chunks hardly repeat: they are not shuffled
+LONG_CHUNK = 200
+# rows of one Arrow batch of chunks
+CHUNK_ROWS = 50_000
 NONE = np.int64(1) << 40  # rank of a pair that never merges
 
 
@@ -170,14 +185,15 @@ class ByteBpe:
             .replace(r"(?!\S)", r"(?!\P{White_Space})")
             .replace(r"\s", r"\p{White_Space}")
         )
-        self.table = chunks.ChunkTable(self._encode_chunks, chunks.split_keeping_space)
+        self.table = chunks.ChunkTable(self.encode_chunks, chunks.split_keeping_space)
         by_id = {rank: token for token, rank in ranks.items()}
         tokens = [by_id.get(i, b"") for i in range(self.replay.size)]
         self.token_bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.token_lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.token_starts = np.cumsum(self.token_lengths) - self.token_lengths
 
-    def _encode_chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode_chunks(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all chunks one after the other, number of ids of each)."""
         matches = [self.pattern.findall(chunks.raw_chunk(k)) for k in keys]
         distinct = {m: i for i, m in enumerate(dict.fromkeys(m for ms in matches for m in ms))}
         ids, lengths = self.replay.encode([m.encode("utf-8") for m in distinct])
@@ -202,6 +218,149 @@ def loaded(path: str, pattern: str) -> ByteBpe:
     return _LOADED[path, pattern]
 
 
+# --------------------------------------------------------------------------
+# The corpus' distinct chunks
+# --------------------------------------------------------------------------
+class Groups:
+    """Deals the rows of a task into groups of ``size`` characters, by the characters before them."""
+
+    def __init__(self, size: int = GROUP) -> None:
+        self.size, self.before = size, 0
+
+    def ranges(self, texts: list[str]) -> Iterator[tuple[int, int, int]]:
+        """(group, start, end) of runs of rows, each of about ``SLICE`` characters at most."""
+        start, group = 0, self.before // self.size
+        for i, text in enumerate(texts):
+            if self.before // self.size != group:
+                yield from ((group, start + a, start + b) for a, b in slices(texts[start:i], SLICE))
+                start, group = i, self.before // self.size
+            self.before += len(text)
+        yield from ((group, start + a, start + b) for a, b in slices(texts[start:], SLICE))
+
+
+def wanted_chunks(df: DataFrame, text: str, size: int = GROUP) -> DataFrame:
+    """(part, group, chunk): the distinct chunks of each group of rows of each task of ``df``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, groups = TaskContext.get().partitionId(), Groups(size)
+        now, found = 0, set()
+
+        def out() -> Iterator[pa.RecordBatch]:
+            keys = [k for k in found if len(k) <= LONG_CHUNK]
+            for a in range(0, len(keys), CHUNK_ROWS):
+                some = pa.array(keys[a : a + CHUNK_ROWS], pa.string())
+                at = (pa.array(np.full(len(some), x, np.int32)) for x in (part, now))
+                yield pa.RecordBatch.from_arrays([*at, some], ["part", "group", "chunk"])
+
+        for batch in batches:
+            texts = strings(batch.column(0))
+            for group, a, b in groups.ranges(texts):
+                if group != now:
+                    yield from out()
+                    now, found = group, set()
+                for one in texts[a:b]:
+                    found.update(chunks.split_keeping_space(one))
+        yield from out()
+
+    return df.select(text).mapInArrow(tidy(run), "part int, group int, chunk string")
+
+
+def with_ids(wanted: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Append ``ids`` (little-endian unsigned 32-bit) to rows with a ``chunk``, replaying each distinct one once."""
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(2).nbytes
+            if size > 2 * SLICE:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path, pattern)
+        last, last_ids = None, b""
+        for table in steps(batches):
+            coded = table.column("chunk").combine_chunks().dictionary_encode()
+            keys = coded.dictionary.to_pylist()
+            # the rows are sorted: only the first chunk can be known from the step before
+            known = int(bool(keys) and keys[0] == last)
+            flat, lengths = bpe.encode_chunks(keys[known:])
+            if known:
+                flat = np.concatenate([np.frombuffer(last_ids, "<u4"), flat])
+                lengths = np.append(len(last_ids) // 4, lengths)
+            if not keys:
+                continue
+            data, ends = flat.astype("<u4"), np.append(0, np.cumsum(lengths))
+            last, last_ids = keys[-1], data[ends[-2] :].tobytes()
+            values = pa.Array.from_buffers(
+                pa.binary(), len(keys), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(data)]
+            )
+            at = coded.indices
+            for a in range(0, table.num_rows, CHUNK_ROWS):
+                part, group, chunk = (table.column(i).slice(a, CHUNK_ROWS).combine_chunks() for i in range(3))
+                yield pa.RecordBatch.from_arrays(
+                    [part, group, chunk, values.take(at.slice(a, CHUNK_ROWS))], ["part", "group", "chunk", "ids"]
+                )
+
+    dealt = wanted.repartition("chunk").sortWithinPartitions("chunk")
+    return dealt.mapInArrow(tidy(run), "part int, group int, chunk string, ids binary")
+
+
+def write_chunk_table(df: DataFrame, path: str, pattern: str, text: str, size: int = GROUP) -> str:
+    """Folder of the written chunk tables: a folder per task of ``df``, its rows in order of their group."""
+    root = scratch_path(df.sparkSession, "chunk-ids")
+    found = with_ids(wanted_chunks(df, text, size), path, pattern)
+    found.repartition("part").sortWithinPartitions("part", "group").write.partitionBy("part").parquet(root)
+    return root
+
+
+class GroupTables:
+    """The chunk tables of one task's groups, read as a stream in ascending order of the group."""
+
+    def __init__(self, root: str, part: int):
+        from pyarrow import fs
+
+        store, folder = filesystem(f"{root}/part={part}")
+        files = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+        names = sorted(f.path for f in files if f.path.endswith(".parquet"))
+        self.batches = self._read(store, names)
+        self.ahead: pa.RecordBatch | None = None
+
+    @staticmethod
+    def _read(store, names: list[str]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.parquet as pq
+
+        for name in names:
+            with store.open_input_file(name) as f:
+                yield from pq.ParquetFile(f).iter_batches(CHUNK_ROWS, columns=["group", "chunk", "ids"])
+
+    def of(self, group: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(chunks, their ids one after the other, number of ids of each) of a group not before the last one."""
+        keys: list[str] = []
+        flat, lengths = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        while True:
+            batch, self.ahead = self.ahead if self.ahead is not None else next(self.batches, None), None
+            if batch is None:
+                break
+            groups = batch.column(0).to_numpy()
+            a, b = np.searchsorted(groups, [group, group + 1]).tolist()
+            own = batch.slice(a, b - a)
+            keys.extend(own.column(1).to_pylist())
+            ids = own.column(2).to_pylist()
+            flat.append(np.frombuffer(b"".join(ids), "<u4"))
+            lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+            if b < len(groups):
+                self.ahead = batch.slice(b)
+                break
+        return keys, np.concatenate(flat), np.concatenate(lengths)
+
+
+# --------------------------------------------------------------------------
+# Documents
+# --------------------------------------------------------------------------
 def encode(
     df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", decoded: str | None = None
 ) -> DataFrame:
@@ -211,17 +370,23 @@ def encode(
     ``decode`` makes it, but in the same workers).  ``path`` must name the rank file on every executor.  A null or empty text
     has no ids (an empty value); other columns pass through, those of the new names
     are replaced.  Repeated rows are encoded each for itself; an empty table
-    gives an empty table.
+    gives an empty table.  The texts are read twice: for the table of their
+    chunks, which is written here, and for their ids.
     """
     prepare(df.sparkSession)
     made = [ids] if decoded is None else [ids, decoded]
     df = df.drop(*made)
+    root = write_chunk_table(df, path, pattern, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
+        tables, groups, now = GroupTables(root, TaskContext.get().partitionId()), Groups(), -1
         for batch in batches:
             texts = strings(batch.column(batch.schema.get_field_index(text)))
-            for a, b in slices(texts, SLICE):
+            for group, a, b in groups.ranges(texts):
+                if group != now:
+                    bpe.table.fill(*tables.of(group))
+                    now = group
                 found = [x.astype("<u4").tobytes() for x in bpe.table.texts(texts[a:b])]
                 part = batch.slice(a, b - a)
                 columns = [*part.columns, pa.array(found, pa.binary())]

@@ -69,6 +69,16 @@ class ChunkTable:
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
         self.seen = np.zeros(0, np.int64)
+        self.filled = 0
+
+    def fill(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Start afresh from distinct chunks whose ids are known, one after the other in ``ids``."""
+        self._clear()
+        self.index = defaultdict(itertools.count(len(keys)).__next__, zip(keys, range(len(keys)), strict=True))
+        self.ids, self.lengths = ids.astype(self.dtype), lengths.astype(np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.seen = np.zeros(len(keys), np.int64)
+        self.filled = len(keys)
 
     def trim(self, most: int) -> None:
         """Keep the chunks seen most often, at most ``most``."""
@@ -86,7 +96,7 @@ class ChunkTable:
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if len(self.index) > self.keep:
+        if len(self.index) > self.keep + self.filled:
             self.trim(self.keep // 2)
         known = len(self.starts)
         chunks = [self.split(t) for t in texts]

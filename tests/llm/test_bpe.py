@@ -2,13 +2,15 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe
+from ledgerloom.llm import bpe, chunks
 from ledgerloom.llm.queries import op10_byte_bpe
 
 PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -78,11 +80,53 @@ def test_frame_with_nulls_clashing_names_and_no_rows(rows):
     assert bpe.encode(df.limit(0), PATH, PATTERN).count() == 0
 
 
+def test_documents_take_all_ids_from_the_chunk_tables(spark, both):
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice(["the", "cats", "Straße", "ünü!", "x" * 150]) for _ in range(draw.randint(0, 60))) for _ in range(90)]
+    texts += [*odd_texts(), "y" * 3000 + " the " + "z" * 500]
+    df = spark.createDataFrame([(x,) for x in texts], "text string").repartition(3).persist()
+    root = bpe.write_chunk_table(df, PATH, PATTERN, "text", size=400)
+    ours, theirs = both
+    seen = 0
+    for part, own in enumerate(df.rdd.glom().collect()):
+        tables, groups = bpe.GroupTables(root, part), bpe.Groups(400)
+        own, now, replayed = [r.text for r in own], -1, []
+        table = chunks.ChunkTable(lambda keys: replayed.extend(keys) or ours.encode_chunks(keys), chunks.split_keeping_space)
+        for group, a, b in groups.ranges(own):
+            if group != now:
+                keys, ids, lengths = tables.of(group)
+                assert len(set(keys)) == len(keys) == len(lengths) and lengths.sum() == len(ids)
+                table.fill(keys, ids, lengths)
+                now, seen = group, seen + 1
+            for text, ids in zip(own[a:b], table.texts(own[a:b]), strict=True):
+                assert ids.tolist() == theirs.encode_ordinary(text)
+        assert all(len(k) > bpe.LONG_CHUNK for k in replayed)
+    assert seen > 20
+    df.unpersist()
+
+
+def test_a_chunk_is_replayed_once_and_goes_to_all_its_groups(spark, both):
+    rows = [(part, group, f" w{k}") for k in range(300) for part in range(3) for group in range(4)]
+    rows += [(0, 0, "\0" + "ab" * 90), (7, 9, "\nnew")]
+    wanted = spark.createDataFrame(rows, "part int, group int, chunk string")
+    got = bpe.with_ids(wanted, PATH, PATTERN).collect()
+    assert sorted((r.part, r.group, r.chunk) for r in got) == sorted(rows)
+    for r in got:
+        assert np.frombuffer(r.ids, "<u4").tolist() == both[1].encode_ordinary(chunks.raw_chunk(r.chunk))
+
+
+def test_rows_dealt_otherwise_on_the_second_reading(spark, both):
+    texts = [f"the text number {i} of\n{i % 7} cats" for i in range(50)]
+    df = spark.createDataFrame([(x,) for x in texts], "text string")
+    nothing = bpe.write_chunk_table(df.limit(0), PATH, PATTERN, "text")
+    assert bpe.GroupTables(nothing, 3).of(0)[0] == []
+    for r in bpe.encode(df.orderBy(F.rand()).repartition(4), PATH, PATTERN).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == both[1].encode_ordinary(r.text)
+
+
 def test_query(spark, both):
     import hashlib
 
-    import numpy as np
-
     got = {r.doc_id: r for r in op10_byte_bpe(spark, "/root/testdata/sf0.001").collect()}
     for doc_id, text in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect():
         ids = both[1].encode_ordinary(text)
