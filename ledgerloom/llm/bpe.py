@@ -2,8 +2,8 @@
 
 1. Every task reports the distinct chunks (pre-tokens with the white space before
    them) of each group of ``GROUP`` characters of its texts.
-2. The chunks are dealt by hash and sorted, so a chunk of many texts comes to one
-   task once.  There the distinct pieces are laid out as one long symbol array, an
+2. The chunks are dealt by hash, packed by bucket, so that a chunk of many texts
+   comes to one task.  There the distinct pieces are laid out as one long symbol array, an
    inverted index maps every token pair (by the rank of its merge) to the positions
    where it stands, and the merges are applied in rank order, touching only the
    neighbours of a merged pair.
@@ -20,16 +20,19 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ledgerloom.llm import chunks
-from ledgerloom.llm.common import filesystem, prepare, slices, strings, tidy
+from ledgerloom.llm.common import filesystem, prepare, shuffle_partitions, slices, strings, tidy
 from ledgerloom.session import scratch_path
 
 # characters of one vectorised step
@@ -38,8 +41,10 @@ SLICE = 2_000_000
 GROUP = 16_000_000
 # longer chunks hardly repeat: they are not shuffled
 LONG_CHUNK = 200
-# rows of one Arrow batch of chunks
-CHUNK_ROWS = 50_000
+# chunks kept in a task that replays them (memory only)
+KEPT_CHUNKS = 1_000_000
+# rows of a written chunk table read at once
+TABLE_ROWS = 32
 NONE = np.int64(1) << 40  # rank of a pair that never merges
 
 
@@ -179,6 +184,7 @@ class ByteBpe:
 
         ranks = load_ranks(path)
         self.replay = MergeReplay(ranks)
+        self.width = "<u2" if self.replay.size <= 1 << 16 else "<u4"
         # the rank files' library takes \s as Unicode white space; this module's \s has more
         self.pattern = regex.compile(
             pattern.replace(r"[^\s", r"[^\p{White_Space}")
@@ -238,8 +244,32 @@ class Groups:
         yield from ((group, start + a, start + b) for a, b in slices(texts[start:], SLICE))
 
 
+def packed(lengths: np.ndarray, data: bytes) -> bytes:
+    """Values of at most 65,535 units each, one after the other, with their lengths, compressed."""
+    body = struct.pack("<I", len(lengths)) + lengths.astype("<u2").tobytes() + data
+    return zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def unpacked(blob: bytes) -> tuple[np.ndarray, memoryview]:
+    """(lengths, data) of ``packed``."""
+    body = memoryview(zstandard.ZstdDecompressor().decompress(blob))
+    (n,) = struct.unpack("<I", body[:4])
+    return np.frombuffer(body[4 : 4 + 2 * n], "<u2").astype(np.int64), body[4 + 2 * n :]
+
+
+def unpacked_chunks(blob: bytes) -> list[str]:
+    lengths, data = unpacked(blob)
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int32)
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(data)).to_pylist()
+
+
 def wanted_chunks(df: DataFrame, text: str, size: int = GROUP) -> DataFrame:
-    """(part, group, chunk): the distinct chunks of each group of rows of each task of ``df``."""
+    """(part, group, bucket, chunks): the distinct chunks of each group of rows of each task, dealt by their hash.
+
+    A row holds the chunks of one bucket, packed.  There are as many buckets as twice
+    the shuffle partitions.
+    """
+    buckets = 2 * shuffle_partitions(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, groups = TaskContext.get().partitionId(), Groups(size)
@@ -247,10 +277,23 @@ def wanted_chunks(df: DataFrame, text: str, size: int = GROUP) -> DataFrame:
 
         def out() -> Iterator[pa.RecordBatch]:
             keys = [k for k in found if len(k) <= LONG_CHUNK]
-            for a in range(0, len(keys), CHUNK_ROWS):
-                some = pa.array(keys[a : a + CHUNK_ROWS], pa.string())
-                at = (pa.array(np.full(len(some), x, np.int32)) for x in (part, now))
-                yield pa.RecordBatch.from_arrays([*at, some], ["part", "group", "chunk"])
+            if not keys:
+                return
+            bucket = (np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            dealt = pa.array(keys, pa.string()).take(pa.array(order))
+            offsets = np.frombuffer(dealt.buffers()[1], np.int32, len(keys) + 1)
+            data, lengths = memoryview(dealt.buffers()[2]), np.diff(offsets)
+            which, starts = np.unique(bucket[order], return_index=True)
+            ends = np.append(starts[1:], len(keys))
+            blobs = [
+                packed(lengths[a:b], bytes(data[offsets[a] : offsets[b]]))
+                for a, b in zip(starts.tolist(), ends.tolist(), strict=True)
+            ]
+            same = (pa.array(np.full(len(which), x, np.int32)) for x in (part, now))
+            yield pa.RecordBatch.from_arrays(
+                [*same, pa.array(which), pa.array(blobs, pa.binary())], ["part", "group", "bucket", "chunks"]
+            )
 
         for batch in batches:
             texts = strings(batch.column(0))
@@ -262,57 +305,43 @@ def wanted_chunks(df: DataFrame, text: str, size: int = GROUP) -> DataFrame:
                     found.update(chunks.split_keeping_space(one))
         yield from out()
 
-    return df.select(text).mapInArrow(tidy(run), "part int, group int, chunk string")
+    return df.select(text).mapInArrow(tidy(run), "part int, group int, bucket int, chunks binary")
 
 
 def with_ids(wanted: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Append ``ids`` (little-endian unsigned 32-bit) to rows with a ``chunk``, replaying each distinct one once."""
+    """Append ``ids``, the packed ids of the packed chunks of each row, replaying each distinct chunk of a bucket once.
 
-    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        held, size = [], 0
+    The table of a task's chunks starts afresh beyond ``KEPT_CHUNKS``; a chunk seen again is then replayed again.
+    """
+
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[list[str]]]]:
+        """Rows with about ``SLICE`` bytes of chunks."""
         for batch in batches:
-            held.append(batch)
-            size += batch.column(2).nbytes
-            if size > 2 * SLICE:
-                yield pa.Table.from_batches(held)
-                held, size = [], 0
-        if held:
-            yield pa.Table.from_batches(held)
+            column, start, size, held = batch.column(3), 0, 0, []
+            for i in range(batch.num_rows):
+                held.append(unpacked_chunks(column[i].as_py()))
+                size += sum(map(len, held[-1]))
+                if size > SLICE or i + 1 == batch.num_rows:
+                    yield batch.slice(start, i + 1 - start), held
+                    start, size, held = i + 1, 0, []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
-        last, last_ids = None, b""
-        for table in steps(batches):
-            coded = table.column("chunk").combine_chunks().dictionary_encode()
-            keys = coded.dictionary.to_pylist()
-            # the rows are sorted: only the first chunk can be known from the step before
-            known = int(bool(keys) and keys[0] == last)
-            flat, lengths = bpe.encode_chunks(keys[known:])
-            if known:
-                flat = np.concatenate([np.frombuffer(last_ids, "<u4"), flat])
-                lengths = np.append(len(last_ids) // 4, lengths)
-            if not keys:
-                continue
-            data, ends = flat.astype("<u4"), np.append(0, np.cumsum(lengths))
-            last, last_ids = keys[-1], data[ends[-2] :].tobytes()
-            values = pa.Array.from_buffers(
-                pa.binary(), len(keys), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(data)]
-            )
-            at = coded.indices
-            for a in range(0, table.num_rows, CHUNK_ROWS):
-                part, group, chunk = (table.column(i).slice(a, CHUNK_ROWS).combine_chunks() for i in range(3))
-                yield pa.RecordBatch.from_arrays(
-                    [part, group, chunk, values.take(at.slice(a, CHUNK_ROWS))], ["part", "group", "chunk", "ids"]
-                )
+        table = chunks.ChunkTable(bpe.encode_chunks, list, keep=KEPT_CHUNKS)
+        for rows, keys in steps(batches):
+            index, flat, starts, lengths = table.ids_of(keys)
+            blobs = [packed(lengths[at], chunks.expand(flat, starts[at], lengths[at]).astype(bpe.width).tobytes()) for at in index]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(blobs, pa.binary())], [*rows.schema.names, "ids"])
 
-    dealt = wanted.repartition("chunk").sortWithinPartitions("chunk")
-    return dealt.mapInArrow(tidy(run), "part int, group int, chunk string, ids binary")
+    return wanted.repartition("bucket").mapInArrow(
+        tidy(run), "part int, group int, bucket int, chunks binary, ids binary"
+    )
 
 
 def write_chunk_table(df: DataFrame, path: str, pattern: str, text: str, size: int = GROUP) -> str:
     """Folder of the written chunk tables: a folder per task of ``df``, its rows in order of their group."""
     root = scratch_path(df.sparkSession, "chunk-ids")
-    found = with_ids(wanted_chunks(df, text, size), path, pattern)
+    found = with_ids(wanted_chunks(df, text, size), path, pattern).drop("bucket")
     found.repartition("part").sortWithinPartitions("part", "group").write.partitionBy("part").parquet(root)
     return root
 
@@ -320,42 +349,38 @@ def write_chunk_table(df: DataFrame, path: str, pattern: str, text: str, size: i
 class GroupTables:
     """The chunk tables of one task's groups, read as a stream in ascending order of the group."""
 
-    def __init__(self, root: str, part: int):
+    def __init__(self, root: str, part: int, width: str):
         from pyarrow import fs
 
         store, folder = filesystem(f"{root}/part={part}")
         files = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
-        names = sorted(f.path for f in files if f.path.endswith(".parquet"))
-        self.batches = self._read(store, names)
-        self.ahead: pa.RecordBatch | None = None
+        self.rows = self._read(store, sorted(f.path for f in files if f.path.endswith(".parquet")))
+        self.width = width
+        self.ahead: tuple[int, bytes, bytes] | None = None
 
     @staticmethod
-    def _read(store, names: list[str]) -> Iterator[pa.RecordBatch]:
+    def _read(store, names: list[str]) -> Iterator[tuple[int, bytes, bytes]]:
         import pyarrow.parquet as pq
 
         for name in names:
             with store.open_input_file(name) as f:
-                yield from pq.ParquetFile(f).iter_batches(CHUNK_ROWS, columns=["group", "chunk", "ids"])
+                for batch in pq.ParquetFile(f).iter_batches(TABLE_ROWS, columns=["group", "chunks", "ids"]):
+                    yield from zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True)
 
     def of(self, group: int) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(chunks, their ids one after the other, number of ids of each) of a group not before the last one."""
         keys: list[str] = []
-        flat, lengths = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        flat, lengths = [np.zeros(0, self.width)], [np.zeros(0, np.int64)]
         while True:
-            batch, self.ahead = self.ahead if self.ahead is not None else next(self.batches, None), None
-            if batch is None:
-                break
-            groups = batch.column(0).to_numpy()
-            a, b = np.searchsorted(groups, [group, group + 1]).tolist()
-            own = batch.slice(a, b - a)
-            keys.extend(own.column(1).to_pylist())
-            ids = own.column(2).to_pylist()
-            flat.append(np.frombuffer(b"".join(ids), "<u4"))
-            lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
-            if b < len(groups):
-                self.ahead = batch.slice(b)
-                break
-        return keys, np.concatenate(flat), np.concatenate(lengths)
+            row, self.ahead = self.ahead or next(self.rows, None), None
+            if row is None or row[0] > group:
+                self.ahead = row
+                return keys, np.concatenate(flat), np.concatenate(lengths)
+            if row[0] == group:
+                keys.extend(unpacked_chunks(row[1]))
+                counts, data = unpacked(row[2])
+                lengths.append(counts)
+                flat.append(np.frombuffer(data, self.width))
 
 
 # --------------------------------------------------------------------------
@@ -380,7 +405,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path, pattern)
-        tables, groups, now = GroupTables(root, TaskContext.get().partitionId()), Groups(), -1
+        tables, groups, now = GroupTables(root, TaskContext.get().partitionId(), bpe.width), Groups(), -1
         for batch in batches:
             texts = strings(batch.column(batch.schema.get_field_index(text)))
             for group, a, b in groups.ranges(texts):

@@ -89,7 +89,7 @@ def test_documents_take_all_ids_from_the_chunk_tables(spark, both):
     ours, theirs = both
     seen = 0
     for part, own in enumerate(df.rdd.glom().collect()):
-        tables, groups = bpe.GroupTables(root, part), bpe.Groups(400)
+        tables, groups = bpe.GroupTables(root, part, both[0].width), bpe.Groups(400)
         own, now, replayed = [r.text for r in own], -1, []
         table = chunks.ChunkTable(lambda keys: replayed.extend(keys) or ours.encode_chunks(keys), chunks.split_keeping_space)
         for group, a, b in groups.ranges(own):
@@ -105,21 +105,27 @@ def test_documents_take_all_ids_from_the_chunk_tables(spark, both):
     df.unpersist()
 
 
-def test_a_chunk_is_replayed_once_and_goes_to_all_its_groups(spark, both):
-    rows = [(part, group, f" w{k}") for k in range(300) for part in range(3) for group in range(4)]
-    rows += [(0, 0, "\0" + "ab" * 90), (7, 9, "\nnew")]
-    wanted = spark.createDataFrame(rows, "part int, group int, chunk string")
-    got = bpe.with_ids(wanted, PATH, PATTERN).collect()
-    assert sorted((r.part, r.group, r.chunk) for r in got) == sorted(rows)
+def test_packed_chunks_keep_their_order(spark, both):
+    keys = [*(f" w{k}" for k in range(300)), "\0" + "ab" * 90, "\nnew", "\0 \0é"]
+    texts = [bpe.chunks.raw_chunk(k) for k in keys]
+    sizes = np.array([len(k.encode()) for k in keys])
+    blob = bpe.packed(sizes, "".join(keys).encode())
+    assert bpe.unpacked_chunks(blob) == keys
+    assert bpe.unpacked_chunks(bpe.packed(sizes[:0], b"")) == []
+    rows = [(part, group, 1, bytearray(blob)) for part in range(3) for group in range(4)]
+    got = bpe.with_ids(spark.createDataFrame(rows, "part int, group int, bucket int, chunks binary"), PATH, PATTERN).collect()
+    assert sorted((r.part, r.group, 1, r.chunks) for r in got) == sorted(rows)
     for r in got:
-        assert np.frombuffer(r.ids, "<u4").tolist() == both[1].encode_ordinary(chunks.raw_chunk(r.chunk))
+        lengths, data = bpe.unpacked(r.ids)
+        ids = np.split(np.frombuffer(data, both[0].width), np.cumsum(lengths)[:-1])
+        assert [x.tolist() for x in ids] == [both[1].encode_ordinary(t) for t in texts]
 
 
 def test_rows_dealt_otherwise_on_the_second_reading(spark, both):
     texts = [f"the text number {i} of\n{i % 7} cats" for i in range(50)]
     df = spark.createDataFrame([(x,) for x in texts], "text string")
     nothing = bpe.write_chunk_table(df.limit(0), PATH, PATTERN, "text")
-    assert bpe.GroupTables(nothing, 3).of(0)[0] == []
+    assert bpe.GroupTables(nothing, 3, "<u2").of(0)[0] == []
     for r in bpe.encode(df.orderBy(F.rand()).repartition(4), PATH, PATTERN).collect():
         assert np.frombuffer(r.ids, "<u4").tolist() == both[1].encode_ordinary(r.text)
 
