@@ -27,6 +27,8 @@ ANCHORS = (
     "el los las y que del se por con una para lo no su"  # Spanish
 ).split()
 CHAIN = 2
+# quantiles of one aggregate
+CUTS_AT_ONCE = 2048
 
 
 def normalised(text: Column) -> Column:
@@ -105,12 +107,8 @@ def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str], d
     """
     spark = docs.sparkSession
     place = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    n = 2 * shuffle_partitions(spark)
     keyed = docs.withColumn("place", place)
-    cuts = keyed.agg(
-        F.percentile_approx("place", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("cuts")
-    ).first()["cuts"]
-    cuts = sorted(set(cuts or []))
+    cuts = quantile_cuts(keyed, "place", 2 * shuffle_partitions(spark))
     ranged = keyed.withColumn("range", range_of(F.col("place"), cuts))
     firsts = sorted((r["range"], r["first"]) for r in ranged.groupBy("range").agg(F.min("place").alias("first")).collect())
     # the range before each (non-empty) range, in a circle
@@ -135,15 +133,33 @@ def with_next(docs: DataFrame, key: str, columns: list[str], order: list[str], d
     )
 
 
+def quantile_cuts(df: DataFrame, place: str, n: int) -> list[int]:
+    """Distinct numbers that cut the rows, by long column ``place``, into about ``n`` ranges of equal size.
+
+    Up to ``CUTS_AT_ONCE`` come from one aggregate; for more, the ranges of these are
+    cut on their own, so no aggregate holds them all.  The driver gets about ``n`` numbers.
+    """
+    quantiles = lambda parts: F.percentile_approx(place, [i / parts for i in range(1, parts)], 20 * CUTS_AT_ONCE)
+    first = df.agg(quantiles(max(2, min(n, CUTS_AT_ONCE))).alias("cuts")).first()["cuts"] or []
+    cuts = sorted(set(first))
+    if n > CUTS_AT_ONCE and cuts:
+        inside = df.groupBy(range_of(F.col(place), cuts).alias("range")).agg(quantiles(-(-n // CUTS_AT_ONCE)).alias("cuts"))
+        cuts = sorted(set(cuts).union(*(r["cuts"] for r in inside.collect())))
+    return cuts
+
+
 def range_of(place: Column, cuts: list[int]) -> Column:
-    """Number of cuts at or below a place, found through a coarse list of them."""
+    """Number of cuts at or below a place, found through a coarse list of them.
+
+    Each list is one literal once the plan is optimised, however many cuts there are.
+    """
     if not cuts:
         return F.lit(0)
     step = max(1, math.isqrt(len(cuts)))
     at = lambda values: F.size(F.filter(values, lambda c: c <= place))
-    coarse = F.array(*(F.lit(c).cast("long") for c in cuts[step - 1 :: step]))
-    fine = F.array(*(F.lit(c).cast("long") for c in cuts))
-    passed = at(coarse) * step
+    literal = lambda values: F.split(F.lit(",".join(map(str, values))), ",").cast("array<long>")
+    coarse, fine = cuts[step - 1 :: step], literal(cuts)
+    passed = at(literal(coarse)) * step
     return passed + at(F.slice(fine, passed + 1, F.lit(step)))
 
 

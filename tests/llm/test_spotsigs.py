@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +87,34 @@ def test_no_documents(rows):
     assert s.edited_fingerprints(rows("doc_id long, text string", [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [2, 100, 5000])
+def test_ranges_of_a_key(spark, n):
+    draw = random.Random(n)
+    keys = [draw.choice([7, draw.randint(-(2**63), 2**63 - 1), draw.randint(0, 900)]) for _ in range(6000)]
+    df = spark.createDataFrame([(k,) for k in keys], "place long")
+    cuts = s.quantile_cuts(df, "place", n)
+    assert cuts == sorted(set(cuts))
+    got = df.withColumn("range", s.range_of(F.col("place"), cuts)).collect()
+    assert all(r.range == sum(c <= r.place for c in cuts) for r in got[:400])
+    # equal keys share a range; the others are spread evenly
+    others = Counter(r.range for r in got if r.place != 7)
+    assert max(others.values()) <= 3 * 6000 / n + 60
+    plan = df.withColumn("range", s.range_of(F.col("place"), cuts))._jdf.queryExecution().optimizedPlan()
+    assert plan.expressions().mkString().count("split(") == 0
+    assert s.quantile_cuts(df.limit(0), "place", n) == []
+
+
+def test_many_partitions_cost_no_plan(spark, rows):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20480")
+    try:
+        started = time.monotonic()
+        s.with_next(spark.range(100_000).withColumn("own", F.col("id").cast("string")), "id", ["own"], ["own"])
+        assert time.monotonic() - started < 120
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_near_pairs_match_brute_force(spark, rows):
     draw = random.Random(4)
     words = [f"w{i}" for i in range(200)]
