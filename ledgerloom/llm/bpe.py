@@ -329,8 +329,7 @@ def with_ids(wanted: DataFrame, path: str, pattern: str) -> DataFrame:
         bpe = loaded(path, pattern)
         table = chunks.ChunkTable(bpe.encode_chunks, list, keep=KEPT_CHUNKS)
         for rows, keys in steps(batches):
-            index, flat, starts, lengths = table.ids_of(keys)
-            blobs = [packed(lengths[at], chunks.expand(flat, starts[at], lengths[at]).astype(bpe.width).tobytes()) for at in index]
+            blobs = [packed(lengths, ids.astype(bpe.width).tobytes()) for lengths, ids in table.chunk_ids(keys)]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(blobs, pa.binary())], [*rows.schema.names, "ids"])
 
     return wanted.repartition("bucket").mapInArrow(

@@ -94,8 +94,8 @@ class ChunkTable:
         self.ids, self.lengths, self.seen = ids, lengths, seen
         self.starts = np.cumsum(lengths) - lengths
 
-    def ids_of(self, texts: list) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-        """(numbers of each text's chunks, ids of the table, start and length of each chunk's ids)."""
+    def _numbers(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the chunks of all texts one after the other, how many each text has); new chunks are encoded."""
         if len(self.index) > self.keep + self.filled:
             self.trim(self.keep // 2)
         known = len(self.starts)
@@ -113,16 +113,18 @@ class ChunkTable:
         seen = np.bincount(found, minlength=len(self.starts))
         seen[: len(self.seen)] += self.seen
         self.seen = seen
-        return np.split(found, np.cumsum(counts)[:-1]), self.ids, self.starts, self.lengths
+        return found, counts
+
+    def chunk_ids(self, texts: list) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(number of ids of each chunk, the ids of all its chunks) of each text."""
+        found, counts = self._numbers(texts)
+        each = np.split(found, np.cumsum(counts)[:-1]) if texts else []
+        return [(self.lengths[at], expand(self.ids, self.starts[at], self.lengths[at])) for at in each]
 
     def texts(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if not texts:
-            return []
-        numbers, flat, starts, lengths = self.ids_of(texts)
-        found = np.concatenate(numbers)
-        counts = np.fromiter(map(len, numbers), np.int64, len(numbers))
-        lengths = lengths[found]
-        out = expand(flat, starts[found], lengths)
+        found, counts = self._numbers(texts)
+        lengths = self.lengths[found]
+        out = expand(self.ids, self.starts[found], lengths)
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
-        return np.split(out, ends[:-1])
+        return np.split(out, ends[:-1]) if len(texts) else []
