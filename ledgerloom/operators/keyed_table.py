@@ -484,6 +484,8 @@ class KeyedTable:
         keys, small = batch.select(self.key), False
         if not self.buckets:
             keys, small = broadcast_if_small(keys, max_broadcast_bytes, self._key_sizes.get(staged))
+            # the file size of sorted keys is a fraction of their size in memory: no broadcast by it
+            keys = keys if small else keys.hint("merge")
         conflicts = persist_batch(self._stored(current).select(self.key).join(keys, self.key, "left_semi"))
         try:
             if conflicts.isEmpty():
@@ -493,6 +495,7 @@ class KeyedTable:
             # one row per stored row of a staged key: within the bound if those keys are (and
             # no key has generations)
             known = F.broadcast(conflicts) if small and not any(self._generations.values()) else conflicts
+            known = known.hint("merge") if not (small or self.buckets) else known
             fresh = batch.join(known, self.key, "left_anti")
             if fresh.isEmpty():
                 return self.version()

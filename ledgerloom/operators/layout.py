@@ -18,6 +18,10 @@ from ledgerloom.functions.cells import fixed_row_bytes, unsafe_row_bytes
 # is 8 GiB per broadcast; the driver builds the relation and every executor
 # holds a copy, so the effective bound is also capped at 1/8 of driver memory.
 DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+# What the driver holds while it builds a broadcast relation: the collected rows, the
+# relation's own copy and the serialised one; per row, a slot in a hash index that is
+# at most half full and doubles (the old and the new one at once), and a pointer.
+BUILD_COPIES, BUILD_ROW_BYTES = 3, 112
 _MEMORY_UNITS = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -114,6 +118,10 @@ class SideSize:
     def fits(self, max_bytes: int) -> bool:
         return self.bytes is not None and self.bytes <= max_bytes
 
+    def builds_in(self, memory: int) -> bool:
+        """Whether the driver can build the broadcast relation of this side in ``memory`` bytes."""
+        return self.bytes is not None and BUILD_COPIES * self.bytes + BUILD_ROW_BYTES * self.rows <= memory
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size of ``df``'s plan: for a scan, the bytes of its files."""
@@ -159,6 +167,9 @@ def broadcast_if_small(
 ) -> tuple[DataFrame, bool]:
     """``broadcast(df)`` when its measured size is within ``max_bytes`` (and 1/8 of driver memory).
 
+    Short rows cost the driver many times their bytes, so the relation must also build in
+    a quarter of its memory: a join has no more than two such sides alive at once.
+
     ``size`` is the size if it is known already (``written_side``): no job runs then.
 
     Beyond the bound the frame is returned unhinted: the join shuffles both
@@ -167,6 +178,6 @@ def broadcast_if_small(
     """
     bound = broadcast_bound(df.sparkSession, max_bytes)
     size = size or measure_bounded(df, bound)
-    if size.fits(bound):
+    if size.fits(bound) and size.builds_in(_driver_memory_bytes(df.sparkSession) // 4):
         return F.broadcast(df), True
     return df, False

@@ -160,3 +160,27 @@ def test_an_append_takes_the_size_of_its_keys_from_the_write(spark, scratch, mon
     t.append(spark.range(50, 150).selectExpr("id", "'b' AS v"))
     assert len(sizes) == 1 and sizes[0].rows == 100 and sizes[0].bytes == measure_bounded(spark.range(100)).bytes
     assert t.count() == 150 and t.scan().where("v = 'b'").count() == 50
+
+
+def test_a_broadcast_side_must_build_on_the_driver(spark, monkeypatch):
+    """Nine million keys are 144 MB of rows, but about 1.4 GB while the relation is built."""
+    from ledgerloom.operators import layout
+
+    keys = layout.SideSize(rows=9_000_000, bytes=144_000_000)
+    for memory, rows, small in ((1500, keys, False), (3000, keys, False), (1500, layout.SideSize(500_000, 8_000_000), True)):
+        monkeypatch.setattr(layout, "_driver_memory_bytes", lambda _, memory=memory: memory << 20)
+        assert broadcast_if_small(spark.range(1), size=rows)[1] == small, (memory, rows)
+
+
+def test_an_append_over_the_bound_is_never_broadcast_by_file_size(spark, scratch, monkeypatch):
+    """Spark's own rule takes the bytes of the key's files, which are far below its size in memory."""
+    from ledgerloom.operators import KeyedTable, keyed_table
+
+    plans, kept = [], keyed_table.persist_batch
+    monkeypatch.setattr(keyed_table, "persist_batch", lambda df: plans.append(plan_text(df)) or kept(df))
+    t = KeyedTable(spark, scratch("merged"), "id")
+    t.append(spark.range(1000).selectExpr("id", "'a' AS v"))
+    with conf_override(spark, "spark.sql.autoBroadcastJoinThreshold", str(10 << 20)):
+        t.append(spark.range(500, 1500).selectExpr("id", "'b' AS v"), max_broadcast_bytes=1)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+    assert t.count() == 1500 and t.scan().where("v = 'b'").count() == 500
