@@ -131,3 +131,34 @@ def test_edges(spark):
         with pytest.raises(ValueError):
             tree.fit(frame(spark, bad))
     assert ml.fit_tree(frame(spark, [(0.0, 0.0), (1.0, 1.0)]), min_info_gain=0.6).nodes.keys() == {1}
+
+
+def test_small_blocks_give_the_same_tree(spark, monkeypatch):
+    """Blocks far smaller than a value's rows, and nodes that skip blocks."""
+    rng = random.Random(7)
+    rows = [(float(rng.randint(0, 40)), round(rng.random(), 2), float(rng.randint(0, 2))) for _ in range(900)]
+    rows += [(7.0, rng.random(), float(rng.randint(0, 1))) for _ in range(900)]
+    want = {i: (n.feature, n.threshold, n.counts) for i, n in ml.fit_tree(frame(spark, rows), max_depth=4).nodes.items()}
+    assert want == brute(rows, 4)
+    packer = tree._packer
+    monkeypatch.setattr(tree, "BLOCK_BYTES", 1)
+    made = []
+    monkeypatch.setattr(tree, "_packer", lambda width: made.append(width) or packer(width))
+    found = ml.fit_tree(frame(spark, rows), max_depth=4)
+    assert made == [2] and {i: (n.feature, n.threshold, n.counts) for i, n in found.nodes.items()} == want
+
+
+def test_a_level_shuffles_no_rows(spark, monkeypatch):
+    """Only node and block sums are shuffled: the plan of a level has no exchange above the cells but those of the sums."""
+    from ledgerloom.operators.layout import plan_rows
+
+    blocks, sides, kept = [], [], tree.written_side
+    monkeypatch.setattr(tree, "written_side", lambda df, path: sides.append(df) or kept(df, path))
+    packed = tree._blocks
+    monkeypatch.setattr(tree, "_blocks", lambda cells, width: blocks.append(packed(cells, width)) or blocks[-1])
+    df = spark.range(60_000).select((F.col("id") * 7 % 60_000).cast("double").alias("f0"), (F.col("id") % 3).cast("double").alias("label"))
+    ml.fit_tree(df.withColumn("features", array_to_vector(F.array("f0"))), max_depth=2)
+    assert blocks[0].count() < 60 and blocks[0].agg(F.sum("rows")).first()[0] == 60_000
+    ran = [r["operator"] for r in plan_rows(sides[1]).sort("position").collect()]
+    below = ran[max(i for i, name in enumerate(ran) if name == "Exchange") :]
+    assert any("Arrow" in name for name in below), ran
