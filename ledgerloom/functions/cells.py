@@ -35,9 +35,13 @@ _JAVA_SPECIALS = "^\\s*[+-]?(Infinity|NaN)\\s*$"
 def java_double(c: Column) -> Column:
     """A double parse with Java's grammar: ``try_cast`` minus Spark's extra
     spellings of infinity and NaN.  Null when the text is not a number."""
-    return F.when(
-        c.rlike(_LENIENT_SPECIALS) & ~c.rlike(_JAVA_SPECIALS), F.lit(None).cast("double")
-    ).otherwise(c.try_cast("double"))
+    number = c.try_cast("double")
+    # no special spelling is a finite number: most cells need no pattern
+    return (
+        F.when(F.abs(number) < F.lit(float("inf")), number)
+        .when(c.rlike(_LENIENT_SPECIALS) & ~c.rlike(_JAVA_SPECIALS), F.lit(None).cast("double"))
+        .otherwise(number)
+    )
 
 
 def locale_cell(cell: Column | str) -> Column:

@@ -154,17 +154,20 @@ def _impurity(squares: str, n: str) -> Column:
 
 
 def _packer(width: int):
-    """Packs cells sorted by (feature, value) into blocks of one feature each."""
+    """Packs cells sorted by value into blocks of one feature each."""
     most = max(256, BLOCK_BYTES // (8 * width + 9))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        rows, number, feature, part = 0, 0, None, 0
-
-        def block() -> pa.RecordBatch:
-            values, labels, n = (np.concatenate(c) for c in zip(*held, strict=True))
+        # a partition is a range of (feature, value): few of them hold more than one feature
+        held: dict[int, list[tuple]] = {}
+        rows: dict[int, int] = {}
+        number = itertools.count()
+        part = 0
+
+        def block(feature: int) -> pa.RecordBatch:
+            values, labels, n = (np.concatenate(c) for c in zip(*held.pop(feature), strict=True))
             return pa.RecordBatch.from_pylist([{
-                "block": (part << 32) + number, "feature": feature, "rows": rows,
+                "block": (part << 32) + next(number), "feature": feature, "rows": rows.pop(feature),
                 "cells": np.ascontiguousarray(values.T).tobytes(), "labels": labels.tobytes(), "n": n.tobytes(),
             }], schema=BLOCK_ARROW)
 
@@ -178,28 +181,27 @@ def _packer(width: int):
                 batch.column("label").to_numpy(zero_copy_only=False).astype(np.int8),
                 batch.column("n").to_numpy(zero_copy_only=False).astype(np.int64),
             )
-            cuts = [0, *(np.flatnonzero(np.diff(features)) + 1).tolist(), len(features)]
-            for start, end in itertools.pairwise(cuts):
-                while start < end:
-                    if rows == most or (rows and feature != features[start]):
-                        yield block()
-                        held, rows, number = [], 0, number + 1
-                    feature, to = int(features[start]), min(end, start + most - rows)
-                    held.append(tuple(c[start:to] for c in columns))
-                    rows, start = rows + to - start, to
-        if rows:
-            yield block()
+            for feature in np.unique(features).tolist():
+                at, start = np.flatnonzero(features == feature), 0
+                while start < len(at):
+                    to = min(len(at), start + most - rows.get(feature, 0))
+                    held.setdefault(feature, []).append(tuple(c[at[start:to]] for c in columns))
+                    rows[feature], start = rows.get(feature, 0) + to - start, to
+                    if rows[feature] == most:
+                        yield block(feature)
+        for feature in sorted(held):
+            yield block(feature)
 
     return pack
 
 
 def _blocks(cells: DataFrame, n_features: int) -> DataFrame:
-    """The cells once per feature, in the order of (feature, value), packed; ``block`` numbers ascend in that order."""
+    """The cells once per feature, in the order of (feature, value), packed; the ``block`` numbers of a feature ascend."""
     each = F.explode(F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)), lambda f: F.struct(
         f.alias("feature"), F.get("values", f).alias("x"))))
     long = cells.select("values", "label", "n", each.alias("e")).select("values", "label", "n", "e.feature", "e.x")
     # the cell is part of the order, so that a frequent value can span ranges
-    ranged = long.repartitionByRange("feature", "x", F.xxhash64("values", "label")).sortWithinPartitions("feature", "x")
+    ranged = long.repartitionByRange("feature", "x", F.xxhash64("values", "label")).sortWithinPartitions("x")
     named = ranged.select("values", "label", "n", "feature", F.spark_partition_id().alias("part"))
     return _written(named.mapInArrow(_packer(n_features), BLOCK_SCHEMA), "tree-blocks", **BLOCK_WRITER)
 

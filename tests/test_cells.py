@@ -166,3 +166,15 @@ def test_required_double_rejects_lenient_specials(spark):
     bad = spark.createDataFrame([("inf",)], "a string")
     with pytest.raises(Exception, match="not a number"):
         bad.select(required_double("a")).collect()
+
+
+def test_finite_numbers_and_special_spellings(spark):
+    """Numbers need no pattern; only Java's spellings of the specials are numbers."""
+    from ledgerloom.functions.cells import java_double
+
+    inf = float("inf")
+    want = {"1": 1.0, " -2.5e3 ": -2500.0, "1e400": inf, "-1e400": -inf, "Infinity": inf, "-Infinity": -inf, "+Infinity": inf,
+            "inf": None, "INF": None, "-inf": None, "infinity": None, "nan": None, "NAN": None, "": None, "x": None, None: None}
+    df = spark.createDataFrame([(k,) for k in want] + [("NaN",)], "c string").select("c", java_double(F.col("c")).alias("d"))
+    got = {r["c"]: r["d"] for r in df.collect()}
+    assert got.pop("NaN") != got.get("1") and got == want
